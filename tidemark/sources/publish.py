@@ -1,0 +1,43 @@
+"""A thin writer: every output goes to a new folder, then one appended row makes it visible."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
+
+_LOG = "_published"
+
+
+def _latest(spark: SparkSession, root: str) -> int:
+    try:
+        log = spark.read.schema("version BIGINT, tables ARRAY<STRING>").parquet(f"{root}/{_LOG}")
+    except AnalysisException:
+        return 0
+    return log.agg(F.max("version")).first()[0] or 0
+
+
+def publish(outputs: dict[str, DataFrame], root: str) -> int:
+    """Write all outputs of one load under the next version and make them visible together.
+
+    Nothing that is being read gets overwritten, and a load that dies half way leaves the
+    previous version in place. One writer per root.
+    """
+    spark = next(iter(outputs.values())).sparkSession
+    version = _latest(spark, root) + 1
+    for name, df in outputs.items():
+        df.write.mode("overwrite").parquet(f"{root}/{name}/v={version}")
+    log = spark.createDataFrame([(version, sorted(outputs))], "version BIGINT, tables ARRAY<STRING>")
+    log.coalesce(1).write.mode("append").parquet(f"{root}/{_LOG}")
+    return version
+
+
+def published(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame:
+    """The newest published state of a table, or the state as of ``version``."""
+    log = spark.read.parquet(f"{root}/{_LOG}").where(F.array_contains("tables", name))
+    if version is not None:
+        log = log.where(F.col("version") <= version)
+    found = log.agg(F.max("version")).first()[0]
+    if found is None:
+        raise LookupError(f"{name} was never published under {root}")
+    return spark.read.parquet(f"{root}/{name}/v={found}")
