@@ -51,18 +51,59 @@ def ancestors(edges: Edges, max_distance: int = MAX_DISTANCE) -> DataFrame:
     A walk ends at a row that is its own parent, when it comes back to its start, and after
     ``max_distance`` steps. A child with several parents is followed through each of them.
     """
-    spark = edges.df.sparkSession
-    pairs = settle(edges.pairs(), "edges")
-    steps = pairs.where(F.col("parent") != F.col("id"))
-    # Rows whose ancestor leads nowhere are dropped before each join: without this, all nodes
-    # below one root would meet in one task only to find no partner.
-    onward = steps.select(F.col("id").alias("_known")).distinct()
-    marked = settle(
-        pairs.join(onward, F.col("parent") == F.col("_known"), "left").select(
-            "id", "parent", F.col("_known").isNotNull().alias("onward")
-        ),
-        "edges",
+    if has_repeated_children(edges):
+        return _walk(edges, max_distance)
+    trails = _trails(edges, max_distance + 1)
+    returned = F.array_position("trail", F.col("id")).cast("int")
+    cut = trails.withColumn("trail", F.when(returned > 0, F.slice("trail", F.lit(1), returned)).otherwise(F.col("trail")))
+    steps = cut.select("id", "trail", F.posexplode("trail").alias("distance", "ancestor"))
+    met = F.slice(F.concat(F.array("id"), F.col("trail")), F.lit(1), F.col("distance") + 1)
+    return steps.select("id", "ancestor", F.array_join(met.cast("array<string>"), " > ").alias("path"), "distance")
+
+
+def _onward(pairs: DataFrame) -> DataFrame:
+    """Mark the rows whose parent leads further on.
+
+    The others are left out of the joins that follow: without this, all nodes below one root
+    would meet in one task only to find no partner.
+    """
+    known = pairs.where(F.col("parent") != F.col("id")).select(F.col("id").alias("_known")).distinct()
+    return pairs.join(known, F.col("parent") == F.col("_known"), "left").select(
+        "id", "parent", F.col("_known").isNotNull().alias("onward")
     )
+
+
+def _trails(edges: Edges, limit: int) -> DataFrame:
+    """Each node's first ``limit`` ancestors, nearest first. One parent per child."""
+    marked = _onward(edges.pairs()).withColumn("trail", F.array("parent"))
+    waiting = settle(marked.where("onward"), "trails").select("id", F.col("parent").alias("to"), "trail")
+    closed = [settle(marked.where(~F.col("onward")).select("id", "trail"), "trails")]
+    length = 1
+    while length < limit and not waiting.isEmpty():
+        ahead = waiting.select(F.col("id").alias("_id"), F.col("to").alias("_to"), F.col("trail").alias("_trail"))
+        for done in closed:
+            ahead = ahead.unionByName(
+                done.select(F.col("id").alias("_id"), F.lit(None).cast("bigint").alias("_to"), F.col("trail").alias("_trail"))
+            )
+        stepped = settle(
+            waiting.join(ahead, F.col("to") == F.col("_id")).select(
+                "id", F.col("_to").alias("to"), F.slice(F.concat("trail", "_trail"), 1, limit).alias("trail")
+            ),
+            "trails",
+        )
+        closed.append(stepped.where(F.col("to").isNull()).select("id", "trail"))
+        waiting = stepped.where(F.col("to").isNotNull())
+        length *= 2
+    found = waiting.select("id", "trail")
+    for done in closed:
+        found = found.unionByName(done)
+    return found
+
+
+def _walk(edges: Edges, max_distance: int) -> DataFrame:
+    """The ancestor walk one level at a time, for children with several parents."""
+    spark = edges.df.sparkSession
+    marked = settle(_onward(edges.pairs()), "edges")
     steps = marked.where(F.col("parent") != F.col("id")).select(
         F.col("id").alias("_at"), F.col("parent").alias("_to"), F.col("onward").alias("_onward")
     )

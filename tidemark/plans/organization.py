@@ -102,8 +102,10 @@ def _siblings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _siblings_hot(spark: SparkSession, folder: str) -> DataFrame:
-    """The same numbers with every family above three children cut into slices."""
-    return h.sibling_number(customer_edges(spark, folder), hot_rows=3)
+    """All customers of a nation are siblings: families above half a percent of all rows are cut into slices."""
+    customer = read_table(spark, folder, "customer").select("c_custkey", "c_nationkey")
+    edges = h.Edges(customer, "c_custkey", "c_nationkey")
+    return h.sibling_number(edges, hot_rows=max(customer.count() // 200, 1))
 
 
 _SIBLINGS = f"""
@@ -181,7 +183,11 @@ QUERIES = {
     "hierarchy_quarantine_clean": Query(_quarantine_clean, _QUARANTINE_CLEAN),
     "hierarchy_quarantine_exceptions": Query(_quarantine_exceptions, _QUARANTINE_EXCEPTIONS),
     "hierarchy_sibling_number": Query(_siblings, _SIBLINGS),
-    "hierarchy_sibling_number_hot_keys": Query(_siblings_hot, _SIBLINGS),
+    "hierarchy_sibling_number_hot_keys": Query(
+        _siblings_hot,
+        """SELECT c_custkey, c_nationkey,
+        row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS "Num" FROM customer""",
+    ),
     "hierarchy_paths": Query(_paths, f"{_PATHS} SELECT id, path FROM paths"),
     "hierarchy_depth_first": Query(
         _depth_first,

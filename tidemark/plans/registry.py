@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.plans import history, loads, organization
+from tidemark.plans import access, governance, history, loads, organization
 from tidemark.plans.query import Query
 
-_FAMILIES = (loads, history, organization)
+_FAMILIES = (loads, history, organization, access, governance)
 
 QUERIES: dict[str, Query] = {}
 for _family in _FAMILIES:
