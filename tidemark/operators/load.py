@@ -11,11 +11,22 @@ from pyspark.sql import functions as F
 from tidemark.durable import settle
 from tidemark.functions.guards import require, true
 from tidemark.functions.moments import Moment, moment
-from tidemark.operators.merge import MergeResult, merge_load, new_image, stamp, with_hash
+from tidemark.operators.merge import (
+    STAGED,
+    STAGED_HASH,
+    Change,
+    ended_image,
+    merge_load,
+    new_image,
+    same_key,
+    stamp,
+)
 from tidemark.operators.orphans import route_orphans
 from tidemark.spec import ERROR_COLUMNS, ERROR_DESCRIPTION, ForeignKey, TableSpec
 
-_STAGED = "_staged_"
+_KNOWN = "_known_"
+_KNOWN_HASH = "_hash_of_known"
+_LAST = "_last_"
 
 
 @dataclass(frozen=True)
@@ -71,42 +82,32 @@ def replay_exceptions(
         return _replay_by_date(target, exceptions, pending, dates, spec, execution_id, now)
 
     clean = route_orphans(pending, spec.foreign_keys, emit=False, row_hash=spec.row_hash).clean
-    survivors = _versions(target, clean.distinct(), dates, spec, execution_id, now)
-    changed = _changed_versions(target, survivors, spec)
+    change = Change.of(target, spec)
+    survivors = _versions(target, clean.distinct(), dates, spec, change, execution_id, now)
+    changed = _changed_versions(target, survivors, spec, change)
 
-    by_key = Window.partitionBy(*(_STAGED + k for k in spec.keys)).orderBy("_at")
+    by_key = Window.partitionBy(*(STAGED + k for k in spec.keys)).orderBy("_at")
     ordered = changed.withColumns(
-        {"_first": F.lag("_at").over(by_key).isNull(), "_until": F.lead("_at").over(by_key)}
+        {"_is_first": F.lag("_at").over(by_key).isNull(), "_until": F.lead("_at").over(by_key)}
     )
     last = ordered.where(F.col("_until").isNull())
     earlier = ordered.where(F.col("_until").isNotNull())
 
-    same_key = [F.col(k) == F.col(_STAGED + k) for k in spec.keys]
+    on = same_key(spec)
+    keys = [STAGED + k for k in spec.keys]
     images = new_image(target, spec, F.col("_at"))
-    updates = last.where(F.col("_in_target")).select(
-        *(F.col(_STAGED + k) for k in spec.keys), F.struct(*images).alias("_new")
-    )
+    updates = last.where("_in_target").select(*keys, *(i.alias(_LAST + c) for c, i in zip(target.columns, images)), "_in_target")
+    update = F.col("_in_target").isNotNull()
     current = (
-        target.join(updates, same_key, "left")
-        .select(
-            *(
-                F.when(F.col("_new").isNotNull(), F.col("_new")[c]).otherwise(F.col(c)).alias(c)
-                for c in target.columns
-            )
-        )
+        target.join(updates, on, "left")
+        .select(*(F.when(update, F.col(_LAST + c)).otherwise(F.col(c)).alias(c) for c in target.columns))
         .unionByName(last.where(~F.col("_in_target")).select(*images))
     )
 
-    first = ordered.where(F.col("_first") & F.col("_in_target")).select(
-        *(F.col(_STAGED + k) for k in spec.keys), F.col("_at").alias("_replaced_at")
-    )
-    replaced = target.join(first, same_key, "inner").select(
-        *(_until(target, spec, c, "_replaced_at") for c in target.columns)
-    )
-    superseded = earlier.select(*images, "_until").select(
-        *(_until(target, spec, c, "_until") for c in target.columns)
-    )
-    loaded = survivors.select(*(F.col(_STAGED + k).alias(k) for k in spec.keys), spec.load_date)
+    first = ordered.where(F.col("_is_first") & F.col("_in_target")).select(*keys, F.col("_at").alias("_replaced_at"))
+    replaced = target.join(first, on, "inner").select(*ended_image(target, spec, F.col("_replaced_at")))
+    superseded = earlier.select(*images, "_until").select(*ended_image(target, spec, F.col("_until")))
+    loaded = survivors.select(*(F.col(STAGED + k).alias(k) for k in spec.keys), spec.load_date)
     return LoadResult(current, replaced.unionByName(superseded), clear_resolved(exceptions, loaded, spec))
 
 
@@ -114,16 +115,16 @@ def _bound(foreign_keys: tuple[ForeignKey, ...], target: DataFrame) -> list[Fore
     return [fk if fk.parent is not None else replace(fk, parent=target) for fk in foreign_keys]
 
 
-def _until(target: DataFrame, spec: TableSpec, column: str, end: str):
-    if column != spec.end:
-        return F.col(column)
-    return F.col(end).cast(target.schema[column].dataType).alias(column)
-
-
 def _versions(
-    target: DataFrame, rows: DataFrame, dates: list[str], spec: TableSpec, execution_id: int, now: dt.datetime
+    target: DataFrame,
+    rows: DataFrame,
+    dates: list[str],
+    spec: TableSpec,
+    change: Change,
+    execution_id: int,
+    now: dt.datetime,
 ) -> DataFrame:
-    """The rows to load with their stamps, each marked with whether it repeats its predecessor."""
+    """The rows to load with their stamps, each marked as first of its key or as a repetition."""
     date_type = rows.schema[spec.load_date].dataType
     times = rows.sparkSession.createDataFrame(
         [(d, (now + dt.timedelta(microseconds=i)).isoformat(sep=" ")) for i, d in enumerate(dates)],
@@ -131,48 +132,40 @@ def _versions(
     ).select(F.col("date").cast(date_type).alias(spec.load_date), F.col("at").cast("timestamp_ntz").alias("_at"))
     columns = spec.source_columns(target.columns)
     types = {f.name: f.dataType for f in target.schema.fields}
-    hashed = with_hash(rows.join(times, spec.load_date), spec, columns, "_staged_hash")
-    values = {
-        spec.execution_id: F.lit(execution_id),
-        spec.load_date: F.col("_at"),
-    }
+    values = {spec.execution_id: F.lit(execution_id), spec.load_date: F.col("_at")}
+    hashed = change.with_hash(rows.join(times, spec.load_date), STAGED_HASH)
     staged = hashed.select(
-        *(values.get(c, F.col(c)).cast(types[c]).alias(_STAGED + c) for c in columns),
-        "_staged_hash",
+        *(values.get(c, F.col(c)).cast(types[c]).alias(STAGED + c) for c in columns),
+        *([STAGED_HASH] if change.hashed else []),
         "_at",
         spec.load_date,
     )
-    by_key = Window.partitionBy(*(_STAGED + k for k in spec.keys)).orderBy("_at")
-    linked = staged.withColumns(
-        {
-            "_previous_at": F.lag("_at").over(by_key),
-            "_previous_hash": F.lag("_staged_hash").over(by_key),
-        }
-    )
+    by_key = Window.partitionBy(*(STAGED + k for k in spec.keys)).orderBy("_at")
+    before = F.lag("_at").over(by_key)
+    same = F.lit(True)
+    for c in change.columns(STAGED, STAGED_HASH):
+        same = same & F.lag(c).over(by_key).eqNullSafe(F.col(c))
+    linked = staged.withColumns({"_before": before, "_repeats": before.isNotNull() & same})
     once = require(
-        linked, F.coalesce(F.col("_previous_at") != F.col("_at"), F.lit(True)), "one load date holds one key twice"
+        linked, F.coalesce(F.col("_before") != F.col("_at"), F.lit(True)), "one load date holds one key twice"
     )
-    return settle(once.drop("_previous_at"), "replay")
+    return settle(once.withColumn("_is_first", F.col("_before").isNull()).drop("_before"), "replay")
 
 
-def _changed_versions(target: DataFrame, survivors: DataFrame, spec: TableSpec) -> DataFrame:
+def _changed_versions(target: DataFrame, survivors: DataFrame, spec: TableSpec, change: Change) -> DataFrame:
     """Versions that differ from what they replace, with ``_in_target`` for known keys."""
-    same_key = [F.col(k) == F.col(_STAGED + k) for k in spec.keys]
-    wanted = survivors.select(*(_STAGED + k for k in spec.keys))
-    known = (
-        with_hash(target, spec, spec.source_columns(target.columns), "_target_hash")
-        .join(wanted, same_key, "left_semi")
-        .select(*spec.keys, "_target_hash", F.lit(True).alias("_known"))
-    )
-    joined = survivors.join(known, same_key, "left").drop(*spec.keys)
-    in_target = true(F.col("_known"))
-    repeats = F.col("_staged_hash") == F.col("_previous_hash")
-    is_first = F.col("_previous_hash").isNull()
-    no_update = F.col("_target_hash").isNull() | (is_first & (F.col("_staged_hash") == F.col("_target_hash")))
-    return (
-        joined.withColumn("_in_target", in_target)
-        .where(~true(repeats) & ~(F.col("_in_target") & true(no_update)))
-        .drop("_known", "_target_hash", "_previous_hash")
+    wanted = survivors.select(*(STAGED + k for k in spec.keys))
+    found = change.with_hash(target, _KNOWN_HASH).join(wanted, same_key(spec), "left_semi")
+    compared = [_KNOWN_HASH] if change.hashed else [F.col(c).alias(_KNOWN + c) for c in change.scope]
+    known = found.select(*spec.keys, *compared, F.lit(True).alias("_in_target"))
+    joined = survivors.join(known, same_key(spec), "left").drop(*spec.keys)
+    differs = change.differs(STAGED, STAGED_HASH, _KNOWN, _KNOWN_HASH)
+    # Against a NULL hash nothing ever counts as changed, neither the first version nor a later one.
+    frozen = F.col(_KNOWN_HASH).isNull() if change.hashed else F.lit(False)
+    marked = joined.withColumn("_in_target", true(F.col("_in_target")))
+    no_update = F.col("_in_target") & (frozen | (F.col("_is_first") & ~differs))
+    return marked.where(~F.col("_repeats") & ~no_update).drop(
+        "_repeats", "_is_first", *change.columns(_KNOWN, _KNOWN_HASH)
     )
 
 
@@ -197,7 +190,7 @@ def _replay_by_date(
         )
         stage = stamp(clean, spec, execution_id, at)
         stage = stage.select(*(c for c in stage.columns if c in target.columns))
-        merged: MergeResult = merge_load(current, stage, spec, at)
+        merged = merge_load(current, stage, spec, at)
         history = history.unionByName(settle(merged.history_delta, "replay"))
         current = settle(merged.current, "replay")
         left = clear_resolved(left, clean, spec)

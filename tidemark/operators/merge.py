@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.guards import require, true
 from tidemark.functions.hashing import row_hash
@@ -13,23 +14,61 @@ from tidemark.functions.moments import Moment, moment, open_end
 from tidemark.sizing import fits_broadcast
 from tidemark.spec import TableSpec
 
-_STAGED = "_staged_"
-_HASH = "_staged_hash"
+STAGED = "_staged_"
+STAGED_HASH = "_hash_of_stage"
 _IN_STAGE = "_in_stage"
 _IN_TARGET = "_in_target"
 
 
 @dataclass(frozen=True)
 class MergeResult:
+    """The merged table, the rows it replaced, and both in one pass as ``images``.
+
+    ``images`` carries a ``kind``: writing it partitioned by that column stores current and
+    history from a single join.
+    """
+
     current: DataFrame
     history_delta: DataFrame
+    images: DataFrame
+
 
+@dataclass(frozen=True)
+class Change:
+    """How a staged row is told apart from the row it meets.
+
+    A target that stores its change hash is compared by it, and its other columns are not read
+    for that. A target without one is compared column by column, NULL equal to NULL, which
+    gives the same answer and needs no hash at all.
+    """
 
-def with_hash(df: DataFrame, spec: TableSpec, columns: list[str], out: str) -> DataFrame:
-    """Add the change hash as ``out``: the stored one where the table carries it."""
-    if spec.row_hash in df.columns:
-        return df.withColumn(out, F.col(spec.row_hash))
-    return df.withColumn(out, row_hash(df, spec.hash_scope(columns)))
+    scope: tuple[str, ...]
+    hashed: bool
+    row_hash: str
+
+    @classmethod
+    def of(cls, target: DataFrame, spec: TableSpec) -> Change:
+        scope = spec.hash_scope(target.columns)
+        incomparable = any(isinstance(target.schema[c].dataType, (T.MapType, T.VariantType)) for c in scope)
+        return cls(tuple(scope), spec.row_hash in target.columns or incomparable, spec.row_hash)
+
+    def with_hash(self, df: DataFrame, out: str) -> DataFrame:
+        """Add the change hash where it is needed: the stored one if the rows carry it."""
+        if not self.hashed:
+            return df
+        return df.withColumn(out, F.col(self.row_hash) if self.row_hash in df.columns else row_hash(df, self.scope))
+
+    def columns(self, prefix: str, hash_column: str) -> list[str]:
+        return [hash_column] if self.hashed else [prefix + c for c in self.scope]
+
+    def differs(self, left: str, left_hash: str, right: str, right_hash: str) -> Column:
+        """Whether two images differ. A NULL hash never does."""
+        if self.hashed:
+            return true(F.col(left_hash) != F.col(right_hash))
+        unlike = F.lit(False)
+        for c in self.scope:
+            unlike = unlike | ~F.col(left + c).eqNullSafe(F.col(right + c))
+        return unlike
 
 
 def stamp(df: DataFrame, spec: TableSpec, execution_id: int, now: Moment) -> DataFrame:
@@ -43,8 +82,8 @@ def stamp(df: DataFrame, spec: TableSpec, execution_id: int, now: Moment) -> Dat
     )
 
 
-def _aligned_stage(target: DataFrame, stage: DataFrame, spec: TableSpec) -> DataFrame:
-    """The stage in the target's types, renamed apart, hashed, and refused on a repeated key.
+def aligned_stage(target: DataFrame, stage: DataFrame, spec: TableSpec, change: Change) -> DataFrame:
+    """The stage in the target's types, renamed apart, and refused on a repeated key.
 
     The key check needs the rows grouped by key, which is what the join needs too: Spark
     shuffles the stage once for both.
@@ -60,44 +99,58 @@ def _aligned_stage(target: DataFrame, stage: DataFrame, spec: TableSpec) -> Data
     )
     for key in spec.keys:
         typed = require(typed, F.col(key).isNotNull(), f"stage key {key} is NULL")
-    hashed = with_hash(typed, spec, columns, _HASH)
-    renamed = hashed.select(*(F.col(c).alias(_STAGED + c) for c in columns), _HASH)
-    keys = [_STAGED + k for k in spec.keys]
+    hashed = change.with_hash(typed, STAGED_HASH)
+    renamed = hashed.select(
+        *(F.col(c).alias(STAGED + c) for c in columns), *([STAGED_HASH] if change.hashed else [])
+    )
+    keys = [STAGED + k for k in spec.keys]
     copies = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
     unique = require(renamed.withColumn("_copy", copies), F.col("_copy") == 1, "stage holds one key twice")
     return unique.drop("_copy").withColumn(_IN_STAGE, F.lit(True))
 
 
-def _same_key(spec: TableSpec, prefix: str = _STAGED) -> list[Column]:
-    return [F.col(k) == F.col(prefix + k) for k in spec.keys]
+def same_key(spec: TableSpec) -> list[Column]:
+    return [F.col(k) == F.col(STAGED + k) for k in spec.keys]
 
 
-def _generated(target: DataFrame, spec: TableSpec, now: Column | None = None) -> dict[str, Column]:
-    """New values for the columns no stage provides."""
+def _new_values(target: DataFrame, spec: TableSpec, now: Column) -> dict[str, Column]:
+    """A staged row's value for each column of the target."""
     types = {f.name: f.dataType for f in target.schema.fields}
-    values = {}
-    if spec.row_hash in types:
-        values[spec.row_hash] = F.col(_HASH)
-    if spec.start in types:
-        values[spec.start] = now.cast(types[spec.start])
-    if spec.end in types:
-        values[spec.end] = open_end(types[spec.end])
-    return values
+    generated = {
+        spec.row_hash: lambda t: F.col(STAGED_HASH),
+        spec.start: lambda t: now.cast(t),
+        spec.end: open_end,
+    }
+    return {c: generated[c](t) if c in generated else F.col(STAGED + c) for c, t in types.items()}
 
 
 def new_image(target: DataFrame, spec: TableSpec, now: Column) -> list[Column]:
     """A staged row as a row of the target."""
-    values = _generated(target, spec, now)
-    return [values.get(c, F.col(_STAGED + c)).alias(c) for c in target.columns]
+    return [value.alias(c) for c, value in _new_values(target, spec, now).items()]
 
 
 def _either_image(target: DataFrame, spec: TableSpec, now: Column, take: Column) -> list[Column]:
-    values = _generated(target, spec, now)
     return [
-        F.when(take, values.get(c, F.col(_STAGED + c))).otherwise(F.col(c)).alias(c) for c in target.columns
+        F.when(take, value).otherwise(F.col(c)).alias(c) for c, value in _new_values(target, spec, now).items()
     ]
 
 
+def ended_image(target: DataFrame, spec: TableSpec, end: Column) -> list[Column]:
+    """A row of the target whose period is over."""
+    types = {f.name: f.dataType for f in target.schema.fields}
+    return [end.cast(types[c]).alias(c) if c == spec.end else F.col(c) for c in target.columns]
+
+
+def _both_images(target: DataFrame, joined: DataFrame, current: list[Column], ended: list[Column], replaced: Column) -> DataFrame:
+    """Each joined row as its current image, and once more as its old one where it was replaced."""
+    kinds = F.when(replaced, F.array(F.lit("current"), F.lit("history"))).otherwise(F.array(F.lit("current")))
+    doubled = joined.withColumn("kind", F.explode(kinds))
+    is_old = F.col("kind") == "history"
+    return doubled.select(
+        *(F.when(is_old, old).otherwise(new).alias(c) for c, old, new in zip(target.columns, ended, current)), "kind"
+    )
+
+
 def merge_load(
     target: DataFrame,
     stage: DataFrame,
@@ -107,41 +160,44 @@ def merge_load(
 ) -> MergeResult:
     """Merge ``stage`` into ``target`` on the key columns.
 
-    A matched row is replaced when its hash differs, an unmatched stage row is inserted, an
-    unmatched target row is kept. A NULL hash on either side never replaces. A key that occurs
-    twice in the stage fails the plan. ``history_delta`` holds the replaced rows, ended at ``now``.
+    A matched row is replaced when a versioned column differs, an unmatched stage row is
+    inserted, an unmatched target row is kept. A NULL hash on either side never replaces. A key
+    that occurs twice in the stage fails the plan. ``history_delta`` holds the replaced rows,
+    ended at ``now``.
 
     Two shapes give the same rows. With a stage Spark can broadcast, the target is only scanned
     and never shuffled. Otherwise one full outer join shuffles each side once.
     """
     if small_stage is None:
         small_stage = fits_broadcast(stage)
-    staged = _aligned_stage(target, stage, spec)
-    columns = spec.source_columns(target.columns)
-    old = with_hash(target, spec, columns, "_target_hash")
+    change = Change.of(target, spec)
+    staged = aligned_stage(target, stage, spec, change)
+    old = change.with_hash(target, "_hash_of_target")
     at = moment(now, "timestamp_ntz")
-    differs = true(F.col(_HASH) != F.col("_target_hash"))
+    on = same_key(spec)
+    differs = change.differs(STAGED, STAGED_HASH, "", "_hash_of_target")
+    in_stage = true(F.col(_IN_STAGE))
+    staged_keys = [STAGED + k for k in spec.keys]
 
     if small_stage:
-        looked_up = old.join(staged, _same_key(spec), "left")
-        kept = looked_up.select(*_either_image(target, spec, at, true(F.col(_IN_STAGE)) & differs))
+        joined = old.join(staged, on, "left")
+        replaced = in_stage & differs
+        taken = _either_image(target, spec, at, replaced)
         # The keys found in the target are no more than the stage has, so they broadcast back.
-        found = target.select(*spec.keys).join(
-            staged.select(*(_STAGED + k for k in spec.keys)), _same_key(spec), "left_semi"
+        found = target.select(*spec.keys).join(staged.select(*staged_keys), on, "left_semi")
+        inserted = staged.join(found, on, "left_anti").select(*new_image(target, spec, at))
+        current = joined.select(*taken).unionByName(inserted)
+        images = _both_images(target, joined, taken, ended_image(target, spec, at), replaced).unionByName(
+            inserted.withColumn("kind", F.lit("current"))
         )
-        inserted = staged.join(found, _same_key(spec), "left_anti").select(*new_image(target, spec, at))
-        current = kept.unionByName(inserted)
     else:
-        both = old.withColumn(_IN_TARGET, F.lit(True)).join(staged, _same_key(spec), "full_outer")
-        take = true(F.col(_IN_STAGE)) & (F.col(_IN_TARGET).isNull() | differs)
-        current = both.select(*_either_image(target, spec, at, take))
-
-    replaced = old.join(
-        staged.select(*(_STAGED + k for k in spec.keys), _HASH), _same_key(spec), "inner"
-    ).where(differs)
-    return MergeResult(current, replaced.select(*_ended(target, spec, at)))
-
-
-def _ended(target: DataFrame, spec: TableSpec, end: Column) -> list[Column]:
-    types = {f.name: f.dataType for f in target.schema.fields}
-    return [end.cast(types[c]).alias(c) if c == spec.end else F.col(c) for c in target.columns]
+        joined = old.withColumn(_IN_TARGET, F.lit(True)).join(staged, on, "full_outer")
+        in_target = F.col(_IN_TARGET).isNotNull()
+        replaced = in_stage & in_target & differs
+        taken = _either_image(target, spec, at, in_stage & (~in_target | differs))
+        current = joined.select(*taken)
+        images = _both_images(target, joined, taken, ended_image(target, spec, at), replaced)
+
+    compared = dict.fromkeys([*staged_keys, *change.columns(STAGED, STAGED_HASH)])
+    history = old.join(staged.select(*compared), on, "inner").where(differs)
+    return MergeResult(current, history.select(*ended_image(target, spec, at)), images)

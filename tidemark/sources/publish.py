@@ -1,43 +1,67 @@
-"""A thin writer: every output goes to a new folder, then one appended row makes it visible."""
+"""A thin writer: outputs go to a new folder, then one appended row makes them visible together."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 _LOG = "_published"
+_LOG_SCHEMA = "version BIGINT, name STRING, path STRING"
+
+
+def _log(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(_LOG_SCHEMA).parquet(f"{root}/{_LOG}")
 
 
-def _latest(spark: SparkSession, root: str) -> int:
+def _next_version(spark: SparkSession, root: str) -> int:
     try:
-        log = spark.read.schema("version BIGINT, tables ARRAY<STRING>").parquet(f"{root}/{_LOG}")
+        return (_log(spark, root).agg(F.max("version")).first()[0] or 0) + 1
     except AnalysisException:
-        return 0
-    return log.agg(F.max("version")).first()[0] or 0
+        return 1
 
 
-def publish(outputs: dict[str, DataFrame], root: str) -> int:
+def _make_visible(spark: SparkSession, root: str, version: int, paths: Mapping[str, str]) -> int:
+    rows = [(version, name, path) for name, path in paths.items()]
+    spark.createDataFrame(rows, _LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/{_LOG}")
+    return version
+
+
+def publish(outputs: Mapping[str, DataFrame], root: str) -> int:
     """Write all outputs of one load under the next version and make them visible together.
 
     Nothing that is being read gets overwritten, and a load that dies half way leaves the
     previous version in place. One writer per root.
     """
     spark = next(iter(outputs.values())).sparkSession
-    version = _latest(spark, root) + 1
+    version = _next_version(spark, root)
+    paths = {name: f"v={version}/{name}" for name in outputs}
     for name, df in outputs.items():
-        df.write.mode("overwrite").parquet(f"{root}/{name}/v={version}")
-    log = spark.createDataFrame([(version, sorted(outputs))], "version BIGINT, tables ARRAY<STRING>")
-    log.coalesce(1).write.mode("append").parquet(f"{root}/{_LOG}")
-    return version
+        df.write.mode("overwrite").parquet(f"{root}/{paths[name]}")
+    return _make_visible(spark, root, version, paths)
+
+
+def publish_images(images: DataFrame, root: str) -> int:
+    """Write a merge's current rows and its history delta from one pass over the join."""
+    spark = images.sparkSession
+    version = _next_version(spark, root)
+    images.write.mode("overwrite").partitionBy("kind").parquet(f"{root}/v={version}/images")
+    schema = images.drop("kind").schema
+    for kind in ("current", "history"):
+        # A merge that replaced nothing still publishes an empty history.
+        spark.createDataFrame([], schema).write.mode("append").parquet(f"{root}/v={version}/images/kind={kind}")
+    paths = {kind: f"v={version}/images/kind={kind}" for kind in ("current", "history")}
+    return _make_visible(spark, root, version, paths)
 
 
 def published(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame:
-    """The newest published state of a table, or the state as of ``version``."""
-    log = spark.read.parquet(f"{root}/{_LOG}").where(F.array_contains("tables", name))
+    """The newest published state of a table, or its state as of ``version``."""
+    log = _log(spark, root).where(F.col("name") == name)
     if version is not None:
         log = log.where(F.col("version") <= version)
-    found = log.agg(F.max("version")).first()[0]
+    found = log.agg(F.max_by("path", "version")).first()[0]
     if found is None:
         raise LookupError(f"{name} was never published under {root}")
-    return spark.read.parquet(f"{root}/{name}/v={found}")
+    return spark.read.parquet(f"{root}/{found}")
