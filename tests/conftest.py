@@ -11,7 +11,9 @@ sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 def spark():
     from tidemark.session import local_session
 
-    return local_session("4", "tests")
+    session = local_session("8", "tests")
+    session.conf.set("spark.sql.shuffle.partitions", "3")
+    return session
 
 
 @pytest.fixture(scope="session")
