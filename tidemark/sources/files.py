@@ -10,6 +10,7 @@ def load_files(spark: SparkSession, path: str, pattern: str | None = None, recur
     """One row per file: ``name``, ``path``, ``length``, ``modified`` and the ``content`` blob.
 
     Column pruning reaches the source: a plan that leaves ``content`` out does not open the files.
+    Spark's source passes over files of length zero.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if pattern is not None:
