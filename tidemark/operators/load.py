@@ -22,6 +22,7 @@ from tidemark.operators.merge import (
     stamp,
 )
 from tidemark.operators.orphans import route_orphans
+from tidemark.sizing import fits_broadcast
 from tidemark.spec import ERROR_COLUMNS, ERROR_DESCRIPTION, ForeignKey, TableSpec
 
 _KNOWN = "_known_"
@@ -39,10 +40,16 @@ class LoadResult:
 def run_load(
     target: DataFrame, stage: DataFrame, exceptions: DataFrame | None, spec: TableSpec, now: Moment
 ) -> LoadResult:
-    """Route the stage's orphans to the exceptions, then merge what is left."""
+    """Route the stage's orphans to the exceptions, then merge what is left.
+
+    What is left of a small stage is settled: after the joins that checked it, the optimizer
+    could no longer tell that it is small, and would shuffle the target for it.
+    """
     keys = _bound(spec.foreign_keys, target)
     routed = route_orphans(stage, keys, exceptions, row_hash=spec.row_hash)
-    merged = merge_load(target, routed.clean, spec, now)
+    small = fits_broadcast(stage)
+    clean = settle(routed.clean, "stage") if small else routed.clean
+    merged = merge_load(target, clean, spec, now, small)
     return LoadResult(merged.current, merged.history_delta, routed.exceptions)
 
 
@@ -90,6 +97,9 @@ def replay_exceptions(
     ordered = changed.withColumns(
         {"_is_first": F.lag("_at").over(by_key).isNull(), "_until": F.lead("_at").over(by_key)}
     )
+    if fits_broadcast(survivors):
+        # As above: with its true size known it is broadcast to the target.
+        ordered = settle(ordered, "replay")
     last = ordered.where(F.col("_until").isNull())
     earlier = ordered.where(F.col("_until").isNotNull())
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.moments import moment, open_end
 from tidemark.functions.ordered import next_value
 from tidemark.operators.orphans import orphans
-from tidemark.operators.temporal import TemporalTable, temporal_fk_gaps
+from tidemark.operators.temporal import ConsistencyError, TemporalTable, VersioningError, temporal_fk_gaps
 from tidemark.plans.loads import orders_stage
 from tidemark.plans.query import Query, sql_time, times_as_text
 from tidemark.sources.tables import read_table
@@ -431,6 +431,52 @@ SELECT o_orderkey, c_name, '2020-01-01 00:00:00.000000' AS "customer_RowStartDat
 FROM orders JOIN customer ON c_custkey = o_custkey
 """
 
+def _refused(spark: SparkSession, folder: str) -> DataFrame:
+    """What a versioned table of all users refuses, and what it refuses to be turned on with."""
+    table = user_states(spark, folder)
+    off = table.versioning_off()
+    narrower = TemporalTable(off.current, off.history.drop("value"), off.key, versioned=False)
+    other_type = TemporalTable(
+        off.current, off.history.withColumn("value", F.col("value").cast("string")), off.key, versioned=False
+    )
+    actions = {
+        "truncate": table.truncate,
+        "truncate while off": off.truncate,
+        "drop": table.drop,
+        "drop while off": off.drop,
+        "constraint on history": lambda: table.add_history_constraint("ck"),
+        "constraint on history while off": lambda: off.add_history_constraint("ck"),
+        "turning on with a constraint": lambda: off.add_history_constraint("ck").versioning_on(),
+        "manual history": lambda: table.load_history(table.history),
+        "given periods": lambda: table.insert(table.current, NOW),
+        "turning on": off.versioning_on,
+        "turning on with a column missing": narrower.versioning_on,
+        "turning on with another type": other_type.versioning_on,
+        "turning on with overlaps": _overlapping(spark, folder).versioning_on,
+    }
+    outcomes = []
+    for name, action in actions.items():
+        try:
+            action()
+            outcomes.append((name, False))
+        except (VersioningError, ConsistencyError):
+            outcomes.append((name, True))
+    # The table itself is untouched by all of it.
+    versions = table.all_versions().agg(F.count(F.lit(1)).alias("version_count"))
+    return spark.createDataFrame(outcomes, "action STRING, is_refused BOOLEAN").withColumn(
+        "version_count", F.lit(versions.first()[0])
+    )
+
+
+_REFUSED = """
+SELECT action, is_refused, (SELECT count(*) FROM events) AS version_count FROM (VALUES
+  ('truncate', true), ('truncate while off', false), ('drop', true), ('drop while off', false),
+  ('constraint on history', true), ('constraint on history while off', false),
+  ('turning on with a constraint', true), ('manual history', true), ('given periods', true),
+  ('turning on', false), ('turning on with a column missing', true), ('turning on with another type', true),
+  ('turning on with overlaps', true)) v(action, is_refused)
+"""
+
 QUERIES = {
     "temporal_all_versions": Query(_all_versions, _states_sql("true")),
     "temporal_as_of": Query(_as_of, _states_sql(f"s <= TIMESTAMP '{HIGH}' AND e > TIMESTAMP '{HIGH}'")),
@@ -453,4 +499,5 @@ QUERIES = {
     "temporal_foreign_key_gaps_hot_keys": Query(_fk_gaps_hot, _FK_GAPS_HOT),
     "temporal_hidden_periods": Query(_visible, _VISIBLE),
     "temporal_current_join": Query(_joined, _JOINED),
+    "temporal_refused_actions": Query(_refused, _REFUSED),
 }

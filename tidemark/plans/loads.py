@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.durable import new_run_folder
 from tidemark.functions.hashing import row_hash
 from tidemark.functions.moments import moment, open_end
 from tidemark.operators.compare import table_diff
@@ -15,6 +16,7 @@ from tidemark.operators.load import LoadResult, replay_exceptions, run_load
 from tidemark.operators.merge import MergeResult, merge_load, stamp
 from tidemark.operators.orphans import orphans, route_orphans
 from tidemark.plans.query import Query, sql_time, times_as_text
+from tidemark.sources.publish import publish_images, published
 from tidemark.sources.tables import read_table
 from tidemark.spec import ForeignKey, TableSpec
 
@@ -87,6 +89,20 @@ FROM stage s JOIN orders t ON t.o_orderkey = s.o_orderkey WHERE t.o_totalprice <
 """
 
 
+def _merge_orders_published(spark: SparkSession, folder: str) -> DataFrame:
+    """Current rows and history written in one pass, made visible, and read back."""
+    root = new_run_folder(spark, "published")
+    publish_images(merge_orders(spark, folder).images, root)
+    parts = [published(spark, root, kind).withColumn("kind", F.lit(kind)) for kind in ("current", "history")]
+    return times_as_text(parts[0].unionByName(parts[1]), "o_orderdate", "VersionStartTime", "VersionEndTime")
+
+
+_MERGE_ORDERS_PUBLISHED = f"""
+SELECT *, 'current' AS kind FROM ({_MERGE_ORDERS_CURRENT})
+UNION ALL SELECT *, 'history' FROM ({_MERGE_ORDERS_HISTORY})
+"""
+
+
 # Events: a stage too large to broadcast, so one full outer join.
 
 
@@ -406,6 +422,7 @@ FROM sums WHERE n <> 0
 QUERIES = {
     "merge_orders_current": Query(_merge_orders_current, _MERGE_ORDERS_CURRENT),
     "merge_orders_history": Query(_merge_orders_history, _MERGE_ORDERS_HISTORY),
+    "merge_orders_published": Query(_merge_orders_published, _MERGE_ORDERS_PUBLISHED),
     "merge_events_outer": Query(_merge_events, _MERGE_EVENTS),
     "row_change_hash": Query(_change_hash, _CHANGE_HASH),
     "orphan_rows": Query(_orphan_lines, _ORPHAN_LINES),
