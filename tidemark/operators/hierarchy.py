@@ -75,9 +75,9 @@ def _onward(pairs: DataFrame) -> DataFrame:
 
 def _trails(edges: Edges, limit: int) -> DataFrame:
     """Each node's first ``limit`` ancestors, nearest first. One parent per child."""
-    marked = _onward(edges.pairs()).withColumn("trail", F.array("parent"))
-    waiting = settle(marked.where("onward"), "trails").select("id", F.col("parent").alias("to"), "trail")
-    closed = [settle(marked.where(~F.col("onward")).select("id", "trail"), "trails")]
+    marked = settle(_onward(edges.pairs()).withColumn("trail", F.array("parent")), "trails")
+    waiting = marked.where("onward").select("id", F.col("parent").alias("to"), "trail")
+    closed = [marked.where(~F.col("onward")).select("id", "trail")]
     length = 1
     while length < limit and not waiting.isEmpty():
         ahead = waiting.select(F.col("id").alias("_id"), F.col("to").alias("_to"), F.col("trail").alias("_trail"))
@@ -128,37 +128,20 @@ def _walk(edges: Edges, max_distance: int) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{folder}/level=*").drop("onward")
 
 
-def _endless(edges: Edges) -> DataFrame:
-    """Nodes whose walk never ends: ``id``, ``to`` and ``low``, the smallest node met so far."""
-    pairs = edges.pairs()
-    open_rows = settle(
-        pairs.where(F.col("parent") != F.col("id")).select("id", F.col("parent").alias("to"), F.col("id").alias("low")),
-        "chains",
-    )
-    # A parent that is no open row ends the walk: it is unknown, has no parent or is its own.
-    while True:
-        before = open_rows.count()
-        ahead = open_rows.select(F.col("id").alias("_id"), F.col("to").alias("_to"), F.col("low").alias("_low"))
-        open_rows = settle(
-            open_rows.join(ahead, F.col("to") == F.col("_id")).select(
-                "id", F.col("_to").alias("to"), F.least("low", "_low").alias("low")
-            ),
-            "chains",
-        )
-        if open_rows.count() == before or before == 0:
-            return open_rows
-
-
 def _cycles(edges: Edges, max_length: int) -> tuple[DataFrame, DataFrame]:
     """Cycle members, and all nodes that lead into a cycle or lie on one. One parent per child.
 
-    Following a chain far enough always lands on its cycle, so the nodes landed on, once their
-    number stops shrinking, are exactly the cycle members. Each cycle is named by its smallest
-    node; cycles above ``max_length`` are left out.
+    ``to`` is where a row's chain leads, twice as far in every round, and ``low`` the smallest
+    node on the way. Chains that end drop out of the join. Following the others far enough
+    always lands on a cycle, so the nodes landed on, once their number stops shrinking, are
+    exactly the cycle members. Each cycle is named by its smallest node; cycles above
+    ``max_length`` are left out.
     """
-    rows = _endless(edges)
-    landed = -1
-    while True:
+    # A parent that is no row here ends the chain: it is unknown, has no parent or is its own.
+    first = edges.pairs().where(F.col("parent") != F.col("id"))
+    rows = settle(first.select("id", F.col("parent").alias("to"), F.col("id").alias("low")), "chains")
+    count, landed = rows.count(), None
+    while count > 0:
         ahead = rows.select(F.col("id").alias("_id"), F.col("to").alias("_to"), F.col("low").alias("_low"))
         stepped = settle(
             rows.join(ahead, F.col("to") == F.col("_id")).select(
@@ -167,19 +150,21 @@ def _cycles(edges: Edges, max_length: int) -> tuple[DataFrame, DataFrame]:
                 F.least("low", "_low").alias("low"),
                 (F.col("_low") < F.col("low")).alias("moved"),
             ),
-            "cycles",
+            "chains",
         )
-        ends, moved = stepped.agg(
-            F.count_distinct("to"), F.coalesce(F.sum(F.col("moved").cast("int")), F.lit(0))
-        ).first()
+        left, moved = stepped.agg(F.count(F.lit(1)), F.count_if("moved")).first()
         rows = stepped.drop("moved")
-        if moved == 0 and ends == landed:
-            break
-        landed = ends
+        # Shorter chains would have ended before longer ones, so without an end in one round
+        # none comes later; the same holds for smaller nodes still to be met.
+        if left == count and moved == 0:
+            ends = rows.agg(F.count_distinct("to")).first()[0]
+            if ends in (landed, left):
+                break
+            landed = ends
+        count = left
     on_cycle = rows.join(rows.select(F.col("to").alias("id")).distinct(), "id", "left_semi").select("id", "low")
     lengths = on_cycle.groupBy("low").agg(F.count(F.lit(1)).alias("n"))
-    short = settle(lengths.where(F.col("n") <= max_length).select("low"), "cycles")
-    members = settle(on_cycle.join(short, "low", "left_semi").select("id"), "cycles")
+    members = settle(on_cycle.join(lengths.where(F.col("n") <= max_length), "low", "left_semi").select("id"), "cycles")
     leading = rows.join(members.select(F.col("id").alias("to")), "to", "left_semi").select("id")
     return members, leading
 
@@ -276,9 +261,10 @@ def paths(edges: Edges, root: int = ROOT, smallest: bool = False) -> DataFrame:
     below = single.where((F.col("id") != root) & (F.col("parent") != F.col("id")))
     # trail: from the node itself upwards, the node first and `to` not yet in it.
     chains = below.select("id", F.col("parent").alias("to"), F.array("id").alias("trail"))
-    arrived = [top, settle(chains.where(F.col("to") == root), "paths").select("id", "trail")]
-    waiting = settle(chains.where(F.col("to") != root), "paths")
-    while not waiting.isEmpty():
+    arrived = [top, chains.where(F.col("to") == root).select("id", "trail")]
+    waiting = chains.where(F.col("to") != root)
+    left = None
+    while left != 0:
         ahead = waiting.select(F.col("id").alias("_id"), F.col("to").alias("_to"), F.col("trail").alias("_trail"))
         for done in arrived[1:]:
             ahead = ahead.unionByName(
@@ -290,12 +276,12 @@ def paths(edges: Edges, root: int = ROOT, smallest: bool = False) -> DataFrame:
             ),
             "paths",
         )
-        new = stepped.where(F.col("to") == root).select("id", "trail")
+        new, left = stepped.agg(F.count_if(F.col("to") == root), F.count_if(F.col("to") != root)).first()
         # Whoever is deeper than this round reached has an ancestor that arrived in it: with no
         # arrival the rest only leads into cycles.
-        if new.isEmpty():
+        if new == 0:
             break
-        arrived.append(new)
+        arrived.append(stepped.where(F.col("to") == root).select("id", "trail"))
         waiting = stepped.where(F.col("to") != root)
     reached = arrived[0]
     for part in arrived[1:]:

@@ -95,11 +95,11 @@ def _joins(spark: SparkSession, folder: str) -> DataFrame:
     registry = _registry(access, "orders", "o_orderstatus")
     user = sec.User.of("FinalDesk")
     orders = read_table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
-    lines = read_table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_linestatus", "l_quantity")
+    lines = read_table(spark, folder, "lineitem").select("l_orderkey", "l_linestatus", "l_quantity")
     on = F.col("l_orderkey") == F.col("o_orderkey")
 
     def joined(how: str, kind: str) -> DataFrame:
-        left = registry.read("lineitem", lines, user).where(F.col("l_linenumber") == 3)
+        left = registry.read("lineitem", lines, user)
         both = left.join(registry.read("orders", orders, user), on, how)
         return both.groupBy("o_orderstatus", "l_linestatus").agg(
             F.count(F.lit(1)).alias("line_count"), F.sum("l_quantity").alias("total_quantity")
@@ -113,7 +113,7 @@ def _joins(spark: SparkSession, folder: str) -> DataFrame:
 
 _JOINS = """
 WITH o AS (SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'),
-l AS (SELECT * FROM lineitem WHERE l_linenumber = 3), lf AS (SELECT * FROM l WHERE l_linestatus = 'F')
+l AS (SELECT * FROM lineitem), lf AS (SELECT * FROM l WHERE l_linestatus = 'F')
 SELECT o_orderstatus, l_linestatus, count(*) AS line_count, sum(l_quantity) AS total_quantity,
        'inner, one protected' AS kind FROM l JOIN o ON l_orderkey = o_orderkey GROUP BY 1, 2
 UNION ALL SELECT o_orderstatus, l_linestatus, count(*), sum(l_quantity), 'left, one protected'
