@@ -128,9 +128,10 @@ def _random_exceptions(spark, seed):
     return df.withColumns({"ErrorCode": F.lit(0), "ErrorColumn": F.lit(0)})
 
 
-@pytest.mark.parametrize("hashed", [True, False])
-def test_replay_in_one_pass_equals_date_by_date(spark, hashed):
+@pytest.mark.parametrize("hashed, small", [(True, True), (False, True), (False, False)])
+def test_replay_in_one_pass_equals_date_by_date(spark, monkeypatch, hashed, small):
     """A plain loop over dates and dictionaries gives the same current, history and leftovers."""
+    monkeypatch.setattr("tidemark.operators.load.fits_broadcast", lambda df: small)
     for seed in range(2):
         exceptions = _random_exceptions(spark, seed)
         start = exceptions.where(F.col("id") < 15).dropDuplicates(["id"]).drop(

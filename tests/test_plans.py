@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.moments import moment, open_end
 from tidemark.operators import security as sec
+from tidemark.operators.load import run_load
 from tidemark.operators.merge import merge_load
 from tidemark.operators.temporal import TemporalTable
 from tidemark.operators.watermark import since
 from tidemark.plans.registry import QUERIES
 from tidemark.sources.tables import read_table
-from tidemark.spec import TableSpec
+from tidemark.sizing import fits_broadcast, planned_bytes
+from tidemark.spec import ForeignKey, TableSpec
 
 
 def plan(df):
@@ -41,6 +43,27 @@ def test_small_stage_does_not_shuffle_the_target(orders):
     assert hashed and all("_staged_o_orderkey" in e for e in hashed)
 
 
+def test_the_shape_follows_the_estimated_size(spark, orders):
+    assert planned_bytes(spark.range(5)) == 40
+    assert fits_broadcast(orders)
+    spec = TableSpec(keys=("o_orderkey",))
+    assert "FullOuter" not in plan(merge_load(target_of(orders), orders, spec, "2024-01-01").current)
+    previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        assert "FullOuter" in plan(merge_load(target_of(orders), orders, spec, "2024-01-01").current)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
+
+
+def test_a_checked_small_stage_is_still_small(spark, folder, orders):
+    """After the joins that look for orphans, the rest of a small stage is broadcast to the target."""
+    customer = ForeignKey("o_custkey", read_table(spark, folder, "customer"), "c_custkey", "customer")
+    spec = TableSpec(keys=("o_orderkey",), foreign_keys=(customer,))
+    text = plan(run_load(target_of(orders), orders, None, spec, "2024-01-01").current)
+    assert "FullOuter" not in text and "SortMergeJoin" not in text
+
+
 def test_large_stage_shuffles_each_side_once(orders):
     text = plan(merge_load(target_of(orders), orders, TableSpec(keys=("o_orderkey",)), "2024-01-01", False).current)
     assert len(exchanges(text)) == 2

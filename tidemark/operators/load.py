@@ -97,7 +97,8 @@ def replay_exceptions(
     ordered = changed.withColumns(
         {"_is_first": F.lag("_at").over(by_key).isNull(), "_until": F.lead("_at").over(by_key)}
     )
-    if fits_broadcast(survivors):
+    small = fits_broadcast(survivors)
+    if small:
         # As above: with its true size known it is broadcast to the target.
         ordered = settle(ordered, "replay")
     last = ordered.where(F.col("_until").isNull())
@@ -106,13 +107,14 @@ def replay_exceptions(
     on = same_key(spec)
     keys = [STAGED + k for k in spec.keys]
     images = new_image(target, spec, F.col("_at"))
-    updates = last.where("_in_target").select(*keys, *(i.alias(_LAST + c) for c, i in zip(target.columns, images)), "_in_target")
+    newest = last.select(*keys, *(i.alias(_LAST + c) for c, i in zip(target.columns, images)), "_in_target")
     update = F.col("_in_target").isNotNull()
-    current = (
-        target.join(updates, on, "left")
-        .select(*(F.when(update, F.col(_LAST + c)).otherwise(F.col(c)).alias(c) for c in target.columns))
-        .unionByName(last.where(~F.col("_in_target")).select(*images))
-    )
+    either = [F.when(update, F.col(_LAST + c)).otherwise(F.col(c)).alias(c) for c in target.columns]
+    if small:
+        current = target.join(newest.where("_in_target"), on, "left").select(*either)
+        current = current.unionByName(last.where(~F.col("_in_target")).select(*images))
+    else:
+        current = target.join(newest, on, "full_outer").select(*either)
 
     first = ordered.where(F.col("_is_first") & F.col("_in_target")).select(*keys, F.col("_at").alias("_replaced_at"))
     replaced = target.join(first, on, "inner").select(*ended_image(target, spec, F.col("_replaced_at")))

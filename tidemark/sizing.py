@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 def planned_bytes(df: DataFrame) -> int | None:
     """The optimizer's size estimate, or None where the session does not expose it."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except AttributeError:
         return None
 
