@@ -7,7 +7,7 @@ import time
 from collections import Counter
 
 import duckdb
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame
 
 from tidemark.plans.registry import QUERIES
 from tidemark.sources.tables import TABLES
@@ -20,10 +20,9 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
-def compare(spark: SparkSession, connection: duckdb.DuckDBPyConnection, folder: str, name: str) -> str:
+def compare(connection: duckdb.DuckDBPyConnection, name: str, result: DataFrame) -> str:
     """An empty text when both engines agree, else what differs."""
     query = QUERIES[name]
-    result = query.run(spark, folder)
     columns = sorted(result.columns)
     ours = Counter(tuple(row) for row in result.select(*columns).collect())
     if query.sql is None:
@@ -53,5 +52,5 @@ if __name__ == "__main__":
     db = connect(folder)
     for name in sys.argv[2:] or QUERIES:
         begun = time.time()
-        problem = compare(session, db, folder, name)
+        problem = compare(db, name, QUERIES[name].run(session, folder))
         print(f"{'FAIL' if problem else 'ok':4} {time.time() - begun:6.1f}s {name} {problem}", flush=True)

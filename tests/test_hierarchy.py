@@ -121,10 +121,12 @@ def test_deep_hierarchy(spark):
 def test_several_parents(spark):
     pairs = [(0, 0), (1, 0), (2, 0), (3, 1), (3, 2), (4, 3), (5, 6), (6, 5), (6, 0), (7, 6)]
     edges = edges_of(spark, pairs)
-    found = sorted((r["id"], r["ancestor"], r["path"], r["distance"]) for r in h.ancestors(edges).collect())
-    assert found == sorted((c, a, p, d) for c in dict(pairs) for a, p, d in walk(pairs, c))
-    assert ids(h.circular(edges)) == [5, 6]
-    assert sorted({r["OrganizationID"] for r in h.quarantine(edges, 1).exceptions.collect()}) == [5, 6, 7]
+    limit = 6
+    found = sorted((r["id"], r["ancestor"], r["path"], r["distance"]) for r in h.ancestors(edges, limit).collect())
+    assert found == sorted((c, a, p, d) for c in dict(pairs) for a, p, d in walk(pairs, c, limit))
+    assert ids(h.circular(edges, limit)) == [5, 6]
+    removed = h.quarantine(edges, 1, limit).exceptions.collect()
+    assert sorted({r["OrganizationID"] for r in removed}) == [5, 6, 7]
     with pytest.raises(PySparkException, match="two parents"):
         h.paths(edges).collect()
     smallest = {r["id"]: r["path"] for r in h.paths(edges, smallest=True).collect()}

@@ -11,7 +11,6 @@ from tidemark.operators.load import run_load
 from tidemark.operators.merge import merge_load
 from tidemark.operators.temporal import TemporalTable
 from tidemark.operators.watermark import since
-from tidemark.plans.registry import QUERIES
 from tidemark.sources.tables import read_table
 from tidemark.sizing import fits_broadcast, planned_bytes
 from tidemark.spec import ForeignKey, TableSpec
@@ -101,9 +100,3 @@ def test_versioned_changes_do_not_shuffle(orders):
     table = table.update(F.col("o_orderstatus") == "F", {"o_totalprice": F.lit(0.0)}, "2021-01-01")
     table = table.delete(F.col("o_orderstatus") == "P", "2022-01-01")
     assert not exchanges(plan(table.all_versions()))
-
-
-@pytest.mark.parametrize("name", QUERIES)
-def test_no_python_workers_and_no_pairing_of_all_rows(spark, folder, name):
-    text = plan(QUERIES[name].run(spark, folder))
-    assert not re.search(r"ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroups|CartesianProduct", text)
