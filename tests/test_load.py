@@ -77,6 +77,15 @@ def test_bad_stage_keys_fail(spark, small, rows):
         merge_load(versioned(random_rows(spark, 1)), stage, SPEC, NOW, small).current.collect()
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_null_keys_in_the_target_are_left_alone(spark, small):
+    target = versioned(spark.createDataFrame([(None, "x", 1.0), (1, "x", 1.0)], "a INT, b STRING, c DOUBLE"))
+    stage = spark.createDataFrame([(1, "x", 2.0), (2, "y", 3.0)], "a INT, b STRING, c DOUBLE")
+    result = merge_load(target, stage, SPEC, NOW, small)
+    assert sorted((str(r["a"]), r["c"]) for r in result.current.collect()) == [("1", 2.0), ("2", 3.0), ("None", 1.0)]
+    assert result.history_delta.count() == 1
+
+
 def test_stage_columns_must_match(spark):
     with pytest.raises(ValueError, match="do not match"):
         merge_load(versioned(random_rows(spark, 1)), random_rows(spark, 2).drop("d"), SPEC, NOW)

@@ -97,15 +97,18 @@ def aligned_stage(target: DataFrame, stage: DataFrame, spec: TableSpec, change:
         *(F.col(c).cast(types[c]).alias(c) for c in columns),
         *([spec.row_hash] if spec.row_hash in stage.columns else []),
     )
-    for key in spec.keys:
-        typed = require(typed, F.col(key).isNotNull(), f"stage key {key} is NULL")
     hashed = change.with_hash(typed, STAGED_HASH)
     renamed = hashed.select(
         *(F.col(c).alias(STAGED + c) for c in columns), *([STAGED_HASH] if change.hashed else [])
     )
     keys = [STAGED + k for k in spec.keys]
     copies = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
-    unique = require(renamed.withColumn("_copy", copies), F.col("_copy") == 1, "stage holds one key twice")
+    known = F.lit(True)
+    for key in keys:
+        known = known & F.col(key).isNotNull()
+    # One condition for both: the NULL check alone would be carried over the join to the target.
+    message = F.when(known, F.lit("stage holds one key twice")).otherwise(F.lit("stage holds a key that is NULL"))
+    unique = require(renamed.withColumn("_copy", copies), (F.col("_copy") == 1) & known, message)
     return unique.drop("_copy").withColumn(_IN_STAGE, F.lit(True))
 
 

@@ -48,10 +48,10 @@ def publish_images(images: DataFrame, root: str) -> int:
     spark = images.sparkSession
     version = _next_version(spark, root)
     images.write.mode("overwrite").partitionBy("kind").parquet(f"{root}/v={version}/images")
-    schema = images.drop("kind").schema
+    nothing = images.drop("kind").where(F.lit(False))
     for kind in ("current", "history"):
         # A merge that replaced nothing still publishes an empty history.
-        spark.createDataFrame([], schema).write.mode("append").parquet(f"{root}/v={version}/images/kind={kind}")
+        nothing.write.mode("append").parquet(f"{root}/v={version}/images/kind={kind}")
     paths = {kind: f"v={version}/images/kind={kind}" for kind in ("current", "history")}
     return _make_visible(spark, root, version, paths)
 
