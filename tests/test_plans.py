@@ -5,10 +5,12 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.durable import settle
 from tidemark.functions.moments import moment, open_end
 from tidemark.operators import security as sec
 from tidemark.operators.load import run_load
 from tidemark.operators.merge import merge_load
+from tidemark.operators.orphans import route_orphans
 from tidemark.operators.temporal import TemporalTable
 from tidemark.operators.watermark import since
 from tidemark.sources.tables import read_table
@@ -100,3 +102,30 @@ def test_versioned_changes_do_not_shuffle(orders):
     table = table.update(F.col("o_orderstatus") == "F", {"o_totalprice": F.lit(0.0)}, "2021-01-01")
     table = table.delete(F.col("o_orderstatus") == "P", "2022-01-01")
     assert not exchanges(plan(table.all_versions()))
+
+
+def test_hot_values_of_a_shuffled_check_are_split(spark):
+    """With too many orphan values to broadcast, one value on half of all rows, and NULL on a quarter."""
+    number = F.col("id")
+    value = F.when(number % 2 == 0, 7).when(number % 4 == 1, F.lit(None)).otherwise(number)
+    stage = settle(spark.range(400_000).select(number, value.cast("bigint").alias("fk"), F.sha2(number.cast("string"), 256).alias("text")))
+    parents = spark.range(1000).select(number.alias("p"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1MB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, setting in settings.items():
+        spark.conf.set(name, setting)
+    try:
+        clean = route_orphans(stage, [ForeignKey("fk", parents, "p", "Parent")]).clean
+        assert len(clean.select("id", "text").collect()) == 300_000 + 250
+        clean = clean.select("id", "text", "fk")
+        clean.collect()
+        assert "skew=true" in clean._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, setting in before.items():
+            spark.conf.unset(name) if setting is None else spark.conf.set(name, setting)
