@@ -163,6 +163,8 @@ def test_replay_in_one_pass_equals_date_by_date(spark, monkeypatch, hashed, smal
                 current[key] = new
             left = [r for r in left if not (r["DWLoadDate"] == date and r["id"] in loaded)]
         assert {r["id"]: (r["parent_id"], r["name"]) for r in result.current.collect()} == current
+        for kind, df in (("current", result.current), ("history", result.history_delta)):
+            assert_same_rows(df, result.images.where(F.col("kind") == kind).drop("kind"))
         found = [(r["id"], r["parent_id"], r["name"]) for r in result.history_delta.collect()]
         assert sorted(found, key=str) == sorted(history, key=str)
         assert sorted(map(str, result.exceptions.select(*exceptions.columns).collect())) == sorted(map(str, left))
@@ -190,6 +192,30 @@ def test_replay_of_a_table_that_refers_to_itself(spark):
     assert [r["id"] for r in result.exceptions.collect()] == [3]
 
 
+def test_load_dates_an_hour_apart_that_look_alike(spark):
+    """Zoned load dates in the hour a clock is set back."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    exceptions = spark.createDataFrame([(1, "old", 1730007000), (1, "new", 1730010600)], "id INT, name STRING, s BIGINT")
+    exceptions = exceptions.select(
+        "id",
+        "name",
+        F.timestamp_seconds("s").alias("DWLoadDate"),
+        F.lit(1).cast("bigint").alias("ServerExecutionID"),
+        F.lit(0).alias("ErrorCode"),
+        F.lit(0).alias("ErrorColumn"),
+        F.lit("Orphan x").alias("ErrorDescription"),
+    )
+    target = versioned(exceptions.drop("ErrorCode", "ErrorColumn", "ErrorDescription").where(F.lit(False)))
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:
+        result = replay_exceptions(target, exceptions, TableSpec(keys=("id",)), 2, NOW)
+        assert [r["name"] for r in result.current.collect()] == ["new"]
+        assert [r["name"] for r in result.history_delta.collect()] == ["old"]
+        assert_empty(result.exceptions)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_replay_refuses_two_rows_of_one_key_and_date(spark):
     exceptions = _random_exceptions(spark, 1).where(F.col("id") == 1).limit(1)
     double = exceptions.unionByName(exceptions.withColumn("name", F.lit("other")))
@@ -221,8 +247,9 @@ def test_publish(spark, tmp_path):
     with pytest.raises(LookupError):
         published(spark, root, "w")
     merged = merge_load(versioned(random_rows(spark, 1)), random_rows(spark, 2), SPEC, NOW)
-    publish_images(merged.images, root)
+    publish_images(merged.images, root, {"exceptions": first})
     assert_same_rows(merged.current, published(spark, root, "current"))
+    assert_same_rows(first, published(spark, root, "exceptions"))
     assert_same_rows(merged.history_delta, published(spark, root, "history"))
     unchanged = merge_load(versioned(random_rows(spark, 1)), random_rows(spark, 1), SPEC, NOW)
     publish_images(unchanged.images, root)

@@ -5,16 +5,18 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.durable import settle
 from tidemark.functions.guards import require, true
-from tidemark.functions.moments import Moment, moment
+from tidemark.functions.moments import Moment
 from tidemark.operators.merge import (
     STAGED,
     STAGED_HASH,
     Change,
+    both_images,
     ended_image,
     merge_load,
     new_image,
@@ -32,9 +34,12 @@ _LAST = "_last_"
 
 @dataclass(frozen=True)
 class LoadResult:
+    """What a load leaves: ``images`` holds current and history rows together, as a merge's does."""
+
     current: DataFrame
     history_delta: DataFrame
     exceptions: DataFrame
+    images: DataFrame
 
 
 def run_load(
@@ -50,7 +55,7 @@ def run_load(
     small = fits_broadcast(stage)
     clean = settle(routed.clean, "stage") if small else routed.clean
     merged = merge_load(target, clean, spec, now, small)
-    return LoadResult(merged.current, merged.history_delta, routed.exceptions)
+    return LoadResult(merged.current, merged.history_delta, routed.exceptions, merged.images)
 
 
 def clear_resolved(exceptions: DataFrame, loaded: DataFrame, spec: TableSpec) -> DataFrame:
@@ -78,12 +83,10 @@ def replay_exceptions(
     if spec.execution_id in pending.columns:
         pending = pending.drop(spec.execution_id)
     # One value per load run, not per row.
+    date_type = pending.schema[spec.load_date].dataType
     dates = [
         row[0]
-        for row in pending.select(F.col(spec.load_date).cast("string").alias("date"))
-        .distinct()
-        .orderBy("date")
-        .collect()
+        for row in pending.select(_date_key(spec.load_date, date_type).alias("date")).distinct().orderBy("date").collect()
     ]
     if any(fk.parent is None for fk in spec.foreign_keys):
         return _replay_by_date(target, exceptions, pending, dates, spec, execution_id, now)
@@ -94,43 +97,54 @@ def replay_exceptions(
     changed = _changed_versions(target, survivors, spec, change)
 
     by_key = Window.partitionBy(*(STAGED + k for k in spec.keys)).orderBy("_at")
-    ordered = changed.withColumns(
-        {"_is_first": F.lag("_at").over(by_key).isNull(), "_until": F.lead("_at").over(by_key)}
-    )
+    ordered = changed.withColumns({"_from": F.first("_at").over(by_key), "_until": F.lead("_at").over(by_key)})
     small = fits_broadcast(survivors)
     if small:
         # As above: with its true size known it is broadcast to the target.
         ordered = settle(ordered, "replay")
     last = ordered.where(F.col("_until").isNull())
-    earlier = ordered.where(F.col("_until").isNotNull())
 
     on = same_key(spec)
     keys = [STAGED + k for k in spec.keys]
     images = new_image(target, spec, F.col("_at"))
-    newest = last.select(*keys, *(i.alias(_LAST + c) for c, i in zip(target.columns, images)), "_in_target")
-    update = F.col("_in_target").isNotNull()
-    either = [F.when(update, F.col(_LAST + c)).otherwise(F.col(c)).alias(c) for c in target.columns]
+    newest = last.select(*keys, *(i.alias(_LAST + c) for c, i in zip(target.columns, images)), "_in_target", "_from")
+    # The newest version of a key also tells since when the target's row is history.
+    either = [
+        F.when(F.col("_in_target").isNotNull(), F.col(_LAST + c)).otherwise(F.col(c)).alias(c) for c in target.columns
+    ]
+    ended = ended_image(target, spec, F.col("_from"))
+    joined = target.join(newest.where("_in_target") if small else newest, on, "left" if small else "full_outer")
+    both = both_images(target, joined, either, ended, true(F.col("_in_target")))
+    current = joined.select(*either)
     if small:
-        current = target.join(newest.where("_in_target"), on, "left").select(*either)
-        current = current.unionByName(last.where(~F.col("_in_target")).select(*images))
-    else:
-        current = target.join(newest, on, "full_outer").select(*either)
-
-    first = ordered.where(F.col("_is_first") & F.col("_in_target")).select(*keys, F.col("_at").alias("_replaced_at"))
-    replaced = target.join(first, on, "inner").select(*ended_image(target, spec, F.col("_replaced_at")))
-    superseded = earlier.select(*images, "_until").select(*ended_image(target, spec, F.col("_until")))
+        inserted = last.where(~F.col("_in_target")).select(*images)
+        current = current.unionByName(inserted)
+        both = both.unionByName(inserted.withColumn("kind", F.lit("current")))
+    superseded = ordered.where(F.col("_until").isNotNull()).select(*images, "_until")
+    superseded = superseded.select(*ended_image(target, spec, F.col("_until")))
+    history = target.join(newest.where("_in_target"), on, "inner").select(*ended).unionByName(superseded)
+    both = both.unionByName(superseded.withColumn("kind", F.lit("history")))
     loaded = survivors.select(*(F.col(STAGED + k).alias(k) for k in spec.keys), spec.load_date)
-    return LoadResult(current, replaced.unionByName(superseded), clear_resolved(exceptions, loaded, spec))
+    return LoadResult(current, history, clear_resolved(exceptions, loaded, spec), both)
 
 
 def _bound(foreign_keys: tuple[ForeignKey, ...], target: DataFrame) -> list[ForeignKey]:
     return [fk if fk.parent is not None else replace(fk, parent=target) for fk in foreign_keys]
 
 
+def _date_key(column: str, data_type: T.DataType) -> Column:
+    """A load date as a value that survives the driver: as text two instants of a zone could look alike."""
+    return F.unix_micros(column) if isinstance(data_type, T.TimestampType) else F.col(column).cast("string")
+
+
+def _date_value(key: Column, data_type: T.DataType) -> Column:
+    return F.timestamp_micros(key) if isinstance(data_type, T.TimestampType) else key.cast(data_type)
+
+
 def _versions(
     target: DataFrame,
     rows: DataFrame,
-    dates: list[str],
+    dates: list[str] | list[int],
     spec: TableSpec,
     change: Change,
     execution_id: int,
@@ -140,8 +154,8 @@ def _versions(
     date_type = rows.schema[spec.load_date].dataType
     times = rows.sparkSession.createDataFrame(
         [(d, (now + dt.timedelta(microseconds=i)).isoformat(sep=" ")) for i, d in enumerate(dates)],
-        "date STRING, at STRING",
-    ).select(F.col("date").cast(date_type).alias(spec.load_date), F.col("at").cast("timestamp_ntz").alias("_at"))
+        f"date {'BIGINT' if isinstance(date_type, T.TimestampType) else 'STRING'}, at STRING",
+    ).select(_date_value(F.col("date"), date_type).alias(spec.load_date), F.col("at").cast("timestamp_ntz").alias("_at"))
     columns = spec.source_columns(target.columns)
     types = {f.name: f.dataType for f in target.schema.fields}
     values = {spec.execution_id: F.lit(execution_id), spec.load_date: F.col("_at")}
@@ -185,7 +199,7 @@ def _replay_by_date(
     target: DataFrame,
     exceptions: DataFrame,
     pending: DataFrame,
-    dates: list[str],
+    dates: list[str] | list[int],
     spec: TableSpec,
     execution_id: int,
     now: dt.datetime,
@@ -194,7 +208,7 @@ def _replay_by_date(
     history = target.limit(0)
     for number, date in enumerate(dates):
         at = now + dt.timedelta(microseconds=number)
-        due = pending.where(F.col(spec.load_date) == moment(date, pending.schema[spec.load_date].dataType))
+        due = pending.where(F.col(spec.load_date) == _date_value(F.lit(date), pending.schema[spec.load_date].dataType))
         due = due.distinct()
         clean = settle(
             route_orphans(due, _bound(spec.foreign_keys, current), emit=False, row_hash=spec.row_hash).clean,
@@ -206,4 +220,5 @@ def _replay_by_date(
         history = history.unionByName(settle(merged.history_delta, "replay"))
         current = settle(merged.current, "replay")
         left = clear_resolved(left, clean, spec)
-    return LoadResult(current, history, left)
+    images = current.withColumn("kind", F.lit("current")).unionByName(history.withColumn("kind", F.lit("history")))
+    return LoadResult(current, history, left, images)

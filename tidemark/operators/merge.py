@@ -144,7 +144,7 @@ def ended_image(target: DataFrame, spec: TableSpec, end: Column) -> list[Column]
     return [end.cast(types[c]).alias(c) if c == spec.end else F.col(c) for c in target.columns]
 
 
-def _both_images(target: DataFrame, joined: DataFrame, current: list[Column], ended: list[Column], replaced: Column) -> DataFrame:
+def both_images(target: DataFrame, joined: DataFrame, current: list[Column], ended: list[Column], replaced: Column) -> DataFrame:
     """Each joined row as its current image, and once more as its old one where it was replaced."""
     kinds = F.when(replaced, F.array(F.lit("current"), F.lit("history"))).otherwise(F.array(F.lit("current")))
     doubled = joined.withColumn("kind", F.explode(kinds))
@@ -190,7 +190,7 @@ def merge_load(
         found = target.select(*spec.keys).join(staged.select(*staged_keys), on, "left_semi")
         inserted = staged.join(found, on, "left_anti").select(*new_image(target, spec, at))
         current = joined.select(*taken).unionByName(inserted)
-        images = _both_images(target, joined, taken, ended_image(target, spec, at), replaced).unionByName(
+        images = both_images(target, joined, taken, ended_image(target, spec, at), replaced).unionByName(
             inserted.withColumn("kind", F.lit("current"))
         )
     else:
@@ -199,7 +199,7 @@ def merge_load(
         replaced = in_stage & in_target & differs
         taken = _either_image(target, spec, at, in_stage & (~in_target | differs))
         current = joined.select(*taken)
-        images = _both_images(target, joined, taken, ended_image(target, spec, at), replaced)
+        images = both_images(target, joined, taken, ended_image(target, spec, at), replaced)
 
     compared = dict.fromkeys([*staged_keys, *change.columns(STAGED, STAGED_HASH)])
     history = old.join(staged.select(*compared), on, "inner").where(differs)

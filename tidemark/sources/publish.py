@@ -43,8 +43,11 @@ def publish(outputs: Mapping[str, DataFrame], root: str) -> int:
     return _make_visible(spark, root, version, paths)
 
 
-def publish_images(images: DataFrame, root: str) -> int:
-    """Write a merge's current rows and its history delta from one pass over the join."""
+def publish_images(images: DataFrame, root: str, others: Mapping[str, DataFrame] | None = None) -> int:
+    """Write a load's current rows and its history delta from one pass over the join.
+
+    ``others``, such as the load's exceptions, become visible together with them.
+    """
     spark = images.sparkSession
     version = _next_version(spark, root)
     images.write.mode("overwrite").partitionBy("kind").parquet(f"{root}/v={version}/images")
@@ -53,6 +56,9 @@ def publish_images(images: DataFrame, root: str) -> int:
         # A merge that replaced nothing still publishes an empty history.
         nothing.write.mode("append").parquet(f"{root}/v={version}/images/kind={kind}")
     paths = {kind: f"v={version}/images/kind={kind}" for kind in ("current", "history")}
+    for name, df in (others or {}).items():
+        paths[name] = f"v={version}/{name}"
+        df.write.mode("overwrite").parquet(f"{root}/{paths[name]}")
     return _make_visible(spark, root, version, paths)
 
 
