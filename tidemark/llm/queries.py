@@ -3,17 +3,57 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import packing
+from tidemark.llm import bpe, packing, simhash, token_counts, topk
 from tidemark.sources.tables import read_table
 
 
+def op2_topk(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read_table(spark, folder, "embeddings")
+    return topk.top_k(vectors.where(F.col("vec_id") % 50 == 0), vectors, k=5, scale=256)
+
+
+def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.round_trip(read_table(spark, folder, "documents"))
+
+
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(read_table(spark, folder, "documents"))
+
+
+def op9_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, folder, "documents"))
+
+
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read_table(spark, folder, "documents"))
 
 
 QUERIES = {
+    "op2_topk": op2_topk,
+    "op7_bpe": op7_bpe,
+    "op8_token_counts": op8_token_counts,
+    "op9_simhash_dedup": op9_simhash_dedup,
     "op10_packing": op10_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_OP2_SQL = """
+WITH whole AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM whole q JOIN whole c ON q.vec_id <> c.vec_id
+    WHERE q.vec_id % 50 = 0
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_topk": _OP2_SQL}
