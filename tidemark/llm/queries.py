@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, packing, simhash, token_counts, topk
+from tidemark.llm import bpe, fingerprints, packing, redirects, simhash, token_counts, topk
 from tidemark.sources.tables import read_table
 
 
@@ -14,6 +14,23 @@ def op2_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(vectors.where(F.col("vec_id") % 50 == 0), vectors, k=5, scale=256)
 
 
+def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprints_and_edits(read_table(spark, folder, "documents"))
+
+
+#: The rules that the query is asked to judge by.
+RULES = (
+    redirects.Rule("block", "net", "/"),
+    redirects.Rule("allow", "example.net", "/en/"),
+    redirects.Rule("block", "example.com", "/de/"),
+    redirects.Rule("allow", "org", "/fr/"),
+)
+
+
+def op5_redirects(spark: SparkSession, folder: str) -> DataFrame:
+    return redirects.judge(read_table(spark, folder, "pages"), RULES)
+
+
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, folder, "documents"))
 
@@ -32,6 +49,8 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op2_topk": op2_topk,
+    "op3_fingerprints": op3_fingerprints,
+    "op5_redirects": op5_redirects,
     "op7_bpe": op7_bpe,
     "op8_token_counts": op8_token_counts,
     "op9_simhash_dedup": op9_simhash_dedup,
@@ -56,4 +75,67 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_topk": _OP2_SQL}
+# The same reading of urls, tags and rules; aliases are followed by a recursive query.
+_OP5_SQL = r"""
+WITH RECURSIVE tags AS (
+    SELECT url, unnest(list_concat(
+        list_transform(regexp_extract_all(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'),
+            lambda tag: regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)),
+        list_transform(regexp_extract_all(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'),
+            lambda tag: regexp_extract(tag, '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1)))) AS raw
+    FROM pages
+),
+targets AS (
+    SELECT url, CASE
+        WHEN contains(target, '://') THEN target
+        WHEN starts_with(target, '//') THEN regexp_extract(url, '^([^:/?#]*)://', 1) || ':' || target
+        WHEN starts_with(target, '/') THEN regexp_extract(url, '^[^:/?#]*://[^/?#]*') || target
+        ELSE regexp_extract(url, '^[^:/?#]*://[^/?#]*')
+             || coalesce(nullif(regexp_extract(url, '^[^:/?#]*://[^/?#]*(/(?:[^?#]*/)?)', 1), ''), '/') || target
+        END AS target
+    FROM (SELECT url, replace(trim(raw), '&amp;', '&') AS target FROM tags) WHERE target <> ''
+),
+urls AS (SELECT url FROM pages UNION SELECT url FROM targets UNION SELECT target FROM targets),
+parsed AS (
+    SELECT url,
+        translate(coalesce(regexp_extract(substr(url, position('://' IN url) + 3), '^[^/?#]*'), ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(substr(url, position('://' IN url) + 3), '^[^/?#]*(/[^?#]*)?', 1) AS path,
+        regexp_extract(url, '^[^?#]*(\?[^#]*)?', 1) AS query
+    FROM urls WHERE contains(url, '://')
+),
+rules(verdict, rule, host, path) AS (
+    VALUES ('block', 'net/', 'net', '/'), ('allow', 'example.net/en/', 'example.net', '/en/'),
+        ('block', 'example.com/de/', 'example.com', '/de/'), ('allow', 'org/fr/', 'org', '/fr/')
+),
+ruled AS (
+    SELECT p.url, p.host, p.path,
+        CASE WHEN p.host <> '' THEN p.host || CASE p.path WHEN '' THEN '/' ELSE p.path END || p.query END AS address,
+        (SELECT arg_max(r.rule, length(r.rule)) FROM rules r
+         WHERE (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)) AS rule,
+        (SELECT arg_max(r.verdict, length(r.rule)) FROM rules r
+         WHERE (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)) AS own
+    FROM parsed p
+),
+edges AS (
+    SELECT a.address AS a, b.address AS b
+    FROM targets t JOIN ruled a ON a.url = t.url JOIN ruled b ON b.url = t.target
+    WHERE a.address <> b.address
+),
+both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+reach(node, other) AS (
+    SELECT a, a FROM both_ways
+    UNION
+    SELECT r.node, e.b FROM reach r JOIN both_ways e ON e.a = r.other
+),
+decided AS (
+    SELECT node, min(other) AS component, bool_or(d.own = 'allow') AS allowed, bool_or(d.own = 'block') AS blocked
+    FROM reach JOIN ruled d ON d.address = reach.other GROUP BY node
+)
+SELECT p.page_id, coalesce(u.host, '') AS host, coalesce(u.path, '') AS path, u.rule,
+    coalesce(u.own, CASE WHEN d.allowed THEN 'allow' WHEN d.blocked THEN 'block' ELSE 'allow' END) AS verdict,
+    d.component
+FROM pages p LEFT JOIN ruled u ON u.url = p.url LEFT JOIN decided d ON d.node = u.address
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_topk": _OP2_SQL, "op5_redirects": _OP5_SQL}
