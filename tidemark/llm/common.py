@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +40,32 @@ def only(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*(F.col(f"`{old}`").alias(new) for new, old in columns.items()))
 
 
+def annotate(
+    df: DataFrame, text: str, added: Sequence[str], make: Callable[[pa.Array], Sequence[pa.Array]]
+) -> DataFrame:
+    """All columns of ``df`` as c0, c1, ... and what ``make`` finds in the texts as a0, a1, ...
+
+    Rows stay where they are and keep all they have, whatever their columns are called. ``added``
+    are the types of the new columns.
+    """
+    at = df.columns.index(text)
+    names = [f"c{i}" for i in range(len(df.columns))] + [f"a{i}" for i in range(len(added))]
+    kinds = [f.dataType.simpleString() for f in df.schema.fields] + list(added)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for cut in slices(batch, at):
+                yield pa.RecordBatch.from_arrays([*cut.columns, *make(texts(cut.column(at)))], names)
+
+    schema = ", ".join(f"{n} {k}" for n, k in zip(names, kinds, strict=True))
+    return df.toDF(*names[: len(df.columns)]).mapInArrow(run, schema)
+
+
+def restored(annotated: DataFrame, like: DataFrame) -> DataFrame:
+    """The original columns of an annotated DataFrame, under their own names."""
+    return annotated.select(*(f"c{i}" for i in range(len(like.columns)))).toDF(*like.columns)
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The positions starts[i], starts[i]+1, ... of ``lengths[i]`` places each, one after the other."""
     total = int(lengths.sum())

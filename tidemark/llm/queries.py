@@ -5,10 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, fingerprints, packing, redirects, simhash, token_counts, topk
+from tidemark.llm import (
+    bpe,
+    fingerprints,
+    langid,
+    packing,
+    quality,
+    redirects,
+    simhash,
+    token_counts,
+    topk,
+    training_order,
+)
 from tidemark.sources.tables import read_table
 
 
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
 def op2_topk(spark: SparkSession, folder: str) -> DataFrame:
     vectors = read_table(spark, folder, "embeddings")
     return topk.top_k(vectors.where(F.col("vec_id") % 50 == 0), vectors, k=5, scale=256)
@@ -18,6 +33,10 @@ def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprints_and_edits(read_table(spark, folder, "documents"))
 
 
+def op4_langid(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identify(read_table(spark, folder, "documents"))
+
+
 #: The rules that the query is asked to judge by.
 RULES = (
     redirects.Rule("block", "net", "/"),
@@ -31,6 +50,10 @@ def op5_redirects(spark: SparkSession, folder: str) -> DataFrame:
     return redirects.judge(read_table(spark, folder, "pages"), RULES)
 
 
+def op6_training_order(spark: SparkSession, folder: str) -> DataFrame:
+    return training_order.materialise(read_table(spark, folder, "documents"))
+
+
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, folder, "documents"))
 
@@ -48,9 +71,12 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_topk": op2_topk,
     "op3_fingerprints": op3_fingerprints,
+    "op4_langid": op4_langid,
     "op5_redirects": op5_redirects,
+    "op6_training_order": op6_training_order,
     "op7_bpe": op7_bpe,
     "op8_token_counts": op8_token_counts,
     "op9_simhash_dedup": op9_simhash_dedup,

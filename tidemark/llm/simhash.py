@@ -282,3 +282,37 @@ def near_duplicates(
     """(key, fingerprint, component_id) of all documents."""
     found = near_groups(fingerprints(docs, key, text, shingle), key, ["w0"], radius)
     return found.select(key, F.lpad(F.lower(F.hex("w0")), 16, "0").alias("fingerprint"), "component_id")
+
+
+# Wide fingerprints for near copies that differ in more than a few shingles
+
+#: Documents whose shingle counts have a ratio of 0.8 or more lie in one class of this base or in
+#: neighbouring ones; others cannot be so similar.
+RATIO = 1.25
+WIDE_WORDS = 4
+WIDE_SHINGLE = 5
+#: Bits of 256: a likeness of 0.8. Texts that share 0.8 of their shingles differ in 39 of them, give
+#: or take 6; texts that share none in 128, give or take 8.
+WIDE_RADIUS = 51
+
+
+def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Whole rows of ``docs``, one of each group of near copies: that with the smallest key.
+
+    Groups are the components of links between fingerprints of 256 bits over five-word shingles
+    with a likeness of 0.8 or more. Rows that repeat key and text are copies too.
+    """
+    identity = F.struct(F.col(f"`{key}`").alias("key"), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("hash"))
+    marked = docs.select(identity.alias("id"), F.col(f"`{text}`").alias("text"))
+    words = [f"w{i}" for i in range(WIDE_WORDS)]
+    prints = fingerprints(marked, "id", "text", WIDE_SHINGLE, WIDE_WORDS)
+    size = F.when(F.col("n_shingles") == 0, -9).otherwise(F.floor(F.log(F.col("n_shingles")) / F.lit(np.log(RATIO))))
+    found = near_groups(prints, "id", words, WIDE_RADIUS, size, [0, 1])
+    kept = settle(found.select(F.col("component_id").alias("id")).distinct(), "kept")
+    kept = kept.select(F.col("id.key").alias("kept_key"), F.col("id.hash").alias("kept_hash"))
+    renamed = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    k, t = (F.col(f"c{docs.columns.index(name)}") for name in (key, text))
+    hashed = renamed.withColumns({"own_key": k, "own_hash": F.xxhash64(F.coalesce(t, F.lit("")))})
+    same = F.col("own_key").eqNullSafe(F.col("kept_key")) & (F.col("own_hash") == F.col("kept_hash"))
+    staying = hashed.join(kept, same, "left_semi").dropDuplicates(["own_key", "own_hash"])
+    return staying.drop("own_key", "own_hash").toDF(*docs.columns)
