@@ -35,6 +35,9 @@ SEED = 42
 TILE = 4096
 _LANES = np.uint64(0x0001000100010001)
 _FULL = 65_535
+#: (words, radius), ascending: two fingerprints are linked if, for each of these, they differ in no
+#: more than ``radius`` bits of the first ``words`` words.
+Limits = list[tuple[int, int]]
 
 
 def shingle_hashes(text: str, size: int) -> list[int]:
@@ -182,45 +185,48 @@ def tiles(nodes: DataFrame, words: list[str]) -> DataFrame:
     return placed.mapInArrow(run, "tile bigint, key bigint, nodes binary, bits binary")
 
 
-def forest(a: np.ndarray, b: np.ndarray, radius: int, same: bool) -> np.ndarray:
+def near_pairs(rows: np.ndarray, b: np.ndarray, limits: Limits) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of rows of two blocks (words x rows) within every limit."""
+    words, radius = limits[0]
+    near = np.bitwise_count(rows[0][:, None] ^ b[0][None, :])
+    if words > 1:
+        near = near.astype(np.uint8 if words < 4 else np.uint16)
+    for w in range(1, words):
+        near += np.bitwise_count(rows[w][:, None] ^ b[w][None, :])
+    r, c = np.nonzero(near <= radius)
+    distance = near[r, c].astype(np.int64)
+    for more, radius in limits[1:]:
+        for w in range(words, more):
+            distance += np.bitwise_count(rows[w][r] ^ b[w][c])
+        on = distance <= radius
+        r, c, distance, words = r[on], c[on], distance[on], more
+    return r, c
+
+
+def forest(a: np.ndarray, b: np.ndarray, limits: Limits, same: bool) -> np.ndarray:
     """Labels of the rows of a and then b (words x rows): the smallest row each is linked to."""
     na, nb = a.shape[1], b.shape[1]
     label = np.arange(na + (0 if same else nb))
     block = max(1, (1 << 18) // max(1, nb))
     for begin in range(0, na, block):
-        rows = a[:, begin : begin + block]
-        if len(a) == 1:
-            r, c = np.nonzero(np.bitwise_count(rows[0][:, None] ^ b[0][None, :]) <= radius)
-        else:
-            r, c = _wide(rows, b, radius)
+        r, c = near_pairs(a[:, begin : begin + block], b, limits)
         r += begin
         if same:
             later = c > r
             r, c = r[later], c[later]
         else:
             c = c + na
+        if not len(r):
+            continue
         cuts = np.flatnonzero(np.diff(r)) + 1
-        for row, found in zip(r[np.r_[0, cuts]] if len(r) else [], np.split(c, cuts), strict=False):
+        for row, found in zip(r[np.r_[0, cuts]], np.split(c, cuts), strict=True):
             met = np.unique(np.append(label[found], label[row]))
             if len(met) > 1:
                 label[np.isin(label, met[1:])] = met[0]
     return label
 
 
-def _wide(rows: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs within the radius over several words: half of the words rule nearly all others out."""
-    half = len(b) // 2
-    near = np.zeros((rows.shape[1], b.shape[1]), np.uint16)
-    for w in range(half):
-        near += np.bitwise_count(rows[w][:, None] ^ b[w][None, :])
-    r, c = np.nonzero(near <= radius)
-    rest = near[r, c].astype(np.int64)
-    for w in range(half, len(b)):
-        rest += np.bitwise_count(rows[w][r] ^ b[w][c])
-    return r[rest <= radius], c[rest <= radius]
-
-
-def links(nodes: DataFrame, words: list[str], radius: int, steps: list[int]) -> DataFrame:
+def links(nodes: DataFrame, words: list[str], limits: Limits, steps: list[int]) -> DataFrame:
     """A spanning forest (a, b) of the links of each tile pair whose keys differ by one of ``steps``."""
     width = len(words)
     held = settle(tiles(nodes, words), "tiles")
@@ -238,7 +244,7 @@ def links(nodes: DataFrame, words: list[str], radius: int, steps: list[int]) ->
                 one, other = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
                 a_nodes, b_nodes = (np.frombuffer(batch.column(i)[row].as_py(), np.int64) for i in (2, 4))
                 a, b = (np.frombuffer(batch.column(i)[row].as_py(), np.uint64).reshape(width, -1) for i in (3, 5))
-                label = forest(a, b, radius, one == other)
+                label = forest(a, b, limits, one == other)
                 node = a_nodes if one == other else np.concatenate([a_nodes, b_nodes])
                 child = np.flatnonzero(label != np.arange(len(label)))
                 if len(child):
@@ -253,9 +259,9 @@ def spread_over(spark: SparkSession) -> int:
 
 
 def near_groups(
-    prints: DataFrame, key: str, words: list[str], radius: int, bucket: Column | None = None, steps: list[int] | None = None
+    prints: DataFrame, key: str, words: list[str], limits: Limits, bucket: Column | None = None, steps: list[int] | None = None
 ) -> DataFrame:
-    """``prints`` with ``component_id``: the smallest key reachable over links within the radius.
+    """``prints`` with ``component_id``: the smallest key reachable over links within the limits.
 
     With ``bucket`` and ``steps``, tiles are made by that number and meet at those differences, for
     radii too wide for population counts to part anything.
@@ -266,10 +272,10 @@ def near_groups(
     distinct = settle(distinct.withColumn("node", F.monotonically_increasing_id()), "nodes")
     if bucket is None:
         parts = parts_for(distinct.count())
-        keyed, steps = distinct.withColumn("key", count_key(words[0], parts)), _steps(parts, radius)
+        keyed, steps = distinct.withColumn("key", count_key(words[0], parts)), _steps(parts, limits[0][1])
     else:
         keyed = distinct.withColumn("key", F.col("bucket"))
-    member = components(links(keyed, words, radius, steps or [0]))
+    member = components(links(keyed, words, limits, steps or [0]))
     named = distinct.join(member, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     of_print = named.join(least, "component").select(*words, "bucket", "component_id")
@@ -280,7 +286,7 @@ def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 2
 ) -> DataFrame:
     """(key, fingerprint, component_id) of all documents."""
-    found = near_groups(fingerprints(docs, key, text, shingle), key, ["w0"], radius)
+    found = near_groups(fingerprints(docs, key, text, shingle), key, ["w0"], [(1, radius)])
     return found.select(key, F.lpad(F.lower(F.hex("w0")), 16, "0").alias("fingerprint"), "component_id")
 
 
@@ -289,25 +295,27 @@ def near_duplicates(
 #: Documents whose shingle counts have a ratio of 0.8 or more lie in one class of this base or in
 #: neighbouring ones; others cannot be so similar.
 RATIO = 1.25
-WIDE_WORDS = 4
 WIDE_SHINGLE = 5
-#: Bits of 256: a likeness of 0.8. Texts that share 0.8 of their shingles differ in 39 of them, give
-#: or take 6; texts that share none in 128, give or take 8.
-WIDE_RADIUS = 51
+WIDE_WORDS = 16
+#: Texts that share 0.8 of their five-word shingles (Jaccard) have an angle of 27.3 degrees, so they
+#: differ in 155 of 1,024 bits, give or take 11; at 0.85 in 133 and at 0.75 in 176. Texts that
+#: share none differ in 512. The first 128 bits rule most of these out: there 0.8 means 19, give
+#: or take 4, and none means 64.
+WIDE_LIMITS: Limits = [(2, 40), (WIDE_WORDS, 165)]
 
 
 def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Whole rows of ``docs``, one of each group of near copies: that with the smallest key.
 
-    Groups are the components of links between fingerprints of 256 bits over five-word shingles
-    with a likeness of 0.8 or more. Rows that repeat key and text are copies too.
+    Groups are the components of links between fingerprints of 1,024 bits over five-word shingles
+    that speak for a similarity of 0.8 or more. Rows that repeat key and text are copies too.
     """
     identity = F.struct(F.col(f"`{key}`").alias("key"), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("hash"))
     marked = docs.select(identity.alias("id"), F.col(f"`{text}`").alias("text"))
     words = [f"w{i}" for i in range(WIDE_WORDS)]
     prints = fingerprints(marked, "id", "text", WIDE_SHINGLE, WIDE_WORDS)
     size = F.when(F.col("n_shingles") == 0, -9).otherwise(F.floor(F.log(F.col("n_shingles")) / F.lit(np.log(RATIO))))
-    found = near_groups(prints, "id", words, WIDE_RADIUS, size, [0, 1])
+    found = near_groups(prints, "id", words, WIDE_LIMITS, size, [0, 1])
     kept = settle(found.select(F.col("component_id").alias("id")).distinct(), "kept")
     kept = kept.select(F.col("id.key").alias("kept_key"), F.col("id.hash").alias("kept_hash"))
     renamed = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
