@@ -3,14 +3,16 @@
 Two zstandard dictionaries are built, one from texts labelled good and one from texts labelled bad.
 A text is cut into windows; each is compressed with either dictionary, and the difference of the
 two sizes over their sum tells which labelled text it resembles. A text's features are the mean
-of that over its windows and its extremes, and how far its windows shrink at all, for text that
-only repeats itself shrinks with either dictionary; a logistic curve fitted to labelled rows turns
+of that over its windows and its extremes, and how far its windows shrink without a dictionary, as
+text that only repeats itself resembles neither; a logistic curve fitted to labelled rows turns
 them into a score between 0 and 1.
 
-Learning takes a bounded sample: dictionaries are built from at most ``dictionary_rows`` texts of
-each label and the curve from at most ``curve_rows`` of each, none of them in both; a text gives
-at most ``sample_chars`` characters to a dictionary and 16 times as many to the curve. The sample is drawn by hash, so it does not
-depend on how rows are dealt out. Scoring covers every window of every text.
+Learning takes a bounded sample: at most ``sample_rows`` texts of each label, of which
+``dictionary_rows`` go into a dictionary; a text gives at most ``sample_chars`` characters to a
+dictionary and 16 times as many to the curve. The curve is fitted to features of texts that the
+dictionaries have not seen: the sample is cut into folds, and each fold is compressed with
+dictionaries built from the others. The sample is drawn by hash, so it does not depend on how rows
+are dealt out. Scoring covers every window of every text.
 
 Null texts are read as empty; empty texts have the features of a window of no difference. Labels
 that are null or neither 0 nor 1 teach nothing, and a key with labels of both kinds teaches both.
@@ -34,8 +36,9 @@ from tidemark.llm.shipping import ship
 
 WINDOW = 2048
 LEVEL = 3
-DICTIONARY_ROWS = 600
-CURVE_ROWS = 1500
+SAMPLE_ROWS = 2000
+DICTIONARY_ROWS = 1000
+FOLDS = 4
 SAMPLE_CHARS = 4000
 DICTIONARY_BYTES = 110_000
 FEATURES = 5
@@ -58,30 +61,29 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(x @ self.weights[1:] + self.weights[0], -40, 40)))
 
 
-_COMPRESSORS: dict[str, tuple[zstandard.ZstdCompressor, zstandard.ZstdCompressor]] = {}
+_COMPRESSORS: dict[str, list[zstandard.ZstdCompressor]] = {}
+_PLAIN: dict = {"level": LEVEL, "write_content_size": False, "write_dict_id": False, "write_checksum": False}
+#: Bytes of a frame around what is compressed.
+_FRAME = 9
 
 
-def _compressors(model: Model) -> tuple[zstandard.ZstdCompressor, zstandard.ZstdCompressor]:
-    """Digested dictionaries, kept for the life of a worker process."""
+def _compressors(model: Model) -> list[zstandard.ZstdCompressor]:
+    """With the good dictionary, the bad one and none; digested once in the life of a worker process."""
     if model.name not in _COMPRESSORS:
         made = []
         for data in (model.good, model.bad):
             held = zstandard.ZstdCompressionDict(data)
             held.precompute_compress(level=LEVEL)
-            made.append(
-                zstandard.ZstdCompressor(
-                    level=LEVEL, dict_data=held, write_content_size=False, write_dict_id=False, write_checksum=False
-                )
-            )
+            made.append(zstandard.ZstdCompressor(dict_data=held, **_PLAIN))
         _COMPRESSORS.clear()
-        _COMPRESSORS[model.name] = (made[0], made[1])
+        _COMPRESSORS[model.name] = [*made, zstandard.ZstdCompressor(**_PLAIN)]
     return _COMPRESSORS[model.name]
 
 
 def features(model: Model, column: list[str]) -> np.ndarray:
     """Of each text's windows: mean, smallest and largest normalised difference of the two sizes;
-    mean and smallest logarithm of the smaller size over the plain one."""
-    good, bad = (c.compress for c in _compressors(model))
+    mean and smallest logarithm of the size without dictionary over that of the text."""
+    good, bad, plain = (c.compress for c in _compressors(model))
     out = np.zeros((len(column), FEATURES))
     for i, text in enumerate(column):
         data = text.encode("utf-8", "replace")
@@ -94,7 +96,7 @@ def features(model: Model, column: list[str]) -> np.ndarray:
             window = data[a:b]
             g, d = len(good(window)), len(bad(window))
             sizes.append((d - g) / (d + g))
-            shrunk.append(log(min(g, d) / (b - a)))
+            shrunk.append(log(max(1, len(plain(window)) - _FRAME) / (b - a)))
         out[i] = sum(sizes) / count, min(sizes), max(sizes), sum(shrunk) / count, min(shrunk)
     return out
 
@@ -130,17 +132,16 @@ def fit(
     key: str = "doc_id",
     text: str = "text",
     label: str = "quality",
+    sample_rows: int = SAMPLE_ROWS,
     dictionary_rows: int = DICTIONARY_ROWS,
-    curve_rows: int = CURVE_ROWS,
     sample_chars: int = SAMPLE_CHARS,
 ) -> Model:
     """A model from labelled rows; pass only rows that may be learned from."""
     marked = only(labels, key=key, label=label).where("label IN (0, 1)").distinct()
-    most = dictionary_rows + curve_rows
     counts = {r["label"]: r["n"] for r in marked.groupBy("label").agg(F.count("*").alias("n")).collect()}
     # Somewhat more keys than wanted, as not every one need have a document.
     parts = [
-        marked.where(F.col("label") == value).orderBy(F.xxhash64("key"), "key").limit(2 * most) for value in (0, 1)
+        marked.where(F.col("label") == value).orderBy(F.xxhash64("key"), "key").limit(2 * sample_rows) for value in (0, 1)
     ]
     keys = parts[0].union(parts[1]).collect()  # bounded by the parameters
     wanted = docs.sparkSession.createDataFrame(keys, marked.schema)
@@ -153,24 +154,30 @@ def fit(
     for value in (0, 1):
         mine = rows.where(F.col("label") == value)
         cut = mine.select("draw", F.left(F.col("text"), F.lit(16 * sample_chars)).alias("text"))
-        drawn[value] = [r["text"] for r in cut.orderBy("draw", "text").limit(most).collect()]
-    # With few rows, a third of them make the dictionaries.
-    used = {v: min(dictionary_rows, max(1, len(drawn[v]) // 3)) for v in drawn}
-    model = Model(*(_dictionary([t[:sample_chars] for t in drawn[v][: used[v]]], DICTIONARY_BYTES) for v in (1, 0)))
-    learned = {v: drawn[v][used[v] :] for v in drawn}
-    if not learned[0] or not learned[1]:
+        drawn[value] = [r["text"] for r in cut.orderBy("draw", "text").limit(sample_rows).collect()]
+
+    def dictionaries(samples: dict[int, list[str]]) -> Model:
+        return Model(*(_dictionary([t[:sample_chars] for t in samples[v][:dictionary_rows]], DICTIONARY_BYTES) for v in (1, 0)))
+
+    model = dictionaries(drawn)
+    if min(map(len, drawn.values())) < 2:
         seen = sum(counts.values())
         share = counts.get(1, 0) / seen if seen else 0.5
         constant = np.append(np.log((share + 1e-9) / (1 - share + 1e-9)), np.zeros(FEATURES))
         return Model(model.good, model.bad, weights=constant)
-    x = features(model, learned[1] + learned[0])
-    y = np.repeat([1.0, 0.0], [len(learned[1]), len(learned[0])])
+    folds = min(FOLDS, *map(len, drawn.values()))
+    parts_x, parts_y = [], []
+    for fold in range(folds):
+        others = dictionaries({v: [t for i, t in enumerate(drawn[v]) if i % folds != fold] for v in drawn})
+        for value in (1, 0):
+            mine = drawn[value][fold::folds]
+            parts_x.append(features(others, mine))
+            parts_y.append(np.full(len(mine), float(value)))
+    x, y = np.concatenate(parts_x), np.concatenate(parts_y)
     # Rows stand for all labelled rows of their kind, so that the score is a probability.
     total = counts[0] + counts[1]
-    weight = np.repeat(
-        [counts[1] / total * len(y) / len(learned[1]), counts[0] / total * len(y) / len(learned[0])],
-        [len(learned[1]), len(learned[0])],
-    )
+    each = {v: counts[v] / total * len(y) / len(drawn[v]) for v in drawn}
+    weight = np.where(y == 1, each[1], each[0])
     mean, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)
     return Model(model.good, model.bad, mean, scale, _logistic((x - mean) / scale, y, weight))
 
