@@ -41,7 +41,11 @@ def only(df: DataFrame, **columns: str) -> DataFrame:
 
 
 def annotate(
-    df: DataFrame, text: str, added: Sequence[str], make: Callable[[pa.Array], Sequence[pa.Array]]
+    df: DataFrame,
+    text: str,
+    added: Sequence[str],
+    make: Callable[[pa.Array], Sequence[pa.Array]],
+    limit: int = SLICE_BYTES,
 ) -> DataFrame:
     """All columns of ``df`` as c0, c1, ... and what ``make`` finds in the texts as a0, a1, ...
 
@@ -54,7 +58,7 @@ def annotate(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for cut in slices(batch, at):
+            for cut in slices(batch, at, limit):
                 yield pa.RecordBatch.from_arrays([*cut.columns, *make(texts(cut.column(at)))], names)
 
     schema = ", ".join(f"{n} {k}" for n, k in zip(names, kinds, strict=True))

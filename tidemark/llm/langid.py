@@ -34,6 +34,8 @@ from tidemark.llm.shipping import ship
 from tidemark.llm.vocabulary import byte_trie, byte_vocabulary, default_path
 
 STRETCH = 64
+#: Texts worked on at once: each byte of a distinct word has several matches, and each match its numbers.
+SLICE = 2 << 20
 EVIDENCE = 8
 SMOOTHING = 1000.0
 
@@ -110,10 +112,10 @@ def find_matches(words: pa.Array, path: str) -> Matches:
     first = offsets[:-1]
 
     # All bytes at which a piece may start, walked down the trie together.
-    stretch = np.repeat(np.arange(len(length)), length)
-    distance = ragged(np.zeros(len(length), np.int64), length)
+    stretch = np.repeat(np.arange(len(length), dtype=np.int32), length)
+    distance = ragged(np.zeros(len(length), np.int64), length).astype(np.int32)
     at = begin[stretch] + distance
-    left = length[stretch] - distance
+    left = (length[stretch] - distance).astype(np.int32)
     node = np.zeros(len(at), np.int32)
     found = []
     taken = 0
@@ -124,7 +126,7 @@ def find_matches(words: pa.Array, path: str) -> Matches:
         at, node, left, stretch, distance = at[on], node[on], left[on], stretch[on], distance[on]
         value = trie.value[node]
         hit = value >= 0
-        found.append((stretch[hit], distance[hit], np.full(hit.sum(), taken), value[hit]))
+        found.append((stretch[hit], distance[hit], np.full(hit.sum(), taken, np.int32), value[hit].astype(np.int32)))
         on = left > taken
         at, node, left, stretch, distance = at[on], node[on], left[on], stretch[on], distance[on]
     stretch, distance, taken_, piece = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -164,7 +166,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", path: str | Non
         pieces = byte_vocabulary(path).size
         held: dict[str, np.ndarray] = {}
         for batch in batches:
-            for cut in slices(batch, 0):
+            for cut in slices(batch, 0, SLICE):
                 found = read_words(texts(cut.column(0)))
                 matches = find_matches(found.words, path)
                 names = cut.column(1).dictionary_encode()
@@ -229,7 +231,7 @@ def annotated(docs: DataFrame, model: Model, text: str = "text", path: str | Non
     path = path or default_path()
     ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # vocabulary x languages
-    return annotate(docs, text, ["string", "double", "bigint"], lambda column: judgements(sent.value, path, column))
+    return annotate(docs, text, ["string", "double", "bigint"], lambda column: judgements(sent.value, path, column), SLICE)
 
 
 def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
