@@ -79,7 +79,7 @@ def test_masks(spark):
     )
     row = protection.mask_columns(df, df.columns).first()
     assert (row["s"], row["i"], float(row["d"]), row["b"], row["t"], bytes(row["x"]), row["n"]) == (
-        "Xxxx nn", 0, 0.0, False, dt.date(1900, 1, 1), b"\x00", None,
+        "XXXX", 0, 0.0, False, dt.date(1900, 1, 1), b"\x00", None,
     )
     with pytest.raises(ValueError):
         protection.mask_columns(df, ["absent"])
@@ -120,9 +120,13 @@ def test_update_watermarks(spark):
 def test_slices(spark):
     df = spark.sql("SELECT explode(array(DATE'2018-05-31', DATE'2018-06-01', NULL)) AS d")
     assert [r["d"] for r in watermark.since(df, "d", "2018-06-01").collect()] == [dt.date(2018, 6, 1)]
-    control = [("s", "a", "d"), ("s", "b", None), ("s", "unknown", "d")]
-    slices = watermark.incremental_slices({("s", "a"): df, ("s", "b"): df}, control, "2018-06-01")
-    assert list(slices) == [("s", "a")]
+    control = [("s", "a", "d"), ("s", "a", "e"), ("s", "b", None)]
+    both = df.withColumn("e", F.lit("2019-01-01").cast("date"))
+    slices = watermark.incremental_slices({("s", "a"): both, ("s", "b"): df}, control, "2018-06-01")
+    assert {name: part.count() for name, part in slices.items()} == {("s", "a", "d"): 1, ("s", "a", "e"): 3}
+    assert watermark.new_rows(both, ["d", "e"], "2018-06-01").count() == 3
+    with pytest.raises(LookupError, match="unknown"):
+        watermark.incremental_slices({("s", "a"): both}, [*control, ("s", "unknown", "d")], "2018-06-01")
 
 
 def test_profiles(spark):

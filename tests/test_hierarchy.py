@@ -106,9 +106,13 @@ def test_cycle_length_limit(spark):
     long_ring = [(200 + n, 200 + (n + 1) % 52) for n in range(52)]
     tails = [(300, 100), (301, 200)]
     edges = edges_of(spark, [(0, 0), *ring, *long_ring, *tails])
-    assert ids(h.circular(edges)) == list(range(100, 151))
-    removed = h.quarantine(edges, 1).exceptions
+    assert ids(h.circular(edges, 50)) == list(range(100, 151))
+    removed = h.quarantine(edges, 1, 50).exceptions
     assert sorted(r["OrganizationID"] for r in removed.collect()) == [*range(100, 151), 300]
+    # Without a limit no cycle is too long.
+    everything = [*range(100, 151), *range(200, 252)]
+    assert ids(h.circular(edges)) == everything
+    assert sorted(r["OrganizationID"] for r in h.quarantine(edges, 1).exceptions.collect()) == [*everything, 300, 301]
     # The long ring survives quarantine and must not trap the path building.
     assert [r["path"] for r in h.paths(edges).collect()] == ["/"]
 
@@ -133,6 +137,46 @@ def test_several_parents(spark):
     assert smallest == {0: "/", 1: "/1/", 2: "/2/", 3: "/1/3/", 4: "/1/3/4/", 6: "/6/", 5: "/6/5/", 7: "/6/7/"}
 
 
+def reachable(pairs):
+    up = {}
+    for child, parent in pairs:
+        if parent is not None and parent != child:
+            up.setdefault(child, set()).add(parent)
+    above = {}
+    for start in {c for c, _ in pairs}:
+        seen, todo = set(), list(up.get(start, ()))
+        while todo:
+            at = todo.pop()
+            if at not in seen:
+                seen.add(at)
+                todo += up.get(at, ())
+        above[start] = seen
+    return above
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_several_parents_without_a_limit(spark, seed):
+    rng = random.Random(seed)
+    pairs = [(0, 0)] + [(rng.randrange(1, 30), rng.choice([rng.randrange(33), None])) for _ in range(45)]
+    pairs += [(100 + n, 100 + (n + 1) % 60) for n in range(60)] + [(100, 0), (200, 130), (201, 200), (201, 0)]
+    edges = edges_of(spark, pairs)
+    above = reachable(pairs)
+    members = {c for c in above if c in above[c]}
+    assert ids(h.circular(edges)) == sorted(members - {0})
+    removed = {r["OrganizationID"] for r in h.quarantine(edges, 1).exceptions.collect()}
+    assert removed == {c for c in above if c in members or above[c] & members}
+
+
+def test_a_ladder_writes_no_paths(spark):
+    """Two ways up at every level: paths double, nodes do not."""
+    pairs = [(0, 0)] + [(2 * n + side, max(0, 2 * (n - 1) + other)) for n in range(1, 24) for side in (0, 1) for other in (0, 1)]
+    edges = edges_of(spark, pairs)
+    assert h.circular(edges).count() == 0
+    assert h.quarantine(edges, 1).exceptions.count() == 0
+    below = h.descendants(edges, spark.createDataFrame([(2,), (3,)], "id INT"))
+    assert below.count() == len({p for p in pairs if p[0] >= 2})
+
+
 def test_no_root_no_paths(spark):
     assert h.paths(edges_of(spark, [(1, 0), (2, 1)])).count() == 0
 

@@ -254,5 +254,28 @@ def test_publish(spark, tmp_path):
     assert_same_rows(first, published(spark, root, "exceptions"))
     assert_same_rows(merged.history_delta, published(spark, root, "history"))
     unchanged = merge_load(versioned(random_rows(spark, 1)), random_rows(spark, 1), SPEC, NOW)
+    before = published(spark, root, "history").collect()
     publish_images(unchanged.images, root)
-    assert_empty(published(spark, root, "history"))
+    assert sorted(map(str, published(spark, root, "history").collect())) == sorted(map(str, before))
+    assert before
+
+
+def test_published_history_accumulates(spark, tmp_path):
+    root = str(tmp_path)
+    first = merge_load(versioned(random_rows(spark, 1)), random_rows(spark, 2), SPEC, NOW)
+    version = publish_images(first.images, root)
+    later = NOW + dt.timedelta(days=1)
+    second = merge_load(published(spark, root, "current"), random_rows(spark, 3), SPEC, later)
+    publish_images(second.images, root)
+    expected = first.history_delta.unionByName(second.history_delta)
+    assert_same_rows(expected, published(spark, root, "history"))
+    assert_same_rows(first.history_delta, published(spark, root, "history", version))
+    assert_same_rows(first.current, published(spark, root, "current", version))
+
+
+def test_an_unreadable_log_is_no_first_version(spark, tmp_path):
+    root = str(tmp_path)
+    (tmp_path / "_published").mkdir()
+    (tmp_path / "_published" / "part-0.parquet").write_bytes(b"no parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        publish({"t": spark.createDataFrame([(1,)], "a INT")}, root)

@@ -70,6 +70,16 @@ def test_own_rows_or_role(spark, orders, max_literals):
     assert people(sec.permitted(orders, access, "SalespersonPersonID", sec.User.of("sa", ["SysAdmin"]))) == people(orders)
 
 
+def test_a_view_does_not_let_conditions_pass(spark, orders):
+    """The policy is on one side of a join; the caller's condition fails on a hidden row of the other."""
+    notes = spark.createDataFrame([(2, 7), (3, 0), (4, 5)], "p INT, divisor INT")
+    view = orders.join(notes, F.col("p") == F.col("SalespersonPersonID"))
+    seen = sec.permitted(view, sec.by_case({"SalesPerson2": 2}), "SalespersonPersonID", TWO)
+    assert seen.where(1 / F.col("divisor") > 0).count() == seen.count() > 0
+    plan = spark._jvm.PythonSQLUtils.explainString(seen.where(1 / F.col("divisor") > 0)._jdf.queryExecution(), "simple")
+    assert "Sample" in plan
+
+
 @pytest.mark.parametrize("max_literals", [100, 0])
 def test_errors_do_not_reveal_hidden_rows(spark, orders, max_literals):
     """A caller's division fails on a row of person 3, which person 2 may not see."""

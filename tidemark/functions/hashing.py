@@ -26,6 +26,9 @@ def _text(name: str, data_type: T.DataType) -> Column:
                 "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
             },
         )
+    if isinstance(data_type, (T.FloatType, T.DoubleType)):
+        # -0.0 equals 0.0 wherever values are compared, so it is written like it.
+        return (value + F.lit(0.0).cast(data_type)).cast("string")
     return value.cast("string")
 
 

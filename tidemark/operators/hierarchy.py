@@ -17,10 +17,8 @@ from tidemark.functions.guards import require, true
 from tidemark.functions.ordered import HOT_ROWS, numbered
 from tidemark.spec import ERROR_CODE, ERROR_COLUMN, ERROR_DESCRIPTION
 
-# How far an ancestor walk goes, how deep a descent may get before it fails, the
-# root's id, and the text and codes of a quarantined row.
+# How far an ancestor walk goes, the root's id, and the text of a quarantined row.
 MAX_DISTANCE = 50
-MAX_DESCENT = 100
 ROOT = 0
 CIRCULAR = "Circular ParentOrganizationID Reference"
 
@@ -128,14 +126,14 @@ def _walk(edges: Edges, max_distance: int) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{folder}/level=*").drop("onward")
 
 
-def _cycles(edges: Edges, max_length: int) -> tuple[DataFrame, DataFrame]:
+def _cycles(edges: Edges, max_length: int | None) -> tuple[DataFrame, DataFrame]:
     """Cycle members, and all nodes that lead into a cycle or lie on one. One parent per child.
 
     ``to`` is where a row's chain leads, twice as far in every round, and ``low`` the smallest
     node on the way. Chains that end drop out of the join. Following the others far enough
     always lands on a cycle, so the nodes landed on, once their number stops shrinking, are
-    exactly the cycle members. Each cycle is named by its smallest node; cycles above
-    ``max_length`` are left out.
+    exactly the cycle members. Each cycle is named by its smallest node; with a ``max_length``,
+    longer cycles are left out.
     """
     # A parent that is no row here ends the chain: it is unknown, has no parent or is its own.
     first = edges.pairs().where(F.col("parent") != F.col("id"))
@@ -163,19 +161,99 @@ def _cycles(edges: Edges, max_length: int) -> tuple[DataFrame, DataFrame]:
             landed = ends
         count = left
     on_cycle = rows.join(rows.select(F.col("to").alias("id")).distinct(), "id", "left_semi").select("id", "low")
-    lengths = on_cycle.groupBy("low").agg(F.count(F.lit(1)).alias("n"))
-    members = settle(on_cycle.join(lengths.where(F.col("n") <= max_length), "low", "left_semi").select("id"), "cycles")
+    if max_length is not None:
+        lengths = on_cycle.groupBy("low").agg(F.count(F.lit(1)).alias("n"))
+        on_cycle = on_cycle.join(lengths.where(F.col("n") <= max_length), "low", "left_semi")
+    members = settle(on_cycle.select("id"), "cycles")
     leading = rows.join(members.select(F.col("id").alias("to")), "to", "left_semi").select("id")
     return members, leading
 
 
-def circular(edges: Edges, max_distance: int = MAX_DISTANCE, root: int = ROOT) -> DataFrame:
-    """Members of cycles of up to ``max_distance + 1`` nodes. A row that is its own parent is none."""
-    if has_repeated_children(edges):
+def _steps(edges: Edges) -> DataFrame:
+    """The distinct steps from a node to another that is a row too."""
+    first = edges.pairs().where(F.col("parent") != F.col("id")).distinct()
+    return settle(first.join(first.select(F.col("id").alias("parent")).distinct(), "parent", "left_semi"), "steps")
+
+
+def _unresolved(edges: Edges) -> DataFrame:
+    """Nodes from which some way up leads into a cycle; they are what is left when nodes whose
+    parents are all resolved are resolved in turn. Several parents per child; no path is written."""
+    left = _steps(edges)
+    count = left.count()
+    while count:
+        onward = settle(left.join(left.select(F.col("id").alias("parent")).distinct(), "parent", "left_semi"), "steps")
+        now = onward.count()
+        left = onward
+        if now == count:
+            break
+        count = now
+    return left.select("id").distinct()
+
+
+def _peeled(steps: DataFrame) -> DataFrame:
+    """Steps without those that no cycle can hold: from nodes nothing leads to, or to nodes that lead nowhere."""
+    count = steps.count()
+    while count:
+        inner = steps.join(steps.select(F.col("id").alias("parent")).distinct(), "parent", "left_semi")
+        inner = settle(inner.join(steps.select(F.col("parent").alias("id")).distinct(), "id", "left_semi"), "steps")
+        now = inner.count()
+        if now == count:
+            break
+        steps, count = inner, now
+    return steps
+
+
+def _on_cycles(edges: Edges) -> DataFrame:
+    """Members of cycles where children may have several parents, however long the cycles are.
+
+    Each node takes the smallest node above it as its colour. A node that keeps its own is, with
+    what lies above it in the same colour, one strongly connected part; these parts are taken
+    out, all colours at once, until nothing is left that could hold a cycle.
+    """
+    left = _peeled(_steps(edges))
+    found = left.select("id").where(F.lit(False))
+    while not left.isEmpty():
+        colours = settle(left.select("id", F.col("id").alias("colour")).distinct(), "colours")
+        total = None
+        while True:
+            above = left.join(colours.select(F.col("id").alias("parent"), F.col("colour").alias("_above")), "parent")
+            lowest = above.groupBy("id").agg(F.min("_above").alias("_above"))
+            colours = settle(
+                colours.join(lowest, "id").select("id", F.least("colour", "_above").alias("colour")), "colours"
+            )
+            now = colours.agg(F.sum(F.col("colour").cast("decimal(38,0)"))).first()[0]
+            if now == total:
+                break
+            total = now
+        of_parent = colours.select(F.col("id").alias("parent"), F.col("colour").alias("_colour"))
+        inside = settle(left.join(colours, "id").join(of_parent, "parent").where("colour = _colour").drop("_colour"), "colours")
+        part = settle(colours.where("id = colour"), "parts")
+        size, before = part.count(), -1
+        while size != before:
+            up = inside.join(part.select("id"), "id", "left_semi").select(F.col("parent").alias("id"), "colour")
+            part = settle(part.unionByName(up).distinct(), "parts")
+            size, before = part.count(), size
+        several = part.groupBy("colour").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        found = settle(found.unionByName(part.join(several, "colour", "left_semi").select("id")), "cycles")
+        gone = part.select("id")
+        rest = left.join(gone, "id", "left_anti").join(gone.select(F.col("id").alias("parent")), "parent", "left_anti")
+        left = _peeled(settle(rest, "steps"))
+    return found
+
+
+def circular(edges: Edges, max_distance: int | None = None, root: int = ROOT) -> DataFrame:
+    """Members of cycles; a row that is its own parent is none.
+
+    With ``max_distance``, only of cycles of up to ``max_distance + 1`` nodes, which takes the whole
+    walk where children have several parents.
+    """
+    if not has_repeated_children(edges):
+        found = _cycles(edges, None if max_distance is None else max_distance + 1)[0]
+    elif max_distance is None:
+        found = _on_cycles(edges)
+    else:
         walks = ancestors(edges, max_distance)
         found = walks.where((F.col("id") == F.col("ancestor")) & (F.col("distance") > 0)).select("id").distinct()
-    else:
-        found = _cycles(edges, max_distance + 1)[0]
     return found.where(F.col("id") != root)
 
 
@@ -189,8 +267,12 @@ def nested(edges: Edges, members: DataFrame) -> DataFrame:
     )
 
 
-def descendants(edges: Edges, roots: DataFrame, max_depth: int = MAX_DESCENT) -> DataFrame:
-    """Nodes below ``roots`` with their level, the roots being level 1. Too deep a descent fails."""
+def descendants(edges: Edges, roots: DataFrame, max_depth: int | None = None) -> DataFrame:
+    """Nodes below ``roots`` with their level, the roots being level 1.
+
+    Each row of the hierarchy is given once, at the first level that reaches it, so a cycle ends
+    the descent. With ``max_depth``, a deeper descent fails.
+    """
     spark = edges.df.sparkSession
     pairs = settle(edges.pairs(), "edges")
     folder = new_run_folder(spark, "descendants")
@@ -202,10 +284,13 @@ def descendants(edges: Edges, roots: DataFrame, max_depth: int = MAX_DESCENT) ->
         written = spark.read.schema(schema).parquet(f"{folder}/step={number}")
         if written.isEmpty():
             return spark.read.schema(schema).parquet(f"{folder}/step=*")
-        if number > max_depth:
+        if max_depth is not None and number > max_depth:
             raise RecursionError(f"more than {max_depth} levels below the given nodes")
         above = written.select(F.col("id").alias("parent"), F.col("level").alias("_level"))
-        level = pairs.join(above, "parent").select((F.col("_level") + 1).alias("level"), "id", "parent")
+        found = spark.read.schema(schema).parquet(f"{folder}/step=*").select("id", "parent").distinct()
+        new = pairs.join(above.distinct(), "parent").select((F.col("_level") + 1).alias("level"), "id", "parent")
+        same = [F.col("id") == F.col("_id"), F.col("parent").eqNullSafe(F.col("_parent"))]
+        level = new.join(found.select(F.col("id").alias("_id"), F.col("parent").alias("_parent")), same, "left_anti")
         number += 1
 
 
@@ -215,14 +300,16 @@ class Quarantined:
     exceptions: DataFrame
 
 
-def quarantine(edges: Edges, execution_id: int, max_distance: int = MAX_DISTANCE) -> Quarantined:
-    """Split off cycles and everything below them."""
-    if has_repeated_children(edges):
+def quarantine(edges: Edges, execution_id: int, max_distance: int | None = None) -> Quarantined:
+    """Split off cycles and everything below them; with ``max_distance``, as ``circular`` finds them."""
+    if not has_repeated_children(edges):
+        removed = _cycles(edges, None if max_distance is None else max_distance + 1)[1]
+    elif max_distance is None:
+        removed = _unresolved(edges)
+    else:
         members = settle(circular(edges, max_distance), "cycles")
         hanging = settle(nested(edges, members), "cycles")
         removed = members.unionByName(descendants(edges, hanging).select("id")).distinct()
-    else:
-        removed = _cycles(edges, max_distance + 1)[1]
     removed = settle(removed, "quarantine")
     match = F.col(edges.id) == F.col("id")
     out = edges.df.join(removed, match, "left_semi").withColumns(

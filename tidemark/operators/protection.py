@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+HIDDEN = "XXXX"  # fixed value: what stands for any text
 # Matches the hexadecimal form in which plans print a key of 16 to 32 bytes.
 REDACT_KEYS = r"(0x|X')?[0-9A-Fa-f]{32,64}'?"
 
@@ -51,9 +52,27 @@ class GrantedKeys:
         return OpenKey(key_id, self.secrets[key_id])
 
 
+def _encoded(value: Column, data_type: T.DataType) -> Column:
+    """A value as text that means the same in every session."""
+    if isinstance(data_type, T.TimestampType):
+        return F.unix_micros(value).cast("string")  # an instant's default text hangs on the session's zone
+    if isinstance(data_type, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+        raise TypeError(f"{data_type.simpleString()} has no text that it can be read back from")
+    return value if isinstance(data_type, T.BinaryType) else value.cast("string")
+
+
+def _decoded(plain: Column, data_type: T.DataType) -> Column:
+    if isinstance(data_type, T.TimestampType):
+        return F.timestamp_micros(plain.cast("string").try_cast("bigint"))
+    return plain if isinstance(data_type, T.BinaryType) else plain.cast("string").try_cast(data_type)
+
+
 def encrypt(df: DataFrame, column: str, out: str, key: OpenKey) -> DataFrame:
-    """Add ``column`` encrypted as a binary column; the plain column stays."""
-    plain = F.col(column).cast("string")
+    """Add ``column`` encrypted as a binary column; the plain column stays.
+
+    The key is a literal of the plan, which printed plans show unless ``REDACT_KEYS`` is set.
+    """
+    plain = _encoded(F.col(column), df.schema[column].dataType)
     return df.withColumn(out, F.aes_encrypt(plain, F.lit(key.secret), F.lit("GCM")))
 
 
@@ -71,14 +90,15 @@ def decrypt(df: DataFrame, column: str, out: str, data_type: T.DataType | str, k
     if key is None:
         return df.withColumn(out, F.lit(None).cast(data_type))
     plain = F.try_aes_decrypt(F.col(column), F.lit(key.secret), F.lit("GCM"))
-    return df.withColumn(out, plain.cast("string").try_cast(data_type))
+    kind = T._parse_datatype_string(data_type) if isinstance(data_type, str) else data_type
+    return df.withColumn(out, _decoded(plain, kind))
 
 
 def _default_mask(name: str, data_type: T.DataType) -> Column:
     value = F.col(name)
     if isinstance(data_type, T.StringType):
-        return F.mask(value)
-    if isinstance(data_type, T.NumericType):
+        constant = F.lit(HIDDEN)  # the same for every text: not even its length shows
+    elif isinstance(data_type, T.NumericType):
         constant = F.lit(0)
     elif isinstance(data_type, T.BooleanType):
         constant = F.lit(False)
@@ -92,7 +112,7 @@ def _default_mask(name: str, data_type: T.DataType) -> Column:
 
 
 def mask_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Hide values behind a default: letters and digits of text, a constant for other types."""
+    """Hide values behind a constant of their type; NULL stays NULL."""
     masked = {c.lower() for c in columns}
     missing = masked - {c.lower() for c in df.columns}
     if missing:

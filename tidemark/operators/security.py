@@ -12,7 +12,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.durable import settle
 from tidemark.functions.guards import true
 
 FILTER = "FILTER"
@@ -97,17 +96,16 @@ def allow_roles(roles: Iterable[str]) -> Access:
 def by_lookup(access: DataFrame, user_column: str, value_column: str, max_literals: int = MAX_LITERALS) -> Access:
     """The user sees the values an access table lists for them.
 
-    Up to ``max_literals`` values are read once and become a plain filter. It is pushed to the
-    scan, and no later condition can run ahead of it on hidden rows. More values stay a
-    DataFrame, and reading then settles the permitted rows before handing them out.
+    Up to ``max_literals`` distinct values are read once and become a plain filter. More stay a
+    DataFrame, and the permitted rows come from a join.
     """
 
     def grant(user: User) -> Granted:
         mine = access.where(F.lower(F.col(user_column)) == user.name)
         values = mine.select(F.col(value_column).alias("value")).where(F.col("value").isNotNull())
-        few = values.limit(max_literals + 1).collect()
+        few = values.distinct().limit(max_literals + 1).collect()
         if len(few) <= max_literals:
-            return Granted(literals=tuple(dict.fromkeys(row[0] for row in few)))
+            return Granted(literals=tuple(row[0] for row in few))
         return Granted(held=values)
 
     return Access(grant)
@@ -136,13 +134,34 @@ def _marked(df: DataFrame, granted: Granted, column: str, mark: str) -> DataFram
     return joined.withColumn(mark, condition | true(F.col("_is_held"))).drop("_held", "_is_held")
 
 
+def _is_one_scan(df: DataFrame) -> bool:
+    """Whether the rows come from a single relation, so that no join can let a condition pass a filter."""
+    try:
+        return df._jdf.queryExecution().analyzed().collectLeaves().size() == 1
+    except AttributeError:
+        return False
+
+
+def _barrier(df: DataFrame) -> DataFrame:
+    """All rows of ``df``, behind a sample of all of them: no condition is moved below a sample."""
+    return df.sample(withReplacement=False, fraction=1.0, seed=0)
+
+
 def permitted(df: DataFrame, access: Access, column: str, user: User) -> DataFrame:
+    """The rows a user may see; a caller's own condition is never evaluated on any other.
+
+    Over a scan a literal filter is enough: conditions stay behind it and both reach the scan.
+    Over a join, the caller's condition could be moved to one of its sides, below the filter, and
+    reveal a hidden row by failing on it: there, and where the filter is a join itself, a barrier
+    keeps it above.
+    """
     granted = access.grant(user)
-    if granted.held is None or granted.everything:
-        return df.where(_literal_condition(granted, column))
-    # Settled, so that a caller's own condition cannot be moved below the join and reveal a
-    # hidden row by failing on it.
-    return settle(_marked(df, granted, column, "_may").where("_may").drop("_may"), "permitted")
+    if granted.everything:
+        return df
+    if granted.held is not None:
+        return _barrier(_marked(df, granted, column, "_may").where("_may").drop("_may"))
+    seen = df.where(_literal_condition(granted, column))
+    return seen if _is_one_scan(df) else _barrier(seen)
 
 
 @dataclass(frozen=True)

@@ -103,7 +103,9 @@ class TemporalTable:
         return self.current.drop(self.start, self.end)
 
     def all_versions(self) -> DataFrame:
-        return self.current.unionByName(self.history)
+        """Current rows and history, without versions that never were valid for a moment."""
+        lasted = F.col(self.start) < F.col(self.end)
+        return self.current.unionByName(self.history.where(lasted))
 
     def as_of(self, at: Moment) -> DataFrame:
         """Versions valid at one instant."""

@@ -128,10 +128,21 @@ def since(df: DataFrame, column: str, watermark: Moment) -> DataFrame:
 
 def incremental_slices(
     tables: Mapping[Name, DataFrame], control: Iterable[tuple[str, str, str | None]], watermark: Moment
-) -> dict[Name, DataFrame]:
-    """The new rows of every table the control list names a column for."""
-    return {
-        (schema, table): since(tables[schema, table], column, watermark)
-        for schema, table, column in control
-        if column is not None and (schema, table) in tables
-    }
+) -> dict[tuple[str, str, str], DataFrame]:
+    """The new rows by each (schema, table, column) that the control list names.
+
+    A table with several watermark columns has a slice for each: a row may be new by one of them
+    only. A control row without a column asks for nothing; one for an unknown table is refused.
+    """
+    named = list(dict.fromkeys((schema, table, column) for schema, table, column in control if column is not None))
+    unknown = sorted({(schema, table) for schema, table, _ in named} - set(tables))
+    if unknown:
+        raise LookupError(f"the control list names tables that are not there: {unknown}")
+    return {(schema, table, column): since(tables[schema, table], column, watermark) for schema, table, column in named}
+
+
+def new_rows(
+    df: DataFrame, columns: Iterable[str], watermark: Moment
+) -> DataFrame:
+    """Rows that are new by any of the columns, each once."""
+    return df.where(reduce(lambda a, b: a | b, (F.col(c) >= moment(watermark, df.schema[c].dataType) for c in columns)))

@@ -262,6 +262,26 @@ SELECT l_orderkey, l_linenumber, l_suppkey, strftime(l_shipdate, '%Y-%m-%d %H:%M
 FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE s_nationkey = 20
 """
 
+def _view_probe(spark: SparkSession, folder: str) -> DataFrame:
+    """The same over a protected view, a join whose policy column is on the other side.
+
+    The condition only needs the line items, so it could be moved below the join, to rows of
+    orders the user may not see.
+    """
+    lines = read_table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber")
+    orders = read_table(spark, folder, "orders").select("o_orderkey", "o_orderpriority")
+    view = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    registry = _registry(_priority_access(), "order_lines", "o_orderpriority")
+    hidden = orders.where(F.col("o_orderpriority") != "1-URGENT").agg(F.min("o_orderkey")).first()[0]
+    seen = registry.read("order_lines", view, sec.User.of("UrgentDesk"))
+    return seen.where(F.abs(1 / (F.col("l_orderkey") - hidden)) > 0).select("l_orderkey", "l_linenumber", "o_orderpriority")
+
+
+_VIEW_PROBE = """
+SELECT l_orderkey, l_linenumber, o_orderpriority FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+WHERE o_orderpriority = '1-URGENT'
+"""
+
 QUERIES = {
     "policy_one_value_each": Query(
         _seen_by("UrgentDesk", "HighDesk"),
@@ -278,6 +298,7 @@ QUERIES = {
     "policy_lookup": Query(_by_lookup(sec.MAX_LITERALS), _BY_LOOKUP),
     "policy_lookup_beyond_literals": Query(_by_lookup(2), _BY_LOOKUP),
     "policy_lookup_probe": Query(_probe, _PROBE),
+    "policy_view_probe": Query(_view_probe, _VIEW_PROBE),
     "policy_by_owner": Query(_by_owner, _BY_OWNER),
     "policy_joins": Query(_joins, _JOINS),
     "policy_filtered_writes": Query(_writes, _WRITES),

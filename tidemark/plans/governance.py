@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.durable import settle
 from tidemark.functions.moments import moment
 from tidemark.operators import fixtures, profile, protection, watermark
 from tidemark.operators.compare import table_diff
@@ -66,11 +67,45 @@ def _masked(spark: SparkSession, folder: str) -> DataFrame:
     return protection.mask_columns(read_table(spark, folder, "customer"), ["c_name", "c_acctbal"])
 
 
-_MASKED = r"""
-SELECT c_custkey, regexp_replace(regexp_replace(regexp_replace(c_name, '[A-Z]', 'X', 'g'), '[a-z]', 'x', 'g'),
-       '[0-9]', 'n', 'g') AS c_name, c_nationkey, 0.0::DOUBLE AS c_acctbal, c_mktsegment FROM customer
+_MASKED = """
+SELECT c_custkey, CASE WHEN c_name IS NOT NULL THEN 'XXXX' END AS c_name, c_nationkey,
+       CASE WHEN c_acctbal IS NOT NULL THEN 0.0::DOUBLE END AS c_acctbal, c_mktsegment FROM customer
 """
 
+
+def _masked_any_script(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts of letters without case, of digits and of signs are hidden like any other."""
+    suppliers = read_table(spark, folder, "supplier").select(
+        "s_suppkey",
+        F.when(F.col("s_suppkey") % 3 == 0, F.lit("漢字"))
+        .when(F.col("s_suppkey") % 3 == 1, F.concat(F.lit("#"), F.col("s_suppkey").cast("string")))
+        .alias("note"),
+    )
+    return protection.mask_columns(suppliers, ["note"])
+
+
+_MASKED_ANY = "SELECT s_suppkey, CASE WHEN s_suppkey % 3 < 2 THEN 'XXXX' END AS note FROM supplier"
+
+
+def _encrypted_instants(spark: SparkSession, folder: str) -> DataFrame:
+    """Instants written under one zone's clock and read under another's stay the same instants."""
+    key = _provider().open("sample", "clerk")
+    orders = read_table(spark, folder, "orders").select(
+        "o_orderkey", F.timestamp_micros(F.col("o_orderkey") * 3_600_000_123).alias("at")
+    )
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        cipher = settle(protection.encrypt(orders, "at", "cipher", key).drop("at"), "cipher")
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        plain = settle(protection.decrypt(cipher, "cipher", "at", "timestamp", key), "plain")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    return plain.select("o_orderkey", F.unix_micros("at").alias("micros"))
+
+
+_ENCRYPTED_INSTANTS = "SELECT o_orderkey, o_orderkey * 3600000123 AS micros FROM orders"
+
 # Watermarks. Our tables have no modification columns by the usual names, so some are given them.
 
 
@@ -158,7 +193,7 @@ def _since(spark: SparkSession, folder: str) -> DataFrame:
     tables = {("sales", "orders"): read_table(spark, folder, "orders"), ("web", "events"): read_table(spark, folder, "events")}
     control = [("sales", "orders", "o_orderdate"), ("web", "events", None)]
     slices = watermark.incremental_slices(tables, control, "2000-06-01")
-    return times_as_text(slices["sales", "orders"], "o_orderdate")
+    return times_as_text(slices["sales", "orders", "o_orderdate"], "o_orderdate")
 
 
 _SINCE = f"""
@@ -166,6 +201,26 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, {sql_time('o_orderdat
 FROM orders WHERE o_orderdate >= TIMESTAMP '2000-06-01'
 """
 
+
+
+def _since_two_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """A table with two watermark columns, one of them NULL for most rows: a slice for each."""
+    events = read_table(spark, folder, "events").select(
+        "event_id", F.col("ts").alias("LastChange"), F.when(F.col("event_type") == "error", F.col("ts")).alias("DateLastModified")
+    )
+    control = [("web", "events", "LastChange"), ("web", "events", "DateLastModified")]
+    bound = events.agg(F.date_trunc("day", F.max("LastChange"))).first()[0]
+    slices = watermark.incremental_slices({("web", "events"): events}, control, bound)
+    parts = [part.select("event_id", F.lit(name[2]).alias("column_name")) for name, part in slices.items()]
+    return parts[0].unionByName(parts[1])
+
+
+_SINCE_TWO = """
+WITH bound AS (SELECT date_trunc('day', max(ts)) AS low FROM events)
+SELECT event_id, 'LastChange' AS column_name FROM events, bound WHERE ts >= low
+UNION ALL SELECT event_id, 'DateLastModified' FROM events, bound WHERE ts >= low AND event_type = 'error'
+"""
+
 # Profiles and files
 
 
@@ -341,6 +396,9 @@ QUERIES = {
     "watermark_values": Query(_watermark_values, _WATERMARK_VALUES),
     "watermark_update": Query(_watermark_update, _WATERMARK_UPDATE),
     "incremental_slice": Query(_since, _SINCE),
+    "incremental_slice_two_columns": Query(_since_two_columns, _SINCE_TWO),
+    "mask_any_script": Query(_masked_any_script, _MASKED_ANY),
+    "encrypt_across_zones": Query(_encrypted_instants, _ENCRYPTED_INSTANTS),
     "table_counts": Query(_counts, _COUNTS),
     "table_columns": Query(_columns, _COLUMNS),
     "stale_tables": Query(_stale, _STALE),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,6 +104,41 @@ UNION ALL SELECT *, 'history' FROM ({_MERGE_ORDERS_HISTORY})
 """
 
 
+LATER = "2024-07-01"
+
+
+def _publish_two_loads(spark: SparkSession, folder: str) -> DataFrame:
+    """Two loads published one after the other: the newest current rows, all history, and both as of the first."""
+    root = new_run_folder(spark, "published")
+    first = publish_images(merge_orders(spark, folder).images, root)
+    current = published(spark, root, "current")
+    stage = current.where(F.col("o_orderkey") % 5 == 0).drop("VersionStartTime", "VersionEndTime")
+    stage = stage.withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    spec = TableSpec(keys=("o_orderkey",))
+    publish_images(merge_load(current, stage, spec, LATER).images, root)
+    reads = [("current", None), ("history", None), ("current", first), ("history", first)]
+    parts = [
+        published(spark, root, kind, version).select(
+            "o_orderkey", "VersionStartTime", "VersionEndTime", F.lit(f"{kind}{version or ''}").alias("state")
+        )
+        for kind, version in reads
+    ]
+    return times_as_text(reduce(DataFrame.unionByName, parts), "VersionStartTime", "VersionEndTime")
+
+
+_PUBLISH_TWO_LOADS = f"""
+WITH first_current AS (SELECT o_orderkey, VersionStartTime, VersionEndTime FROM ({_MERGE_ORDERS_CURRENT})),
+first_history AS (SELECT o_orderkey, VersionStartTime, VersionEndTime FROM ({_MERGE_ORDERS_HISTORY})),
+changed AS (SELECT * FROM first_current WHERE o_orderkey % 5 = 0)
+SELECT *, 'current1' AS state FROM first_current
+UNION ALL SELECT *, 'history1' FROM first_history
+UNION ALL SELECT *, 'history' FROM first_history
+UNION ALL SELECT o_orderkey, VersionStartTime, '2024-07-01 00:00:00.000000', 'history' FROM changed
+UNION ALL SELECT *, 'current' FROM first_current WHERE o_orderkey % 5 <> 0
+UNION ALL SELECT o_orderkey, '2024-07-01 00:00:00.000000', VersionEndTime, 'current' FROM changed
+"""
+
+
 # Events: a stage too large to broadcast, so one full outer join.
 
 
@@ -422,6 +458,7 @@ FROM sums WHERE n <> 0
 QUERIES = {
     "merge_orders_current": Query(_merge_orders_current, _MERGE_ORDERS_CURRENT),
     "merge_orders_history": Query(_merge_orders_history, _MERGE_ORDERS_HISTORY),
+    "publish_two_loads": Query(_publish_two_loads, _PUBLISH_TWO_LOADS),
     "merge_orders_published": Query(_merge_orders_published, _MERGE_ORDERS_PUBLISHED),
     "merge_events_outer": Query(_merge_events, _MERGE_EVENTS),
     "row_change_hash": Query(_change_hash, _CHANGE_HASH),

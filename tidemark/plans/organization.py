@@ -175,7 +175,93 @@ SELECT id AS "OrganizationID", d AS "ErrorDescription" FROM old
 WHERE d LIKE 'Orphan%' OR id NOT IN (SELECT id FROM paths)
 """
 
+def _long_cycle_edges(spark: SparkSession, folder: str) -> h.Edges:
+    """Customers in rings of 60, and customers of some nations below a member of the next ring."""
+    key = F.col("c_custkey")
+    ring = F.when(key % 60 == 59, key - 59).otherwise(key + 1)
+    rows = read_table(spark, folder, "customer").select(
+        key.alias("OrganizationID"),
+        F.when(F.floor(key / 60) % 3 == 0, ring).otherwise(key - 60).cast("bigint").alias("ParentOrganizationID"),
+    )
+    return h.Edges(rows)
+
+
+def _long_cycles(spark: SparkSession, folder: str) -> DataFrame:
+    edges = _long_cycle_edges(spark, folder)
+    members = h.circular(edges, root=-1).withColumn("kind", F.lit("member"))
+    removed = h.quarantine(edges, 7).exceptions.select(F.col("OrganizationID").alias("id"), F.lit("removed").alias("kind"))
+    return members.unionByName(removed)
+
+
+# The last ring may lack members and is then a chain.
+_LONG_CYCLES = """
+WITH rings AS (
+  SELECT c_custkey AS id, c_custkey // 60 AS ring, c_custkey // 60 % 3 AS place,
+         (SELECT max(c_custkey) FROM customer) AS top FROM customer
+), whole AS (SELECT *, (ring - place) * 60 + 59 <= top AS closed FROM rings)
+SELECT id, 'member' AS kind FROM whole WHERE place = 0 AND closed
+UNION ALL SELECT id, 'removed' FROM whole WHERE closed
+"""
+
+
+def several_parent_edges(spark: SparkSession, folder: str) -> h.Edges:
+    """The customer hierarchy with a second parent for every third customer."""
+    edges = customer_edges(spark, folder)
+    second = read_table(spark, folder, "customer").where(F.col("c_custkey") % 3 == 0).select(
+        F.col("c_custkey").alias("OrganizationID"),
+        F.floor(F.col("c_custkey") / 7).cast("bigint").alias("ParentOrganizationID"),
+        "c_mktsegment",
+    )
+    return edges.with_rows(edges.df.unionByName(second))
+
+
+_SEVERAL = f"""
+WITH RECURSIVE {_EDGES}, pairs AS (
+  SELECT id, parent FROM edges UNION SELECT c_custkey, c_custkey // 7 FROM customer WHERE c_custkey % 3 = 0
+), steps AS (SELECT id, parent FROM pairs WHERE parent <> id), up AS (
+  SELECT id, parent AS ancestor FROM steps UNION SELECT u.id, s.parent FROM up u JOIN steps s ON s.id = u.ancestor
+), members AS (SELECT DISTINCT id FROM up WHERE id = ancestor),
+removed AS (SELECT id FROM members UNION SELECT id FROM up WHERE ancestor IN (SELECT id FROM members))"""
+
+
+def _several_removed(spark: SparkSession, folder: str) -> DataFrame:
+    return h.quarantine(several_parent_edges(spark, folder), 7).exceptions.select(F.col("OrganizationID").alias("id")).distinct()
+
+
+def _several_circular(spark: SparkSession, folder: str) -> DataFrame:
+    return h.circular(several_parent_edges(spark, folder))
+
+
+def _tree_of_two(spark: SparkSession, folder: str) -> h.Edges:
+    """Every customer below two smaller ones."""
+    key = F.col("c_custkey")
+    rows = read_table(spark, folder, "customer").select(key.alias("id"))
+    return h.Edges(
+        rows.select("id", F.explode(F.array(F.floor(F.col("id") / 5), F.floor(F.col("id") / 3))).alias("parent")), "id", "parent"
+    )
+
+
+def _smallest(spark: SparkSession, folder: str) -> DataFrame:
+    return h.paths(_tree_of_two(spark, folder), smallest=True).select("id", "path")
+
+
+# Shortest first, then by the numbers on the way.
+_SMALLEST = """
+WITH RECURSIVE pairs AS (
+  SELECT c_custkey AS id, c_custkey // 5 AS parent FROM customer UNION SELECT c_custkey, c_custkey // 3 FROM customer
+), walks AS (
+  SELECT 0::BIGINT AS id, []::BIGINT[] AS trail
+  UNION ALL SELECT p.id, list_append(w.trail, p.id) FROM walks w JOIN pairs p ON p.parent = w.id AND p.id <> 0 AND p.id <> p.parent
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY len(trail), trail) AS place FROM walks)
+SELECT id, '/' || list_aggregate(list_transform(trail, lambda x: x::VARCHAR || '/'), 'string_agg', '') AS path FROM ranked
+WHERE place = 1 AND id <> 0 UNION ALL SELECT 0, '/' FROM customer WHERE c_custkey = 0
+"""
+
 QUERIES = {
+    "hierarchy_long_cycle": Query(_long_cycles, _LONG_CYCLES),
+    "hierarchy_several_parents_quarantine": Query(_several_removed, f"{_SEVERAL} SELECT id FROM removed"),
+    "hierarchy_several_parents_circular": Query(_several_circular, f"{_SEVERAL} SELECT id FROM members WHERE id <> 0"),
+    "hierarchy_smallest_paths": Query(_smallest, _SMALLEST),
     "hierarchy_ancestors": Query(_ancestors, f"{_WALK} SELECT id, ancestor, path, distance FROM walk"),
     "hierarchy_circular": Query(_circular, f"{_REMOVED} SELECT id FROM circular"),
     "hierarchy_nested": Query(_nested, f"{_REMOVED} SELECT id, parent FROM nested"),

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.errors import AnalysisException
 
 _LOG = "_published"
-_LOG_SCHEMA = "version BIGINT, name STRING, path STRING"
+# A name that is appended to holds all that was published under it since it last was not.
+_LOG_SCHEMA = "version BIGINT, name STRING, path STRING, appended BOOLEAN"
 
 
 def _log(spark: SparkSession, root: str) -> DataFrame:
@@ -19,12 +20,17 @@ def _log(spark: SparkSession, root: str) -> DataFrame:
 def _next_version(spark: SparkSession, root: str) -> int:
     try:
         return (_log(spark, root).agg(F.max("version")).first()[0] or 0) + 1
-    except AnalysisException:
+    except AnalysisException as error:
+        # Anything but a log that is not there yet must not lead to a second first version.
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return 1
 
 
-def _make_visible(spark: SparkSession, root: str, version: int, paths: Mapping[str, str]) -> int:
-    rows = [(version, name, path) for name, path in paths.items()]
+def _make_visible(
+    spark: SparkSession, root: str, version: int, paths: Mapping[str, str], appended: Collection[str] = ()
+) -> int:
+    rows = [(version, name, path, name in appended) for name, path in paths.items()]
     spark.createDataFrame(rows, _LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/{_LOG}")
     return version
 
@@ -46,28 +52,35 @@ def publish(outputs: Mapping[str, DataFrame], root: str) -> int:
 def publish_images(images: DataFrame, root: str, others: Mapping[str, DataFrame] | None = None) -> int:
     """Write a load's current rows and its history delta from one pass over the join.
 
-    ``others``, such as the load's exceptions, become visible together with them.
+    The current rows replace those of the load before; the delta adds to its history. ``others``, such as the load's exceptions, become visible together with them.
     """
     spark = images.sparkSession
     version = _next_version(spark, root)
     images.write.mode("overwrite").partitionBy("kind").parquet(f"{root}/v={version}/images")
     nothing = images.drop("kind").where(F.lit(False))
     for kind in ("current", "history"):
-        # A merge that replaced nothing still publishes an empty history.
+        # A merge that replaced nothing still has a path to read.
         nothing.write.mode("append").parquet(f"{root}/v={version}/images/kind={kind}")
     paths = {kind: f"v={version}/images/kind={kind}" for kind in ("current", "history")}
     for name, df in (others or {}).items():
         paths[name] = f"v={version}/{name}"
         df.write.mode("overwrite").parquet(f"{root}/{paths[name]}")
-    return _make_visible(spark, root, version, paths)
+    return _make_visible(spark, root, version, paths, {"history"})
 
 
 def published(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame:
-    """The newest published state of a table, or its state as of ``version``."""
+    """The newest published state of a table, or its state as of ``version``.
+
+    The state of a name that is appended to is all of its parts up to then, one path per load.
+    """
     log = _log(spark, root).where(F.col("name") == name)
     if version is not None:
         log = log.where(F.col("version") <= version)
-    found = log.agg(F.max_by("path", "version")).first()[0]
-    if found is None:
+    parts = log.orderBy("version").collect()
+    if not parts:
         raise LookupError(f"{name} was never published under {root}")
-    return spark.read.parquet(f"{root}/{found}")
+    begin = max((i for i, part in enumerate(parts) if not part["appended"]), default=0)
+    if begin < len(parts) - 1:
+        spread = [f"{root}/{part['path']}" for part in parts[begin:]]
+        return spark.read.option("mergeSchema", "true").parquet(*spread)
+    return spark.read.parquet(f"{root}/{parts[-1]['path']}")
