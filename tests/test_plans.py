@@ -121,7 +121,7 @@ def test_hot_values_of_a_shuffled_check_are_split(spark):
     for name, setting in settings.items():
         spark.conf.set(name, setting)
     try:
-        clean = route_orphans(stage, [ForeignKey("fk", parents, "p", "Parent")]).clean
+        clean = route_orphans(stage, [ForeignKey("fk", parents, "p", "Parent")], emit=False).clean
         assert len(clean.select("id", "text").collect()) == 300_000 + 250
         clean = clean.select("id", "text", "fk")
         clean.collect()
@@ -129,3 +129,17 @@ def test_hot_values_of_a_shuffled_check_are_split(spark):
     finally:
         for name, setting in before.items():
             spark.conf.unset(name) if setting is None else spark.conf.set(name, setting)
+
+
+def test_a_large_replay_shuffles_the_target_once(spark, folder):
+    from tidemark.plans.loads import replay_orders
+
+    previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(replay_orders(spark, folder).images)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
+    # The target is one scan of orders, the versions one of what was settled.
+    assert len(re.findall(r"^\(\d+\) Scan parquet", text, flags=re.M)) == 2
+    assert len(exchanges(text)) == 1 and "SortMergeJoin" not in text

@@ -47,14 +47,12 @@ def run_load(
 ) -> LoadResult:
     """Route the stage's orphans to the exceptions, then merge what is left.
 
-    What is left of a small stage is settled: after the joins that checked it, the optimizer
-    could no longer tell that it is small, and would shuffle the target for it.
+    The checked stage is settled whatever its size, so every output sees the same rows once, and
+    the optimizer knows its true size when it meets the target.
     """
     keys = _bound(spec.foreign_keys, target)
     routed = route_orphans(stage, keys, exceptions, row_hash=spec.row_hash)
-    small = fits_broadcast(stage)
-    clean = settle(routed.clean, "stage") if small else routed.clean
-    merged = merge_load(target, clean, spec, now, small)
+    merged = merge_load(target, routed.clean, spec, now)
     return LoadResult(merged.current, merged.history_delta, routed.exceptions, merged.images)
 
 
@@ -65,7 +63,12 @@ def clear_resolved(exceptions: DataFrame, loaded: DataFrame, spec: TableSpec) ->
 
 
 def replay_exceptions(
-    target: DataFrame, exceptions: DataFrame, spec: TableSpec, execution_id: int, now: dt.datetime
+    target: DataFrame,
+    exceptions: DataFrame,
+    spec: TableSpec,
+    execution_id: int,
+    now: dt.datetime,
+    small: bool | None = None,
 ) -> LoadResult:
     """Load the orphan exceptions again, oldest load date first.
 
@@ -74,7 +77,9 @@ def replay_exceptions(
     ``i`` is stamped ``now`` plus ``i`` microseconds.
 
     All dates are done in one pass: a key has at most one row per load date, equal neighbours
-    collapse, and the order within a key gives every row its successor. Only a table that
+    collapse, and the order within a key gives every row its successor. Rows that Spark can
+    broadcast leave the target unshuffled; more of them go through one shuffle together with the
+    target, which ``small`` can ask for or refuse. The rows are the same. Only a table that
     refers to itself is loaded date by date, because there one date can be the next one's parent.
     """
     pending = exceptions.where(
@@ -82,26 +87,28 @@ def replay_exceptions(
     ).drop(*ERROR_COLUMNS)
     if spec.execution_id in pending.columns:
         pending = pending.drop(spec.execution_id)
-    # One value per load run, not per row.
-    date_type = pending.schema[spec.load_date].dataType
-    dates = [
-        row[0]
-        for row in pending.select(_date_key(spec.load_date, date_type).alias("date")).distinct().orderBy("date").collect()
-    ]
     if any(fk.parent is None for fk in spec.foreign_keys):
-        return _replay_by_date(target, exceptions, pending, dates, spec, execution_id, now)
+        # One value per load run, not per row.
+        date_type = pending.schema[spec.load_date].dataType
+        days = pending.select(_date_key(spec.load_date, date_type).alias("date")).distinct().orderBy("date")
+        return _replay_by_date(target, exceptions, pending, [r[0] for r in days.collect()], spec, execution_id, now)
 
     clean = route_orphans(pending, spec.foreign_keys, emit=False, row_hash=spec.row_hash).clean
     change = Change.of(target, spec)
-    survivors = _versions(target, clean.distinct(), dates, spec, change, execution_id, now)
+    staged = _staged_versions(target, clean.distinct(), pending, spec, change, execution_id, now)
+    loaded = staged.select(*(F.col(STAGED + k).alias(k) for k in spec.keys), spec.load_date)
+    left = clear_resolved(exceptions, loaded, spec)
+    if not (fits_broadcast(staged) if small is None else small):
+        images = _images_in_one_shuffle(target, staged, spec, change)
+        current, history = (images.where(F.col("kind") == kind).drop("kind") for kind in ("current", "history"))
+        return LoadResult(current, history, left, images)
+
+    survivors = _linked(staged, spec, change)
     changed = _changed_versions(target, survivors, spec, change)
-
     by_key = Window.partitionBy(*(STAGED + k for k in spec.keys)).orderBy("_at")
     ordered = changed.withColumns({"_from": F.first("_at").over(by_key), "_until": F.lead("_at").over(by_key)})
-    small = fits_broadcast(survivors)
-    if small:
-        # As above: with its true size known it is broadcast to the target.
-        ordered = settle(ordered, "replay")
+    # With its true size known it is broadcast to the target, which is only scanned.
+    ordered = settle(ordered, "replay")
     last = ordered.where(F.col("_until").isNull())
 
     on = same_key(spec)
@@ -113,19 +120,68 @@ def replay_exceptions(
         F.when(F.col("_in_target").isNotNull(), F.col(_LAST + c)).otherwise(F.col(c)).alias(c) for c in target.columns
     ]
     ended = ended_image(target, spec, F.col("_from"))
-    joined = target.join(newest.where("_in_target") if small else newest, on, "left" if small else "full_outer")
+    joined = target.join(newest.where("_in_target"), on, "left")
+    inserted = last.where(~F.col("_in_target")).select(*images)
+    current = joined.select(*either).unionByName(inserted)
     both = both_images(target, joined, either, ended, true(F.col("_in_target")))
-    current = joined.select(*either)
-    if small:
-        inserted = last.where(~F.col("_in_target")).select(*images)
-        current = current.unionByName(inserted)
-        both = both.unionByName(inserted.withColumn("kind", F.lit("current")))
+    both = both.unionByName(inserted.withColumn("kind", F.lit("current")))
     superseded = ordered.where(F.col("_until").isNotNull()).select(*images, "_until")
     superseded = superseded.select(*ended_image(target, spec, F.col("_until")))
     history = target.join(newest.where("_in_target"), on, "inner").select(*ended).unionByName(superseded)
     both = both.unionByName(superseded.withColumn("kind", F.lit("history")))
-    loaded = survivors.select(*(F.col(STAGED + k).alias(k) for k in spec.keys), spec.load_date)
-    return LoadResult(current, history, clear_resolved(exceptions, loaded, spec), both)
+    return LoadResult(current, history, left, both)
+
+
+def _images_in_one_shuffle(target: DataFrame, staged: DataFrame, spec: TableSpec, change: Change) -> DataFrame:
+    """Current and history images from the target's rows and all their later versions side by side.
+
+    Both are dealt out by key once. Within a key the target's row comes first, then the versions by
+    load date: each row's neighbours tell whether it changes anything and until when it lasts.
+    """
+    keys = [f"_key_{i}" for i in range(len(spec.keys))]
+    compared = change.columns(_KNOWN, _KNOWN_HASH)
+    types = {f.name: f.dataType for f in target.schema.fields}
+    of_target = [_KNOWN_HASH] if change.hashed else [F.col(c).alias(_KNOWN + c) for c in change.scope]
+    of_stage = (
+        [F.col(STAGED_HASH).alias(_KNOWN_HASH)] if change.hashed else [F.col(STAGED + c).alias(_KNOWN + c) for c in change.scope]
+    )
+    known = change.with_hash(target, _KNOWN_HASH).select(
+        *(F.col(k).alias(name) for k, name in zip(spec.keys, keys)),
+        *of_target,
+        F.lit(None).cast("timestamp_ntz").alias("_at"),
+        *target.columns,
+    )
+    images = staged.select("*", *new_image_columns(target, spec))
+    versions = images.select(
+        *(F.col(STAGED + k).cast(types[k]).alias(name) for k, name in zip(spec.keys, keys)),
+        *of_stage,
+        "_at",
+        *(F.col(_LAST + c).alias(c) for c in target.columns),
+    )
+    by_key = Window.partitionBy(*keys).orderBy(F.col("_at").asc_nulls_first())
+    first = F.row_number().over(by_key) == 1
+    is_old = F.col("_at").isNull()
+    after_target = F.lag(is_old).over(by_key)
+    same = F.lit(True)
+    for c in compared:
+        same = same & F.lag(c).over(by_key).eqNullSafe(F.col(c))
+    no_hash = F.lit(False)
+    if change.hashed:
+        # Against a NULL hash nothing counts as changed, neither the first version nor a later one.
+        no_hash = F.first(is_old).over(by_key) & F.first(F.col(_KNOWN_HASH).isNull()).over(by_key)
+        same = same | (after_target & F.col(_KNOWN_HASH).isNull())
+    twice = true(F.lag("_at").over(by_key) == F.col("_at"))
+    marked = known.unionByName(versions).withColumns(
+        {"_keeps": is_old | first | ~(no_hash | same), "_twice": twice}
+    )
+    checked = require(marked, ~F.col("_twice"), "one load date holds one key twice")
+    kept = checked.where("_keeps").withColumn("_until", F.lead("_at").over(by_key))
+    over = F.col("_until").isNotNull()
+    ended = [
+        F.when(over, F.col("_until").cast(types[c])).otherwise(F.col(c)).alias(c) if c == spec.end else F.col(c)
+        for c in target.columns
+    ]
+    return kept.select(*ended, F.when(over, "history").otherwise("current").alias("kind"))
 
 
 def _bound(foreign_keys: tuple[ForeignKey, ...], target: DataFrame) -> list[ForeignKey]:
@@ -141,31 +197,42 @@ def _date_value(key: Column, data_type: T.DataType) -> Column:
     return F.timestamp_micros(key) if isinstance(data_type, T.TimestampType) else key.cast(data_type)
 
 
-def _versions(
+def new_image_columns(target: DataFrame, spec: TableSpec) -> list[Column]:
+    """A staged row as a row of the target, under names of its own."""
+    return [image.alias(_LAST + c) for c, image in zip(target.columns, new_image(target, spec, F.col("_at")))]
+
+
+def _staged_versions(
     target: DataFrame,
     rows: DataFrame,
-    dates: list[str] | list[int],
+    pending: DataFrame,
     spec: TableSpec,
     change: Change,
     execution_id: int,
     now: dt.datetime,
 ) -> DataFrame:
-    """The rows to load with their stamps, each marked as first of its key or as a repetition."""
-    date_type = rows.schema[spec.load_date].dataType
-    times = rows.sparkSession.createDataFrame(
-        [(d, (now + dt.timedelta(microseconds=i)).isoformat(sep=" ")) for i, d in enumerate(dates)],
-        f"date {'BIGINT' if isinstance(date_type, T.TimestampType) else 'STRING'}, at STRING",
-    ).select(_date_value(F.col("date"), date_type).alias(spec.load_date), F.col("at").cast("timestamp_ntz").alias("_at"))
+    """The rows to load in the target's types, with the stamp of their load date; settled."""
+    # One row per load run: numbering them is no work for more than one task.
+    number = F.row_number().over(Window.orderBy(spec.load_date)) - 1
+    at = F.expr(f"timestampadd(MICROSECOND, _number, TIMESTAMP_NTZ'{now.isoformat(sep=' ')}')")
+    times = pending.select(spec.load_date).distinct().withColumn("_number", number).select(spec.load_date, at.alias("_at"))
     columns = spec.source_columns(target.columns)
     types = {f.name: f.dataType for f in target.schema.fields}
     values = {spec.execution_id: F.lit(execution_id), spec.load_date: F.col("_at")}
     hashed = change.with_hash(rows.join(times, spec.load_date), STAGED_HASH)
-    staged = hashed.select(
-        *(values.get(c, F.col(c)).cast(types[c]).alias(STAGED + c) for c in columns),
-        *([STAGED_HASH] if change.hashed else []),
-        "_at",
-        spec.load_date,
+    return settle(
+        hashed.select(
+            *(values.get(c, F.col(c)).cast(types[c]).alias(STAGED + c) for c in columns),
+            *([STAGED_HASH] if change.hashed else []),
+            "_at",
+            spec.load_date,
+        ),
+        "replay",
     )
+
+
+def _linked(staged: DataFrame, spec: TableSpec, change: Change) -> DataFrame:
+    """Versions marked as first of their key or as a repetition of the one before."""
     by_key = Window.partitionBy(*(STAGED + k for k in spec.keys)).orderBy("_at")
     before = F.lag("_at").over(by_key)
     same = F.lit(True)
@@ -175,7 +242,7 @@ def _versions(
     once = require(
         linked, F.coalesce(F.col("_before") != F.col("_at"), F.lit(True)), "one load date holds one key twice"
     )
-    return settle(once.withColumn("_is_first", F.col("_before").isNull()).drop("_before"), "replay")
+    return once.withColumn("_is_first", F.col("_before").isNull()).drop("_before")
 
 
 def _changed_versions(target: DataFrame, survivors: DataFrame, spec: TableSpec, change: Change) -> DataFrame:

@@ -171,10 +171,11 @@ def merge_load(
     Two shapes give the same rows. With a stage Spark can broadcast, the target is only scanned
     and never shuffled. Otherwise one full outer join shuffles each side once.
     """
-    if small_stage is None:
-        small_stage = fits_broadcast(stage)
     change = Change.of(target, spec)
     staged = aligned_stage(target, stage, spec, change)
+    if small_stage is None:
+        # Judged as it meets the target: with its casts, its hash and its key check.
+        small_stage = fits_broadcast(staged)
     old = change.with_hash(target, "_hash_of_target")
     at = moment(now, "timestamp_ntz")
     on = same_key(spec)

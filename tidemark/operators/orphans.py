@@ -67,7 +67,10 @@ def route_orphans(
         broken.append(F.when(F.col(mark), F.lit(f"Orphan {fk.column}")))
 
     first_broken = F.coalesce(*broken) if broken else F.lit(None).cast("string")
-    marked = marked.withColumn("_broken", first_broken)
+    marked = marked.withColumn("_broken", first_broken).select(*stage.columns, "_broken")
+    if emit:
+        # Settled whatever its size: a row goes one way only, even if the stage is not the same when read again.
+        marked = settle(marked, "stage")
     clean = marked.where(F.col("_broken").isNull()).select(*stage.columns)
     if not emit:
         return Routed(clean, exceptions)

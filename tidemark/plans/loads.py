@@ -326,7 +326,7 @@ ordered AS (
 )"""
 
 
-def replay_orders(spark: SparkSession, folder: str) -> LoadResult:
+def replay_orders(spark: SparkSession, folder: str, small: bool | None = None) -> LoadResult:
     columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
     orders = read_table(spark, folder, "orders").select(*columns)
     price = F.col("o_totalprice")
@@ -367,7 +367,7 @@ def replay_orders(spark: SparkSession, folder: str) -> LoadResult:
         foreign_keys=(ForeignKey("o_custkey", read_table(spark, folder, "customer"), "c_custkey", "customer"),),
     )
     target = _versioned(stamp(target, spec, 0, CREATED))
-    return replay_exceptions(target, exceptions.unionByName(other), spec, 9, NOW)
+    return replay_exceptions(target, exceptions.unionByName(other), spec, 9, NOW, small)
 
 
 _REPLAY_TIMES = ("DWLoadDate", "VersionStartTime", "VersionEndTime")
@@ -381,6 +381,11 @@ def _replay_history(spark: SparkSession, folder: str) -> DataFrame:
     return times_as_text(replay_orders(spark, folder).history_delta, *_REPLAY_TIMES)
 
 
+def _replay_large(spark: SparkSession, folder: str) -> DataFrame:
+    """Both images of a replay too large to broadcast: one shuffle of target and exceptions together."""
+    return times_as_text(replay_orders(spark, folder, small=False).images, *_REPLAY_TIMES)
+
+
 def _replay_left(spark: SparkSession, folder: str) -> DataFrame:
     return times_as_text(replay_orders(spark, folder).exceptions, "DWLoadDate")
 
@@ -469,6 +474,10 @@ QUERIES = {
     "whole_load": Query(_whole_load, _WHOLE_LOAD),
     "replay_current": Query(_replay_current, _REPLAY_CURRENT),
     "replay_history": Query(_replay_history, _REPLAY_HISTORY),
+    "replay_large": Query(
+        _replay_large,
+        f"SELECT *, 'current' AS kind FROM ({_REPLAY_CURRENT}) UNION ALL SELECT *, 'history' FROM ({_REPLAY_HISTORY})",
+    ),
     "replay_exceptions_left": Query(_replay_left, _REPLAY_LEFT),
     "dense_ids": Query(_dense_ids, _DENSE_IDS),
     "multiset_diff": Query(_multiset_diff, _MULTISET_DIFF),
