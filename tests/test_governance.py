@@ -218,3 +218,33 @@ def test_settle_keeps_rows_and_schema(spark):
 def test_named_checkpoint_folder_is_used(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: str(tmp_path) + "/")
     assert checkpoint_folder(spark) == str(tmp_path)
+
+
+def test_sample_data_does_not_hang_on_partitions(spark):
+    rows = fixtures.sample_data(spark, 500, seed=3)
+    again = fixtures.sample_data(spark, 500, seed=3).repartition(7)
+    assert_same_rows(rows, again)
+    values = {r["IntColumn"] for r in rows.collect()}
+    assert len(values) > 480 and 0 <= min(values) and max(values) <= 100_000
+    assert {r["UserID"] for r in rows.collect()} <= set(range(1, 51))
+
+
+def test_an_instant_reads_the_same_in_every_zone(spark, keys):
+    key = keys.open("BirthdatePII", "Owner")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    df = spark.sql("SELECT timestamp_micros(1577880000123456) AS t, X'00FF' AS b, CAST(NULL AS TIMESTAMP) AS n")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        rows = df
+        for c in ("t", "b", "n"):
+            rows = protection.encrypt(rows, c, f"{c}_cipher", key)
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        plain = protection.decrypt(rows, "t_cipher", "t_plain", "timestamp", key)
+        plain = protection.decrypt(plain, "b_cipher", "b_plain", "binary", key)
+        plain = protection.decrypt(plain, "n_cipher", "n_plain", "timestamp", key)
+        row = plain.select(F.unix_micros("t_plain").alias("t"), "b_plain", "n_plain").first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert (row["t"], bytes(row["b_plain"]), row["n_plain"]) == (1577880000123456, b"\x00\xff", None)
+    with pytest.raises(TypeError):
+        protection.encrypt(spark.sql("SELECT array(1) AS a"), "a", "c", key)

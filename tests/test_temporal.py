@@ -44,6 +44,24 @@ def test_start_from_a_column(spark):
     assert TemporalTable.create(df, ["id"], F.col("since")).current.first()["RowStartDate"] == at("2016-01-01")
 
 
+def test_insert_refuses_keys_that_are_not_new(spark, departments):
+    schema = "DepartmentID INT, DepartmentName STRING, ManagerID INT"
+    for keys, message in (([4, 4], "twice"), ([4, 1], "already"), ([4, None], "NULL")):
+        rows = spark.createDataFrame([(k, "x", 1) for k in keys], schema)
+        with pytest.raises(ValueError, match=message):
+            departments.insert(rows, "2018-01-01")
+
+
+def test_reads_leave_out_versions_without_duration(spark, departments):
+    now = "2018-01-01"
+    rows = spark.createDataFrame([(4, "Paint Shop", 2)], "DepartmentID INT, DepartmentName STRING, ManagerID INT")
+    table = departments.insert(rows, now).update(F.col("DepartmentID") == 4, {"ManagerID": F.lit(3)}, now)
+    mine = F.col("DepartmentID") == 4
+    assert table.all_versions().where(mine).count() == 1
+    assert table.between("2017-01-01", "2019-01-01").where(mine).count() == 1
+    assert table.contained_in("2017-01-01", "9999-12-31 23:59:59.999999").where(mine).count() == 1
+
+
 def test_insert_generates_periods_and_refuses_given_ones(spark, departments):
     rows = spark.createDataFrame([(4, "Paint Shop", 2)], "DepartmentID INT, DepartmentName STRING, ManagerID INT")
     new = departments.insert(rows, "2018-01-01").current.where(F.col("DepartmentID") == 4).first()

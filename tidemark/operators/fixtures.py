@@ -121,13 +121,20 @@ def sample_users(spark: SparkSession, n: int = 50) -> DataFrame:
 def sample_data(
     spark: SparkSession, n: int = 4_999_999, seed: int = 0, users: int = 50, now: Moment = dt.datetime(2015, 1, 1)
 ) -> DataFrame:
-    """``n`` random rows, each belonging to a user, made in parallel where they are used."""
+    """``n`` random rows, each belonging to a user, made in parallel where they are used.
+
+    Values hang on the row's key and the seed alone, so they are the same on any cluster.
+    """
+
+    def uniform(which: int) -> Column:
+        return F.shiftrightunsigned(F.xxhash64(F.lit(seed).cast("bigint"), F.lit(which), "id"), 11) / F.lit(float(1 << 53))
+
     return spark.range(1, n + 1).select(
-        F.col("id").cast("int").alias("RowKey"),
+        F.col("id").alias("RowKey"),
         moment(now).alias("CreateDate"),
-        (moment("2015-01-01") + F.make_dt_interval(days=F.floor(F.rand(seed) * 365).cast("int"))).alias("OtherDate"),
-        F.concat(F.lit("TEST"), F.round(F.rand(seed + 1) * 100).cast("int").cast("string")).alias("VarcharColumn"),
-        F.round(F.rand(seed + 2) * 100000).cast("int").alias("IntColumn"),
-        F.round(F.rand(seed + 3) * 10000, 2).alias("FloatColumn"),
-        (F.round(F.rand(seed + 4) * (users - 1)) + 1).cast("int").alias("UserID"),
+        (moment("2015-01-01") + F.make_dt_interval(days=F.floor(uniform(0) * 365).cast("int"))).alias("OtherDate"),
+        F.concat(F.lit("TEST"), F.round(uniform(1) * 100).cast("int").cast("string")).alias("VarcharColumn"),
+        F.round(uniform(2) * 100000).cast("int").alias("IntColumn"),
+        F.round(uniform(3) * 10000, 2).alias("FloatColumn"),
+        (F.round(uniform(4) * (users - 1)) + 1).cast("int").alias("UserID"),
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,11 +63,27 @@ class TemporalTable:
     # Changes
 
     def insert(self, rows: DataFrame, now: Moment) -> TemporalTable:
-        """Add rows that start now. The period columns are generated and must not be given."""
+        """Add rows that start now. The period columns are generated and must not be given.
+
+        Rows with a key that is NULL, given twice or there already are refused, before anything is added.
+        """
         self._refuse_periods(rows.columns)
+        self._refuse_keys(rows)
         stamped = rows.withColumns(self._open_period(now))
         return replace(self, current=self.current.unionByName(stamped, allowMissingColumns=True))
 
+    def _refuse_keys(self, rows: DataFrame) -> None:
+        if not self.key:
+            return
+        keys = [F.col(k) for k in self.key]
+        unknown = reduce(lambda a, b: a | b, (k.isNull() for k in keys))
+        if not rows.where(unknown).isEmpty():
+            raise ValueError("a key is NULL")
+        if not rows.groupBy(*self.key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").isEmpty():
+            raise ValueError("a key is given twice")
+        if not self.current.select(*self.key).join(rows.select(*self.key), list(self.key), "left_semi").isEmpty():
+            raise ValueError("a key is there already")
+
     def update(self, condition: Column, assignments: Mapping[str, Column], now: Moment) -> TemporalTable:
         """Change matching rows; each gets a new version even when no value differs."""
         self._refuse_periods(assignments)
