@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.durable import settle
+from tidemark.durable import new_run_folder, scratch, settle
 from tidemark.functions.moments import moment, open_end
 from tidemark.operators import security as sec
 from tidemark.operators.load import run_load
@@ -143,3 +143,16 @@ def test_a_large_replay_shuffles_the_target_once(spark, folder):
     # The target is one scan of orders, the versions one of what was settled.
     assert len(re.findall(r"^\(\d+\) Scan parquet", text, flags=re.M)) == 2
     assert len(exchanges(text)) == 1 and "SortMergeJoin" not in text
+
+
+def test_scratch_folders_go_with_their_scope(spark, tmp_path):
+    kept = settle(spark.range(3))
+    with scratch(spark):
+        settled = settle(spark.range(5))
+        settled.write.parquet(f"{tmp_path}/wanted")
+        folder = new_run_folder(spark, "more")
+        spark.range(2).write.parquet(folder)
+    assert spark.read.parquet(f"{tmp_path}/wanted").count() == 5 and kept.count() == 3
+    for gone in (folder, settled.inputFiles()[0] if settled.inputFiles() else folder):
+        with pytest.raises(Exception, match="(?i)path|file"):
+            spark.read.parquet(gone).count()

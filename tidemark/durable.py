@@ -9,11 +9,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 _LOCAL_FOLDERS: dict[str, str] = {}
+_SCOPE: ContextVar[list[str] | None] = ContextVar("tidemark_scratch", default=None)
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
@@ -25,12 +30,35 @@ def checkpoint_folder(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise RuntimeError(f"set {SETTING} to a folder that every executor can reach")
     if context.applicationId not in _LOCAL_FOLDERS:
+        warnings.warn(f"{SETTING} is not set: intermediate results go to a folder of this machine", stacklevel=2)
         _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
     return _LOCAL_FOLDERS[context.applicationId]
 
 
 def new_run_folder(spark: SparkSession, label: str) -> str:
-    return f"{checkpoint_folder(spark)}/tidemark-{label}-{uuid.uuid4().hex}"
+    folder = f"{checkpoint_folder(spark)}/tidemark-{label}-{uuid.uuid4().hex}"
+    made = _SCOPE.get()
+    if made is not None:
+        made.append(folder)
+    return folder
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes, at its end, the folders made inside it. What is wanted has to be written before.
+
+    A DataFrame that was settled inside cannot be read afterwards.
+    """
+    made: list[str] = []
+    token = _SCOPE.set(made)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        configuration = spark._jsc.hadoopConfiguration()
+        for folder in made:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(configuration).delete(path, True)
 
 
 def settle(df: DataFrame, label: str = "step") -> DataFrame:
