@@ -143,8 +143,8 @@ def fit(
     parts = [
         marked.where(F.col("label") == value).orderBy(F.xxhash64("key"), "key").limit(2 * sample_rows) for value in (0, 1)
     ]
-    keys = parts[0].union(parts[1]).collect()  # bounded by the parameters
-    wanted = docs.sparkSession.createDataFrame(keys, marked.schema)
+    # Bounded by the parameters; as a local table its size is known, so the documents stay where they lie.
+    wanted = docs.sparkSession.createDataFrame(parts[0].union(parts[1]).toArrow())
     rows = (
         only(docs, key=key, text=text)
         .join(wanted, "key")
