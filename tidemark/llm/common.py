@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def learns(key: str, parts: int, held: int) -> Column:

@@ -35,6 +35,8 @@ from tidemark.llm.common import annotate, learns, only, restored
 from tidemark.llm.shipping import ship
 
 WINDOW = 2048
+#: Bytes of text held as Python strings at once.
+SLICE = 2 << 20
 LEVEL = 3
 SAMPLE_ROWS = 2000
 DICTIONARY_ROWS = 1000
@@ -187,7 +189,7 @@ def annotated(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of bounded size
     return annotate(
-        docs, text, ["double"], lambda column: [pa.array(sent.value.score(features(sent.value, column.to_pylist())))]
+        docs, text, ["double"], lambda column: [pa.array(sent.value.score(features(sent.value, column.to_pylist())))], SLICE
     )
 
 

@@ -33,6 +33,8 @@ from tidemark.llm.shipping import ship
 SEED = 42
 #: Rows of a tile: two tiles and a block of their comparison stay within a few MB.
 TILE = 4096
+#: Bytes of text whose words and hashes are held at once.
+SLICE = 2 << 20
 _LANES = np.uint64(0x0001000100010001)
 _FULL = 65_535
 #: (words, radius), ascending: two fingerprints are linked if, for each of these, they differ in no
@@ -93,7 +95,7 @@ def fingerprints(docs: DataFrame, key: str, text: str, shingle: int = 3, words:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for cut in slices(batch, 1):
+            for cut in slices(batch, 1, SLICE):
                 lists = [shingle_hashes(t, shingle) for t in texts(cut.column(1)).to_pylist()]
                 offsets = offsets_of(np.array([len(x) for x in lists], np.int64))
                 hashes = np.fromiter((h for x in lists for h in x), np.uint64, offsets[-1])
