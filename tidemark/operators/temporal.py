@@ -214,7 +214,7 @@ class TemporalTable:
     # Checks
 
     def check_periods(self) -> DataFrame:
-        return self.all_versions().where(F.col(self.start) > F.col(self.end))
+        return self._stored().where(F.col(self.start) > F.col(self.end))
 
     def check_overlaps(self, hot_rows: int = HOT_ROWS) -> DataFrame:
         """Versions that start before an earlier version of their key has ended.
@@ -240,6 +240,10 @@ class TemporalTable:
 
     # Helpers
 
+    def _stored(self) -> DataFrame:
+        """All rows there are, for the checks: also those that reads leave out."""
+        return self.current.unionByName(self.history)
+
     def _type(self, column: str):
         return self.current.schema[column].dataType
 
