@@ -157,6 +157,18 @@ def test_one_of_each_group_stays(frame):
     assert sorted(map(tuple, kept.collect()), key=str) == expected
 
 
+def test_repeats_within_a_text_do_not_link_or_part(frame):
+    """Texts that share one line often repeated stay; a text that repeats itself is a copy."""
+    draw = random.Random(5)
+    words = ["".join(draw.choice("abcdefghij") for _ in range(6)) for _ in range(20_000)]
+    line = " ".join(draw.choice(words) for _ in range(10))
+    shared = [" ".join([line] * 30 + [draw.choice(words) for _ in range(400)]) for _ in range(6)]
+    once = " ".join(draw.choice(words) for _ in range(300))
+    texts = [*shared, once, " ".join([once] * 2), " ".join([once] * 7)]
+    kept = simhash.keep_one_of_each(frame(list(enumerate(texts)), "doc_id long, text string"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 6]
+
+
 def test_odd_documents_keep_one_of_each(odd_docs):
     kept = simhash.keep_one_of_each(odd_docs).collect()
     texts = [r["text"] for r in kept]

@@ -2,7 +2,8 @@
 
 Words are the runs between ASCII white space, A-Z lower-cased; a shingle is so many words joined by
 single spaces (a shorter text is one shingle, a text without words has the fingerprint zero). Bit b
-of a fingerprint is 1 if it is 1 in more than half of the shingles' hashes, repeats counted.
+of a fingerprint is 1 if it is 1 in more than half of the shingles' hashes, repeats counted; the
+pipeline's stage compares sets of shingles and counts each once.
 
 Texts with one fingerprint are one node from then on. Nodes are tiled by population counts: those
 of parts of the fingerprint, whose differences sum to no more than the bits that differ. Tiles
@@ -88,8 +89,13 @@ def mixed(hashes: np.ndarray, word: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def fingerprints(docs: DataFrame, key: str, text: str, shingle: int = 3, words: int = 1) -> DataFrame:
-    """(key, n_shingles, w0, w1, ...): fingerprints of 64 bits a word."""
+def fingerprints(
+    docs: DataFrame, key: str, text: str, shingle: int = 3, words: int = 1, repeats: bool = True
+) -> DataFrame:
+    """(key, n_shingles, w0, w1, ...): fingerprints of 64 bits a word.
+
+    Without ``repeats`` each distinct shingle of a text votes once and is counted once.
+    """
     ship(docs.sparkSession)
     names = [f"w{i}" for i in range(words)]
 
@@ -97,6 +103,8 @@ def fingerprints(docs: DataFrame, key: str, text: str, shingle: int = 3, words:
         for batch in batches:
             for cut in slices(batch, 1, SLICE):
                 lists = [shingle_hashes(t, shingle) for t in texts(cut.column(1)).to_pylist()]
+                if not repeats:
+                    lists = [list(set(x)) for x in lists]
                 offsets = offsets_of(np.array([len(x) for x in lists], np.int64))
                 hashes = np.fromiter((h for x in lists for h in x), np.uint64, offsets[-1])
                 columns = [cut.column(0), pa.array(np.diff(offsets))]
@@ -294,8 +302,8 @@ def near_duplicates(
 
 # Wide fingerprints for near copies that differ in more than a few shingles
 
-#: Documents whose shingle counts have a ratio of 0.8 or more lie in one class of this base or in
-#: neighbouring ones; others cannot be so similar.
+#: Documents whose counts of distinct shingles have a ratio of 0.8 or more lie in one class of this
+#: base or in neighbouring ones; others cannot be so similar.
 RATIO = 1.25
 WIDE_SHINGLE = 5
 WIDE_WORDS = 16
@@ -309,13 +317,14 @@ WIDE_LIMITS: Limits = [(2, 40), (WIDE_WORDS, 165)]
 def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Whole rows of ``docs``, one of each group of near copies: that with the smallest key.
 
-    Groups are the components of links between fingerprints of 1,024 bits over five-word shingles
-    that speak for a similarity of 0.8 or more. Rows that repeat key and text are copies too.
+    Groups are the components of links between fingerprints of 1,024 bits over distinct five-word
+    shingles that speak for a similarity of 0.8 or more; how often a text repeats a shingle does not
+    matter. Rows that repeat key and text are copies too.
     """
     identity = F.struct(F.col(f"`{key}`").alias("key"), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("hash"))
     marked = docs.select(identity.alias("id"), F.col(f"`{text}`").alias("text"))
     words = [f"w{i}" for i in range(WIDE_WORDS)]
-    prints = fingerprints(marked, "id", "text", WIDE_SHINGLE, WIDE_WORDS)
+    prints = fingerprints(marked, "id", "text", WIDE_SHINGLE, WIDE_WORDS, repeats=False)
     size = F.when(F.col("n_shingles") == 0, -9).otherwise(F.floor(F.log(F.col("n_shingles")) / F.lit(np.log(RATIO))))
     found = near_groups(prints, "id", words, WIDE_LIMITS, size, [0, 1])
     kept = settle(found.select(F.col("component_id").alias("id")).distinct(), "kept")
