@@ -90,6 +90,42 @@ def test_long_words_are_read_in_stretches():
     assert langid.log_likelihoods(langid.find_matches(column, default_path()), p, 1)[0][0] == pytest.approx(expected)
 
 
+def test_no_word_underflows():
+    """Whole words of any length, with probabilities far below what a double can multiply."""
+    size = byte_vocabulary(default_path()).size
+    p = np.full((2, size), 1e-30)
+    p[1] = 1 / size
+    words = ["the", "漢" * 20, "ж" * 40, "ab" * 300, "x" * 5000]
+    found = langid.log_likelihoods(langid.find_matches(pa.array(words, pa.large_string()), default_path(), None), p, len(words))
+    assert np.isfinite(found).all()
+    for language in (0, 1):
+        for i, word in enumerate(words):
+            data, tokens = f" {word}".encode(), byte_vocabulary(default_path()).tokens
+            total = [0.0] + [-math.inf] * len(data)
+            for end in range(1, len(data) + 1):
+                for begin in range(max(0, end - 130), end):
+                    if data[begin:end] in tokens:
+                        total[end] = np.logaddexp(total[end], total[begin] + math.log(p[language][tokens[data[begin:end]]]))
+            assert found[language][i] == pytest.approx(total[-1])
+
+
+@pytest.mark.parametrize("times", [10**3, 10**6, 10**9, 10**12])
+def test_one_word_in_an_unseen_script_does_not_decide(times):
+    """However large the corpus, a long English text stays English with a long Russian word in it."""
+    english = "the people of this town have always said that water from the old river was good for their bread"
+    russian = "люди этого города всегда говорили что вода из старой реки хороша для хлеба достопримечательность"
+    counts = np.zeros((2, byte_vocabulary(default_path()).size))
+    for row, text, n in zip(counts, (english, russian), (times, 1000), strict=True):
+        found = langid.find_matches(langid.read_words(pa.array([text], pa.large_string())).words, default_path())
+        np.add.at(row, found.piece, n)
+    model = langid.Model(["en", "ru"], langid._smoothed(counts))
+    quoting = " ".join([english] * 10 + ["достопримечательность"] + [english] * 10)
+    column = pa.array([quoting, russian, "漢字" * 40], pa.large_string())
+    names, score, words = langid.judgements(model, default_path(), column)
+    assert names.to_pylist()[:2] == ["en", "ru"]
+    assert np.isfinite(score.to_numpy()).all() and min(score.to_pylist()[:2]) > 0.9
+
+
 def test_words_are_counted_by_text():
     column = pa.array(["The the, THE!", "", "123 --", "l'eau d'or", "x1y"], pa.large_string())
     found = langid.read_words(column)

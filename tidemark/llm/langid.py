@@ -3,13 +3,14 @@
 A language is a probability for each piece of a fixed public vocabulary. A word's probability is
 the sum over every way to cut it into pieces, by the forward algorithm; a text's is the product
 over its words. The language under which a text is likeliest is its prediction. Words are runs of
-letters, lower-cased, with one space before them as the vocabulary writes words; a word of more
-than ``STRETCH`` bytes is read in stretches of that size.
+letters, lower-cased, with one space before them as the vocabulary writes words. Words are read
+whole, however long; where the plain sum comes near the smallest double it is taken in logarithms.
 
 Piece probabilities are the smoothed shares of a piece among all matches of pieces in the words of
-that language, over all documents that may be learned from. They are counted where the documents
-lie and added up by Spark; what the driver and the tasks hold is bounded by vocabulary times
-languages.
+that language, over all documents that may be learned from, and ``FLOOR`` of equal shares whatever
+the size of the corpus, so that one word in a script unknown to a language does not decide a long
+text. They are counted where the documents lie and added up by Spark; what the driver and the tasks
+hold is bounded by vocabulary times languages.
 
 The score is the posterior of the predicted language, with the text's mean word standing for at
 most ``EVIDENCE`` words, so that mixed text does not look certain. Texts that are null or have no
@@ -33,11 +34,19 @@ from tidemark.llm.common import annotate, learns, offsets_of, only, ragged, rest
 from tidemark.llm.shipping import ship
 from tidemark.llm.vocabulary import byte_trie, byte_vocabulary, default_path
 
+#: Bytes at which ``find_matches`` cuts words unless told otherwise; the operator does not cut.
 STRETCH = 64
 #: Texts worked on at once: each byte of a distinct word has several matches, and each match its numbers.
 SLICE = 2 << 20
 EVIDENCE = 8
 SMOOTHING = 1000.0
+#: Share of equal piece probabilities in each language.
+FLOOR = 1e-3
+#: Sums below this are taken in logarithms: what a double loses is less than 1e-100 of larger ones.
+TINY = 1e-200
+#: Bytes of a word from which it is summed place by place for all languages together, not in groups
+#: with other words.
+LONG = 1024
 
 
 @dataclass
@@ -84,30 +93,53 @@ class Matches:
     """Every match of a piece in some stretches: where it starts and ends, and the piece.
 
     A stretch of m bytes has m + 1 places; ``first`` is the place of each one's beginning. Matches
-    come in groups of one distance from that and one length, so a group meets no place twice.
+    are sorted by distance from that and then length; those of one distance and length lie between
+    two of ``cuts``, so none of them meet in a place.
     """
 
     first: np.ndarray
     last: np.ndarray
     word: np.ndarray
     places: int
-    groups: list[tuple[np.ndarray, int, np.ndarray, np.ndarray]]  # start places, length, pieces, stretches
-
-
-def find_matches(words: pa.Array, path: str) -> Matches:
+    start: np.ndarray
+    length: np.ndarray
+    piece: np.ndarray
+    stretch: np.ndarray
+    cuts: np.ndarray
+
+    def groups(self) -> Iterator[tuple[slice, int]]:
+        """Matches of one distance and length, by distance, and that length."""
+        if len(self.piece):
+            cuts = self.cuts.tolist()
+            for a, b, length in zip(cuts[:-1], cuts[1:], self.length[self.cuts[:-1]].tolist(), strict=True):
+                yield slice(a, b), length
+
+    def of(self, chosen: np.ndarray) -> Matches:
+        """The matches of some stretches alone; places stay as they are."""
+        on = np.flatnonzero(chosen[self.stretch])
+        cuts = np.unique(np.searchsorted(on, self.cuts))
+        return Matches(
+            self.first[chosen], self.last[chosen], self.word[chosen], self.places,
+            self.start[on], self.length[on], self.piece[on], self.stretch[on], cuts,
+        )
+
+
+def find_matches(words: pa.Array, path: str, cut: int | None = STRETCH) -> Matches:
+    """Matches in words cut into stretches of so many bytes, or in whole words."""
     trie = byte_trie(path)
     led = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), words, pa.scalar("", pa.large_string()))
     if not len(led):
         empty = np.zeros(0, np.int64)
-        return Matches(empty, empty, empty, 0, [])
+        return Matches(empty, empty, empty, 0, empty, empty, empty, empty, np.zeros(1, np.int64))
     ends = np.frombuffer(led.buffers()[1], np.int64)[: len(led) + 1]
     data = np.frombuffer(led.buffers()[2], np.uint8)
     size = np.diff(ends)
-    parts = -(-size // STRETCH)
+    cut = cut or int(size.max())
+    parts = -(-size // cut)
     word = np.repeat(np.arange(len(size)), parts)
     number = ragged(np.zeros(len(size), np.int64), parts)
-    begin = ends[:-1][word] + number * STRETCH
-    length = np.minimum(size[word] - number * STRETCH, STRETCH)
+    begin = ends[:-1][word] + number * cut
+    length = np.minimum(size[word] - number * cut, cut)
     offsets = offsets_of(length + 1)
     first = offsets[:-1]
 
@@ -130,27 +162,85 @@ def find_matches(words: pa.Array, path: str) -> Matches:
         on = left > taken
         at, node, left, stretch, distance = at[on], node[on], left[on], stretch[on], distance[on]
     stretch, distance, taken_, piece = (np.concatenate(x) for x in zip(*found, strict=True))
-    code = distance * (STRETCH * 4) + taken_
+    width = taken + 1
+    code = distance.astype(np.int32 if int(length.max()) * width < 1 << 31 else np.int64) * width + taken_
     by = np.argsort(code, kind="stable")
-    cuts = np.flatnonzero(np.diff(code[by])) + 1
-    groups = [
-        (first[stretch[g]] + distance[g], int(taken_[g[0]]), piece[g], stretch[g]) for g in np.split(by, cuts) if len(g)
-    ]
-    return Matches(first, first + length, word, int(offsets[-1]), groups)
+    cuts = np.r_[0, np.flatnonzero(np.diff(code[by])) + 1, len(by)]
+    del code
+    stretch = stretch[by]
+    start = first[stretch] + distance[by]
+    return Matches(first, first + length, word, int(offsets[-1]), start, taken_[by], piece[by], stretch, cuts)
 
 
 def log_likelihoods(matches: Matches, probability: np.ndarray, words: int) -> np.ndarray:
     """log p(word | language) by the forward algorithm: languages x words."""
-    out = np.empty((len(probability), words))
+    out = np.zeros((len(probability), words))
+    long = matches.last - matches.first > LONG
+    if long.any():
+        apart = matches.of(long)
+        for row, sums in zip(out, _place_by_place(apart, probability), strict=True):
+            row += np.bincount(apart.word, weights=sums, minlength=words)
+        matches = matches.of(~long)
     for language, p in enumerate(probability):
         forward = np.zeros(matches.places)
         forward[matches.first] = 1.0
-        for start, length, piece, _ in matches.groups:  # by start, so that each is complete when read
-            forward[start + length] += forward[start] * p[piece]
-        out[language] = np.bincount(matches.word, weights=np.log(forward[matches.last]), minlength=words)
+        for at, length in matches.groups():  # by start, so that each is complete when read
+            start = matches.start[at]
+            forward[start + length] += forward[start] * p[matches.piece[at]]
+        ends = forward[matches.last]
+        low = ends < TINY
+        ends = np.log(np.where(low, 1.0, ends))
+        if low.any():
+            ends[low] = _in_logarithms(matches.of(low), p)
+        out[language] += np.bincount(matches.word, weights=ends, minlength=words)
+    return out
+
+
+def _place_by_place(matches: Matches, probability: np.ndarray) -> np.ndarray:
+    """log p(stretch | language) in logarithms: languages x stretches."""
+    by = np.argsort(matches.start, kind="stable")
+    start, length, piece = matches.start[by], matches.length[by], matches.piece[by]
+    begins = np.r_[np.searchsorted(start, matches.first), len(start)]
+    width = int(length.max()) + 1
+    with np.errstate(divide="ignore"):
+        share = np.log(probability)
+    out = np.empty((len(probability), len(matches.first)))
+    for i, first in enumerate(matches.first):
+        own = slice(begins[i], begins[i + 1])
+        place, reach, pieces = start[own] - first, length[own], piece[own]
+        held = np.full((len(probability), width), -np.inf)  # the next places, in a ring
+        held[:, 0] = 0.0
+        size = int(matches.last[i] - first)
+        ends = np.searchsorted(place, np.arange(size), side="right").tolist()
+        a = 0
+        for at in range(size):
+            now = held[:, at % width].copy()
+            held[:, at % width] = -np.inf
+            b = ends[at]
+            to = (at + reach[a:b]) % width
+            held[:, to] = np.logaddexp(held[:, to], now[:, None] + share[:, pieces[a:b]])
+            a = b
+        out[:, i] = held[:, size % width]
     return out
 
 
+def _in_logarithms(matches: Matches, p: np.ndarray) -> np.ndarray:
+    """log p(stretch) where the plain sum is too small for a double."""
+    # Places of the other stretches are left out.
+    size = matches.last - matches.first + 1
+    own = offsets_of(size)
+    shift = matches.first - own[:-1]
+    start = matches.start - shift[np.searchsorted(matches.first, matches.start, side="right") - 1]
+    forward = np.full(int(own[-1]), -np.inf)
+    forward[own[:-1]] = 0.0
+    with np.errstate(divide="ignore"):
+        share = np.log(p)
+    for at, length in matches.groups():
+        to = start[at] + length
+        forward[to] = np.logaddexp(forward[to], forward[start[at]] + share[matches.piece[at]])
+    return forward[own[1:] - 1]
+
+
 @dataclass(frozen=True)
 class Model:
     languages: list[str]
@@ -168,7 +258,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", path: str | Non
         for batch in batches:
             for cut in slices(batch, 0, SLICE):
                 found = read_words(texts(cut.column(0)))
-                matches = find_matches(found.words, path)
+                matches = find_matches(found.words, path, None)
                 names = cut.column(1).dictionary_encode()
                 of_text = names.indices.to_numpy(zero_copy_only=False)
                 for code, name in enumerate(names.dictionary.to_pylist()):
@@ -176,10 +266,8 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", path: str | Non
                     units = np.bincount(found.unit[mine], minlength=found.units)
                     times = np.bincount(found.word, weights=units[found.unit_of_word], minlength=len(found.words))
                     sums = held.setdefault(name, np.zeros(pieces))
-                    if matches.groups:
-                        piece = np.concatenate([g[2] for g in matches.groups])
-                        stretch = np.concatenate([g[3] for g in matches.groups])
-                        sums += np.bincount(piece, weights=times[matches.word[stretch]], minlength=pieces)
+                    if len(matches.piece):
+                        sums += np.bincount(matches.piece, weights=times[matches.word[matches.stretch]], minlength=pieces)
         for name, sums in held.items():
             some = np.flatnonzero(sums)
             yield pa.RecordBatch.from_arrays(
@@ -201,12 +289,16 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", path: str | Non
 
 
 def _smoothed(counts: np.ndarray) -> np.ndarray:
-    """Shares of pieces, drawn towards their shares over all languages, and these towards equal ones."""
+    """Shares of pieces, drawn towards their shares over all languages, and these towards equal ones.
+
+    Of each language ``FLOOR`` are equal shares, so an unseen piece does not fade as the corpus grows.
+    """
     if not len(counts):
         return counts
     overall = counts.sum(axis=0) + 0.1
     overall /= overall.sum()
-    return (counts + SMOOTHING * overall) / (counts.sum(axis=1, keepdims=True) + SMOOTHING)
+    shares = (counts + SMOOTHING * overall) / (counts.sum(axis=1, keepdims=True) + SMOOTHING)
+    return (1 - FLOOR) * shares + FLOOR / counts.shape[1]
 
 
 def judgements(model: Model, path: str, column: pa.Array) -> list[pa.Array]:
@@ -215,7 +307,7 @@ def judgements(model: Model, path: str, column: pa.Array) -> list[pa.Array]:
     names = pa.array([*model.languages, "und"], pa.string())
     found = read_words(column)
     words = found.per_text(np.ones(len(found.words)), n)
-    likely = log_likelihoods(find_matches(found.words, path), model.probability, len(found.words))
+    likely = log_likelihoods(find_matches(found.words, path, None), model.probability, len(found.words))
     total = np.array([found.per_text(row, n) for row in likely]).reshape(len(model.languages), n)
     best, score = np.full(n, len(model.languages)), np.zeros(n)
     some = words > 0
