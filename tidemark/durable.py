@@ -13,11 +13,13 @@ import warnings
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 _LOCAL_FOLDERS: dict[str, str] = {}
+_SETTLED: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 _SCOPE: ContextVar[list[str] | None] = ContextVar("tidemark_scratch", default=None)
 
 
@@ -55,10 +57,13 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _SCOPE.reset(token)
-        configuration = spark._jsc.hadoopConfiguration()
         for folder in made:
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(configuration).delete(path, True)
+            _remove(spark, folder)
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame, label: str = "step") -> DataFrame:
@@ -66,4 +71,17 @@ def settle(df: DataFrame, label: str = "step") -> DataFrame:
     spark = df.sparkSession
     folder = new_run_folder(spark, label)
     df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    settled = spark.read.schema(df.schema).parquet(folder)
+    _SETTLED[settled] = folder
+    return settled
+
+
+def free(*settled: DataFrame) -> None:
+    """Remove the files of DataFrames that ``settle`` returned, once nothing will read them again.
+
+    For loops: what a round was made from goes when the next round is settled.
+    """
+    for df in settled:
+        folder = _SETTLED.pop(df, None)
+        if folder is not None:
+            _remove(df.sparkSession, folder)
