@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    alignment,
     bpe,
+    divergence,
     fingerprints,
     langid,
     packing,
     quality,
     redirects,
+    rules,
     simhash,
     token_counts,
     topk,
@@ -70,6 +73,18 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read_table(spark, folder, "documents"))
 
 
+def op11_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(read_table(spark, folder, "documents"))
+
+
+def op12_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.judge(read_table(spark, folder, "documents"))
+
+
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.audit(read_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_topk": op2_topk,
@@ -81,6 +96,9 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_packing": op10_packing,
+    "op11_divergence": op11_divergence,
+    "op12_rules": op12_rules,
+    "op13_alignment": op13_alignment,
 }
 
 _OP2_SQL = """
@@ -164,4 +182,134 @@ SELECT p.page_id, coalesce(u.host, '') AS host, coalesce(u.path, '') AS path, u.
 FROM pages p LEFT JOIN ruled u ON u.url = p.url LEFT JOIN decided d ON d.node = u.address
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_topk": _OP2_SQL, "op5_redirects": _OP5_SQL}
+# Terms, totals and divergences spelled out: every term of a language in every one of its sources.
+_OP11_SQL = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+),
+sources AS (SELECT DISTINCT lang, source FROM docs),
+found AS (SELECT doc, lang, source, term, count(*) AS n FROM (SELECT doc, lang, source, unnest(terms) AS term FROM docs) GROUP BY ALL),
+kept AS (SELECT lang, term FROM found GROUP BY lang, term HAVING count(*) >= 10),
+counted AS (SELECT lang, source, term, sum(n)::BIGINT AS n FROM found JOIN kept USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+full_counts AS (
+    SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n
+    FROM sources s JOIN kept k ON k.lang = s.lang
+    LEFT JOIN counted c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term
+),
+shares AS (
+    SELECT lang, source, term, n,
+        1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER (PARTITION BY lang, source) + 2 * v)::HUGEINT AS p
+    FROM full_counts JOIN v USING (lang)
+),
+of_lang AS (
+    SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER (PARTITION BY lang) + 2 * v)::HUGEINT AS q
+    FROM (SELECT lang, term, sum(n) AS n FROM full_counts GROUP BY lang, term) JOIN v USING (lang)
+),
+pairs AS (
+    SELECT a.lang, a.source, b.source AS item, coalesce(sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)), 0)::BIGINT AS value
+    FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN shares x ON x.lang = a.lang AND x.source = a.source
+    LEFT JOIN shares y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+    GROUP BY ALL
+),
+terms AS (
+    SELECT lang, source, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value
+    FROM shares JOIN of_lang USING (lang, term) WHERE n > 0 AND p > q
+),
+ranked AS (
+    SELECT lang, source, 'pair' AS part, item, value,
+        row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INTEGER AS rank FROM pairs
+    UNION ALL
+    SELECT lang, source, 'term', item, value,
+        row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INTEGER AS rank FROM terms
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
+def _op12_sql() -> str:
+    """The rules with plain windows of words, and quartiles by counting along ordered rates."""
+    rates = " UNION ALL ".join(
+        f"SELECT doc, lang, source, '{r.name}' AS rate, {r.count} * 1000 // n_words AS value FROM counted WHERE NOT base_failed"
+        for r in rules.RATES
+    )
+    fits = []
+    for r in rules.RATES:
+        value = f"{r.count} * 1000 // n_words"
+        fits.append(f"{value} <= max(most) FILTER (rate = '{r.name}')")
+        if r.low:
+            fits.append(f"{value} >= max(least) FILTER (rate = '{r.name}')")
+    slack = "CASE rate " + " ".join(f"WHEN '{r.name}' THEN {r.slack or 'q1 // 16'}" for r in rules.RATES) + " END"
+    levels = []
+    for name, keys in (("own", "lang, source, rate"), ("of_lang", "lang, rate"), ("of_all", "rate")):
+        levels.append(f"""
+{name}_upto AS (
+    SELECT {keys}, cut, sum(count(*)) OVER (PARTITION BY {keys} ORDER BY cut) AS upto, sum(count(*)) OVER (PARTITION BY {keys}) AS total
+    FROM rates GROUP BY {keys}, cut
+),
+{name} AS (
+    SELECT {keys}, max(total) AS total, min(cut) FILTER (4 * upto >= total) AS q1, min(cut) FILTER (4 * upto >= 3 * total) AS q3
+    FROM {name}_upto GROUP BY {keys}
+)""")
+    return rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS doc, doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text
+    FROM documents
+),
+split AS (
+    SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+        list_filter(string_split(text, chr(10)), lambda line: regexp_matches(line, '[^\x20\x09-\x0D]')) AS lines
+    FROM docs
+),
+runs AS (
+    SELECT doc, pos, array_to_string(words[pos:pos + {rules.RUN - 1}], ' ') AS run
+    FROM (SELECT doc, words, unnest(range(1, len(words) - {rules.RUN - 2})) AS pos FROM split WHERE len(words) >= {rules.RUN})
+),
+again AS (SELECT doc, pos FROM (SELECT doc, pos, count(*) OVER (PARTITION BY doc, run) AS times FROM runs) WHERE times > 1),
+covered AS (
+    SELECT doc, sum(least({rules.RUN}, following - pos)) AS n
+    FROM (SELECT doc, pos, coalesce(lead(pos) OVER (PARTITION BY doc ORDER BY pos), pos + {rules.RUN}) AS following FROM again)
+    GROUP BY doc
+),
+counts AS (
+    SELECT s.doc, doc_id, lang, source, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, lambda w: length(w))), 0)::BIGINT AS word_chars,
+        len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+        coalesce(n, 0)::BIGINT AS n_repeat_words
+    FROM split s LEFT JOIN covered c ON c.doc = s.doc
+),
+counted AS (
+    SELECT *, n_words < {rules.LEAST_WORDS} OR 100 * n_repeat_words > {rules.MOST_REPEATED} * n_words AS base_failed FROM counts
+),
+rates AS (
+    SELECT *, (value >> greatest(length(bin(value)) - {rules.DIGITS}, 0)) << greatest(length(bin(value)) - {rules.DIGITS}, 0) AS cut FROM ({rates})
+),{",".join(levels)},
+chosen AS (
+    SELECT o.lang, o.source, rate,
+        CASE WHEN o.total >= {rules.LEAST} THEN o.q1 WHEN l.total >= {rules.LEAST} THEN l.q1 ELSE a.q1 END AS q1,
+        CASE WHEN o.total >= {rules.LEAST} THEN o.q3 WHEN l.total >= {rules.LEAST} THEN l.q3 ELSE a.q3 END AS q3
+    FROM own o JOIN of_lang l USING (lang, rate) JOIN of_all a USING (rate)
+),
+limits AS (
+    SELECT lang, source, rate, q1 - {rules.REACH} * greatest(q3 - q1, {slack}) AS least, q3 + {rules.REACH} * greatest(q3 - q1, {slack}) AS most
+    FROM chosen
+),
+judged AS (
+    SELECT c.doc, {" AND ".join(fits)} AS fits
+    FROM counted c JOIN limits USING (lang, source) WHERE NOT base_failed GROUP BY c.doc, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, coalesce(fits, false) AS kept
+FROM counted c LEFT JOIN judged j ON j.doc = c.doc
+"""
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_topk": _OP2_SQL,
+    "op5_redirects": _OP5_SQL,
+    "op11_divergence": _OP11_SQL,
+    "op12_rules": _op12_sql(),
+}

@@ -21,19 +21,21 @@ from tidemark.llm.vocabulary import byte_of_char, default_path
 
 
 class BatchTokenizer:
-    def __init__(self, path: str):
+    """With ``added`` false, the strings of added tokens are plain text."""
+
+    def __init__(self, path: str, added: bool = True):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         to_byte = byte_of_char()
-        added = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         ranks = {
             bytes(to_byte[c] for c in token): rank
             for token, rank in spec["model"]["vocab"].items()
-            if token not in added
+            if token not in special
         }
-        self.added = added
+        self.added = special if added else {}
         self.encoding = tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.size = max([*ranks.values(), *added.values()]) + 1
+        self.size = max([*ranks.values(), *special.values()]) + 1
         self.leads = np.zeros(self.size, bool)
         for token, rank in ranks.items():
             self.leads[rank] = token[:1] == b" "
