@@ -9,9 +9,10 @@ its cosine, 0 where it would be negative.
 The votes of bits j and j + 32 are added in one long, so a text's votes are 32 sums; they are exact
 up to 2^31 terms a text. Everything runs as DataFrame expressions.
 
-Null texts are empty. Rows that repeat a key with one text collapse before the votes and come back
-as often; where a key has several texts, the next document's text is its smallest text and its
-fingerprint its smallest one. Null keys go before all others.
+Null texts are empty, very long ones are read whole. Rows that repeat a key with one text collapse
+before the votes and come back as often; where a key has several texts, the next document's text is
+its smallest text and its fingerprint its smallest one. Null keys go before all others. An empty
+table gives an empty one. Only the named columns are read, so other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -26,6 +27,9 @@ from tidemark.llm.common import only
 
 BITS = 64
 TERM_WORDS = 3
+#: Differing bits within which fingerprints count as near, and the blocks whose permutations find them.
+NEAR = 3
+NEAR_BLOCKS = 6
 
 
 def term_hashes(words: Column, size: int = TERM_WORDS) -> Column:
@@ -115,9 +119,9 @@ def fingerprints_and_edits(docs: DataFrame, key: str = "doc_id", text: str = "te
     """Fingerprints of texts, of their edited texts, and how alike both and the next document's are.
 
     The edited text has its last quarter (rounded down) replaced by as much of the next document.
+    ``n_near`` is the number of other fingerprints in the table within ``NEAR`` bits of a row's own.
     """
     rows = only(docs, key=key, text=text).withColumn("text", F.coalesce("text", F.lit("")))
-    n = F.length("text").cast("long")
     quarter = F.expr("cast(length(text) div 4 as int)")
     # What each key wants of the next document; keys and lengths alone.
     wants = rows.groupBy("key").agg(F.max(quarter).alias("most"))
@@ -132,52 +136,65 @@ def fingerprints_and_edits(docs: DataFrame, key: str = "doc_id", text: str = "te
     )
     edited = F.concat(F.left(F.col("text"), F.length("text") - quarter), F.left(F.col("head"), quarter))
     # Both joins take the same rows by the same key, so the texts are shuffled once.
-    both = rows.join(heads, F.col("key").eqNullSafe(F.col("asker"))).select("key", n.alias("n"), "text", edited.alias("edited"))
+    both = rows.join(heads, F.col("key").eqNullSafe(F.col("asker"))).select("key", "text", edited.alias("edited"))
+    # Texts are split into words once each. Only numbers go on: the digest as four longs.
+    digest = F.sha2(F.col("edited").cast("binary"), 256)
     hashed = both.select(
         "key",
-        "n",
         F.xxhash64("text").alias("text_hash"),
-        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        F.length("text").cast("long").alias("n"),
+        *(F.conv(F.substring(digest, 16 * i + 1, 16), 16, -10).cast("long").alias(f"d{i}") for i in range(4)),
         word_hashes(F.col("text")).alias("words"),
         word_hashes(F.col("edited")).alias("edited_words"),
     )
+    # The number of terms follows from the number of words.
+    count = F.size("words")
     terms = hashed.select(
-        "key",
-        "n",
-        "text_hash",
-        "edited_sha256",
-        F.size(term_hashes(F.col("words"))).alias("own_terms"),
-        F.concat(
-            F.array(F.lit(None).cast("long")), term_hashes(F.col("words")), term_hashes(F.col("edited_words"))
-        ).alias("terms"),
+        "key", "text_hash", "n", "d0", "d1", "d2", "d3",
+        F.when(count > 0, F.greatest(count - (TERM_WORDS - 1), F.lit(1))).otherwise(0).alias("own_terms"),
+        F.concat(term_hashes(F.col("words")), term_hashes(F.col("edited_words"))).alias("terms"),
+    )
+    # Outer: a plain one would have Spark test for terms first, below the join and pair by pair.
+    facts = ["n", "d0", "d1", "d2", "d3"]
+    exploded = terms.select("key", "text_hash", *facts, "own_terms", F.posexplode_outer("terms").alias("at", "term"))
+    is_edited = F.coalesce(F.col("at") >= F.col("own_terms"), F.lit(True))
+    marked = exploded.select("key", "text_hash", *facts, is_edited.alias("is_edited"), F.coalesce("at", F.lit(0)).alias("at"), "term")
+    summed = marked.groupBy("key", "text_hash", "is_edited").agg(
+        F.count_if(F.col("at") == 0).alias("times"),
+        F.count("term").alias("weight"),
+        *(F.max(c).alias(c) for c in facts),
+        *_votes(),
     )
-    exploded = terms.select("key", "n", "text_hash", "edited_sha256", "own_terms", F.posexplode("terms").alias("at", "term"))
-    which = F.when(F.col("at") == 0, 0).when(F.col("at") <= F.col("own_terms"), 1).otherwise(2)
-    keys = ["key", "n", "text_hash", "edited_sha256"]
-    marked = exploded.select(*keys, which.alias("which"), "term")
-    summed = marked.groupBy(*keys, "which").agg(F.count("*").alias("times"), F.count("term").alias("weight"), *_votes())
     summed = summed.fillna(0, [f"v{j}" for j in range(32)])
-    prints = summed.select(*keys, "which", "times", _majority().alias("bits"))
+    prints = summed.select("key", "text_hash", *facts, "is_edited", "times", _majority().alias("bits"))
 
-    def of(which: int, column: str) -> Column:
-        return F.coalesce(F.max(F.when(F.col("which") == which, F.col(column))), F.lit(0).cast("long"))
+    def of(edited_text: bool) -> Column:
+        return F.coalesce(F.max(F.when(F.col("is_edited") == edited_text, F.col("bits"))), F.lit(0).cast("long"))
 
     found = settle(
-        prints.groupBy(*keys).agg(of(0, "times").alias("rows"), of(1, "bits").alias("bits"), of(2, "bits").alias("edited_bits")),
+        prints.groupBy("key", "text_hash").agg(
+            F.sum("times").alias("rows"),
+            of(False).alias("bits"),
+            of(True).alias("edited_bits"),
+            *(F.max(c).alias(c) for c in facts),
+        ),
         "prints",
     )
     first = found.groupBy("key").agg(F.min_by("bits", as_text(F.col("bits"))).alias("bits"))
     after = following.join(first, F.col("next").eqNullSafe(F.col("key"))).select("asker", F.col("bits").alias("next_bits"))
     joined = found.join(after, F.col("key").eqNullSafe(F.col("asker")))
+    near = settle(count_near(found.select("bits")), "near").withColumnRenamed("bits", "of_bits")
+    joined = joined.join(near, F.col("bits") == F.col("of_bits"), "left")
     repeated = joined.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "rows")))
     return repeated.select(
         F.col("key").alias(key),
         F.col("n").alias("n_chars"),
-        "edited_sha256",
+        F.concat(*(as_text(F.col(f"d{i}")) for i in range(4))).alias("edited_sha256"),
         as_text(F.col("bits")).alias("fingerprint"),
         as_text(F.col("edited_bits")).alias("edited_fingerprint"),
         likeness(F.col("bits"), F.col("edited_bits")).alias("near_edited"),
         likeness(F.col("bits"), F.col("next_bits")).alias("near_next"),
+        F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
     )
 
 
@@ -201,22 +218,41 @@ def block_keys(bits: Column, radius: int, blocks: int) -> Column:
     return F.array(*tables)
 
 
-def within_radius(asked: DataFrame, held: DataFrame, radius: int = 3, blocks: int = 6, fingerprint: str = "fingerprint") -> DataFrame:
-    """(asked, held, distance): all distinct fingerprints of ``held`` near each distinct one asked for.
-
-    Copies are one fingerprint on either side. A pair that meets in several tables is given by the
-    first of them alone, so nothing has to be made distinct afterwards.
-    """
-    def tables(df: DataFrame, name: str) -> DataFrame:
-        bits = only(df, text=fingerprint).where("text is not null").distinct()
-        bits = bits.select(F.conv(F.col("text"), 16, -10).cast("long").alias(name))
-        return bits.select(name, F.explode(block_keys(F.col(name), radius, blocks)).alias("key")).select(name, "key.*")
-
-    a, b = tables(asked, "a"), tables(held, "b")
+def _met(a: DataFrame, b: DataFrame, radius: int, blocks: int) -> DataFrame:
+    """(a, b, distance): pairs within the radius, each given by the first table in which it meets."""
+    a, b = (df.select(n, F.explode(block_keys(F.col(n), radius, blocks)).alias("key")).select(n, "key.*") for df, n in ((a, "a"), (b, "b")))
     met = a.join(b, ["table", "prefix"]).withColumn("distance", F.bit_count(F.col("a").bitwiseXOR(F.col("b"))))
     agree = F.transform(
         F.arrays_zip(block_keys(F.col("a"), radius, blocks).alias("x"), block_keys(F.col("b"), radius, blocks).alias("y")),
         lambda z: z["x"] == z["y"],
     )
-    first = met.where((F.col("distance") <= radius) & (F.array_position(agree, True) == F.col("table") + 1))
-    return first.select(as_text(F.col("a")).alias("asked"), as_text(F.col("b")).alias("held"), "distance")
+    first = (F.col("distance") <= radius) & (F.array_position(agree, True) == F.col("table") + 1)
+    return met.where(first).select("a", "b", "distance")
+
+
+def count_near(prints: DataFrame, radius: int = NEAR, blocks: int = NEAR_BLOCKS) -> DataFrame:
+    """(bits, n_near): for each distinct fingerprint, how many others lie within the radius, if any do.
+
+    The table is searched against itself by permuted blocks. Pairs are counted where they meet and
+    never written, so a dense group costs comparisons only; a prefix that very many fingerprints
+    share is an ordinary hot key of the join, which adaptive execution splits.
+    """
+    bits = settle(prints.select("bits").distinct(), "bits")
+    met = _met(bits.withColumnRenamed("bits", "a"), bits.withColumnRenamed("bits", "b"), radius, blocks)
+    return met.where("distance > 0").groupBy(F.col("a").alias("bits")).agg(F.count("*").alias("n_near"))
+
+
+def within_radius(
+    asked: DataFrame, held: DataFrame, radius: int = NEAR, blocks: int = NEAR_BLOCKS, fingerprint: str = "fingerprint"
+) -> DataFrame:
+    """(asked, held, distance): all distinct fingerprints of ``held`` near each distinct one asked for.
+
+    Copies are one fingerprint on either side; null ones are passed over. A pair that meets in
+    several tables is given by the first of them alone, so nothing has to be made distinct afterwards.
+    """
+    def bits(df: DataFrame, name: str) -> DataFrame:
+        known = only(df, text=fingerprint).where("text is not null").distinct()
+        return known.select(F.conv(F.col("text"), 16, -10).cast("long").alias(name))
+
+    met = _met(bits(asked, "a"), bits(held, "b"), radius, blocks)
+    return met.select(as_text(F.col("a")).alias("asked"), as_text(F.col("b")).alias("held"), "distance")
