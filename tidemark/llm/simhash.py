@@ -2,17 +2,19 @@
 
 Words are the runs between ASCII white space, A-Z lower-cased; a shingle is so many words joined by
 single spaces (a shorter text is one shingle, a text without words has the fingerprint zero). Bit b
-of a fingerprint is 1 if it is 1 in more than half of the shingles' hashes, repeats counted; the
-pipeline's stage compares sets of shingles and counts each once.
+of a fingerprint is 1 if it is 1 in more than half of the shingles' hashes, repeats counted.
 
 Texts with one fingerprint are one node from then on. Nodes are tiled by population counts: those
 of parts of the fingerprint, whose differences sum to no more than the bits that differ. Tiles
 whose counts are further apart than the radius never meet; the others are compared whole, by
-exclusive or and bit counts. Of the links within a tile pair a spanning forest is kept, so no group
-of near-copies is written out as pairs, and no link is lost to its component.
-
-Null texts are read as empty; null keys keep their row but name no component. Repeated rows keep
-their place and share a component.
+exclusive or and bit counts. How many tiles there are follows from the rows of each count alone, not
+from partitions. Of the links within a tile pair a spanning forest is kept, so no group of
+near-copies is written out as pairs, and no link is lost to its component.
+
+Null texts are read as empty, very long ones whole; null keys keep their row but name no component
+(a group of null keys alone has the component null). Repeated rows keep their place and share a
+component. An empty table gives an empty one. Other columns of the input are not read, so none
+can clash.
 """
 
 from __future__ import annotations
@@ -26,21 +28,20 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.durable import settle
+from tidemark.durable import free, settle
 from tidemark.llm.common import offsets_of, only, slices, texts
 from tidemark.llm.components import components
 from tidemark.llm.shipping import ship
 
 SEED = 42
 #: Rows of a tile: two tiles and a block of their comparison stay within a few MB.
-TILE = 4096
+TILE = 8192
+#: Rows of one population count above which fingerprints are cut into more parts.
+PER_COUNT = 4096
 #: Bytes of text whose words and hashes are held at once.
 SLICE = 2 << 20
 _LANES = np.uint64(0x0001000100010001)
 _FULL = 65_535
-#: (words, radius), ascending: two fingerprints are linked if, for each of these, they differ in no
-#: more than ``radius`` bits of the first ``words`` words.
-Limits = list[tuple[int, int]]
 
 
 def shingle_hashes(text: str, size: int) -> list[int]:
@@ -81,41 +82,21 @@ def majority_bits(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def mixed(hashes: np.ndarray, word: int) -> np.ndarray:
-    """Hashes of the same shingles for another word of a wide fingerprint."""
-    x = hashes + np.uint64((word * 0x9E3779B97F4A7C15) & (2**64 - 1))
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def fingerprints(
-    docs: DataFrame, key: str, text: str, shingle: int = 3, words: int = 1, repeats: bool = True
-) -> DataFrame:
-    """(key, n_shingles, w0, w1, ...): fingerprints of 64 bits a word.
-
-    Without ``repeats`` each distinct shingle of a text votes once and is counted once.
-    """
+def fingerprints(docs: DataFrame, key: str, text: str, shingle: int = 3) -> DataFrame:
+    """(key, print): the fingerprint of every whole text, as a signed long."""
     ship(docs.sparkSession)
-    names = [f"w{i}" for i in range(words)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for cut in slices(batch, 1, SLICE):
                 lists = [shingle_hashes(t, shingle) for t in texts(cut.column(1)).to_pylist()]
-                if not repeats:
-                    lists = [list(set(x)) for x in lists]
                 offsets = offsets_of(np.array([len(x) for x in lists], np.int64))
                 hashes = np.fromiter((h for x in lists for h in x), np.uint64, offsets[-1])
-                columns = [cut.column(0), pa.array(np.diff(offsets))]
-                for word in range(words):
-                    bits = majority_bits(mixed(hashes, word) if word else hashes, offsets)
-                    columns.append(pa.array(bits.view(np.int64)))
-                yield pa.RecordBatch.from_arrays(columns, [key, "n_shingles", *names])
+                bits = majority_bits(hashes, offsets)
+                yield pa.RecordBatch.from_arrays([cut.column(0), pa.array(bits.view(np.int64))], [key, "print"])
 
     kind = docs.schema[key].dataType.simpleString()
-    schema = f"`{key}` {kind}, n_shingles bigint, " + ", ".join(f"{n} bigint" for n in names)
-    return only(docs, **{key: key, "text": text}).mapInArrow(run, schema)
+    return only(docs, **{key: key, "text": text}).mapInArrow(run, f"`{key}` {kind}, print bigint")
 
 
 # Tiles
@@ -152,74 +133,28 @@ def parts_for(rows: int) -> int:
     Counts of 64 / p random bits take about sqrt(2 pi e * 16 / p) values, p of them that to the p.
     """
     for parts in (1, 2, 4):
-        if rows / (2 * np.pi * np.e * 16 / parts) ** (parts / 2) <= TILE:
+        if rows / (2 * np.pi * np.e * 16 / parts) ** (parts / 2) <= PER_COUNT:
             return parts
     return 8
 
 
-def tiles(nodes: DataFrame, words: list[str]) -> DataFrame:
-    """Nodes (node, key, words) as tiles of one key: (tile, key, nodes, bits)."""
+def tiles(nodes: DataFrame) -> DataFrame:
+    """Nodes (print, key) as tiles of one key: (key, part, prints).
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def tile(key: int, rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-            ids = np.concatenate([r.column(0).to_numpy() for r in rows])
-            bits = np.stack([np.concatenate([r.column(2 + i).to_numpy() for r in rows]) for i in range(len(words))])
-            return pa.RecordBatch.from_arrays(
-                [pa.array([int(ids.min())]), pa.array([key]), pa.array([ids.tobytes()]), pa.array([bits.tobytes()])],
-                ["tile", "key", "nodes", "bits"],
-            )
-
-        held: list[pa.RecordBatch] = []
-        of, size = None, 0
-        for batch in batches:
-            keys = batch.column(1).to_numpy()
-            ends = np.append(np.flatnonzero(keys[1:] != keys[:-1]) + 1, len(keys)) if len(keys) else []
-            begin = 0
-            for end in ends:
-                if of is not None and keys[begin] != of and held:
-                    yield tile(of, held)
-                    held, size = [], 0
-                of = int(keys[begin])
-                while begin < end:
-                    take = min(int(end) - begin, TILE - size)
-                    held.append(batch.slice(begin, take))
-                    begin, size = begin + take, size + take
-                    if size == TILE:
-                        yield tile(of, held)
-                        held, size = [], 0
-        if held:
-            yield tile(of, held)
-
-    # Range partitions by key and node: a key that many nodes have is spread over several.
-    placed = nodes.select("node", "key", *words).repartitionByRange("key", "node").sortWithinPartitions("key", "node")
-    return placed.mapInArrow(run, "tile bigint, key bigint, nodes binary, bits binary")
-
-
-def near_pairs(rows: np.ndarray, b: np.ndarray, limits: Limits) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of rows of two blocks (words x rows) within every limit."""
-    words, radius = limits[0]
-    near = np.bitwise_count(rows[0][:, None] ^ b[0][None, :])
-    if words > 1:
-        near = near.astype(np.uint8 if words < 4 else np.uint16)
-    for w in range(1, words):
-        near += np.bitwise_count(rows[w][:, None] ^ b[w][None, :])
-    r, c = np.nonzero(near <= radius)
-    distance = near[r, c].astype(np.int64)
-    for more, radius in limits[1:]:
-        for w in range(words, more):
-            distance += np.bitwise_count(rows[w][r] ^ b[w][c])
-        on = distance <= radius
-        r, c, distance, words = r[on], c[on], distance[on], more
-    return r, c
-
-
-def forest(a: np.ndarray, b: np.ndarray, limits: Limits, same: bool) -> np.ndarray:
-    """Labels of the rows of a and then b (words x rows): the smallest row each is linked to."""
-    na, nb = a.shape[1], b.shape[1]
+    A key of n rows has n / TILE parts, rounded up, and a hash deals its rows to them.
+    """
+    counts = nodes.groupBy("key").agg(F.ceil(F.count("*") / F.lit(TILE)).alias("parts"))
+    dealt = nodes.join(counts, "key").select("key", F.pmod(F.xxhash64("print"), "parts").alias("part"), "print")
+    return dealt.groupBy("key", "part").agg(F.collect_list("print").alias("prints"))
+
+
+def forest(a: np.ndarray, b: np.ndarray, radius: int, same: bool) -> np.ndarray:
+    """Labels of the rows of a and then b: the smallest row each is linked to. ``same``: a is b."""
+    na, nb = len(a), len(b)
     label = np.arange(na + (0 if same else nb))
     block = max(1, (1 << 18) // max(1, nb))
     for begin in range(0, na, block):
-        r, c = near_pairs(a[:, begin : begin + block], b, limits)
+        r, c = np.nonzero(np.bitwise_count(a[begin : begin + block, None] ^ b[None, :]) <= radius)
         r += begin
         if same:
             later = c > r
@@ -236,97 +171,74 @@ def forest(a: np.ndarray, b: np.ndarray, limits: Limits, same: bool) -> np.ndarr
     return label
 
 
-def links(nodes: DataFrame, words: list[str], limits: Limits, steps: list[int]) -> DataFrame:
+def links(nodes: DataFrame, radius: int, steps: list[int]) -> DataFrame:
     """A spanning forest (a, b) of the links of each tile pair whose keys differ by one of ``steps``."""
-    width = len(words)
-    held = settle(tiles(nodes, words), "tiles")
-    names = held.select("tile", "key")
-    wanted = names.select(F.col("tile").alias("left"), F.col("key").alias("of"), F.explode(F.array(*map(F.lit, steps))).alias("step"))
-    pairs = wanted.join(names, F.col("key") == F.col("of") + F.col("step")).where("step > 0 OR left <= tile")
-    pairs = pairs.select("left", F.col("tile").alias("right"))
-    left = held.select(F.col("tile").alias("left"), F.col("nodes").alias("a_nodes"), F.col("bits").alias("a_bits"))
-    right = held.select(F.col("tile").alias("right"), F.col("nodes").alias("b_nodes"), F.col("bits").alias("b_bits"))
-    both = pairs.join(left, "left").join(right, "right").select("left", "right", "a_nodes", "a_bits", "b_nodes", "b_bits")
+    held = settle(tiles(nodes), "tiles")
+    names = held.select("key", "part")
+    wanted = names.select(
+        F.col("key").alias("a_key"), F.col("part").alias("a_part"), F.explode(F.array(*map(F.lit, steps))).alias("step")
+    )
+    pairs = wanted.join(names, F.col("key") == F.col("a_key") + F.col("step")).where("step > 0 OR a_part <= part")
+    left = held.select(F.col("key").alias("a_key"), F.col("part").alias("a_part"), F.col("prints").alias("a"))
+    right = held.withColumnRenamed("prints", "b")
+    both = pairs.drop("step").join(left, ["a_key", "a_part"]).join(right, ["key", "part"])
+    both = both.select("a_key", "a_part", "key", "part", "a", "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(len(batch)):
-                one, other = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
-                a_nodes, b_nodes = (np.frombuffer(batch.column(i)[row].as_py(), np.int64) for i in (2, 4))
-                a, b = (np.frombuffer(batch.column(i)[row].as_py(), np.uint64).reshape(width, -1) for i in (3, 5))
-                label = forest(a, b, limits, one == other)
-                node = a_nodes if one == other else np.concatenate([a_nodes, b_nodes])
+            names = list(zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True))
+            for row, (a_key, a_part, b_key, b_part) in enumerate(names):
+                same = (a_key, a_part) == (b_key, b_part)
+                a, b = (batch.column(i)[row].values.to_numpy() for i in (4, 5))
+                label = forest(a, a if same else b, radius, same)
+                prints = a if same else np.concatenate([a, b])
                 child = np.flatnonzero(label != np.arange(len(label)))
                 if len(child):
-                    yield pa.RecordBatch.from_arrays([pa.array(node[child]), pa.array(node[label[child]])], ["a", "b"])
+                    yield pa.RecordBatch.from_arrays([pa.array(prints[child]), pa.array(prints[label[child]])], ["a", "b"])
 
     # Tile pairs are few and long: dealt out evenly, so that no task has many of the large ones.
-    return both.repartition(spread_over(held.sparkSession), "left", "right").mapInArrow(run, "a bigint, b bigint")
+    dealt = both.repartition(spread_over(held.sparkSession), "a_key", "a_part", "key", "part")
+    return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
 def spread_over(spark: SparkSession) -> int:
     return max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def near_groups(
-    prints: DataFrame, key: str, words: list[str], limits: Limits, bucket: Column | None = None, steps: list[int] | None = None
-) -> DataFrame:
-    """``prints`` with ``component_id``: the smallest key reachable over links within the limits.
-
-    With ``bucket`` and ``steps``, tiles are made by that number and meet at those differences, for
-    radii too wide for population counts to part anything.
-    """
+def near_groups(prints: DataFrame, key: str, radius: int) -> DataFrame:
+    """(key, print) with ``component_id``: the smallest key reachable over links within the radius."""
     prints = settle(prints, "prints")
-    tag = (bucket if bucket is not None else F.lit(0)).cast("long")
-    distinct = prints.groupBy(*words, tag.alias("bucket")).agg(F.min(key).alias("least"))
-    distinct = settle(distinct.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    if bucket is None:
-        parts = parts_for(distinct.count())
-        keyed, steps = distinct.withColumn("key", count_key(words[0], parts)), _steps(parts, limits[0][1])
-    else:
-        keyed = distinct.withColumn("key", F.col("bucket"))
-    member = components(links(keyed, words, limits, steps or [0]))
-    named = distinct.join(member, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_print = named.join(least, "component").select(*words, "bucket", "component_id")
-    return prints.withColumn("bucket", tag).join(of_print, [*words, "bucket"]).drop("bucket")
+    distinct = settle(prints.groupBy("print").agg(F.min(key).alias("least")), "nodes")
+    parts = parts_for(distinct.count())
+    keyed = distinct.select("print", count_key("print", parts).alias("key"))
+    member = settle(components(links(keyed, radius, _steps(parts, radius))), "members")
+    named = distinct.join(member, F.col("print") == F.col("node"), "left")
+    named = named.select("print", "least", F.coalesce("component", "print").alias("component"))
+    # Settled, so that neither a large component nor a text that many documents have holds up its join.
+    least = settle(named.groupBy("component").agg(F.min("least").alias("component_id")), "least")
+    of_print = settle(named.join(least, "component").select("print", "component_id"), "groups")
+    free(distinct, member, least)
+    return prints.join(of_print, "print").select(key, "print", "component_id")
 
 
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 2
 ) -> DataFrame:
     """(key, fingerprint, component_id) of all documents."""
-    found = near_groups(fingerprints(docs, key, text, shingle), key, ["w0"], [(1, radius)])
-    return found.select(key, F.lpad(F.lower(F.hex("w0")), 16, "0").alias("fingerprint"), "component_id")
-
+    found = near_groups(fingerprints(docs, key, text, shingle), key, radius)
+    return found.select(key, F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
 
-# Wide fingerprints for near copies that differ in more than a few shingles
 
-#: Documents whose counts of distinct shingles have a ratio of 0.8 or more lie in one class of this
-#: base or in neighbouring ones; others cannot be so similar.
-RATIO = 1.25
-WIDE_SHINGLE = 5
-WIDE_WORDS = 16
-#: Texts that share 0.8 of their five-word shingles (Jaccard) have an angle of 27.3 degrees, so they
-#: differ in 155 of 1,024 bits, give or take 11; at 0.85 in 133 and at 0.75 in 176. Texts that
-#: share none differ in 512. The first 128 bits rule most of these out: there 0.8 means 19, give
-#: or take 4, and none means 64.
-WIDE_LIMITS: Limits = [(2, 40), (WIDE_WORDS, 165)]
-
-
-def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Whole rows of ``docs``, one of each group of near copies: that with the smallest key.
+def keep_one_of_each(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 2
+) -> DataFrame:
+    """Whole rows of ``docs``, one of each group of ``near_duplicates``: that with the smallest key.
 
-    Groups are the components of links between fingerprints of 1,024 bits over distinct five-word
-    shingles that speak for a similarity of 0.8 or more; how often a text repeats a shingle does not
-    matter. Rows that repeat key and text are copies too.
+    Rows that repeat key and text are copies too; rows that share a key, but no near text, stay.
     """
     identity = F.struct(F.col(f"`{key}`").alias("key"), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("hash"))
     marked = docs.select(identity.alias("id"), F.col(f"`{text}`").alias("text"))
-    words = [f"w{i}" for i in range(WIDE_WORDS)]
-    prints = fingerprints(marked, "id", "text", WIDE_SHINGLE, WIDE_WORDS, repeats=False)
-    size = F.when(F.col("n_shingles") == 0, -9).otherwise(F.floor(F.log(F.col("n_shingles")) / F.lit(np.log(RATIO))))
-    found = near_groups(prints, "id", words, WIDE_LIMITS, size, [0, 1])
+    found = near_groups(fingerprints(marked, "id", "text", shingle), "id", radius)
     kept = settle(found.select(F.col("component_id").alias("id")).distinct(), "kept")
     kept = kept.select(F.col("id.key").alias("kept_key"), F.col("id.hash").alias("kept_hash"))
     renamed = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
