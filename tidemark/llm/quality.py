@@ -7,31 +7,38 @@ of that over its windows and its extremes, and how far its windows shrink withou
 text that only repeats itself resembles neither; a logistic curve fitted to labelled rows turns
 them into a score between 0 and 1.
 
-Learning takes a bounded sample: at most ``sample_rows`` texts of each label, of which
-``dictionary_rows`` go into a dictionary; a text gives at most ``sample_chars`` characters to a
-dictionary and 16 times as many to the curve. The curve is fitted to features of texts that the
-dictionaries have not seen: the sample is cut into folds, and each fold is compressed with
-dictionaries built from the others. The sample is drawn by hash, so it does not depend on how rows
-are dealt out. Scoring covers every window of every text.
-
-Null texts are read as empty; empty texts have the features of a window of no difference. Labels
-that are null or neither 0 nor 1 teach nothing, and a key with labels of both kinds teaches both.
-Repeated rows are scored each. Without rows of both labels the score is their share, 0.5 if none.
+Learning takes a bounded sample: at most ``sample_rows`` labelled texts of each label that have a
+document, of which ``dictionary_rows`` go into a dictionary. A text gives ``sample_windows`` windows
+at most, drawn by hash over its whole length, to the curve, and ``dictionary_windows`` of them to a
+dictionary. The curve is fitted to features of texts that the dictionaries have not seen: the
+sample is cut into folds, and each fold is compressed with dictionaries built from the others. Rows
+are drawn by hash too, so the sample does not depend on how they are dealt out. Scoring covers every
+window of every text.
+
+Null texts are read as empty; empty texts have the features of a window of no difference. Very long
+texts are scored window by window. Labels that are null or neither 0 nor 1, or whose key is null or
+has no document, teach nothing, and a key with labels of both kinds teaches both. Rows with a null
+key are scored like others; repeated rows are scored each. Without rows of both labels the score is
+their share, 0.5 if none. An empty table gives an empty one. Only the named columns are read, so
+other columns cannot clash.
 """
 
 from __future__ import annotations
 
 import hashlib
-from dataclasses import dataclass, field
+from collections.abc import Iterator
+from dataclasses import dataclass, field, replace
 from math import log
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import annotate, learns, only, restored
+from tidemark.durable import free, settle
+from tidemark.llm.common import annotate, learns, only, restored, texts
 from tidemark.llm.shipping import ship
 
 WINDOW = 2048
@@ -41,9 +48,11 @@ LEVEL = 3
 SAMPLE_ROWS = 2000
 DICTIONARY_ROWS = 1000
 FOLDS = 4
-SAMPLE_CHARS = 4000
+SAMPLE_WINDOWS = 32
+DICTIONARY_WINDOWS = 2
 DICTIONARY_BYTES = 110_000
 FEATURES = 5
+FURTHEST = 4.0
 
 
 @dataclass(frozen=True)
@@ -58,8 +67,13 @@ class Model:
     def name(self) -> str:
         return hashlib.sha256(self.good + self.bad).hexdigest()
 
+    def standard(self, features: np.ndarray) -> np.ndarray:
+        """In standard deviations of the sample. What lies further out than it shows, such as the
+        extremes of a text with many more windows, or of one that is in a dictionary, counts no more."""
+        return np.clip((features - self.mean) / self.scale, -FURTHEST, FURTHEST)
+
     def score(self, features: np.ndarray) -> np.ndarray:
-        x = (features - self.mean) / self.scale
+        x = self.standard(features)
         return 1 / (1 + np.exp(-np.clip(x @ self.weights[1:] + self.weights[0], -40, 40)))
 
 
@@ -82,35 +96,42 @@ def _compressors(model: Model) -> list[zstandard.ZstdCompressor]:
     return _COMPRESSORS[model.name]
 
 
-def features(model: Model, column: list[str]) -> np.ndarray:
+def windows(data: bytes) -> list[bytes]:
+    """A text's bytes in equal windows of about ``WINDOW``; none if it is empty."""
+    count = max(1, round(len(data) / WINDOW)) if data else 0
+    ends = [len(data) * k // count for k in range(count + 1)] if count else []
+    return [data[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+
+
+def drawn_windows(data: bytes, most: int) -> list[bytes]:
+    """At most ``most`` windows, those of the smallest hashes of place and content, in that order."""
+    held = windows(data)
+    return [held[i] for i in sorted(range(len(held)), key=lambda i: xxhash.xxh64_intdigest(held[i], i))[:most]]
+
+
+def features(model: Model, column: list[list[bytes]]) -> np.ndarray:
     """Of each text's windows: mean, smallest and largest normalised difference of the two sizes;
     mean and smallest logarithm of the size without dictionary over that of the text."""
     good, bad, plain = (c.compress for c in _compressors(model))
     out = np.zeros((len(column), FEATURES))
-    for i, text in enumerate(column):
-        data = text.encode("utf-8", "replace")
-        if not data:
-            continue
-        count = max(1, round(len(data) / WINDOW))
-        ends = [len(data) * k // count for k in range(count + 1)]
+    for i, held in enumerate(column):
         sizes, shrunk = [], []
-        for a, b in zip(ends, ends[1:], strict=False):
-            window = data[a:b]
+        for window in held:
             g, d = len(good(window)), len(bad(window))
             sizes.append((d - g) / (d + g))
-            shrunk.append(log(max(1, len(plain(window)) - _FRAME) / (b - a)))
-        out[i] = sum(sizes) / count, min(sizes), max(sizes), sum(shrunk) / count, min(shrunk)
+            shrunk.append(log(max(1, len(plain(window)) - _FRAME) / len(window)))
+        if held:
+            count = len(held)
+            out[i] = sum(sizes) / count, min(sizes), max(sizes), sum(shrunk) / count, min(shrunk)
     return out
 
 
-def _dictionary(samples: list[str], size: int) -> bytes:
-    """A trained dictionary, or the texts themselves where they are too few to train one."""
-    data = [s.encode("utf-8", "replace") for s in samples if s]
-    pieces = [d[i : i + WINDOW] for d in data for i in range(0, len(d), WINDOW)]
+def _dictionary(pieces: list[bytes], size: int) -> bytes:
+    """A trained dictionary, or the windows themselves where they are too few to train one."""
     try:
         return zstandard.train_dictionary(min(size, max(1024, sum(map(len, pieces)) // 4)), pieces, level=LEVEL).as_bytes()
     except zstandard.ZstdError:
-        return b"".join(data)[:size] or b"\n" * 64
+        return b"".join(pieces)[:size] or b"\n" * 64
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
@@ -136,30 +157,38 @@ def fit(
     label: str = "quality",
     sample_rows: int = SAMPLE_ROWS,
     dictionary_rows: int = DICTIONARY_ROWS,
-    sample_chars: int = SAMPLE_CHARS,
+    sample_windows: int = SAMPLE_WINDOWS,
+    dictionary_windows: int = DICTIONARY_WINDOWS,
 ) -> Model:
     """A model from labelled rows; pass only rows that may be learned from."""
-    marked = only(labels, key=key, label=label).where("label IN (0, 1)").distinct()
-    counts = {r["label"]: r["n"] for r in marked.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    # Somewhat more keys than wanted, as not every one need have a document.
-    parts = [
-        marked.where(F.col("label") == value).orderBy(F.xxhash64("key"), "key").limit(2 * sample_rows) for value in (0, 1)
-    ]
+    ship(docs.sparkSession)
+    marked = only(labels, key=key, label=label).withColumn("label", F.col("label").cast("int"))
+    marked = marked.where("label IN (0, 1)").distinct()
+    # Only keys and labels: which labelled keys have a document, before any is drawn.
+    present = settle(marked.join(only(docs, key=key), "key", "left_semi"), "labelled")
+    counts = {r["label"]: r["n"] for r in present.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    parts = [present.where(F.col("label") == value).orderBy(F.xxhash64("key"), "key").limit(sample_rows) for value in (0, 1)]
     # Bounded by the parameters; as a local table its size is known, so the documents stay where they lie.
     wanted = docs.sparkSession.createDataFrame(parts[0].union(parts[1]).toArrow())
-    rows = (
-        only(docs, key=key, text=text)
-        .join(wanted, "key")
-        .select("label", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64(F.lit(1), "key").alias("draw"))
-    )
-    drawn = {}
+    rows = only(docs, key=key, text=text).join(wanted, "key").select("label", F.xxhash64(F.lit(1), "key").alias("draw"), "text")
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [drawn_windows(t.encode("utf-8", "replace"), sample_windows) for t in texts(batch.column(2)).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(held, pa.list_(pa.binary()))], ["label", "draw", "windows"]
+            )
+
+    cut = settle(rows.mapInArrow(draw, "label int, draw bigint, windows array<binary>"), "drawn")
+    drawn: dict[int, list[list[bytes]]] = {}
     for value in (0, 1):
-        mine = rows.where(F.col("label") == value)
-        cut = mine.select("draw", F.left(F.col("text"), F.lit(16 * sample_chars)).alias("text"))
-        drawn[value] = [r["text"] for r in cut.orderBy("draw", "text").limit(sample_rows).collect()]
+        mine = cut.where(F.col("label") == value).orderBy("draw", F.xxhash64("windows")).limit(sample_rows)
+        drawn[value] = [[bytes(w) for w in r["windows"]] for r in mine.collect()]
+    free(present, cut)
 
-    def dictionaries(samples: dict[int, list[str]]) -> Model:
-        return Model(*(_dictionary([t[:sample_chars] for t in samples[v][:dictionary_rows]], DICTIONARY_BYTES) for v in (1, 0)))
+    def dictionaries(samples: dict[int, list[list[bytes]]]) -> Model:
+        pieces = {v: [w for text in samples[v][:dictionary_rows] for w in text[:dictionary_windows]] for v in samples}
+        return Model(*(_dictionary(pieces[v], DICTIONARY_BYTES) for v in (1, 0)))
 
     model = dictionaries(drawn)
     if min(map(len, drawn.values())) < 2:
@@ -181,7 +210,12 @@ def fit(
     each = {v: counts[v] / total * len(y) / len(drawn[v]) for v in drawn}
     weight = np.where(y == 1, each[1], each[0])
     mean, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)
-    return Model(model.good, model.bad, mean, scale, _logistic((x - mean) / scale, y, weight))
+    model = replace(model, mean=mean, scale=scale)
+    return replace(model, weights=_logistic(model.standard(x), y, weight))
+
+
+def _cut(column: pa.Array) -> list[list[bytes]]:
+    return [windows(t.encode("utf-8", "replace")) for t in column.to_pylist()]
 
 
 def annotated(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -189,7 +223,7 @@ def annotated(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of bounded size
     return annotate(
-        docs, text, ["double"], lambda column: [pa.array(sent.value.score(features(sent.value, column.to_pylist())))], SLICE
+        docs, text, ["double"], lambda column: [pa.array(sent.value.score(features(sent.value, _cut(column))))], SLICE
     )
 
 
