@@ -48,15 +48,82 @@ def test_quality_sees_whole_texts():
     """Junk behind a long clean beginning counts."""
     draw = np.random.default_rng(1)
     words = ["".join(draw.choice(list("etaoin"), 5)) for _ in range(300)]
-    good = [" ".join(draw.choice(words, 300)) for _ in range(60)]
-    bad = ["#!% ".join(draw.choice(words, 300)) for _ in range(60)]
+    good = [" ".join(draw.choice(words, 300)).encode() for _ in range(60)]
+    bad = ["#!% ".join(draw.choice(words, 300)).encode() for _ in range(60)]
     model = quality.Model(quality._dictionary(good, 20_000), quality._dictionary(bad, 20_000))
     clean = " ".join(draw.choice(words, 8000))
     mixed = clean + " " + "#!% ".join(draw.choice(words, 400))
-    x = quality.features(model, [clean, mixed])
+    x = quality.features(model, [quality.windows(t.encode()) for t in (clean, mixed)])
     assert x[1][1] < x[0][1] - 0.05
 
 
+def test_features_and_curve_are_what_plain_compression_gives():
+    import zstandard
+
+    draw = np.random.default_rng(4)
+    words = ["".join(draw.choice(list("abcdefgh"), 4)) for _ in range(200)]
+    texts = [" ".join(draw.choice(words, n)).encode() for n in (1, 50, 409, 410, 3000, 40_000)] + [b""]
+    model = quality.Model(b" ".join(w.encode() for w in words[:100]) * 3, b"#%! " * 100)
+    found = quality.features(model, [quality.windows(t) for t in texts])
+    for text, row in zip(texts, found, strict=True):
+        count = max(1, round(len(text) / 2048))
+        cuts = [text[len(text) * k // count : len(text) * (k + 1) // count] for k in range(count)] if text else []
+        assert b"".join(cuts) == text
+
+        def size(window, data):
+            held = zstandard.ZstdCompressionDict(data) if data else None
+            kind = {"level": 3, "write_content_size": False, "write_dict_id": False, "write_checksum": False}
+            return len(zstandard.ZstdCompressor(dict_data=held, **kind).compress(window))
+
+        pairs = [(size(w, model.good), size(w, model.bad)) for w in cuts]
+        # Digested dictionaries may code a window a few bytes differently.
+        apart = [(d - g) / (d + g) for g, d in pairs] or [0.0]
+        shrunk = [math.log(max(1, size(w, None) - 9) / len(w)) for w in cuts] or [0.0]
+        expected = [np.mean(apart), min(apart), max(apart), np.mean(shrunk), min(shrunk)]
+        assert row == pytest.approx(expected, abs=0.03)
+    x = draw.normal(size=(400, 2))
+    y = (draw.random(400) < 1 / (1 + np.exp(-(0.5 + x @ [2.0, -1.0])))).astype(float)
+    w = quality._logistic(x, y, np.ones(400))
+    p = 1 / (1 + np.exp(-(w[0] + x @ w[1:])))
+    assert np.abs(np.column_stack([np.ones(400), x]).T @ (p - y)).max() < 0.01  # the maximum of the likelihood
+
+
+def test_windows_are_drawn_over_the_whole_length():
+    data = bytes(np.random.default_rng(3).integers(0, 256, 2048 * 400, dtype=np.uint8))
+    held = quality.windows(data)
+    drawn = quality.drawn_windows(data, 32)
+    places = sorted(held.index(w) for w in drawn)
+    assert len(drawn) == 32 and places[0] < 60 and places[-1] > 340
+    assert quality.drawn_windows(data[:5000], 32) != [] and sorted(quality.drawn_windows(data[:5000], 32)) == sorted(quality.windows(data[:5000]))
+    assert quality.drawn_windows(b"", 32) == []
+
+
+def test_a_long_text_teaches_by_all_of_its_length(frame):
+    """Bad texts whose first 100,000 characters look good: only what lies behind them tells."""
+    draw = np.random.default_rng(7)
+    words = ["".join(draw.choice(list("etaoinshr"), 5)) for _ in range(400)]
+
+    def clean(n):
+        return " ".join(draw.choice(words, n))
+
+    rows = [(i, clean(30_000), None) for i in range(30)]
+    rows += [(100 + i, clean(14_000) + "#!% ".join(draw.choice(words, 12_000)), None) for i in range(30)]
+    docs = frame(rows, "doc_id long, text string, label int")
+    labels = frame([(i, 1) for i in range(30)] + [(100 + i, 0) for i in range(30)], "doc_id long, quality int")
+    model = quality.fit(docs, labels)
+    scored = {r["doc_id"]: r["score"] for r in quality.score(docs, model).collect()}
+    assert all((score >= 0.5) == (i < 100) for i, score in scored.items())
+
+
+def test_labels_without_documents_do_not_shrink_the_sample(frame):
+    draw = np.random.default_rng(8)
+    docs = frame([(i, ("#!% " if i % 2 else "etaoin ") * int(draw.integers(20, 60))) for i in range(40)], "doc_id long, text string")
+    labels = frame([(i, 1 - i % 2) for i in range(3000)], "doc_id long, quality int")
+    model = quality.fit(docs, labels, sample_rows=20)
+    scored = {r["doc_id"]: r["score"] for r in quality.score(docs, model).collect()}
+    assert all((score >= 0.5) == (i % 2 == 0) for i, score in scored.items())
+
+
 def segmentations(word: bytes, p) -> float:
     total = [1.0] + [0.0] * len(word)
     for end in range(1, len(word) + 1):
@@ -79,24 +146,13 @@ def test_forward_sums_all_segmentations():
             assert found[language][i] == pytest.approx(math.log(segmentations(f" {word}".encode(), p[language])))
 
 
-def test_long_words_are_read_in_stretches():
-    size = byte_vocabulary(default_path()).size
-    p = np.full((1, size), 1 / size)
-    word = "ab" * 300
-    column = pa.array([word], pa.large_string())
-    data = f" {word}".encode()
-    parts = [data[i : i + langid.STRETCH] for i in range(0, len(data), langid.STRETCH)]
-    expected = sum(math.log(segmentations(x, p[0])) for x in parts)
-    assert langid.log_likelihoods(langid.find_matches(column, default_path()), p, 1)[0][0] == pytest.approx(expected)
-
-
 def test_no_word_underflows():
     """Whole words of any length, with probabilities far below what a double can multiply."""
     size = byte_vocabulary(default_path()).size
     p = np.full((2, size), 1e-30)
     p[1] = 1 / size
     words = ["the", "漢" * 20, "ж" * 40, "ab" * 300, "x" * 5000]
-    found = langid.log_likelihoods(langid.find_matches(pa.array(words, pa.large_string()), default_path(), None), p, len(words))
+    found = langid.log_likelihoods(langid.find_matches(pa.array(words, pa.large_string()), default_path()), p, len(words))
     assert np.isfinite(found).all()
     for language in (0, 1):
         for i, word in enumerate(words):

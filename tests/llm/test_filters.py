@@ -96,3 +96,16 @@ def test_long_redirect_chains(frame):
     pages.append((150, "http://site.com/150", refresh("https://bad.net/")))
     found = redirects.judge(rows_of(frame, pages), RULES).collect()
     assert {r["verdict"] for r in found} == {"block"} and {r["rule"] for r in found} == {None}
+
+
+def test_very_long_urls_and_pages(frame):
+    long = "http://bad.net/" + "x" * 300_000
+    pages = [
+        (1, "http://a.com/1", "<p>" * 200_000 + canonical("http://b.net/spam") + " canonical " * 100_000),
+        (2, "http://a.com/2", canonical(long)),
+        (3, long + "?q#f", None),
+        (4, "http://" + "a" * 100_000 + ".com/", ""),
+    ]
+    found = {r["page_id"]: r for r in redirects.judge(rows_of(frame, pages), RULES).collect()}
+    assert [found[i]["verdict"] for i in (1, 2, 3, 4)] == ["block", "block", "block", "allow"]
+    assert found[3]["path"] == long[len("http://bad.net") :] and len(found[4]["host"]) == 100_004

@@ -273,6 +273,27 @@ def test_an_empty_table_has_no_shards(odd_docs):
     assert training_order.materialise(odd_docs.limit(0)).count() == 0
 
 
-def test_the_whole_table_is_ordered(spark, folder):
-    rows = QUERIES["op6_training_order"](spark, folder).collect()
-    assert sorted(r["slot"] for r in rows) == list(range(read_table(spark, folder, "documents").count()))
+def test_the_whole_table_is_ordered(spark, folder, library, tmp_path):
+    """Slots follow from ranks by the key, and every shard read back whole holds its documents' ids in slot order."""
+    docs = read_table(spark, folder, "documents")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    rows = training_order.materialise(docs, f"file://{tmp_path}/shards", shard_slots=64).collect()
+    own = QUERIES["op6_training_order"](spark, folder).collect()
+    assert sorted((r["doc_id"], r["rank"], r["slot"], r["ids_crc32"]) for r in own) == sorted((r["doc_id"], r["rank"], r["slot"], r["ids_crc32"]) for r in rows)
+    assert sorted(r["slot"] for r in rows) == sorted(r["rank"] for r in rows) == list(range(len(texts)))
+    order = training_order.Permutation("epoch-0", len(texts))
+    assert all(order.slots(np.array([r["rank"]]))[0] == r["slot"] == order.slots(order.ranks(np.array([r["slot"]])))[0] for r in rows)
+    assert sum(abs(r["rank"] - r["slot"]) < len(texts) // 20 for r in rows) < len(texts) // 4  # shuffled
+    by_slot = sorted(rows, key=lambda r: r["slot"])
+    for shard in range(-(-len(texts) // 64)):
+        mine = by_slot[64 * shard : 64 * (shard + 1)]
+        expected = [i for r in mine for i in [*library.encode(texts[r["doc_id"]] or "", add_special_tokens=False).ids, 50256]]
+        records = -(-len(expected) // training_order.RECORD_IDS)
+        found = training_order.read_records(f"file://{tmp_path}/shards", shard, 0, records, training_order.RECORD_IDS).ravel()
+        assert found[: len(expected)].tolist() == expected and (found[len(expected) :] == 50256).all()
+
+
+def test_keys_of_other_types_are_packed(frame):
+    for kind, keys in (("int", [1, 2]), ("string", ["a", None])):
+        rows = packing.pack(frame([(k, "some words") for k in keys], f"doc_id {kind}, text string"))
+        assert dict(rows.dtypes)["doc_id"] == kind and {r["doc_id"] for r in rows.collect()} == set(keys)

@@ -7,7 +7,9 @@ which merge they do. So the greedy proposal for a word is checked pair by pair,
 pairs of a batch at once, and only words with a failing pair are merged step by step.
 
 Null texts are read as empty: no ids, and an empty text back. Strings of added tokens become
-those tokens, as the library does. Any column but the two named ones is ignored.
+those tokens, as the library does. Very long texts and words are encoded whole. Repeated rows and
+null keys are encoded each. An empty table gives an empty one. Any column but the two named ones is
+ignored, so none can clash.
 """
 
 from __future__ import annotations

@@ -15,8 +15,9 @@ hold is bounded by vocabulary times languages.
 The score is the posterior of the predicted language, with the text's mean word standing for at
 most ``EVIDENCE`` words, so that mixed text does not look certain. Texts that are null or have no
 letter are ``und`` with score 0, as is all text where no language could be learned. Of equally
-likely languages the first by name is taken. Null languages teach nothing. Repeated rows are
-judged, and learned from, each.
+likely languages the first by name is taken. Null languages teach nothing. Rows with a null key are
+judged like others; repeated rows are judged, and learned from, each. An empty table gives an empty
+one. Only the named columns are read or all are handed on, so none can clash.
 """
 
 from __future__ import annotations
@@ -34,8 +35,6 @@ from tidemark.llm.common import annotate, learns, offsets_of, only, ragged, rest
 from tidemark.llm.shipping import ship
 from tidemark.llm.vocabulary import byte_trie, byte_vocabulary, default_path
 
-#: Bytes at which ``find_matches`` cuts words unless told otherwise; the operator does not cut.
-STRETCH = 64
 #: Texts worked on at once: each byte of a distinct word has several matches, and each match its numbers.
 SLICE = 2 << 20
 EVIDENCE = 8
@@ -90,7 +89,7 @@ def read_words(column: pa.Array) -> Words:
 
 @dataclass
 class Matches:
-    """Every match of a piece in some stretches: where it starts and ends, and the piece.
+    """Every match of a piece in some stretches, which are words: where it starts and ends, and the piece.
 
     A stretch of m bytes has m + 1 places; ``first`` is the place of each one's beginning. Matches
     are sorted by distance from that and then length; those of one distance and length lie between
@@ -124,8 +123,8 @@ class Matches:
         )
 
 
-def find_matches(words: pa.Array, path: str, cut: int | None = STRETCH) -> Matches:
-    """Matches in words cut into stretches of so many bytes, or in whole words."""
+def find_matches(words: pa.Array, path: str) -> Matches:
+    """Matches in whole words, each behind one space."""
     trie = byte_trie(path)
     led = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), words, pa.scalar("", pa.large_string()))
     if not len(led):
@@ -133,13 +132,8 @@ def find_matches(words: pa.Array, path: str, cut: int | None = STRETCH) -> Match
         return Matches(empty, empty, empty, 0, empty, empty, empty, empty, np.zeros(1, np.int64))
     ends = np.frombuffer(led.buffers()[1], np.int64)[: len(led) + 1]
     data = np.frombuffer(led.buffers()[2], np.uint8)
-    size = np.diff(ends)
-    cut = cut or int(size.max())
-    parts = -(-size // cut)
-    word = np.repeat(np.arange(len(size)), parts)
-    number = ragged(np.zeros(len(size), np.int64), parts)
-    begin = ends[:-1][word] + number * cut
-    length = np.minimum(size[word] - number * cut, cut)
+    begin, length = ends[:-1], np.diff(ends)
+    word = np.arange(len(length))
     offsets = offsets_of(length + 1)
     first = offsets[:-1]
 
@@ -258,7 +252,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", path: str | Non
         for batch in batches:
             for cut in slices(batch, 0, SLICE):
                 found = read_words(texts(cut.column(0)))
-                matches = find_matches(found.words, path, None)
+                matches = find_matches(found.words, path)
                 names = cut.column(1).dictionary_encode()
                 of_text = names.indices.to_numpy(zero_copy_only=False)
                 for code, name in enumerate(names.dictionary.to_pylist()):
@@ -307,7 +301,7 @@ def judgements(model: Model, path: str, column: pa.Array) -> list[pa.Array]:
     names = pa.array([*model.languages, "und"], pa.string())
     found = read_words(column)
     words = found.per_text(np.ones(len(found.words)), n)
-    likely = log_likelihoods(find_matches(found.words, path, None), model.probability, len(found.words))
+    likely = log_likelihoods(find_matches(found.words, path), model.probability, len(found.words))
     total = np.array([found.per_text(row, n) for row in likely]).reshape(len(model.languages), n)
     best, score = np.full(n, len(model.languages)), np.zeros(n)
     some = words > 0

@@ -7,8 +7,10 @@ triples that fill its gap exactly and takes as many as their counts allow; what
 best-fit, whole groups of equal sequences at a time. Spark then deals the pieces out: the n-th
 piece of a length takes the n-th place that the plan has for that length.
 
-Null and empty texts are one token (the end token). Repeated rows are packed as rows of their own.
-An empty table gives an empty result.
+Null and empty texts are one token (the end token); very long ones are cut into pieces of the whole
+text. Repeated rows and null keys are packed as rows of their own, keys of any type. Pieces of one
+length are alike: which goes where is told by their ranks. An empty table gives an empty result. Only
+the named columns are read, so others cannot clash.
 """
 
 from __future__ import annotations
@@ -30,11 +32,6 @@ from tidemark.llm.common import offsets_of, only, ragged, slices, texts
 from tidemark.llm.shipping import ship
 from tidemark.llm.tokens import DEFAULT_PATH, batch_tokenizer
 
-PIECES = (
-    "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part int, nth bigint"
-)
-
-
 def cut_into_pieces(docs: DataFrame, capacity: int, end_id: int, path: str) -> DataFrame:
     """One row per piece. ``nth`` counts the earlier pieces of this length in the same ``part``."""
 
@@ -85,7 +82,10 @@ def cut_into_pieces(docs: DataFrame, capacity: int, end_id: int, path: str) -> D
                     ["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"],
                 )
 
-    return docs.mapInArrow(run, PIECES)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.mapInArrow(
+        run, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, part int, nth bigint"
+    )
 
 
 @dataclass
@@ -306,7 +306,8 @@ def pack(
                 ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
             )
 
+    kind = docs.schema[key].dataType.simpleString()
     return ranked.mapInArrow(
         deal,
-        "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint",
+        f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint",
     )

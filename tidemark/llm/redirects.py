@@ -7,8 +7,10 @@ where a rule allows any name of its resource, else blocked where a rule blocks o
 
 An address is the host, path and query of a url; scheme and fragment do not tell addresses apart.
 Null and unreadable urls have no address, no rule and no aliases, and are allowed. Html that is
-null or names nothing gives no edge. Repeated rows are judged alike. Everything runs as DataFrame
-expressions and joins.
+null or names nothing gives no edge; urls and html are read whole, however long. Null keys and repeated
+rows are judged like others, each for itself. Of rules of equal length that fit, allow goes first. An
+empty table gives an empty one. Only the named columns are read, so others cannot clash. Everything
+runs as DataFrame expressions and joins.
 """
 
 from __future__ import annotations

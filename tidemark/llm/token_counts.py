@@ -6,7 +6,9 @@ the node to go on from, so the count of a word is a walk over its bytes. All dis
 batch walk at once. A word is what white space bounds, read with one space before it, as the
 vocabulary writes words within a text.
 
-Null and empty texts have no words and no tokens. Repeated rows are counted each.
+Null and empty texts have no words and no tokens; very long texts and words are read whole. Repeated
+rows and null keys are counted each. An empty table gives an empty one. Only the named columns are
+read, so others cannot clash.
 """
 
 from __future__ import annotations

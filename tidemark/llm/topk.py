@@ -10,7 +10,9 @@ Vectors become integers, floor(scale * x). Vectors that are null or empty, that
 number that is not finite, or whose id is null take no part; a candidate is only compared with
 queries of its own dimension. Repeated rows are candidates of their own; a query's own id
 never is its candidate. Where several query rows have one id, the first by components stands for
-them. Scores beyond a long stand as the largest or smallest long.
+them. Equal scores go by the smaller id. Scores beyond a long stand as the largest or smallest long.
+Empty tables on either side give an empty result. Only the named columns are read, so others cannot
+clash.
 """
 
 from __future__ import annotations

@@ -12,8 +12,9 @@ and holds no shard in memory. A shard is written under the attempt's name and re
 whole, so a lost executor costs a rewrite of the same bytes. Ranks follow the input's partitions,
 as those of ``zipWithIndex`` do; a table that changes between the two reads is refused.
 
-Null and empty texts are sequences of the end id alone. Repeated rows and null keys are sequences
-of their own. An empty table gives no shard.
+Null and empty texts are sequences of the end id alone; very long ones are one sequence, whole. Repeated
+rows and null keys are sequences of their own. An empty table gives no shard. Only the named columns
+are read, so others cannot clash.
 """
 
 from __future__ import annotations
