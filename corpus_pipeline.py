@@ -3,13 +3,18 @@ copies, packed into sequences.
 
 Each stage takes the rows that its predecessor kept, written as Parquet and read again, and learns
 from them alone; all but the last give back whole rows of ``documents``.
+
+All stages read null texts as empty and whole texts however long, keep a row's other columns
+whatever their names, and turn an empty table into an empty one. Null keys are kept like any other
+until near copies go; there, rows that repeat key and text count as copies. Rows without a label
+teach nothing; with no labels at all the quality stage keeps every document.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.durable import settle
+from tidemark.durable import free, settle
 from tidemark.llm import langid, packing, quality, simhash
 from tidemark.llm.common import learns
 from tidemark.sources.tables import read_table
@@ -28,7 +33,8 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that with the smallest doc_id."""
+    """One document of each group of near copies, that with the smallest doc_id. Copies are what the
+    operator's own query links: fingerprints of three-word shingles two bits or fewer apart."""
     return simhash.keep_one_of_each(docs)
 
 
@@ -48,7 +54,8 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = settle(stage(spark, docs, sf_dir), name)
+        before, docs = docs, settle(stage(spark, docs, sf_dir), name)
+        free(before)
     return docs
 
 
