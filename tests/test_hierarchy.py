@@ -1,5 +1,6 @@
 """Hierarchies: the expected quarantine and paths, and random graphs against plain Python."""
 
+import math
 import random
 
 import pytest
@@ -177,6 +178,32 @@ def test_a_ladder_writes_no_paths(spark):
     assert below.count() == len({p for p in pairs if p[0] >= 2})
 
 
+@pytest.mark.parametrize(
+    "pairs",
+    [
+        [(n, (n + 1) % 120) for n in range(120)] + [(5, 60)],
+        [(n, n - 1) for n in range(1, 101)] + [(50, 20)],
+        [(n, (n + step) % 300) for n in range(300) for step in (1, 2)] + [(300 + n, 299 + n) for n in range(100)] + [(350, 0)],
+        [(n, n + step) for n in range(200) for step in (1, 2, 5)],
+    ],
+    ids=["ring", "chain", "ring of two parents and a chain below", "ladder"],
+)
+def test_rounds_grow_with_the_logarithm(spark, monkeypatch, pairs):
+    nodes = {x for p in pairs for x in p}
+    steps = []
+    settled = h.settle
+    monkeypatch.setattr(h, "settle", lambda df, label="step": steps.append(label) or settled(df, label))
+    edges = edges_of(spark, pairs)
+    above = reachable(pairs)
+    members = {c for c in above if c in above[c]}
+    assert ids(h.circular(edges, root=-1)) == sorted(members)
+    assert len(steps) <= 3 * math.log2(len(nodes)) ** 2
+    steps.clear()
+    removed = {r["OrganizationID"] for r in h.quarantine(edges, 1).exceptions.collect()}
+    assert removed == {c for c in above if c in members or above[c] & members}
+    assert len(steps) <= 4 * math.log2(len(nodes)) ** 2
+
+
 def test_no_root_no_paths(spark):
     assert h.paths(edges_of(spark, [(1, 0), (2, 1)])).count() == 0
 

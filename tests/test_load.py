@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 
 import pytest
 from py4j.protocol import Py4JJavaError
@@ -11,10 +12,11 @@ from pyspark.sql import functions as F
 from tidemark.functions.hashing import row_hash
 from tidemark.functions.moments import moment, open_end
 from tidemark.operators.compare import assert_empty, assert_same_rows, table_diff
+from tidemark.operators import load
+from tidemark.operators import orphans as orphans_module
 from tidemark.operators.load import replay_exceptions
 from tidemark.operators.merge import merge_load
 from tidemark.operators.orphans import orphans, route_orphans
-from tidemark.sources.publish import publish, publish_images, published
 from tidemark.spec import ForeignKey, TableSpec
 
 NOW = dt.datetime(2024, 6, 1)
@@ -194,6 +196,104 @@ def test_replay_of_a_table_that_refers_to_itself(spark):
     assert [r["id"] for r in result.exceptions.collect()] == [3]
 
 
+def test_all_foreign_keys_are_found_in_one_pass(spark):
+    """Three keys of different types: the stage is read once for their values and once to mark its rows."""
+    rng = random.Random(4)
+    rows = [(i, rng.choice([None, *range(8)]), rng.choice([None, "x", "y", "z"]), rng.choice([None, 0.5, 1.5, -0.0])) for i in range(200)]
+    stage = spark.createDataFrame(rows, "id INT, a INT, b STRING, c DOUBLE")
+    parents = {"a": [(n,) for n in range(5)] * 2, "b": [("x",), ("z",), (None,)], "c": [(0.5,), (0.0,)]}
+    kinds = {"a": "BIGINT", "b": "STRING", "c": "DOUBLE"}
+    keys = [ForeignKey(c, spark.createDataFrame(parents[c], f"p {kinds[c]}"), "p", name) for c, name in (("a", "Z"), ("b", "M"), ("c", "A"))]
+    plans = []
+    settled = orphans_module.settle
+
+    def keep(df, label="step"):
+        plans.append((label, spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")))
+        return settled(df, label)
+
+    orphans_module.settle = keep
+    try:
+        routed = route_orphans(stage, keys)
+    finally:
+        orphans_module.settle = settled
+    known = {c: {p[0] for p in parents[c]} for c in parents}
+
+    def first_broken(row):
+        broken = [c for c in ("c", "b", "a") if row[c] is not None and row[c] not in known[c]]
+        return f"Orphan {broken[0]}" if broken else None
+
+    expected = {r["id"]: first_broken(r) for r in stage.collect()}
+    assert {r["id"] for r in routed.clean.collect()} == {i for i, d in expected.items() if d is None}
+    assert {r["id"]: r["ErrorDescription"] for r in routed.exceptions.collect()} == {i: d for i, d in expected.items() if d}
+    assert [label for label, _ in plans] == ["values", "orphans", "stage"]
+    scans = {label: len(re.findall(r"Scan ExistingRDD\[id#\d+,a#|LocalTableScan \[.*a#\d+, b#\d+, c#", plan)) for label, plan in plans}
+    assert scans["orphans"] == 0 and scans["values"] <= 1 and scans["stage"] <= 1
+    values = next(plan for label, plan in plans if label == "values")
+    assert values.count("Exchange") == 1 and "Join" not in values
+
+
+def self_referring(spark, seed, dates=6):
+    """Rows with a boss and a deputy in the same table, cycles, unknown and late parents, and an outer key."""
+    rng = random.Random(seed)
+    day = dt.datetime(2024, 1, 1)
+
+    def person(i):
+        return (i, rng.choice([None, *range(30)]), rng.choice([None, None, *range(30)]), rng.choice([1, 1, 1, 2, None]), rng.choice("xy"))
+
+    known = [person(i) for i in rng.sample(range(30), 6)]
+    late = {(r[0], r[5]): r for r in ((*person(rng.randrange(30)), day + dt.timedelta(days=rng.randrange(dates))) for _ in range(70))}
+    late = list(late.values())
+    columns = "id INT, boss INT, deputy INT, unit INT, name STRING"
+    target = versioned(spark.createDataFrame([(*r, 0, day) for r in known], f"{columns}, ServerExecutionID BIGINT, DWLoadDate TIMESTAMP_NTZ"))
+    exceptions = spark.createDataFrame(late + late[:5], f"{columns}, DWLoadDate TIMESTAMP_NTZ").withColumns(
+        {
+            "ServerExecutionID": F.lit(1).cast("bigint"),
+            "ErrorCode": F.lit(0),
+            "ErrorColumn": F.lit(0),
+            "ErrorDescription": F.when(F.col("id") == 29, "Something else").otherwise("Orphan boss"),
+        }
+    )
+    units = spark.createDataFrame([(1,)], "unit INT")
+    keys = (
+        ForeignKey("boss", None, "id", "Self"),
+        ForeignKey("deputy", None, "id", "Self"),
+        ForeignKey("unit", units, "unit", "Unit"),
+    )
+    return target, exceptions, TableSpec(keys=("id",), foreign_keys=keys)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_replay_of_self_references_equals_one_load_per_date(spark, seed):
+    target, exceptions, spec = self_referring(spark, seed)
+    pending = exceptions.where("ErrorDescription LIKE 'Orphan%'").drop("ErrorCode", "ErrorColumn", "ErrorDescription", "ServerExecutionID")
+    dates = [r[0] for r in pending.select(F.col("DWLoadDate").cast("string")).distinct().orderBy(F.col("DWLoadDate")).collect()]
+    expected = load._replay_by_date(target, exceptions, pending, dates, spec, 5, NOW)
+    for small in (True, False):
+        result = replay_exceptions(target, exceptions, spec, 5, NOW, small)
+        assert_same_rows(expected.current, result.current.select(expected.current.columns))
+        assert_same_rows(expected.history_delta, result.history_delta.select(expected.history_delta.columns))
+        assert_same_rows(expected.exceptions, result.exceptions.select(expected.exceptions.columns))
+    assert result.current.count() > target.count()
+
+
+def test_rounds_follow_generations_and_not_load_dates(spark, monkeypatch):
+    """Two generations over forty load dates: the target's rows are joined once, whatever the dates."""
+    day = dt.datetime(2024, 1, 1)
+    rows = [(i, None if i < 40 else i - 40, day + dt.timedelta(days=i % 40 if i < 40 else 50)) for i in range(80)]
+    exceptions = spark.createDataFrame(rows, "id INT, boss INT, DWLoadDate TIMESTAMP_NTZ").withColumns(
+        {"ServerExecutionID": F.lit(1).cast("bigint"), "ErrorCode": F.lit(0), "ErrorColumn": F.lit(0), "ErrorDescription": F.lit("Orphan boss")}
+    )
+    target = versioned(exceptions.drop("ErrorCode", "ErrorColumn", "ErrorDescription").where("id < 0"))
+    steps = []
+    settled = load.settle
+    monkeypatch.setattr(load, "settle", lambda df, label="step": steps.append(label) or settled(df, label))
+    monkeypatch.setattr(load, "merge_load", None)
+    spec = TableSpec(keys=("id",), foreign_keys=(ForeignKey("boss", None, "id", "Self"),))
+    result = replay_exceptions(target, exceptions, spec, 3, NOW)
+    assert result.current.count() == 80 and result.exceptions.count() == 0
+    assert len(steps) <= 16
+
+
 def test_load_dates_an_hour_apart_that_look_alike(spark):
     """Zoned load dates in the hour a clock is set back."""
     zone = spark.conf.get("spark.sql.session.timeZone")
@@ -235,47 +335,3 @@ def test_table_diff_counts_copies(spark):
     assert found == {(1, "expected"): 1, (2, "expected"): 1, (3, "actual"): 1}
     with pytest.raises(AssertionError, match="tables differ"):
         assert_same_rows(expected, actual)
-
-
-def test_publish(spark, tmp_path):
-    root = str(tmp_path)
-    first = spark.createDataFrame([(1,)], "a INT")
-    assert publish({"t": first, "u": first}, root) == 1
-    grown = published(spark, root, "t").unionByName(spark.createDataFrame([(2,)], "a INT"))
-    assert publish({"t": grown}, root) == 2
-    assert published(spark, root, "t").count() == 2
-    assert published(spark, root, "t", version=1).count() == 1
-    assert published(spark, root, "u").count() == 1
-    with pytest.raises(LookupError):
-        published(spark, root, "w")
-    merged = merge_load(versioned(random_rows(spark, 1)), random_rows(spark, 2), SPEC, NOW)
-    publish_images(merged.images, root, {"exceptions": first})
-    assert_same_rows(merged.current, published(spark, root, "current"))
-    assert_same_rows(first, published(spark, root, "exceptions"))
-    assert_same_rows(merged.history_delta, published(spark, root, "history"))
-    unchanged = merge_load(versioned(random_rows(spark, 1)), random_rows(spark, 1), SPEC, NOW)
-    before = published(spark, root, "history").collect()
-    publish_images(unchanged.images, root)
-    assert sorted(map(str, published(spark, root, "history").collect())) == sorted(map(str, before))
-    assert before
-
-
-def test_published_history_accumulates(spark, tmp_path):
-    root = str(tmp_path)
-    first = merge_load(versioned(random_rows(spark, 1)), random_rows(spark, 2), SPEC, NOW)
-    version = publish_images(first.images, root)
-    later = NOW + dt.timedelta(days=1)
-    second = merge_load(published(spark, root, "current"), random_rows(spark, 3), SPEC, later)
-    publish_images(second.images, root)
-    expected = first.history_delta.unionByName(second.history_delta)
-    assert_same_rows(expected, published(spark, root, "history"))
-    assert_same_rows(first.history_delta, published(spark, root, "history", version))
-    assert_same_rows(first.current, published(spark, root, "current", version))
-
-
-def test_an_unreadable_log_is_no_first_version(spark, tmp_path):
-    root = str(tmp_path)
-    (tmp_path / "_published").mkdir()
-    (tmp_path / "_published" / "part-0.parquet").write_bytes(b"no parquet")
-    with pytest.raises(Exception, match="(?i)parquet"):
-        publish({"t": spark.createDataFrame([(1,)], "a INT")}, root)

@@ -4,12 +4,13 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidemark.functions.moments import OPEN_END, moment, open_end
 from tidemark.operators.compare import assert_empty, assert_same_rows
 from tidemark.operators.temporal import ConsistencyError, TemporalTable, VersioningError, temporal_fk_gaps
-from tidemark.spec import TableSpec
+from tidemark.spec import ForeignKey, TableSpec
 
 OPEN = dt.datetime.fromisoformat(OPEN_END)
 
@@ -44,12 +45,70 @@ def test_start_from_a_column(spark):
     assert TemporalTable.create(df, ["id"], F.col("since")).current.first()["RowStartDate"] == at("2016-01-01")
 
 
+SCHEMA = "DepartmentID INT, DepartmentName STRING, ManagerID INT"
+
+
 def test_insert_refuses_keys_that_are_not_new(spark, departments):
-    schema = "DepartmentID INT, DepartmentName STRING, ManagerID INT"
     for keys, message in (([4, 4], "twice"), ([4, 1], "already"), ([4, None], "NULL")):
-        rows = spark.createDataFrame([(k, "x", 1) for k in keys], schema)
-        with pytest.raises(ValueError, match=message):
-            departments.insert(rows, "2018-01-01")
+        rows = spark.createDataFrame([(k, "x", 1) for k in keys], SCHEMA)
+        with pytest.raises(PySparkException, match=message):
+            departments.insert(rows, "2018-01-01").current.collect()
+
+
+def test_constraints_hold_while_rows_are_written(spark, departments, tmp_path):
+    people = spark.createDataFrame([(1,), (2,), (2,), (3,)], "PersonID INT")
+    keys = [ForeignKey("ManagerID", people, "PersonID", "Person"), ForeignKey("DepartmentID", None, "DepartmentID", "Department")]
+    table = departments.constrained(["DepartmentName"], keys)
+    for number, (row, message) in enumerate(
+        [((4, "x", 9), "ManagerID has no parent in Person"), ((4, None, 1), "DepartmentName is NULL"), ((1, "x", 1), "already"), ((None, "x", 1), "DepartmentID is NULL")]
+    ):
+        new = table.insert(spark.createDataFrame([(5, "fine", 2), row], SCHEMA), "2018-01-01")
+        with pytest.raises(PySparkException, match=message):
+            new.current.write.parquet(f"{tmp_path}/{number}")
+    grown = table.insert(spark.createDataFrame([(5, "fine", 2), (6, "no manager", None)], SCHEMA), "2018-01-01")
+    assert grown.current.count() == 5
+    # In force with versioning off too, and for changed values.
+    with pytest.raises(PySparkException, match="no parent"):
+        grown.versioning_off().update(F.col("DepartmentID") == 5, {"ManagerID": F.lit(77)}, "2018-02-01").current.collect()
+    assert grown.update(F.col("DepartmentID") == 5, {"ManagerID": F.lit(3)}, "2018-02-01").current.where("ManagerID = 3").count() == 2
+    with pytest.raises(ValueError, match="no \\['Colour'\\]"):
+        table.constrained(["Colour"])
+
+
+def test_insert_runs_no_job_and_takes_whole_rows(spark, departments):
+    context = spark.sparkContext
+    context.setJobGroup("insert", "insert")
+    try:
+        departments.insert(spark.createDataFrame([(4, "x", 1)], SCHEMA), "2018-01-01")
+        assert list(context.statusTracker().getJobIdsForGroup("insert")) == []
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    with pytest.raises(ValueError, match="the table"):
+        departments.insert(spark.createDataFrame([(4, "x")], "DepartmentID INT, DepartmentName STRING"), "2018-01-01")
+
+
+def test_a_new_row_may_be_the_parent_of_another(spark):
+    df = spark.createDataFrame([(1, None)], "id INT, boss INT")
+    table = TemporalTable.create(df, ["id"], "2020-01-01").constrained(foreign_keys=[ForeignKey("boss", None, "id", "Staff")])
+    assert table.insert(spark.createDataFrame([(2, 3), (3, 1), (4, 4)], "id INT, boss INT"), "2021-01-01").current.count() == 4
+    with pytest.raises(PySparkException, match="boss has no parent"):
+        table.insert(spark.createDataFrame([(2, 3)], "id INT, boss INT"), "2021-01-01").current.collect()
+
+
+def test_consistency_counts_keys_and_rows(spark, departments):
+    rows = [(1, "a", 1, "2019-01-01", "2018-01-01"), (1, "b", 1, "2016-01-01", "2017-09-07"), (2, "c", 1, "2016-01-01", "2017-01-01"), (2, "d", 1, "2016-06-01", "2016-07-01")]
+    current = departments.current.unionByName(departments.current.where("DepartmentID = 3"))
+    current = current.withColumn("RowEndDate", F.when(F.col("DepartmentID") == 2, moment("2030-01-01")).otherwise(F.col("RowEndDate")))
+    table = TemporalTable(current, history_rows(spark, rows), ("DepartmentID",), versioned=False)
+    found = {r["rule"]: (r["keys"], r["rows"]) for r in table.consistency().collect()}
+    assert found == {
+        "ends before it starts": (1, 1),
+        "overlaps an earlier version": (3, 3),
+        "current row has ended": (1, 1),
+        "several current rows": (1, 1),
+    }
+    clean = {r["keys"] for r in departments.consistency().collect()}
+    assert clean == {0}
 
 
 def test_reads_leave_out_versions_without_duration(spark, departments):

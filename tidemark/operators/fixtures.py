@@ -104,12 +104,31 @@ def parent_rows(
 
 
 def check_view(
-    view: Callable[[dict[str, DataFrame]], DataFrame], sources: Mapping[str, T.StructType], spark: SparkSession, now: Moment
-) -> None:
-    """Fill every source of a view with one fixture row and expect one filled row from it."""
-    filled = {name: fixture_rows(spark, schema, 1, now) for name, schema in sources.items()}
+    view: Callable[[dict[str, DataFrame]], DataFrame],
+    sources: Mapping[str, T.StructType | DataFrame],
+    spark: SparkSession,
+    now: Moment,
+    keys: Sequence[str] = (),
+) -> DataFrame:
+    """Fill every source of a view by type and expect every column of its output filled like that.
+
+    A source given as a schema has one row; one given as rows has as many, and keeps its ``keys``, by
+    which the view may join. Returns, per column of the view, how many rows are filled; fails with the
+    rows that differ from what is expected.
+    """
+    filled = {
+        name: fixture_rows(spark, source, 1, now)
+        if isinstance(source, T.StructType)
+        else fixture_like(source, [k for k in keys if k in source.columns], now)
+        for name, source in sources.items()
+    }
     actual = view(filled)
-    assert_same_rows(fixture_rows(spark, actual.schema, 1, now), actual)
+    if all(isinstance(source, T.StructType) for source in sources.values()):
+        expected = fixture_rows(spark, actual.schema, 1, now)
+    else:
+        expected = fixture_like(actual, [k for k in keys if k in actual.columns], now)
+    assert_same_rows(expected, actual)
+    return actual.agg(*(F.count(c).alias(c) for c in actual.columns)).unpivot([], actual.columns, "column_name", "filled_rows")
 
 
 def sample_users(spark: SparkSession, n: int = 50) -> DataFrame:

@@ -2,17 +2,20 @@
 
 Where every child has one parent, chains are followed by doubling: after ``k`` rounds each row
 knows where ``2**k`` steps lead, so a hierarchy of depth ``d`` takes ``log2(d)`` joins instead
-of ``d``, and rows that have arrived take no further part. Every round is settled.
+of ``d``, and rows that have arrived take no further part. Every round is settled. Where children
+have several parents, cycles are found by the lowest node above and below each node, which spreads
+by doubling too.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.durable import new_run_folder, settle
+from tidemark.durable import free, new_run_folder, settle
 from tidemark.functions.guards import require, true
 from tidemark.functions.ordered import HOT_ROWS, numbered
 from tidemark.spec import ERROR_CODE, ERROR_COLUMN, ERROR_DESCRIPTION
@@ -175,69 +178,108 @@ def _steps(edges: Edges) -> DataFrame:
     return settle(first.join(first.select(F.col("id").alias("parent")).distinct(), "parent", "left_semi"), "steps")
 
 
-def _unresolved(edges: Edges) -> DataFrame:
-    """Nodes from which some way up leads into a cycle; they are what is left when nodes whose
-    parents are all resolved are resolved in turn. Several parents per child; no path is written."""
-    left = _steps(edges)
-    count = left.count()
-    while count:
-        onward = settle(left.join(left.select(F.col("id").alias("parent")).distinct(), "parent", "left_semi"), "steps")
-        now = onward.count()
-        left = onward
-        if now == count:
-            break
-        count = now
-    return left.select("id").distinct()
+def _ends(steps: DataFrame) -> DataFrame:
+    return steps.select("id").union(steps.select("parent")).distinct()
+
+
+def _lowest_above(nodes: DataFrame, steps: DataFrame, ranks: int = 1, deal: int = 0) -> DataFrame:
+    """(id, low_0, low_1, ...): for each node, of itself and all it reaches by ``steps`` (id to parent), the
+    lowest by each of some ranks, as a struct (class, rank, id).
+
+    Ranks are hashes of the ids, so that they tell nothing about the way; a column ``class`` of ``nodes``
+    goes before them. Each round a node takes the lowest of what it knows, what its parents know, and what
+    the nodes it has shortcuts to know. A round adds a shortcut along one parent of each node, twice as
+    long as the one before: rounds grow with the logarithm of the way's length, and so do shortcuts.
+    """
+    first = steps.groupBy("id").agg(F.min(F.struct(F.xxhash64("parent", F.lit(deal)).alias("_by"), "parent")).alias("_first"))
+    far = settle(first.select("id", F.col("_first.parent").alias("parent")), "shortcuts")
+    ways, length, count = [steps], 1, nodes.count()
+    lows = [f"low_{i}" for i in range(ranks)]
+    begun = (F.struct("class", F.xxhash64("id", F.lit(deal), F.lit(i)).alias("rank"), "id").alias(low) for i, low in enumerate(lows))
+    state = settle(nodes.select("id", *begun), "lowest")
+    while True:
+        known = state.select(F.col("id").alias("_id"), *(F.col(low).alias(f"_{low}") for low in lows))
+        every = reduce(DataFrame.unionByName, (way.select("id", "parent") for way in ways))
+        up = every.join(known, F.col("parent") == F.col("_id")).groupBy("id").agg(*(F.min(f"_{low}").alias(f"_{low}") for low in lows))
+        met = state.select("id", *lows).join(up, "id", "left")
+        best = [F.least(low, f"_{low}") for low in lows]
+        moved = reduce(Column.__or__, (b != F.col(low) for b, low in zip(best, lows, strict=True)))
+        before, state = state, settle(met.select("id", *(b.alias(low) for b, low in zip(best, lows, strict=True)), moved.alias("moved")), "lowest")
+        free(before)
+        grows = length < count
+        if grows:
+            onward = far.select(F.col("id").alias("_at"), F.col("parent").alias("_to"))
+            far = settle(far.join(onward, F.col("parent") == F.col("_at")).select("id", F.col("_to").alias("parent")), "shortcuts")
+            ways.append(far)
+            length = count if far.isEmpty() else 2 * length
+        if not grows and state.where("moved").isEmpty():
+            free(*ways[1:])
+            return state.drop("moved")
+
+
+def _unresolved(edges: Edges, members: DataFrame | None) -> DataFrame:
+    """Nodes on a cycle, and those from which some way up leads into one. Several parents per child."""
+    members = settle(_on_cycles(edges) if members is None else members.select("id"), "cycles")
+    if members.isEmpty():
+        return members
+    steps = _steps(edges)
+    # Members rank below all others: whoever reaches one has it as the lowest above.
+    marked = _ends(steps).join(members.select(F.col("id").alias("_member")), F.col("id") == F.col("_member"), "left")
+    lowest = _lowest_above(marked.select("id", F.col("_member").isNull().alias("class")), steps)
+    return lowest.where(~F.col("low_0.class")).select("id")
 
 
 def _peeled(steps: DataFrame) -> DataFrame:
-    """Steps without those that no cycle can hold: from nodes nothing leads to, or to nodes that lead nowhere."""
+    """Steps without those at the rims, which no cycle can hold: from nodes nothing leads to, or to nodes that
+    lead nowhere. As many layers as the number of steps has binary digits: enough for a shallow hierarchy."""
     count = steps.count()
-    while count:
+    for _ in range(count.bit_length()):
         inner = steps.join(steps.select(F.col("id").alias("parent")).distinct(), "parent", "left_semi")
         inner = settle(inner.join(steps.select(F.col("parent").alias("id")).distinct(), "id", "left_semi"), "steps")
-        now = inner.count()
-        if now == count:
+        free(steps)
+        steps, before, count = inner, count, inner.count()
+        if count in (0, before):
             break
-        steps, count = inner, now
     return steps
 
 
+#: Ranks by which steps are cut at once: more of them cut ways that lie on no cycle into shorter pieces.
+RANKS = 8
+
+
 def _on_cycles(edges: Edges) -> DataFrame:
     """Members of cycles where children may have several parents, however long the cycles are.
 
-    Each node takes the smallest node above it as its colour. A node that keeps its own is, with
-    what lies above it in the same colour, one strongly connected part; these parts are taken
-    out, all colours at once, until nothing is left that could hold a cycle.
+    The nodes of a strongly connected part have the same lowest node above and, within the steps between
+    such nodes, the same lowest node below. Where these two are one, its part is found; all other steps
+    between nodes that differ in either, by any of several ranks, lie on no cycle and go. Ranks are dealt
+    anew in every pass, so what is on no cycle falls apart in a number of passes that grows with the
+    logarithm.
     """
     left = _peeled(_steps(edges))
     found = left.select("id").where(F.lit(False))
+    lows = [f"low_{i}" for i in range(RANKS)]
+    deal = 0
+
     while not left.isEmpty():
-        colours = settle(left.select("id", F.col("id").alias("colour")).distinct(), "colours")
-        total = None
-        while True:
-            above = left.join(colours.select(F.col("id").alias("parent"), F.col("colour").alias("_above")), "parent")
-            lowest = above.groupBy("id").agg(F.min("_above").alias("_above"))
-            colours = settle(
-                colours.join(lowest, "id").select("id", F.least("colour", "_above").alias("colour")), "colours"
-            )
-            now = colours.agg(F.sum(F.col("colour").cast("decimal(38,0)"))).first()[0]
-            if now == total:
-                break
-            total = now
-        of_parent = colours.select(F.col("id").alias("parent"), F.col("colour").alias("_colour"))
-        inside = settle(left.join(colours, "id").join(of_parent, "parent").where("colour = _colour").drop("_colour"), "colours")
-        part = settle(colours.where("id = colour"), "parts")
-        size, before = part.count(), -1
-        while size != before:
-            up = inside.join(part.select("id"), "id", "left_semi").select(F.col("parent").alias("id"), "colour")
-            part = settle(part.unionByName(up).distinct(), "parts")
-            size, before = part.count(), size
-        several = part.groupBy("colour").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        found = settle(found.unionByName(part.join(several, "colour", "left_semi").select("id")), "cycles")
-        gone = part.select("id")
-        rest = left.join(gone, "id", "left_anti").join(gone.select(F.col("id").alias("parent")), "parent", "left_anti")
-        left = _peeled(settle(rest, "steps"))
+        # Equal hashes of the lowest nodes by all ranks stand for the nodes themselves.
+        above = _lowest_above(_ends(left).withColumn("class", F.lit(False)), left, RANKS, deal)
+        above = settle(above.select("id", F.xxhash64(*(f"{low}.id" for low in lows)).alias("colour"), F.col("low_0.id").alias("top")), "above")
+        of_parent = above.select(F.col("id").alias("parent"), F.col("colour").alias("_colour"))
+        inside = left.join(above.select("id", "colour"), "id").join(of_parent, "parent").where("colour = _colour")
+        inside = settle(inside.select("id", "parent"), "steps")
+        turned = inside.select(F.col("parent").alias("id"), F.col("id").alias("parent"))
+        below = _lowest_above(_ends(inside).withColumn("class", F.lit(False)), turned, RANKS, deal)
+        marks = below.select("id", F.xxhash64(*(f"{low}.id" for low in lows)).alias("mark"), F.col("low_0.id").alias("bottom"))
+        marked = settle(marks.join(above.select("id", "top"), "id"), "parts")
+        part = marked.where("top = bottom")
+        several = part.groupBy("top").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        found = settle(found.unionByName(part.join(several, "top", "left_semi").select("id")), "cycles")
+        other = marked.where("top <> bottom").select("id", "mark")
+        rest = inside.join(other, "id").join(other.select(F.col("id").alias("parent"), F.col("mark").alias("_mark")), "parent")
+        before, left = left, settle(rest.where("mark = _mark").select("id", "parent"), "steps")
+        free(before, above, inside, marked)
+        deal += 1
     return found
 
 
@@ -267,6 +309,19 @@ def nested(edges: Edges, members: DataFrame) -> DataFrame:
     )
 
 
+def _reached_once(reached: DataFrame, several: DataFrame, seen: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of the nodes a level reaches, those that no earlier level has, and what was seen by now.
+
+    Only nodes with several parents can be reached again, so only those are remembered; the rest of
+    what was found is not read again.
+    """
+    again = reached.join(several, "id", "left_semi").join(seen, "id", "left_anti")
+    new = settle(reached.join(several, "id", "left_anti").withColumn("again", F.lit(False)).unionByName(again.withColumn("again", F.lit(True))), "level")
+    before, seen = seen, settle(seen.unionByName(new.where("again").select("id")), "seen")
+    free(before)
+    return new.select("id"), seen
+
+
 def descendants(edges: Edges, roots: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Nodes below ``roots`` with their level, the roots being level 1.
 
@@ -275,9 +330,14 @@ def descendants(edges: Edges, roots: DataFrame, max_depth: int | None = None) ->
     """
     spark = edges.df.sparkSession
     pairs = settle(edges.pairs(), "edges")
-    folder = new_run_folder(spark, "descendants")
-    level = pairs.join(roots.select("id").distinct(), "id", "left_semi").select(F.lit(1).alias("level"), "id", "parent")
+    named = settle(roots.select("id").distinct(), "roots")
+    level = pairs.join(named, "id", "left_semi").select(F.lit(1).alias("level"), "id", "parent")
     schema = level.schema
+    # Rows of the roots are level 1 and no other; all others come when their parent first does.
+    pairs = settle(pairs.join(named, "id", "left_anti"), "edges")
+    several = settle(pairs.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id"), "several")
+    seen = settle(several.where(F.lit(False)), "seen")
+    folder = new_run_folder(spark, "descendants")
     number = 1
     while True:
         level.write.parquet(f"{folder}/step={number}")
@@ -286,12 +346,9 @@ def descendants(edges: Edges, roots: DataFrame, max_depth: int | None = None) ->
             return spark.read.schema(schema).parquet(f"{folder}/step=*")
         if max_depth is not None and number > max_depth:
             raise RecursionError(f"more than {max_depth} levels below the given nodes")
-        above = written.select(F.col("id").alias("parent"), F.col("level").alias("_level"))
-        found = spark.read.schema(schema).parquet(f"{folder}/step=*").select("id", "parent").distinct()
-        new = pairs.join(above.distinct(), "parent").select((F.col("_level") + 1).alias("level"), "id", "parent")
-        same = [F.col("id") == F.col("_id"), F.col("parent").eqNullSafe(F.col("_parent"))]
-        level = new.join(found.select(F.col("id").alias("_id"), F.col("parent").alias("_parent")), same, "left_anti")
+        found, seen = _reached_once(written.select("id").distinct(), several, seen)
         number += 1
+        level = pairs.join(found.withColumnRenamed("id", "parent"), "parent").select(F.lit(number).alias("level"), "id", "parent")
 
 
 @dataclass(frozen=True)
@@ -300,18 +357,23 @@ class Quarantined:
     exceptions: DataFrame
 
 
-def quarantine(edges: Edges, execution_id: int, max_distance: int | None = None) -> Quarantined:
-    """Split off cycles and everything below them; with ``max_distance``, as ``circular`` finds them."""
+def quarantine(
+    edges: Edges, execution_id: int, max_distance: int | None = None, members: DataFrame | None = None
+) -> Quarantined:
+    """Split off cycles and everything below them; with ``max_distance``, as ``circular`` finds them.
+
+    ``members`` are those of all cycles, where they are known already and children have several parents.
+    """
     if not has_repeated_children(edges):
         removed = _cycles(edges, None if max_distance is None else max_distance + 1)[1]
     elif max_distance is None:
-        removed = _unresolved(edges)
+        removed = _unresolved(edges, members)
     else:
         members = settle(circular(edges, max_distance), "cycles")
         hanging = settle(nested(edges, members), "cycles")
         removed = members.unionByName(descendants(edges, hanging).select("id")).distinct()
-    removed = settle(removed, "quarantine")
-    match = F.col(edges.id) == F.col("id")
+    removed = settle(removed.select(F.col("id").alias("_removed")), "quarantine")
+    match = F.col(edges.id) == F.col("_removed")
     out = edges.df.join(removed, match, "left_semi").withColumns(
         {
             "ServerExecutionID": F.lit(execution_id).cast("bigint"),
@@ -384,22 +446,26 @@ def _path_text(reached: DataFrame) -> DataFrame:
 def _smallest_paths(edges: Edges, root: int) -> DataFrame:
     """Level by level from the root; a node keeps the smallest of its shortest trails."""
     spark = edges.df.sparkSession
-    pairs = settle(edges.pairs(), "edges")
-    folder = new_run_folder(spark, "paths")
+    pairs = edges.pairs()
     level = pairs.where(F.col("id") == root).select("id", F.array().cast("array<bigint>").alias("trail")).distinct()
     schema = level.schema
+    pairs = settle(pairs.where(F.col("id") != root).distinct(), "edges")
+    several = settle(pairs.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id"), "several")
+    seen = settle(several.where(F.lit(False)), "seen")
+    folder = new_run_folder(spark, "paths")
     number = 0
     while True:
         level.write.parquet(f"{folder}/step={number}")
         written = spark.read.schema(schema).parquet(f"{folder}/step={number}")
         if written.isEmpty():
-            break
-        found = spark.read.schema(schema).parquet(f"{folder}/step=*")
-        above = written.select(F.col("id").alias("parent"), F.col("trail").alias("_trail"))
-        new = pairs.join(above, "parent").join(found.select("id"), "id", "left_anti")
+            return _path_text(spark.read.schema(schema).parquet(f"{folder}/step=*"))
+        reached = pairs.join(written.select(F.col("id").alias("parent")), "parent").select("id").distinct()
+        found, seen = _reached_once(reached, several, seen)
+        new = pairs.join(found, "id", "left_semi").join(
+            written.select(F.col("id").alias("parent"), F.col("trail").alias("_trail")), "parent"
+        )
         level = new.groupBy("id").agg(F.min(F.concat("_trail", F.array("id"))).alias("trail"))
         number += 1
-    return _path_text(spark.read.schema(schema).parquet(f"{folder}/step=*"))
 
 
 def update_if_changed(table: DataFrame, found: DataFrame, id_column: str, path_column: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.durable import settle
+from tidemark.durable import free, settle
 from tidemark.functions.guards import require, true
 from tidemark.functions.moments import Moment
 from tidemark.operators.merge import (
@@ -79,21 +79,27 @@ def replay_exceptions(
     All dates are done in one pass: a key has at most one row per load date, equal neighbours
     collapse, and the order within a key gives every row its successor. Rows that Spark can
     broadcast leave the target unshuffled; more of them go through one shuffle together with the
-    target, which ``small`` can ask for or refuse. The rows are the same. Only a table that
-    refers to itself is loaded date by date, because there one date can be the next one's parent.
+    target, which ``small`` can ask for or refuse. The rows are the same. In a table that refers to
+    its own keys one date's rows can be the next one's parents: since when each key exists is found
+    first, from keys, parents and dates alone. Only a table that refers to another column of its own,
+    whose values an update can take away again, is loaded date by date.
     """
     pending = exceptions.where(
         F.col(ERROR_DESCRIPTION).like("Orphan%") & F.col(spec.load_date).isNotNull()
     ).drop(*ERROR_COLUMNS)
     if spec.execution_id in pending.columns:
         pending = pending.drop(spec.execution_id)
-    if any(fk.parent is None for fk in spec.foreign_keys):
+    own = [fk for fk in spec.foreign_keys if fk.parent is None]
+    if any(fk.parent_column not in spec.keys for fk in own):
         # One value per load run, not per row.
         date_type = pending.schema[spec.load_date].dataType
         days = pending.select(_date_key(spec.load_date, date_type).alias("date")).distinct().orderBy("date")
         return _replay_by_date(target, exceptions, pending, [r[0] for r in days.collect()], spec, execution_id, now)
 
-    clean = route_orphans(pending, spec.foreign_keys, emit=False, row_hash=spec.row_hash).clean
+    others = [fk for fk in spec.foreign_keys if fk.parent is not None]
+    clean = route_orphans(pending, others, emit=False, row_hash=spec.row_hash).clean
+    if own:
+        clean = _with_parents_in_time(target, clean, own, spec)
     change = Change.of(target, spec)
     staged = _staged_versions(target, clean.distinct(), pending, spec, change, execution_id, now)
     loaded = staged.select(*(F.col(STAGED + k).alias(k) for k in spec.keys), spec.load_date)
@@ -262,6 +268,67 @@ def _changed_versions(target: DataFrame, survivors: DataFrame, spec: TableSpec,
     )
 
 
+def _with_parents_in_time(target: DataFrame, rows: DataFrame, own: list[ForeignKey], spec: TableSpec) -> DataFrame:
+    """The rows whose parents in the table itself are there before their load date.
+
+    A key exists from the first load date of a row of it that is loaded, and a row is loaded once all
+    its parents exist; keys never go, so both only grow. Each round loads all rows whose parents are
+    known to be in time, whatever their dates, and so sees one more generation of them: there are
+    no more rounds than a parent has generations, and no more than load dates. Rounds see keys,
+    parents and dates only. Of the target just the key columns that are referred to are read.
+    """
+    columns = list(dict.fromkeys(fk.parent_column for fk in own))
+    parents = [f"_parent_{i}" for i in range(len(own))]
+    links = rows.select(
+        *(F.col(c).alias(f"_own_{i}") for i, c in enumerate(columns)),
+        *(F.col(fk.column).cast(target.schema[fk.parent_column].dataType).alias(p) for fk, p in zip(own, parents, strict=True)),
+        F.col(spec.load_date).alias("_date"),
+    ).distinct()
+    waiting = settle(links, "links")
+    asked, known = [], []
+    for i, column in enumerate(columns):
+        named = [p for fk, p in zip(own, parents, strict=True) if fk.parent_column == column]
+        values = waiting.select(F.explode(F.array(*named)).alias("_value")).where("_value IS NOT NULL").distinct()
+        values = settle(values, "asked")
+        there = values.join(target.select(F.col(column).alias("_there")), F.col("_value") == F.col("_there"), "left_semi")
+        asked.append(values)
+        # A date that is NULL: there before the first load.
+        known.append(settle(there.withColumn("_since", F.lit(None).cast(links.schema["_date"].dataType)), "known"))
+
+    def in_time(df: DataFrame, date: Column) -> DataFrame:
+        fits = F.lit(True)
+        for n, (fk, parent) in enumerate(zip(own, parents, strict=True)):
+            since = known[columns.index(fk.parent_column)].select(
+                F.col("_value").alias(f"_value_{n}"), F.col("_since").alias(f"_since_{n}")
+            )
+            df = df.join(since, F.col(parent) == F.col(f"_value_{n}"), "left")
+            early = F.col(f"_value_{n}").isNotNull() & true(F.col(f"_since_{n}").isNull() | (F.col(f"_since_{n}") < date))
+            fits = fits & (F.col(parent).isNull() | early)
+        return df.withColumn("_in_time", fits)
+
+    while True:
+        judged = settle(in_time(waiting, F.col("_date")).select(*waiting.columns, "_in_time"), "links")
+        free(waiting)
+        found = judged.where("_in_time")
+        if found.isEmpty():
+            free(judged)
+            break
+        for i in range(len(columns)):
+            new = found.select(F.col(f"_own_{i}").alias("_value"), F.col("_date").alias("_since"))
+            new = new.join(asked[i], "_value", "left_semi").groupBy("_value").agg(F.min("_since").alias("_since"))
+            both = known[i].unionByName(new).groupBy("_value")
+            first = F.when(F.count("*") == F.count("_since"), F.min("_since")).alias("_since")
+            before, known[i] = known[i], settle(both.agg(first), "known")
+            free(before)
+        waiting = settle(judged.where("NOT _in_time").drop("_in_time"), "links")
+        free(judged)
+    free(*asked)
+    named = rows.withColumns(
+        {p: F.col(fk.column).cast(target.schema[fk.parent_column].dataType) for fk, p in zip(own, parents, strict=True)}
+    )
+    return in_time(named, F.col(spec.load_date)).where("_in_time").select(*rows.columns)
+
+
 def _replay_by_date(
     target: DataFrame,
     exceptions: DataFrame,

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.durable import settle
+from tidemark.durable import free, settle
 from tidemark.spec import ERROR_CODE, ERROR_COLUMN, ERROR_DESCRIPTION, ForeignKey
 
 
@@ -36,6 +37,44 @@ def orphans(stage: DataFrame, fk: ForeignKey) -> DataFrame:
     return stage.join(orphan_values(stage, fk), F.col(fk.column) == F.col("_child"), "left_semi")
 
 
+def all_orphan_values(stage: DataFrame, foreign_keys: Sequence[ForeignKey]) -> DataFrame:
+    """The values without a parent of all keys: ``_fk``, the key's number, and ``_v0``, ``_v1``, ... with the
+    value in the column of its key. Settled.
+
+    The stage is read once: its values are stacked, made distinct on the map side, and settled; each
+    key's share of them then meets its parent.
+    """
+    names = [f"_v{i}" for i in range(len(foreign_keys))]
+    stacked = F.array(
+        *(
+            F.struct(
+                F.lit(i).alias("_fk"),
+                *(
+                    (F.col(fk.column) if i == j else F.lit(None).cast(stage.schema[fk.column].dataType)).alias(names[j])
+                    for j, fk in enumerate(foreign_keys)
+                ),
+            )
+            for i in range(len(foreign_keys))
+        )
+    )
+    values = stage.select(F.explode(stacked).alias("_x")).select("_x.*")
+    values = settle(values.where(_any_known(names)).distinct(), "values")
+    found = None
+    for i, fk in enumerate(foreign_keys):
+        if fk.parent is None:
+            raise ValueError(f"foreign key {fk.column} refers to the loaded table: pass it as the parent")
+        parents = fk.parent.select(F.col(fk.parent_column).alias("_parent"))
+        own = values.where(F.col("_fk") == i).join(parents, F.col(names[i]) == F.col("_parent"), "left_anti")
+        found = own if found is None else found.unionByName(own)
+    settled = settle(found, "orphans")
+    free(values)
+    return settled
+
+
+def _any_known(names: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, (F.col(n).isNotNull() for n in names))
+
+
 def route_orphans(
     stage: DataFrame,
     foreign_keys: Iterable[ForeignKey],
@@ -49,18 +88,20 @@ def route_orphans(
     first key it breaks. ``emit=False`` only removes the rows, as a replay does: they already
     are exceptions. New exception rows are appended to ``exceptions`` when it is given.
 
-    The orphan values of each key are settled first. They are usually few, and once their true
-    size is known Spark broadcasts them, so the stage itself is scanned without being shuffled;
-    a large set falls back to a shuffled join, where adaptive execution splits skewed values.
+    The orphan values of all keys are found in one pass over the stage and settled. They are
+    usually few, and once their true size is known Spark broadcasts them, so the second and last
+    pass marks the rows without a shuffle; a large set falls back to a shuffled join, where adaptive
+    execution splits skewed values.
     """
     ordered = sorted(foreign_keys, key=lambda fk: fk.parent_name)
     marked = stage
     marks = []
     broken = []
+    found_values = all_orphan_values(stage, ordered) if ordered else None
     for position, fk in enumerate(ordered):
         mark = f"_orphan_{position}"
-        values = settle(orphan_values(stage, fk), "orphans").select(
-            F.col("_child").alias(f"{mark}_value"), F.lit(True).alias(mark)
+        values = found_values.where(F.col("_fk") == position).select(
+            F.col(f"_v{position}").alias(f"{mark}_value"), F.lit(True).alias(mark)
         )
         marked = marked.join(values, F.col(fk.column) == F.col(f"{mark}_value"), "left")
         marks.append(mark)

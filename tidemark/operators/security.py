@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.guards import true
 
@@ -26,6 +27,10 @@ OPERATIONS = (AFTER_INSERT, AFTER_UPDATE, BEFORE_UPDATE, BEFORE_DELETE)
 MAX_LITERALS = 10_000
 
 
+# Types whose values are the same literal again after they have been read.
+_BOUNDED = (T.IntegralType, T.StringType, T.DateType, T.DecimalType)
+
+
 class PolicyError(RuntimeError):
     """A change to predicates or policies that is not allowed."""
 
@@ -134,6 +139,22 @@ def _marked(df: DataFrame, granted: Granted, column: str, mark: str) -> DataFram
     return joined.withColumn(mark, condition | true(F.col("_is_held"))).drop("_held", "_is_held")
 
 
+def _bounded(df: DataFrame, granted: Granted, column: str) -> DataFrame:
+    """``df`` without rows outside the smallest and the largest permitted value.
+
+    The bounds are literals, so they reach the scan, below the barrier that keeps callers' conditions
+    off it: row groups and files that hold no permitted value are not read.
+    """
+    held = granted.held.columns[0]
+    kind = df.schema[column].dataType
+    if granted.literals or granted.held.schema[held].dataType != kind or not isinstance(kind, _BOUNDED):
+        return df
+    low, high = granted.held.agg(F.min(held), F.max(held)).first()
+    if low is None:
+        return df.where(F.lit(False))
+    return df.where((F.col(column) >= F.lit(low)) & (F.col(column) <= F.lit(high)))
+
+
 def _is_one_scan(df: DataFrame) -> bool:
     """Whether the rows come from a single relation, so that no join can let a condition pass a filter."""
     try:
@@ -159,7 +180,7 @@ def permitted(df: DataFrame, access: Access, column: str, user: User) -> DataFra
     if granted.everything:
         return df
     if granted.held is not None:
-        return _barrier(_marked(df, granted, column, "_may").where("_may").drop("_may"))
+        return _barrier(_marked(_bounded(df, granted, column), granted, column, "_may").where("_may").drop("_may"))
     seen = df.where(_literal_condition(granted, column))
     return seen if _is_one_scan(df) else _barrier(seen)
 

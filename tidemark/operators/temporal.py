@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.durable import settle
-from tidemark.functions.guards import true
+from tidemark.functions.guards import require, true
 from tidemark.functions.moments import OPEN_END, Moment, moment, open_end
 from tidemark.functions.ordered import HOT_ROWS, running_max_before
 from tidemark.operators.merge import merge_load
-from tidemark.spec import TableSpec
+from tidemark.spec import ForeignKey, TableSpec
 
 PERIOD_TYPE = "timestamp_ntz"
 BEGINNING = "0001-01-01 00:00:00"
@@ -43,6 +42,10 @@ class TemporalTable:
     end: str = "RowEndDate"
     versioned: bool = True
     history_constraints: tuple[str, ...] = ()
+    not_null: tuple[str, ...] = ()
+    foreign_keys: tuple[ForeignKey, ...] = ()
+    #: A column of history with the day its rows ended, by which it is stored in partitions.
+    ended: str | None = None
 
     @classmethod
     def create(
@@ -62,27 +65,65 @@ class TemporalTable:
 
     # Changes
 
+    def constrained(self, not_null: Sequence[str] = (), foreign_keys: Sequence[ForeignKey] = ()) -> TemporalTable:
+        """Add constraints on current rows: columns that are never NULL, and foreign keys.
+
+        They hold with versioning on or off. A foreign key without a parent refers to this table.
+        """
+        unknown = {*not_null, *(fk.column for fk in foreign_keys)} - set(self.current.columns)
+        if unknown:
+            raise ValueError(f"there is no {sorted(unknown)}")
+        return replace(
+            self, not_null=(*self.not_null, *not_null), foreign_keys=(*self.foreign_keys, *foreign_keys)
+        )
+
     def insert(self, rows: DataFrame, now: Moment) -> TemporalTable:
-        """Add rows that start now. The period columns are generated and must not be given.
+        """Add rows that start now. The period columns are generated and must not be given, all others must.
 
-        Rows with a key that is NULL, given twice or there already are refused, before anything is added.
+        Keys, columns that are never NULL and foreign keys are checked in the plan of the new rows: a
+        row that breaks one fails the job that writes or reads them, and no job runs before it.
         """
         self._refuse_periods(rows.columns)
-        self._refuse_keys(rows)
-        stamped = rows.withColumns(self._open_period(now))
-        return replace(self, current=self.current.unionByName(stamped, allowMissingColumns=True))
-
-    def _refuse_keys(self, rows: DataFrame) -> None:
+        wanted = [c for c in self.current.columns if c not in (self.start, self.end)]
+        if {c.lower() for c in rows.columns} != {c.lower() for c in wanted}:
+            raise ValueError(f"rows have {sorted(rows.columns)}, the table {sorted(wanted)}")
+        typed = rows.select(*(F.col(c).cast(self._type(c)).alias(c) for c in wanted))
+        stamped = self._checked_keys(self._checked(typed, rows)).withColumns(self._open_period(now))
+        return replace(self, current=self.current.unionByName(stamped))
+
+    def _checked(self, rows: DataFrame, added: DataFrame | None = None, where: Column | None = None) -> DataFrame:
+        """``rows``, failing on a NULL that is not allowed or a value without a parent, among all rows or
+        those ``where`` it holds. A row added may be the parent of another, or its own."""
+        checks = [(F.col(c).isNotNull(), f"{c} is NULL") for c in dict.fromkeys((*self.key, *self.not_null))]
+        marked, marks = rows, []
+        for n, fk in enumerate(self.foreign_keys):
+            parent = fk.parent
+            if parent is None:
+                parent = self.current.select(fk.parent_column)
+                parent = parent if added is None else parent.unionByName(added.select(fk.parent_column))
+            name = f"_parent_{n}"
+            # Distinct on the parent's side, so that a row meets one parent at most and stays one row.
+            parents = parent.select(F.col(fk.parent_column).alias(name)).where(F.col(name).isNotNull()).distinct()
+            marked = marked.join(parents, F.col(fk.column) == F.col(name), "left")
+            checks.append((F.col(fk.column).isNull() | F.col(name).isNotNull(), f"{fk.column} has no parent in {fk.parent_name}"))
+            marks.append(name)
+        broken = F.lit(None).cast("string")
+        for holds, message in reversed(checks):
+            broken = F.when(~holds, F.lit(message)).otherwise(broken)
+        if where is not None:
+            broken = F.when(where, broken)
+        return require(marked, broken.isNull(), broken).drop(*marks) if checks else rows
+
+    def _checked_keys(self, rows: DataFrame) -> DataFrame:
+        """``rows``, failing on a key that is given twice or there already."""
         if not self.key:
-            return
-        keys = [F.col(k) for k in self.key]
-        unknown = reduce(lambda a, b: a | b, (k.isNull() for k in keys))
-        if not rows.where(unknown).isEmpty():
-            raise ValueError("a key is NULL")
-        if not rows.groupBy(*self.key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").isEmpty():
-            raise ValueError("a key is given twice")
-        if not self.current.select(*self.key).join(rows.select(*self.key), list(self.key), "left_semi").isEmpty():
-            raise ValueError("a key is there already")
+            return rows
+        there = self.current.select(*(F.col(k).alias(f"_there_{k}") for k in self.key)).withColumn("_there", F.lit(True))
+        same = [F.col(k) == F.col(f"_there_{k}") for k in self.key]
+        copy = F.row_number().over(Window.partitionBy(*self.key).orderBy(*self.key))
+        met = rows.withColumn("_copy", copy).join(there, same, "left")
+        message = F.when(F.col("_there"), F.lit("a key is there already")).otherwise(F.lit("a key is given twice"))
+        return require(met, F.col("_there").isNull() & (F.col("_copy") == 1), message).select(*rows.columns)
 
     def update(self, condition: Column, assignments: Mapping[str, Column], now: Moment) -> TemporalTable:
         """Change matching rows; each gets a new version even when no value differs."""
@@ -97,6 +138,9 @@ class TemporalTable:
                 for c in self.current.columns
             )
         )
+        if set(assignments) & {*self.key, *self.not_null, *(fk.column for fk in self.foreign_keys)}:
+            # The new image of a changed row starts now; what is not changed was checked before.
+            current = self._checked(current, current, F.col(self.start) == moment(now, self._type(self.start)))
         return replace(self, current=current, history=self._with_ended(self.current.where(hit), now))
 
     def delete(self, condition: Column, now: Moment) -> TemporalTable:
@@ -111,7 +155,7 @@ class TemporalTable:
         merged = merge_load(self.current, stage, named, now)
         if not self.versioned:
             return replace(self, current=merged.current)
-        return replace(self, current=merged.current, history=self.history.unionByName(merged.history_delta))
+        return replace(self, current=merged.current, history=self._with_history(merged.history_delta))
 
     # Reads
 
@@ -121,28 +165,38 @@ class TemporalTable:
 
     def all_versions(self) -> DataFrame:
         """Current rows and history, without versions that never were valid for a moment."""
-        lasted = F.col(self.start) < F.col(self.end)
-        return self.current.unionByName(self.history.where(lasted))
+        return self._versions()
 
     def as_of(self, at: Moment) -> DataFrame:
         """Versions valid at one instant."""
         t = moment(at, self._type(self.start))
-        return self.all_versions().where((F.col(self.start) <= t) & (F.col(self.end) > t))
+        return self._versions(t).where((F.col(self.start) <= t) & (F.col(self.end) > t))
 
     def from_to(self, low: Moment, high: Moment) -> DataFrame:
         """Versions active between two instants, both ends left out."""
         a, b = (moment(m, self._type(self.start)) for m in (low, high))
-        return self.all_versions().where((F.col(self.start) < b) & (F.col(self.end) > a))
+        return self._versions(a).where((F.col(self.start) < b) & (F.col(self.end) > a))
 
     def between(self, low: Moment, high: Moment) -> DataFrame:
         """As ``from_to``, with versions that start at the upper instant."""
         a, b = (moment(m, self._type(self.start)) for m in (low, high))
-        return self.all_versions().where((F.col(self.start) <= b) & (F.col(self.end) > a))
+        return self._versions(a).where((F.col(self.start) <= b) & (F.col(self.end) > a))
 
     def contained_in(self, low: Moment, high: Moment) -> DataFrame:
         """Versions that start and end inside the range, both ends included."""
         a, b = (moment(m, self._type(self.start)) for m in (low, high))
-        return self.all_versions().where((F.col(self.start) >= a) & (F.col(self.end) <= b))
+        return self._versions(a, b).where((F.col(self.start) >= a) & (F.col(self.end) <= b))
+
+    def _versions(self, first: Column | None = None, last: Column | None = None) -> DataFrame:
+        """Current rows and history; of a history stored by day, only days from ``first`` to ``last``."""
+        lasted = self.history.where(F.col(self.start) < F.col(self.end))
+        if self.ended is not None:
+            if first is not None:
+                lasted = lasted.where(F.col(self.ended) >= F.to_date(first))
+            if last is not None:
+                lasted = lasted.where(F.col(self.ended) <= F.to_date(last))
+            lasted = lasted.drop(self.ended)
+        return self.current.unionByName(lasted)
 
     def join_current(self, other: TemporalTable, on: Column, prefixes: tuple[str, str]) -> DataFrame:
         """Inner join of current versions; both sides' period columns stay, told apart by prefix."""
@@ -173,7 +227,7 @@ class TemporalTable:
 
     def load_history(self, rows: DataFrame) -> TemporalTable:
         self._only_while_off("loading history rows by hand")
-        return replace(self, history=self.history.unionByName(rows))
+        return replace(self, history=self._with_history(rows))
 
     def load_current(self, rows: DataFrame) -> TemporalTable:
         """Add current rows with a start of their own; the end defaults to open."""
@@ -227,9 +281,41 @@ class TemporalTable:
         )
         return running.where(F.col("_busy_until") > F.col(self.start)).drop("_busy_until")
 
+    def consistency(self, hot_rows: int = HOT_ROWS) -> DataFrame:
+        """One row per rule that the pair must keep: ``rule``, and how many ``keys`` and ``rows`` break it.
+
+        All rules are judged in one ordered pass per key. A column that is missing or of another type in
+        history is found before, by ``check_schema``.
+        """
+        self.check_schema()
+        start, end = F.col(self.start), F.col(self.end)
+        stored = self.current.withColumn("_is_current", F.lit(True)).unionByName(
+            self._own(self.history).withColumn("_is_current", F.lit(False))
+        )
+        narrow = stored.select(*self.key, self.start, self.end, "_is_current", F.when(start < end, end).alias("_until"))
+        busy = running_max_before(narrow, self.key, [self.start, self.end], "_until", "_busy_until", hot_rows)
+        broken = {
+            "ends before it starts": start > end,
+            "overlaps an earlier version": (start < end) & true(F.col("_busy_until") > start),
+            "current row has ended": F.col("_is_current") & (end < open_end(self._type(self.end))),
+        }
+        of_key = busy.groupBy(*self.key).agg(
+            *(F.count_if(condition).alias(rule) for rule, condition in broken.items()),
+            F.greatest(F.count_if("_is_current") - 1, F.lit(0)).alias("several current rows"),
+        )
+        rules = [*broken, "several current rows"]
+        found = F.array(*(F.struct(F.lit(r).alias("rule"), F.col(f"`{r}`").alias("n")) for r in rules))
+        # Four rows a key, counted on the map side; a rule that no row breaks still has its row.
+        counted = of_key.select(F.explode(found).alias("x")).select("x.*").groupBy("rule").agg(
+            F.count_if(F.col("n") > 0).alias("keys"), F.sum("n").alias("rows")
+        )
+        every = self.current.sparkSession.createDataFrame([(r,) for r in rules], "rule string")
+        zero = F.lit(0).cast("long")
+        return every.join(counted, "rule", "left").select("rule", F.coalesce("keys", zero).alias("keys"), F.coalesce("rows", zero).alias("rows"))
+
     def check_schema(self) -> None:
         ours = {f.name.lower(): f.dataType for f in self.current.schema.fields}
-        theirs = {f.name.lower(): f.dataType for f in self.history.schema.fields}
+        theirs = {f.name.lower(): f.dataType for f in self._own(self.history).schema.fields}
         if len(ours) != len(theirs):
             raise ConsistencyError(f"{len(ours)} current columns, {len(theirs)} in history")
         if ours.keys() != theirs.keys():
@@ -242,7 +328,10 @@ class TemporalTable:
 
     def _stored(self) -> DataFrame:
         """All rows there are, for the checks: also those that reads leave out."""
-        return self.current.unionByName(self.history)
+        return self.current.unionByName(self._own(self.history))
+
+    def _own(self, history: DataFrame) -> DataFrame:
+        return history if self.ended is None else history.drop(self.ended)
 
     def _type(self, column: str):
         return self.current.schema[column].dataType
@@ -256,7 +345,11 @@ class TemporalTable:
     def _with_ended(self, rows: DataFrame, now: Moment) -> DataFrame:
         if not self.versioned:
             return self.history
-        return self.history.unionByName(rows.withColumn(self.end, moment(now, self._type(self.end))))
+        return self._with_history(rows.withColumn(self.end, moment(now, self._type(self.end))))
+
+    def _with_history(self, rows: DataFrame) -> DataFrame:
+        """History and more rows, with their day where it is stored by day."""
+        return self.history.unionByName(rows if self.ended is None else rows.withColumn(self.ended, F.to_date(self.end)))
 
     def _refuse_periods(self, columns) -> None:
         given = {self.start.lower(), self.end.lower()} & {c.lower() for c in columns}

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.durable import new_run_folder
 from tidemark.functions.moments import moment, open_end
 from tidemark.functions.ordered import next_value
 from tidemark.operators.orphans import orphans
-from tidemark.operators.temporal import ConsistencyError, TemporalTable, VersioningError, temporal_fk_gaps
+from tidemark.operators.temporal import TemporalTable, temporal_fk_gaps
 from tidemark.plans.loads import orders_stage
 from tidemark.plans.query import Query, sql_time, times_as_text
+from tidemark.sources.stored import StoredTable
 from tidemark.sources.tables import read_table
 from tidemark.spec import ForeignKey, TableSpec
 
@@ -62,6 +64,41 @@ def _as_of(spark: SparkSession, folder: str) -> DataFrame:
     return times_as_text(user_states(spark, folder).as_of(HIGH), *_PERIOD)
 
 
+# The same table stored, and changed by a load a month: each load ends rows on another day.
+
+MONTHS = ("2024-02-01", "2024-03-01", "2024-04-01", "2024-05-01")
+
+
+def stored_accounts(spark: SparkSession, folder: str) -> StoredTable:
+    """Customers by segment; month by month those of one remainder get another balance."""
+    customer = read_table(spark, folder, "customer")
+    spec = TableSpec(keys=("c_custkey",), start="RowStartDate", end="RowEndDate", partition_by=("c_mktsegment",))
+    created = TemporalTable.create(customer, ["c_custkey"], CREATED).current
+    table = StoredTable.create(created, new_run_folder(spark, "accounts"), spec)
+    for load, month in enumerate(MONTHS, 1):
+        stage = customer.where(F.col("c_custkey") % (load + 1) == 0).withColumn("c_acctbal", F.col("c_acctbal") + load)
+        table.merge(stage, month, load)
+    return table
+
+
+def _as_of_pruned(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers as they were between two loads: history that ended before is not read."""
+    return times_as_text(stored_accounts(spark, folder).versions().as_of("2024-03-15"), *_PERIOD)
+
+
+_AS_OF_PRUNED = f"""
+WITH moments AS (SELECT * FROM (VALUES (0, TIMESTAMP '2020-01-01'), (1, TIMESTAMP '2024-02-01'), (2, TIMESTAMP '2024-03-01'),
+  (3, TIMESTAMP '2024-04-01'), (4, TIMESTAMP '2024-05-01')) v(load, s)),
+versions AS (
+  SELECT c.*, load, s, coalesce(lead(s) OVER (PARTITION BY c_custkey ORDER BY s), TIMESTAMP '{OPEN}') AS e
+  FROM customer c JOIN moments ON load = 0 OR c_custkey % (load + 1) = 0
+)
+SELECT c_custkey, c_name, c_nationkey, c_acctbal + load AS c_acctbal, c_mktsegment,
+       {sql_time('s', 'RowStartDate')}, {sql_time('e', 'RowEndDate')}
+FROM versions WHERE s <= TIMESTAMP '2024-03-15' AND e > TIMESTAMP '2024-03-15'
+"""
+
+
 def _from_to(spark: SparkSession, folder: str) -> DataFrame:
     return times_as_text(user_states(spark, folder).from_to(LOW, HIGH), *_PERIOD)
 
@@ -431,50 +468,54 @@ SELECT o_orderkey, c_name, '2020-01-01 00:00:00.000000' AS "customer_RowStartDat
 FROM orders JOIN customer ON c_custkey = o_custkey
 """
 
-def _refused(spark: SparkSession, folder: str) -> DataFrame:
-    """What a versioned table of all users refuses, and what it refuses to be turned on with."""
+# A pair put together by hand: errors end before they start, purchases begin an hour early, users who
+# signed up last have that row twice, and users who clicked last have a current row that has ended.
+
+
+def _faulty(spark: SparkSession, folder: str) -> TemporalTable:
     table = user_states(spark, folder)
-    off = table.versioning_off()
-    narrower = TemporalTable(off.current, off.history.drop("value"), off.key, versioned=False)
-    other_type = TemporalTable(
-        off.current, off.history.withColumn("value", F.col("value").cast("string")), off.key, versioned=False
-    )
-    actions = {
-        "truncate": table.truncate,
-        "truncate while off": off.truncate,
-        "drop": table.drop,
-        "drop while off": off.drop,
-        "constraint on history": lambda: table.add_history_constraint("ck"),
-        "constraint on history while off": lambda: off.add_history_constraint("ck"),
-        "turning on with a constraint": lambda: off.add_history_constraint("ck").versioning_on(),
-        "manual history": lambda: table.load_history(table.history),
-        "given periods": lambda: table.insert(table.current, NOW),
-        "turning on": off.versioning_on,
-        "turning on with a column missing": narrower.versioning_on,
-        "turning on with another type": other_type.versioning_on,
-        "turning on with overlaps": _overlapping(spark, folder).versioning_on,
-    }
-    outcomes = []
-    for name, action in actions.items():
-        try:
-            action()
-            outcomes.append((name, False))
-        except (VersioningError, ConsistencyError):
-            outcomes.append((name, True))
-    # The table itself is untouched by all of it.
-    versions = table.all_versions().agg(F.count(F.lit(1)).alias("version_count"))
-    return spark.createDataFrame(outcomes, "action STRING, is_refused BOOLEAN").withColumn(
-        "version_count", F.lit(versions.first()[0])
+    kind, hour = F.col("event_type"), F.make_dt_interval(hours=F.lit(1))
+    begun = F.col("RowStartDate")
+    history = table.history.withColumns(
+        {
+            "RowEndDate": F.when(kind == "error", begun - hour).otherwise(F.col("RowEndDate")),
+            "RowStartDate": F.when(kind == "purchase", begun - hour).otherwise(begun),
+        }
     )
+    current = table.current.withColumn("RowEndDate", F.when(kind == "click", moment("2030-01-01")).otherwise(F.col("RowEndDate")))
+    twice = current.unionByName(current.where(kind == "signup"))
+    return TemporalTable(twice, history, table.key, versioned=False)
 
 
-_REFUSED = """
-SELECT action, is_refused, (SELECT count(*) FROM events) AS version_count FROM (VALUES
-  ('truncate', true), ('truncate while off', false), ('drop', true), ('drop while off', false),
-  ('constraint on history', true), ('constraint on history while off', false),
-  ('turning on with a constraint', true), ('manual history', true), ('given periods', true),
-  ('turning on', false), ('turning on with a column missing', true), ('turning on with another type', true),
-  ('turning on with overlaps', true)) v(action, is_refused)
+def _consistency(spark: SparkSession, folder: str) -> DataFrame:
+    return _faulty(spark, folder).consistency()
+
+
+_CONSISTENCY = f"""
+WITH {_STATES}, stored AS (
+  SELECT user_id, e = TIMESTAMP '{OPEN}' AS is_current,
+         CASE WHEN e < TIMESTAMP '{OPEN}' AND event_type = 'purchase' THEN s - INTERVAL 1 HOUR ELSE s END AS s,
+         CASE WHEN e < TIMESTAMP '{OPEN}' AND event_type = 'error' THEN s - INTERVAL 1 HOUR
+              WHEN e = TIMESTAMP '{OPEN}' AND event_type = 'click' THEN TIMESTAMP '2030-01-01' ELSE e END AS e
+  FROM states
+  UNION ALL SELECT user_id, true, s, e FROM states WHERE e = TIMESTAMP '{OPEN}' AND event_type = 'signup'
+), busy AS (
+  SELECT *, max(CASE WHEN s < e THEN e END)
+    OVER (PARTITION BY user_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS until
+  FROM stored
+), marked AS (
+  SELECT user_id, is_current, s > e AS is_reversed, coalesce(s < e AND until > s, false) AS has_overlap,
+         is_current AND e < TIMESTAMP '{OPEN}' AS has_ended
+  FROM busy
+), counts AS (
+  SELECT user_id, count_if(is_reversed) AS n_reversed, count_if(has_overlap) AS n_overlaps, count_if(has_ended) AS n_ended,
+         greatest(count_if(is_current) - 1, 0) AS n_repeated
+  FROM marked GROUP BY user_id
+)
+SELECT 'ends before it starts' AS rule, count_if(n_reversed > 0)::BIGINT AS keys, coalesce(sum(n_reversed), 0)::BIGINT AS rows FROM counts
+UNION ALL SELECT 'overlaps an earlier version', count_if(n_overlaps > 0)::BIGINT, coalesce(sum(n_overlaps), 0)::BIGINT FROM counts
+UNION ALL SELECT 'current row has ended', count_if(n_ended > 0)::BIGINT, coalesce(sum(n_ended), 0)::BIGINT FROM counts
+UNION ALL SELECT 'several current rows', count_if(n_repeated > 0)::BIGINT, coalesce(sum(n_repeated), 0)::BIGINT FROM counts
 """
 
 QUERIES = {
@@ -499,5 +540,6 @@ QUERIES = {
     "temporal_foreign_key_gaps_hot_keys": Query(_fk_gaps_hot, _FK_GAPS_HOT),
     "temporal_hidden_periods": Query(_visible, _VISIBLE),
     "temporal_current_join": Query(_joined, _JOINED),
-    "temporal_refused_actions": Query(_refused, _REFUSED),
+    "temporal_as_of_pruned": Query(_as_of_pruned, _AS_OF_PRUNED),
+    "temporal_consistency": Query(_consistency, _CONSISTENCY),
 }

@@ -17,7 +17,7 @@ from tidemark.operators.load import LoadResult, replay_exceptions, run_load
 from tidemark.operators.merge import MergeResult, merge_load, stamp
 from tidemark.operators.orphans import orphans, route_orphans
 from tidemark.plans.query import Query, sql_time, times_as_text
-from tidemark.sources.publish import publish_images, published
+from tidemark.sources.stored import StoredTable
 from tidemark.sources.tables import read_table
 from tidemark.spec import ForeignKey, TableSpec
 
@@ -90,12 +90,22 @@ FROM stage s JOIN orders t ON t.o_orderkey = s.o_orderkey WHERE t.o_totalprice <
 """
 
 
+def _stored_orders(spark: SparkSession, folder: str, *partition_by: str) -> StoredTable:
+    spec = TableSpec(keys=("o_orderkey",), partition_by=partition_by)
+    return StoredTable.create(_versioned(read_table(spark, folder, "orders")), new_run_folder(spark, "orders"), spec)
+
+
+def _kinds(table: StoredTable) -> DataFrame:
+    parts = {"current": table.current(), "history": table.history().drop("load", "ended")}
+    named = (df.withColumn("kind", F.lit(kind)) for kind, df in parts.items())
+    return times_as_text(reduce(DataFrame.unionByName, named), "o_orderdate", "VersionStartTime", "VersionEndTime")
+
+
 def _merge_orders_published(spark: SparkSession, folder: str) -> DataFrame:
-    """Current rows and history written in one pass, made visible, and read back."""
-    root = new_run_folder(spark, "published")
-    publish_images(merge_orders(spark, folder).images, root)
-    parts = [published(spark, root, kind).withColumn("kind", F.lit(kind)) for kind in ("current", "history")]
-    return times_as_text(parts[0].unionByName(parts[1]), "o_orderdate", "VersionStartTime", "VersionEndTime")
+    """Current rows and history of a merge written from one pass, and read back."""
+    table = _stored_orders(spark, folder)
+    table.publish(merge_orders(spark, folder).images, load=1)
+    return _kinds(table)
 
 
 _MERGE_ORDERS_PUBLISHED = f"""
@@ -108,20 +118,19 @@ LATER = "2024-07-01"
 
 
 def _publish_two_loads(spark: SparkSession, folder: str) -> DataFrame:
-    """Two loads published one after the other: the newest current rows, all history, and both as of the first."""
-    root = new_run_folder(spark, "published")
-    first = publish_images(merge_orders(spark, folder).images, root)
-    current = published(spark, root, "current")
-    stage = current.where(F.col("o_orderkey") % 5 == 0).drop("VersionStartTime", "VersionEndTime")
-    stage = stage.withColumn("o_totalprice", F.col("o_totalprice") + 1)
-    spec = TableSpec(keys=("o_orderkey",))
-    publish_images(merge_load(current, stage, spec, LATER).images, root)
-    reads = [("current", None), ("history", None), ("current", first), ("history", first)]
+    """Two loads stored one after the other: the newest current rows, all history, and both as of the first."""
+    table = _stored_orders(spark, folder)
+    table.merge(orders_stage(read_table(spark, folder, "orders")), NOW, load=1)
+    stage = table.current().where(F.col("o_orderkey") % 5 == 0).drop("VersionStartTime", "VersionEndTime")
+    table.merge(stage.withColumn("o_totalprice", F.col("o_totalprice") + 1), LATER, load=2)
+    states = {
+        "current": table.current(),
+        "history": table.history(),
+        "current1": table.versions().as_of(NOW).withColumn("VersionEndTime", open_end()),
+        "history1": table.history().where(F.col("VersionEndTime") <= moment(NOW)),
+    }
     parts = [
-        published(spark, root, kind, version).select(
-            "o_orderkey", "VersionStartTime", "VersionEndTime", F.lit(f"{kind}{version or ''}").alias("state")
-        )
-        for kind, version in reads
+        df.select("o_orderkey", "VersionStartTime", "VersionEndTime", F.lit(state).alias("state")) for state, df in states.items()
     ]
     return times_as_text(reduce(DataFrame.unionByName, parts), "VersionStartTime", "VersionEndTime")
 
@@ -139,6 +148,46 @@ UNION ALL SELECT o_orderkey, '2024-07-01 00:00:00.000000', VersionEndTime, 'curr
 """
 
 
+# Orders stored by priority: of the urgent ones some cost more, some are only high from now on, and new
+# ones come. The three lower priorities are neither read whole nor written.
+
+
+def priority_stage(orders: DataFrame) -> DataFrame:
+    urgent, third = orders.where(F.col("o_orderpriority") == "1-URGENT"), F.col("o_orderkey") % 3
+    changed = urgent.where(third < 2).withColumns(
+        {
+            "o_totalprice": F.col("o_totalprice") + F.when(third == 0, 1).otherwise(10),
+            "o_orderpriority": F.when(third == 0, "2-HIGH").otherwise("1-URGENT"),
+        }
+    )
+    return changed.unionByName(urgent.where(third == 2).withColumn("o_orderkey", -1 - F.col("o_orderkey")))
+
+
+def _merge_partitioned(spark: SparkSession, folder: str) -> DataFrame:
+    table = _stored_orders(spark, folder, "o_orderpriority")
+    table.merge(priority_stage(read_table(spark, folder, "orders")), NOW, load=1)
+    return _kinds(table)
+
+
+_MERGE_PARTITIONED = f"""
+WITH marked AS (SELECT *, o_orderpriority = '1-URGENT' AS urgent, o_orderkey % 3 AS third FROM orders)
+SELECT o_orderkey, o_custkey, o_orderstatus,
+       CASE WHEN urgent AND third = 0 THEN o_totalprice + 1 WHEN urgent AND third = 1 THEN o_totalprice + 10 ELSE o_totalprice END AS o_totalprice,
+       {sql_time('o_orderdate', 'o_orderdate')}, CASE WHEN urgent AND third = 0 THEN '2-HIGH' ELSE o_orderpriority END AS o_orderpriority,
+       CASE WHEN urgent AND third < 2 THEN '2024-06-01 00:00:00.000000' ELSE '2020-01-01 00:00:00.000000' END AS VersionStartTime,
+       '9999-12-31 23:59:59.999999' AS VersionEndTime, 'current' AS kind
+FROM marked
+UNION ALL
+SELECT -1 - o_orderkey, o_custkey, o_orderstatus, o_totalprice, {sql_time('o_orderdate')}, o_orderpriority,
+       '2024-06-01 00:00:00.000000', '9999-12-31 23:59:59.999999', 'current'
+FROM marked WHERE urgent AND third = 2
+UNION ALL
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, {sql_time('o_orderdate')}, o_orderpriority,
+       '2020-01-01 00:00:00.000000', '2024-06-01 00:00:00.000000', 'history'
+FROM marked WHERE urgent AND third < 2
+"""
+
+
 # Events: a stage too large to broadcast, so one full outer join.
 
 
@@ -428,6 +477,82 @@ WHERE NOT EXISTS (SELECT 1 FROM survivors s WHERE s.o_orderkey = e.o_orderkey AN
 """
 
 
+# A table that refers to itself: customers below the one with a fourth of their number. A third of them
+# are there already, the others were set aside over a week, and every fifth once more later on.
+
+_CUSTOMER_DAYS = """
+days AS (
+  SELECT c_custkey AS id, CASE WHEN c_custkey = 0 THEN NULL ELSE c_custkey // 4 END AS parent_id, c_acctbal,
+         DATE '2024-01-01' + (c_custkey * 5 % 7)::INTEGER AS load_date
+  FROM customer WHERE c_custkey % 3 <> 0
+  UNION ALL
+  SELECT c_custkey, (c_custkey + 1) // 4, c_acctbal + 1, DATE '2024-01-20' FROM customer WHERE c_custkey % 5 = 0
+)"""
+
+
+def replay_customers(spark: SparkSession, folder: str, small: bool | None = None) -> LoadResult:
+    customer, key = read_table(spark, folder, "customer"), F.col("c_custkey")
+    parent = F.when(key != 0, F.floor(key / 4).cast("bigint"))
+    rows = customer.select(key.alias("id"), parent.alias("parent_id"), "c_acctbal")
+    first = customer.where(key % 3 != 0).select(
+        key.alias("id"), parent.alias("parent_id"), "c_acctbal",
+        F.date_add(F.lit("2024-01-01").cast("date"), (key * 5 % 7).cast("int")).cast("timestamp_ntz").alias("DWLoadDate"),
+    )
+    again = customer.where(key % 5 == 0).select(
+        key.alias("id"), F.floor((key + 1) / 4).cast("bigint").alias("parent_id"), (F.col("c_acctbal") + 1).alias("c_acctbal"),
+        moment("2024-01-20").alias("DWLoadDate"),
+    )
+    exceptions = first.unionByName(again).withColumns(
+        {
+            "ServerExecutionID": F.lit(1).cast("bigint"),
+            "ErrorCode": F.lit(0),
+            "ErrorColumn": F.lit(0),
+            "ErrorDescription": F.lit("Orphan parent_id"),
+        }
+    )
+    spec = TableSpec(keys=("id",), foreign_keys=(ForeignKey("parent_id", None, "id", "customer"),))
+    target = _versioned(stamp(rows.where(F.col("id") % 3 == 0), spec, 0, CREATED))
+    return replay_exceptions(target, exceptions, spec, 9, NOW, small)
+
+
+def _replay_self(spark: SparkSession, folder: str) -> DataFrame:
+    """Current and history rows, and what still has no parent in time."""
+    result = replay_customers(spark, folder)
+    columns = ["id", "parent_id", "c_acctbal", "ServerExecutionID"]
+    times = ["VersionStartTime", "VersionEndTime"]
+    images = times_as_text(result.images.select(*columns, *times, F.col("kind").alias("held_in")), *times)
+    left = times_as_text(
+        result.exceptions.select(*columns, F.col("DWLoadDate").alias(times[0]), F.lit(None).cast("timestamp_ntz").alias(times[1]), F.lit("left").alias("held_in")),
+        *times,
+    )
+    return images.unionByName(left)
+
+
+_REPLAY_SELF = f"""
+WITH RECURSIVE {_CUSTOMER_DAYS}, target AS (
+  SELECT c_custkey AS id, CASE WHEN c_custkey = 0 THEN NULL ELSE c_custkey // 4 END AS parent_id, c_acctbal
+  FROM customer WHERE c_custkey % 3 = 0
+), loaded AS (
+  SELECT d.* FROM days d WHERE parent_id IS NULL OR parent_id IN (SELECT id FROM target)
+  UNION
+  SELECT d.* FROM loaded l JOIN days d ON d.parent_id = l.id AND d.load_date > l.load_date
+), stamps AS (
+  SELECT load_date, TIMESTAMP '2024-06-01' + (row_number() OVER (ORDER BY load_date) - 1) * INTERVAL 1 MICROSECOND AS loaded_at
+  FROM (SELECT DISTINCT load_date FROM days)
+), versions AS (
+  SELECT id, parent_id, c_acctbal, 0::BIGINT AS exec_id, TIMESTAMP '2020-01-01' AS s FROM target
+  UNION ALL SELECT id, parent_id, c_acctbal, 9, loaded_at FROM loaded JOIN stamps USING (load_date)
+), ordered AS (SELECT *, lead(s) OVER (PARTITION BY id ORDER BY s) AS e FROM versions)
+SELECT id, parent_id, c_acctbal, exec_id AS ServerExecutionID, {sql_time('s', 'VersionStartTime')},
+       coalesce({sql_time('e')}, '9999-12-31 23:59:59.999999') AS VersionEndTime,
+       CASE WHEN e IS NULL THEN 'current' ELSE 'history' END AS held_in
+FROM ordered
+UNION ALL
+SELECT id, parent_id, c_acctbal, 1, {sql_time('load_date::TIMESTAMP')}, NULL, 'left' FROM days d
+WHERE NOT EXISTS (SELECT 1 FROM loaded l WHERE l.id = d.id AND l.load_date = d.load_date)
+"""
+
+
 def _dense_ids(spark: SparkSession, folder: str) -> DataFrame:
     customer = read_table(spark, folder, "customer")
     return assign_ids(customer, ["c_mktsegment", "c_name"], "customer_id").select(
@@ -465,6 +590,7 @@ QUERIES = {
     "merge_orders_history": Query(_merge_orders_history, _MERGE_ORDERS_HISTORY),
     "publish_two_loads": Query(_publish_two_loads, _PUBLISH_TWO_LOADS),
     "merge_orders_published": Query(_merge_orders_published, _MERGE_ORDERS_PUBLISHED),
+    "merge_partitioned": Query(_merge_partitioned, _MERGE_PARTITIONED),
     "merge_events_outer": Query(_merge_events, _MERGE_EVENTS),
     "row_change_hash": Query(_change_hash, _CHANGE_HASH),
     "orphan_rows": Query(_orphan_lines, _ORPHAN_LINES),
@@ -479,6 +605,7 @@ QUERIES = {
         f"SELECT *, 'current' AS kind FROM ({_REPLAY_CURRENT}) UNION ALL SELECT *, 'history' FROM ({_REPLAY_HISTORY})",
     ),
     "replay_exceptions_left": Query(_replay_left, _REPLAY_LEFT),
+    "replay_self_reference": Query(_replay_self, _REPLAY_SELF),
     "dense_ids": Query(_dense_ids, _DENSE_IDS),
     "multiset_diff": Query(_multiset_diff, _MULTISET_DIFF),
 }

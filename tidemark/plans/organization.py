@@ -232,6 +232,32 @@ def _several_circular(spark: SparkSession, folder: str) -> DataFrame:
     return h.circular(several_parent_edges(spark, folder))
 
 
+def ring_edges(spark: SparkSession, folder: str) -> h.Edges:
+    """All customers below the two that follow them: the first two thirds in one ring, the next sixth in a
+    ladder that leads into it, the rest in a ladder that leads nowhere."""
+    customer = read_table(spark, folder, "customer").select(F.col("c_custkey").cast("bigint").alias("id"))
+    total = customer.count()
+    ring, ladder = total * 2 // 3, total * 5 // 6
+    rows = customer.select("id", F.explode(F.array(F.col("id") + 1, F.col("id") + 2)).alias("next"))
+    key, after = F.col("id"), F.col("next")
+    parent = F.when(key < ring, after % ring).when((key < ladder) & (after >= ladder), F.lit(0)).otherwise(after)
+    return h.Edges(rows.select("id", parent.cast("bigint").alias("parent")), "id", "parent")
+
+
+def _ring(spark: SparkSession, folder: str) -> DataFrame:
+    edges = ring_edges(spark, folder)
+    members = h.circular(edges, root=-1)
+    removed = h.quarantine(edges, 7, members=members).exceptions.select("id").distinct()
+    return members.withColumn("kind", F.lit("member")).unionByName(removed.withColumn("kind", F.lit("removed")))
+
+
+_RING = """
+WITH sized AS (SELECT c_custkey AS id, count(*) OVER () AS n FROM customer)
+SELECT id, 'member' AS kind FROM sized WHERE id < n * 2 // 3
+UNION ALL SELECT id, 'removed' FROM sized WHERE id < n * 5 // 6
+"""
+
+
 def _tree_of_two(spark: SparkSession, folder: str) -> h.Edges:
     """Every customer below two smaller ones."""
     key = F.col("c_custkey")
@@ -258,6 +284,7 @@ WHERE place = 1 AND id <> 0 UNION ALL SELECT 0, '/' FROM customer WHERE c_custke
 """
 
 QUERIES = {
+    "hierarchy_ring_of_two_parents": Query(_ring, _RING),
     "hierarchy_long_cycle": Query(_long_cycles, _LONG_CYCLES),
     "hierarchy_several_parents_quarantine": Query(_several_removed, f"{_SEVERAL} SELECT id FROM removed"),
     "hierarchy_several_parents_circular": Query(_several_circular, f"{_SEVERAL} SELECT id FROM members WHERE id <> 0"),

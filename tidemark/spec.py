@@ -51,6 +51,8 @@ class TableSpec:
     execution_id: str = "ServerExecutionID"
     start: str = "VersionStartTime"
     end: str = "VersionEndTime"
+    #: Columns by which the stored current rows are partitioned.
+    partition_by: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
         if not self.keys:
