@@ -143,9 +143,10 @@ def tiles(nodes: DataFrame) -> DataFrame:
 
     A key of n rows has n / TILE parts, rounded up, and a hash deals its rows to them.
     """
-    counts = nodes.groupBy("key").agg(F.ceil(F.count("*") / F.lit(TILE)).alias("parts"))
+    counts = settle(nodes.groupBy("key").agg(F.ceil(F.count("*") / F.lit(TILE)).alias("parts")), "counts")
     dealt = nodes.join(counts, "key").select("key", F.pmod(F.xxhash64("print"), "parts").alias("part"), "print")
-    return dealt.groupBy("key", "part").agg(F.collect_list("print").alias("prints"))
+    # Dealt by tile: the join's own dealing, by key alone, would leave a common count to one task.
+    return dealt.repartition("key", "part").groupBy("key", "part").agg(F.collect_list("print").alias("prints"))
 
 
 def forest(a: np.ndarray, b: np.ndarray, radius: int, same: bool) -> np.ndarray:
