@@ -98,11 +98,11 @@ def divergent(frame):
     )
 
 
-@pytest.mark.parametrize(("entries", "block", "sources"), [(400_000, 1 << 20, 256), (7, 3, 2)])
-def test_divergence_against_plain_counts(frame, entries, block, sources):
+@pytest.mark.parametrize(("entries", "block", "sources", "task"), [(400_000, 1 << 20, 256, 1 << 20), (7, 3, 2, 9), (50, 6, 3, 1 << 20)])
+def test_divergence_against_plain_counts(frame, entries, block, sources, task):
     """Also where stripes spill after each few entries and blocks hold few terms and sources."""
     plain, docs = divergent(frame)
-    bounds = {"stripe_entries": entries, "block_entries": block, "block_sources": sources}
+    bounds = {"stripe_entries": entries, "block_entries": block, "block_sources": sources, "task_entries": task}
     assert rows_of(divergence.audit(docs, **bounds)) == brute_divergence(plain)
     assert rows_of(divergence.audit(docs, least_documents=40, top=2, **bounds)) == brute_divergence(plain, 40, 2)
 

@@ -27,18 +27,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.durable import free, settle
-from tidemark.llm.common import only, texts
+from tidemark.llm.common import offsets_of, only, texts
 from tidemark.llm.shipping import ship
 
 #: (term, source) entries that a task holds at most, beside the document it is at; some 150 bytes each.
 STRIPE_ENTRIES = 400_000
 #: Terms that are compared at once, times the sources of a block.
 BLOCK_ENTRIES = 1 << 20
-SOURCES = 256
+SOURCES = 1024
+#: (term, source) entries of merged stripes for a task to compare, 16 bytes each: a task emits each pair
+#: of a language's sources, so tasks follow the entries and not the partitions.
+TASK_ENTRIES = 1 << 21
 ONE = 1_000_000_000
 
 
@@ -147,48 +151,99 @@ def _emitted(lang: str, a: np.ndarray, b: np.ndarray | None, term: pa.Array | No
     return pa.RecordBatch.from_arrays(columns, ["lang", "a", "b", "term", "value"])
 
 
-def _compared(lang: str, cut: pa.RecordBatch, top: int, sources: int) -> Iterator[pa.RecordBatch]:
-    """What some stripes of one language emit."""
-    total = cut.column(4)[0].values.to_numpy()  # N + 2 V of each source
-    whole = cut.column(5)[0].as_py()  # and of the language
-    counts = np.zeros((len(cut), len(total)), np.int64)
-    row = np.repeat(np.arange(len(cut)), [len(x) for x in cut.column(2)])
-    counts[row, cut.column(2).flatten().to_numpy()] = cut.column(3).flatten().to_numpy()
-    p = shares(counts, total)
-    q = shares(counts.sum(axis=1), np.int64(whole))
-    # Pairs, block by block of sources.
-    for one in range(0, len(total), sources):
-        for other in range(one, len(total), sources):
-            a, b = p[:, one : one + sources], p[:, other : other + sources]
-            sums = np.stack([_divergence(a[:, [i]], b).sum(axis=0) for i in range(a.shape[1])])
+class _Stripes:
+    """Stripes of one language: rows of (term, places of sources, counts), and the language's totals."""
+
+    def __init__(self, cuts: list[pa.RecordBatch]):
+        self.terms = pa.concat_arrays([c.column(1) for c in cuts])
+        self.total = cuts[0].column(4)[0].values.to_numpy()  # N + 2 V of each source
+        self.whole = np.int64(cuts[0].column(5)[0].as_py())  # and of the language
+        sizes = np.concatenate([pc.list_value_length(c.column(2)).to_numpy(zero_copy_only=False) for c in cuts])
+        self.begins = offsets_of(sizes.astype(np.int64))
+        self.places = np.concatenate([c.column(2).flatten().to_numpy() for c in cuts])
+        self.counts = np.concatenate([c.column(3).flatten().to_numpy() for c in cuts])
+
+    def dense(self, begin: int, end: int, first: int, last: int) -> np.ndarray:
+        """Counts of some rows in the sources from ``first`` to ``last``."""
+        at = slice(self.begins[begin], self.begins[end])
+        row = np.repeat(np.arange(end - begin), np.diff(self.begins[begin : end + 1]))
+        place = self.places[at]
+        on = (place >= first) & (place < last)
+        out = np.zeros((end - begin, last - first), np.int64)
+        out[row[on], place[on] - first] = self.counts[at][on]
+        return out
+
+
+def _compared(lang: str, held: _Stripes, top: int, block: int, sources: int) -> Iterator[pa.RecordBatch]:
+    """What stripes of one language emit: each two sources once, and of each source's terms the first."""
+    n, width = len(held.terms), len(held.total)
+    step = max(1, block // max(1, min(width, sources)))
+    whole = np.add.reduceat(held.counts, held.begins[:-1])  # no stripe is empty
+    for one in range(0, width, sources):
+        end_one = min(width, one + sources)
+        of_one = held.total[one:end_one]
+        found: list[np.ndarray] = []
+        for other in range(one, width, sources):
+            end_other = min(width, other + sources)
+            sums = np.zeros((end_one - one, end_other - other), np.int64)
+            for begin in range(0, n, step):
+                end = min(n, begin + step)
+                counts = held.dense(begin, end, one, end_one)
+                a = shares(counts, of_one)
+                b = a if other == one else shares(held.dense(begin, end, other, end_other), held.total[other:end_other])
+                for i in range(a.shape[1]):
+                    sums[i] += _divergence(a[:, [i]], b).sum(axis=0)
+                if other == one:
+                    q = shares(whole[begin:end], held.whole)[:, None]
+                    above = np.where((counts > 0) & (a > q), _divergence(a, q), -1)
+                    row, of = np.nonzero(_among_first(above, top))
+                    found.append(np.stack([of, above[row, of], begin + row]))
             i, j = np.nonzero(sums)
             first = one + i < other + j
             if first.any():
                 yield _emitted(lang, one + i[first], other + j[first], None, sums[i[first], j[first]])
-    above = np.where((counts > 0) & (p > q[:, None]), _divergence(p, q[:, None]), -1)
-    if len(cut) > top:
-        # All that equal the last of the first ``top`` go on: ties are settled when all have met.
-        above = np.where(above >= np.partition(above, len(cut) - top, axis=0)[len(cut) - top], above, -1)
-    row, of = np.nonzero(above >= 0)
-    if len(row):
-        yield _emitted(lang, of, None, cut.column(1).take(pa.array(row)), above[row, of])
-
-
-def emit(held: DataFrame, top: int, block: int = BLOCK_ENTRIES, sources: int = SOURCES) -> DataFrame:
+        of, value, row = np.concatenate(found, axis=1)
+        by = np.lexsort((-value, of))
+        of, value, row = of[by], value[by], row[by]
+        # Of the rows that were among the first somewhere, those that are over all: ties go on.
+        begins = np.searchsorted(of, np.arange(end_one - one + 1))
+        last = np.minimum(begins[:-1] + top, begins[1:]) - 1
+        on = value >= value[np.maximum(last, 0)][of] if len(of) else np.zeros(0, bool)
+        if on.any():
+            yield _emitted(lang, one + of[on], None, held.terms.take(pa.array(row[on])), value[on])
+
+
+def _among_first(above: np.ndarray, top: int) -> np.ndarray:
+    """Which values of each column are 0 or more and among its ``top`` largest, ties included."""
+    if len(above) <= top:
+        return above >= 0
+    least = np.partition(above, len(above) - top, axis=0)[len(above) - top]
+    return (above >= 0) & (above >= least)
+
+
+def emit(held: DataFrame, top: int, block: int = BLOCK_ENTRIES, sources: int = SOURCES, entries: int = TASK_ENTRIES) -> DataFrame:
     """From stripes with their language's totals, what they add to pairs (a, b, value), a < b, and which
-    terms (a, term, value) may be among the first of a source."""
+    terms (a, term, value) may be among the first of a source.
+
+    A task emits each pair once for all stripes it has, and goes on to the next ``entries`` if it has more.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cuts: dict[str, list[pa.RecordBatch]] = {}
+        size = 0
         for batch in batches:
-            langs = batch.column(0).to_pylist()
-            begin = 0
-            while begin < len(batch):
-                most = begin + max(1, block // max(1, len(batch.column(4)[begin])))
-                end = begin + 1
-                while end < min(len(batch), most) and langs[end] == langs[begin]:
-                    end += 1
-                yield from _compared(langs[begin], batch.slice(begin, end - begin), top, sources)
-                begin = end
+            langs = batch.column(0).dictionary_encode()
+            for i, lang in enumerate(langs.dictionary.to_pylist()):
+                cuts.setdefault(lang, []).append(batch.filter(pc.equal(langs.indices, i)))
+            size += len(batch.column(2).flatten())
+            if size >= entries:
+                yield from emitted(cuts)
+                cuts, size = {}, 0
+        yield from emitted(cuts)
+
+    def emitted(cuts: dict[str, list[pa.RecordBatch]]) -> Iterator[pa.RecordBatch]:
+        for lang, of_lang in cuts.items():
+            yield from _compared(lang, _Stripes(of_lang), top, block, sources)
 
     return held.select("lang", "term", "places", "counts", "totals", "whole").mapInArrow(run, EMITTED)
 
@@ -207,6 +262,7 @@ def audit(
     stripe_entries: int = STRIPE_ENTRIES,
     block_entries: int = BLOCK_ENTRIES,
     block_sources: int = SOURCES,
+    task_entries: int = TASK_ENTRIES,
 ) -> DataFrame:
     """(lang, source, part, item, value, rank): part ``pair`` has a source's divergence from each other
     source of its language, part ``term`` its ``top`` terms by divergence from the language."""
@@ -234,7 +290,8 @@ def audit(
     placed = kept.join(totals, "lang").select(
         "lang", "term", place.alias("places"), F.transform("stripe", lambda x: x["count"]).alias("counts"), "totals", "whole"
     )
-    emitted = emit(placed, top, block_entries, block_sources)
+    size = kept.agg(F.sum(F.size("stripe"))).first()[0] or 0
+    emitted = emit(placed.coalesce(-(-size // task_entries) or 1), top, block_entries, block_sources, task_entries)
     added = emitted.groupBy("lang", "a", "b", "term").agg(F.sum("value").alias("value"))
     added = settle(added, "divergences")
     free(kept)
