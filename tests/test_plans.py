@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.durable import new_run_folder, scratch, settle
 from tidemark.functions.moments import moment, open_end
 from tidemark.operators import security as sec
+from tidemark.operators.compare import assert_same_rows
 from tidemark.operators.load import run_load
 from tidemark.operators.merge import merge_load
 from tidemark.operators.orphans import route_orphans
@@ -156,3 +157,17 @@ def test_scratch_folders_go_with_their_scope(spark, tmp_path):
     for gone in (folder, settled.inputFiles()[0] if settled.inputFiles() else folder):
         with pytest.raises(Exception, match="(?i)path|file"):
             spark.read.parquet(gone).count()
+
+
+def test_a_held_lookup_prunes_by_the_bounds_of_its_values(spark, orders):
+    """More values than literals: the smallest and the largest reach the scan, the caller's condition does not."""
+    access = spark.range(40, 60).select(F.lit("ann").alias("who"), F.col("id").alias("customer"))
+    seen = sec.permitted(orders, sec.by_lookup(access, "who", "customer", max_literals=3), "o_custkey", sec.User.of("Ann"))
+    asked = seen.where("1 / (o_totalprice - 1) > 0")
+    plan = spark._jvm.PythonSQLUtils.explainString(asked._jdf.queryExecution(), "formatted")
+    pushed = re.search(r"PushedFilters: \[(.*)\]", plan)[1]
+    assert "GreaterThanOrEqual(o_custkey,40)" in pushed and "LessThanOrEqual(o_custkey,59)" in pushed
+    assert "o_totalprice" not in pushed
+    assert_same_rows(orders.where("o_custkey BETWEEN 40 AND 59"), seen)
+    nobody = sec.permitted(orders, sec.by_lookup(access, "who", "customer", max_literals=3), "o_custkey", sec.User.of("Bob"))
+    assert nobody.count() == 0
