@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import io
+import uuid
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 import tidemark
-from tidemark.durable import new_run_folder
+from tidemark.durable import checkpoint_folder
 
 _SHIPPED: set[str] = set()
 
@@ -24,7 +25,8 @@ def ship(spark: SparkSession) -> None:
     with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
         for file in sorted(root.rglob("*.py")):
             archive.write(file, f"{root.name}/{file.relative_to(root)}")
-    path = f"{new_run_folder(spark, 'code')}/tidemark-code.zip"
+    # For the whole application: executors that come later fetch it too, so no scope may remove it.
+    path = f"{checkpoint_folder(spark)}/tidemark-code-{uuid.uuid4().hex}/tidemark-code.zip"
     jvm = context._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     out = target.getFileSystem(context._jsc.hadoopConfiguration()).create(target)
