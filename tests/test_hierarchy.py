@@ -204,6 +204,31 @@ def test_rounds_grow_with_the_logarithm(spark, monkeypatch, pairs):
     assert len(steps) <= 4 * math.log2(len(nodes)) ** 2
 
 
+RING_OF_TWO = [(n, (n + step) % 12) for n in range(12) for step in (1, 2)] + [(20, 3), (21, 20), (21, 30)]
+
+
+@pytest.mark.parametrize(
+    ("pairs", "run"),
+    [
+        (RING_OF_TWO, lambda e: [m := h.circular(e, root=-1), h.quarantine(e, 1, members=m).exceptions]),
+    ],
+    ids=["ring_of_two_parents"],
+)
+def test_no_round_is_broadcast(spark, monkeypatch, pairs, run):
+    """A settled round that repeats few values looks small enough to broadcast at any number of rows."""
+    joins = []
+
+    def look(df):
+        joins.extend(line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if " Join " in f" {line}")
+
+    settled = h.settle
+    monkeypatch.setattr(h, "settle", lambda df, label="step": look(df) or settled(df, label))
+    for found in run(edges_of(spark, pairs)):
+        look(found)
+    assert joins
+    assert [line for line in joins if "strategy=merge" not in line] == []
+
+
 def test_no_root_no_paths(spark):
     assert h.paths(edges_of(spark, [(1, 0), (2, 1)])).count() == 0
 

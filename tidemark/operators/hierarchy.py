@@ -41,6 +41,15 @@ class Edges:
         return Edges(df, self.id, self.parent)
 
 
+def _shuffled(df: DataFrame) -> DataFrame:
+    """``df`` as the side of a join that is never broadcast, however few bytes it seems to have.
+
+    Many rows that share a few values take little room in files and all of it in a broadcast, and a
+    loop would send one through the driver in every round.
+    """
+    return df.hint("merge")
+
+
 def has_repeated_children(edges: Edges) -> bool:
     counts = edges.pairs().groupBy("id").agg(F.count(F.lit(1)).alias("n"))
     return not counts.where(F.col("n") > 1).isEmpty()
@@ -175,7 +184,7 @@ def _cycles(edges: Edges, max_length: int | None) -> tuple[DataFrame, DataFrame]
 def _steps(edges: Edges) -> DataFrame:
     """The distinct steps from a node to another that is a row too."""
     first = edges.pairs().where(F.col("parent") != F.col("id")).distinct()
-    return settle(first.join(first.select(F.col("id").alias("parent")).distinct(), "parent", "left_semi"), "steps")
+    return settle(first.join(_shuffled(first.select(F.col("id").alias("parent")).distinct()), "parent", "left_semi"), "steps")
 
 
 def _ends(steps: DataFrame) -> DataFrame:
@@ -200,21 +209,21 @@ def _lowest_above(nodes: DataFrame, steps: DataFrame, ranks: int = 1, deal: int
     while True:
         known = state.select(F.col("id").alias("_id"), *(F.col(low).alias(f"_{low}") for low in lows))
         every = reduce(DataFrame.unionByName, (way.select("id", "parent") for way in ways))
-        up = every.join(known, F.col("parent") == F.col("_id")).groupBy("id").agg(*(F.min(f"_{low}").alias(f"_{low}") for low in lows))
-        met = state.select("id", *lows).join(up, "id", "left")
+        up = every.join(_shuffled(known), F.col("parent") == F.col("_id")).groupBy("id").agg(*(F.min(f"_{low}").alias(f"_{low}") for low in lows))
+        met = state.select("id", *lows).join(_shuffled(up), "id", "left")
         best = [F.least(low, f"_{low}") for low in lows]
         moved = reduce(Column.__or__, (b != F.col(low) for b, low in zip(best, lows, strict=True)))
         before, state = state, settle(met.select("id", *(b.alias(low) for b, low in zip(best, lows, strict=True)), moved.alias("moved")), "lowest")
         free(before)
-        grows = length < count
-        if grows:
+        # Where no step brings a node anything lower, shortcuts, which are made of steps, bring nothing either.
+        if state.where("moved").isEmpty():
+            free(*ways[1:])
+            return state.drop("moved")
+        if length < count:
             onward = far.select(F.col("id").alias("_at"), F.col("parent").alias("_to"))
-            far = settle(far.join(onward, F.col("parent") == F.col("_at")).select("id", F.col("_to").alias("parent")), "shortcuts")
+            far = settle(far.join(_shuffled(onward), F.col("parent") == F.col("_at")).select("id", F.col("_to").alias("parent")), "shortcuts")
             ways.append(far)
             length = count if far.isEmpty() else 2 * length
-        if not grows and state.where("moved").isEmpty():
-            free(*ways[1:])
-            return state.drop("moved")
 
 
 def _unresolved(edges: Edges, members: DataFrame | None) -> DataFrame:
@@ -224,7 +233,7 @@ def _unresolved(edges: Edges, members: DataFrame | None) -> DataFrame:
         return members
     steps = _steps(edges)
     # Members rank below all others: whoever reaches one has it as the lowest above.
-    marked = _ends(steps).join(members.select(F.col("id").alias("_member")), F.col("id") == F.col("_member"), "left")
+    marked = _ends(steps).join(_shuffled(members.select(F.col("id").alias("_member"))), F.col("id") == F.col("_member"), "left")
     lowest = _lowest_above(marked.select("id", F.col("_member").isNull().alias("class")), steps)
     return lowest.where(~F.col("low_0.class")).select("id")
 
@@ -234,8 +243,8 @@ def _peeled(steps: DataFrame) -> DataFrame:
     lead nowhere. As many layers as the number of steps has binary digits: enough for a shallow hierarchy."""
     count = steps.count()
     for _ in range(count.bit_length()):
-        inner = steps.join(steps.select(F.col("id").alias("parent")).distinct(), "parent", "left_semi")
-        inner = settle(inner.join(steps.select(F.col("parent").alias("id")).distinct(), "id", "left_semi"), "steps")
+        inner = steps.join(_shuffled(steps.select(F.col("id").alias("parent")).distinct()), "parent", "left_semi")
+        inner = settle(inner.join(_shuffled(steps.select(F.col("parent").alias("id")).distinct()), "id", "left_semi"), "steps")
         free(steps)
         steps, before, count = inner, count, inner.count()
         if count in (0, before):
@@ -266,17 +275,18 @@ def _on_cycles(edges: Edges) -> DataFrame:
         above = _lowest_above(_ends(left).withColumn("class", F.lit(False)), left, RANKS, deal)
         above = settle(above.select("id", F.xxhash64(*(f"{low}.id" for low in lows)).alias("colour"), F.col("low_0.id").alias("top")), "above")
         of_parent = above.select(F.col("id").alias("parent"), F.col("colour").alias("_colour"))
-        inside = left.join(above.select("id", "colour"), "id").join(of_parent, "parent").where("colour = _colour")
+        inside = left.join(_shuffled(above.select("id", "colour")), "id").join(_shuffled(of_parent), "parent").where("colour = _colour")
         inside = settle(inside.select("id", "parent"), "steps")
         turned = inside.select(F.col("parent").alias("id"), F.col("id").alias("parent"))
         below = _lowest_above(_ends(inside).withColumn("class", F.lit(False)), turned, RANKS, deal)
         marks = below.select("id", F.xxhash64(*(f"{low}.id" for low in lows)).alias("mark"), F.col("low_0.id").alias("bottom"))
-        marked = settle(marks.join(above.select("id", "top"), "id"), "parts")
+        marked = settle(marks.join(_shuffled(above.select("id", "top")), "id"), "parts")
         part = marked.where("top = bottom")
         several = part.groupBy("top").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        found = settle(found.unionByName(part.join(several, "top", "left_semi").select("id")), "cycles")
+        found = settle(found.unionByName(part.join(_shuffled(several), "top", "left_semi").select("id")), "cycles")
         other = marked.where("top <> bottom").select("id", "mark")
-        rest = inside.join(other, "id").join(other.select(F.col("id").alias("parent"), F.col("mark").alias("_mark")), "parent")
+        of_parent = other.select(F.col("id").alias("parent"), F.col("mark").alias("_mark"))
+        rest = inside.join(_shuffled(other), "id").join(_shuffled(of_parent), "parent")
         before, left = left, settle(rest.where("mark = _mark").select("id", "parent"), "steps")
         free(before, above, inside, marked)
         deal += 1
@@ -372,7 +382,7 @@ def quarantine(
         members = settle(circular(edges, max_distance), "cycles")
         hanging = settle(nested(edges, members), "cycles")
         removed = members.unionByName(descendants(edges, hanging).select("id")).distinct()
-    removed = settle(removed.select(F.col("id").alias("_removed")), "quarantine")
+    removed = _shuffled(settle(removed.select(F.col("id").alias("_removed")), "quarantine"))
     match = F.col(edges.id) == F.col("_removed")
     out = edges.df.join(removed, match, "left_semi").withColumns(
         {
