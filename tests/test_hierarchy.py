@@ -205,14 +205,16 @@ def test_rounds_grow_with_the_logarithm(spark, monkeypatch, pairs):
 
 
 RING_OF_TWO = [(n, (n + step) % 12) for n in range(12) for step in (1, 2)] + [(20, 3), (21, 20), (21, 30)]
+LADDER = [(0, 0)] + [(n, max(0, n - step)) for n in range(1, 12) for step in (1, 2)] + [(5, 9), (20, 5)]
 
 
 @pytest.mark.parametrize(
     ("pairs", "run"),
     [
         (RING_OF_TWO, lambda e: [m := h.circular(e, root=-1), h.quarantine(e, 1, members=m).exceptions]),
+        (LADDER, lambda e: [h.quarantine(e, 1).exceptions, h.quarantine(e, 1).clean]),
     ],
-    ids=["ring_of_two_parents"],
+    ids=["ring_of_two_parents", "several_parents_quarantine"],
 )
 def test_no_round_is_broadcast(spark, monkeypatch, pairs, run):
     """A settled round that repeats few values looks small enough to broadcast at any number of rows."""
