@@ -213,8 +213,9 @@ LADDER = [(0, 0)] + [(n, max(0, n - step)) for n in range(1, 12) for step in (1,
     [
         (RING_OF_TWO, lambda e: [m := h.circular(e, root=-1), h.quarantine(e, 1, members=m).exceptions]),
         (LADDER, lambda e: [h.quarantine(e, 1).exceptions, h.quarantine(e, 1).clean]),
+        (LADDER, lambda e: [h.circular(e)]),
     ],
-    ids=["ring_of_two_parents", "several_parents_quarantine"],
+    ids=["ring_of_two_parents", "several_parents_quarantine", "several_parents_circular"],
 )
 def test_no_round_is_broadcast(spark, monkeypatch, pairs, run):
     """A settled round that repeats few values looks small enough to broadcast at any number of rows."""
