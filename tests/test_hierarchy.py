@@ -206,6 +206,7 @@ def test_rounds_grow_with_the_logarithm(spark, monkeypatch, pairs):
 
 RING_OF_TWO = [(n, (n + step) % 12) for n in range(12) for step in (1, 2)] + [(20, 3), (21, 20), (21, 30)]
 LADDER = [(0, 0)] + [(n, max(0, n - step)) for n in range(1, 12) for step in (1, 2)] + [(5, 9), (20, 5)]
+RINGS = [(n, n // 6 * 6 + (n + 1) % 6) for n in range(12)] + [(20, 3), (21, 20), (30, 40)]
 
 
 @pytest.mark.parametrize(
@@ -214,8 +215,9 @@ LADDER = [(0, 0)] + [(n, max(0, n - step)) for n in range(1, 12) for step in (1,
         (RING_OF_TWO, lambda e: [m := h.circular(e, root=-1), h.quarantine(e, 1, members=m).exceptions]),
         (LADDER, lambda e: [h.quarantine(e, 1).exceptions, h.quarantine(e, 1).clean]),
         (LADDER, lambda e: [h.circular(e)]),
+        (RINGS, lambda e: [h.circular(e, root=-1), h.circular(e, 50), h.quarantine(e, 1).exceptions]),
     ],
-    ids=["ring_of_two_parents", "several_parents_quarantine", "several_parents_circular"],
+    ids=["ring_of_two_parents", "several_parents_quarantine", "several_parents_circular", "long_cycle"],
 )
 def test_no_round_is_broadcast(spark, monkeypatch, pairs, run):
     """A settled round that repeats few values looks small enough to broadcast at any number of rows."""

@@ -154,7 +154,7 @@ def _cycles(edges: Edges, max_length: int | None) -> tuple[DataFrame, DataFrame]
     while count > 0:
         ahead = rows.select(F.col("id").alias("_id"), F.col("to").alias("_to"), F.col("low").alias("_low"))
         stepped = settle(
-            rows.join(ahead, F.col("to") == F.col("_id")).select(
+            rows.join(_shuffled(ahead), F.col("to") == F.col("_id")).select(
                 "id",
                 F.col("_to").alias("to"),
                 F.least("low", "_low").alias("low"),
@@ -172,12 +172,12 @@ def _cycles(edges: Edges, max_length: int | None) -> tuple[DataFrame, DataFrame]
                 break
             landed = ends
         count = left
-    on_cycle = rows.join(rows.select(F.col("to").alias("id")).distinct(), "id", "left_semi").select("id", "low")
+    on_cycle = rows.join(_shuffled(rows.select(F.col("to").alias("id")).distinct()), "id", "left_semi").select("id", "low")
     if max_length is not None:
         lengths = on_cycle.groupBy("low").agg(F.count(F.lit(1)).alias("n"))
-        on_cycle = on_cycle.join(lengths.where(F.col("n") <= max_length), "low", "left_semi")
+        on_cycle = on_cycle.join(_shuffled(lengths.where(F.col("n") <= max_length)), "low", "left_semi")
     members = settle(on_cycle.select("id"), "cycles")
-    leading = rows.join(members.select(F.col("id").alias("to")), "to", "left_semi").select("id")
+    leading = rows.join(_shuffled(members.select(F.col("id").alias("to"))), "to", "left_semi").select("id")
     return members, leading
 
 
