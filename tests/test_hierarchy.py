@@ -204,6 +204,23 @@ def test_rounds_grow_with_the_logarithm(spark, monkeypatch, pairs):
     assert len(steps) <= 4 * math.log2(len(nodes)) ** 2
 
 
+def test_a_ring_of_two_parents_takes_few_steps(spark, monkeypatch):
+    """A ring, a ladder into it and one that leads nowhere: each is followed by one parent, and that settles it."""
+    total = 300
+    ring, ladder = total * 2 // 3, total * 5 // 6
+    ways = [(k, after) for k in range(total) for after in (k + 1, k + 2)]
+    pairs = [(k, after % ring if k < ring else 0 if k < ladder <= after else after) for k, after in ways]
+    steps = []
+    settled = h.settle
+    monkeypatch.setattr(h, "settle", lambda df, label="step": steps.append(label) or settled(df, label))
+    edges = edges_of(spark, pairs)
+    members = h.circular(edges, root=-1)
+    removed = h.quarantine(edges, 1, members=members).exceptions
+    assert ids(members) == list(range(ring))
+    assert {r["OrganizationID"] for r in removed.collect()} == set(range(ladder))
+    assert len(steps) <= 8 * math.log2(total)
+
+
 RING_OF_TWO = [(n, (n + step) % 12) for n in range(12) for step in (1, 2)] + [(20, 3), (21, 20), (21, 30)]
 LADDER = [(0, 0)] + [(n, max(0, n - step)) for n in range(1, 12) for step in (1, 2)] + [(5, 9), (20, 5)]
 RINGS = [(n, n // 6 * 6 + (n + 1) % 6) for n in range(12)] + [(20, 3), (21, 20), (30, 40)]

@@ -3,8 +3,9 @@
 Where every child has one parent, chains are followed by doubling: after ``k`` rounds each row
 knows where ``2**k`` steps lead, so a hierarchy of depth ``d`` takes ``log2(d)`` joins instead
 of ``d``, and rows that have arrived take no further part. Every round is settled. Where children
-have several parents, cycles are found by the lowest node above and below each node, which spreads
-by doubling too.
+have several parents, one parent of each is followed in this way: cycles that are met shrink to one
+node, and lengths of chains tell most steps that lie on none. What is left is parted by the lowest
+node above and below each node, which spreads by doubling too.
 """
 
 from __future__ import annotations
@@ -191,21 +192,17 @@ def _ends(steps: DataFrame) -> DataFrame:
     return steps.select("id").union(steps.select("parent")).distinct()
 
 
-def _lowest_above(nodes: DataFrame, steps: DataFrame, ranks: int = 1, deal: int = 0) -> DataFrame:
-    """(id, low_0, low_1, ...): for each node, of itself and all it reaches by ``steps`` (id to parent), the
-    lowest by each of some ranks, as a struct (class, rank, id).
+def _lowest_above(nodes: DataFrame, steps: DataFrame, deal: int = 0) -> DataFrame:
+    """For each of ``nodes`` the lowest value of every column but ``id``, of itself and all it reaches by
+    ``steps`` (id to parent).
 
-    Ranks are hashes of the ids, so that they tell nothing about the way; a column ``class`` of ``nodes``
-    goes before them. Each round a node takes the lowest of what it knows, what its parents know, and what
-    the nodes it has shortcuts to know. A round adds a shortcut along one parent of each node, twice as
-    long as the one before: rounds grow with the logarithm of the way's length, and so do shortcuts.
+    Each round a node takes the lowest of what it knows, what its parents know, and what the nodes it has
+    shortcuts to know. A round adds a shortcut along one parent of each node, twice as long as the one
+    before: rounds grow with the logarithm of the way's length, and so do shortcuts.
     """
-    first = steps.groupBy("id").agg(F.min(F.struct(F.xxhash64("parent", F.lit(deal)).alias("_by"), "parent")).alias("_first"))
-    far = settle(first.select("id", F.col("_first.parent").alias("parent")), "shortcuts")
-    ways, length, count = [steps], 1, nodes.count()
-    lows = [f"low_{i}" for i in range(ranks)]
-    begun = (F.struct("class", F.xxhash64("id", F.lit(deal), F.lit(i)).alias("rank"), "id").alias(low) for i, low in enumerate(lows))
-    state = settle(nodes.select("id", *begun), "lowest")
+    lows = [c for c in nodes.columns if c != "id"]
+    far, ways, length, count = None, [steps], 1, nodes.count()
+    state = settle(nodes, "lowest")
     while True:
         known = state.select(F.col("id").alias("_id"), *(F.col(low).alias(f"_{low}") for low in lows))
         every = reduce(DataFrame.unionByName, (way.select("id", "parent") for way in ways))
@@ -220,77 +217,210 @@ def _lowest_above(nodes: DataFrame, steps: DataFrame, ranks: int = 1, deal: int
             free(*ways[1:])
             return state.drop("moved")
         if length < count:
+            if far is None:
+                far = settle(_one_parent(steps, F.xxhash64("parent", F.lit(deal))), "shortcuts")
             onward = far.select(F.col("id").alias("_at"), F.col("parent").alias("_to"))
-            far = settle(far.join(_shuffled(onward), F.col("parent") == F.col("_at")).select("id", F.col("_to").alias("parent")), "shortcuts")
+            before, far = far, settle(far.join(_shuffled(onward), F.col("parent") == F.col("_at")).select("id", F.col("_to").alias("parent")), "shortcuts")
+            if length == 1:
+                free(before)
             ways.append(far)
             length = count if far.isEmpty() else 2 * length
 
 
+def _one_parent(steps: DataFrame, *order: Column) -> DataFrame:
+    """The first step of each node, in some order of its parents."""
+    keys = [c.alias(f"_by{i}") for i, c in enumerate(order)]
+    first = steps.groupBy("id").agg(F.min(F.struct(*keys, "parent")).alias("_first"))
+    return first.select("id", F.col("_first.parent").alias("parent"))
+
+
+def _followed(chains: DataFrame) -> DataFrame:
+    """Where chains of one parent per node lead: (id, to, low, length, ended).
+
+    A chain that has ended does so in ``to``, ``length`` steps away. The others go round in a cycle that
+    ``to`` lies on, and the ``low`` of a node on a cycle is the smallest node of it. As in ``_cycles``, what
+    a row knows reaches twice as far in every round, and rows whose chain has ended take no further part.
+    """
+    columns = ["id", "to", "low", "length", "ended"]
+    begun = chains.select("id", F.col("parent").alias("to"), F.col("id").alias("low"), F.lit(1).cast("bigint").alias("length"), F.lit(False).alias("ended"))
+    rows = settle(begun, "chains")
+    count, landed = rows.count(), None
+    while count > 0:
+        ahead = rows.select(*(F.col(c).alias(f"_{c}") for c in columns))
+        stepped = rows.where(~F.col("ended")).join(_shuffled(ahead), F.col("to") == F.col("_id"), "left")
+        # A parent that has no step ends the chain.
+        stepped = stepped.select(
+            "id",
+            F.coalesce("_to", "to").alias("to"),
+            F.least("low", "_low").alias("low"),
+            (F.col("length") + F.coalesce("_length", F.lit(0))).alias("length"),
+            F.coalesce("_ended", F.lit(True)).alias("ended"),
+            (~F.col("_ended") & (F.col("_low") < F.col("low"))).alias("moved"),
+        )
+        arrived = rows.where("ended").select(*columns, F.lit(False).alias("moved"))
+        before, rows = rows, settle(stepped.unionByName(arrived), "chains")
+        free(before)
+        left, moved = rows.agg(F.count_if(~F.col("ended")), F.count_if("moved")).first()
+        # The same tests as in ``_cycles``.
+        if left == count and moved == 0:
+            ends = rows.where(~F.col("ended")).agg(F.count_distinct("to")).first()[0]
+            if ends in (landed, left):
+                break
+            landed = ends
+        count = left
+    return rows
+
+
 def _unresolved(edges: Edges, members: DataFrame | None) -> DataFrame:
     """Nodes on a cycle, and those from which some way up leads into one. Several parents per child."""
     members = settle(_on_cycles(edges) if members is None else members.select("id"), "cycles")
     if members.isEmpty():
         return members
     steps = _steps(edges)
-    # Members rank below all others: whoever reaches one has it as the lowest above.
-    marked = _ends(steps).join(_shuffled(members.select(F.col("id").alias("_member"))), F.col("id") == F.col("_member"), "left")
-    lowest = _lowest_above(marked.select("id", F.col("_member").isNull().alias("class")), steps)
-    return lowest.where(~F.col("low_0.class")).select("id")
+    known = members.select(F.col("id").alias("_member")).distinct()
+    # Nobody needs to know where the members lead. Of the others one way is followed first, which leaves few to ask.
+    others = steps.join(_shuffled(known), F.col("id") == F.col("_member"), "left_anti")
+    others = others.join(_shuffled(known), F.col("parent") == F.col("_member"), "left")
+    others = settle(others.select("id", "parent", F.col("_member").isNull().alias("outside")), "steps")
+    led = _followed(_one_parent(others, F.col("outside"), F.xxhash64("parent"))).where("ended")
+    led = led.join(_shuffled(known), F.col("to") == F.col("_member"), "left_semi").select(F.col("id").alias("_member"))
+    known = settle(known.unionByName(led), "cycles")
+    undecided = settle(others.select("id", "parent").join(_shuffled(known), F.col("id") == F.col("_member"), "left_anti"), "steps")
+    near = undecided.join(_shuffled(known), F.col("parent") == F.col("_member"), "left_semi")
+    near = settle(near.select(F.col("id").alias("_near")).distinct(), "cycles")
+    resolved = known.select(F.col("_member").alias("id"))
+    if near.isEmpty():
+        return resolved
+    nodes = undecided.select("id").distinct().join(_shuffled(near), F.col("id") == F.col("_near"), "left")
+    asking = settle(undecided.join(_shuffled(near), F.col("id") == F.col("_near"), "left_anti"), "steps")
+    lowest = _lowest_above(nodes.select("id", F.col("_near").isNull().alias("free")), asking)
+    return resolved.unionByName(lowest.where(~F.col("free")).select("id"))
 
 
 def _peeled(steps: DataFrame) -> DataFrame:
     """Steps without those at the rims, which no cycle can hold: from nodes nothing leads to, or to nodes that
-    lead nowhere. As many layers as the number of steps has binary digits: enough for a shallow hierarchy."""
+    lead nowhere. Layer by layer, while a layer is a fourth of what is left: enough for a shallow hierarchy."""
     count = steps.count()
-    for _ in range(count.bit_length()):
+    while count > 0:
         inner = steps.join(_shuffled(steps.select(F.col("id").alias("parent")).distinct()), "parent", "left_semi")
         inner = settle(inner.join(_shuffled(steps.select(F.col("parent").alias("id")).distinct()), "id", "left_semi"), "steps")
         free(steps)
         steps, before, count = inner, count, inner.count()
-        if count in (0, before):
+        if 4 * (before - count) < before:
             break
     return steps
 
 
+def _renamed(steps: DataFrame, names: DataFrame) -> DataFrame:
+    """Steps between nodes by their ``name``, where they have one, without those that lead nowhere else."""
+    of_parent = names.select(F.col("id").alias("parent"), F.col("name").alias("_name"))
+    joined = steps.join(_shuffled(names.select("id", "name")), "id", "left").join(_shuffled(of_parent), "parent", "left")
+    joined = joined.select(F.coalesce("name", "id").alias("id"), F.coalesce("_name", "parent").alias("parent"))
+    return settle(joined.where("id <> parent").distinct(), "steps")
+
+
+def _contracted(left: DataFrame, deal: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Steps that may still lie on a cycle, and members of cycles found on the way.
+
+    From every node one parent is followed, drawn by lot. Chains that go round are cycles, and each becomes one
+    node, named by one of its members. Chains that end have a length, and the nodes of a cycle have the same
+    greatest length above them: a step between nodes that differ in it lies on no cycle. Along a ladder, however
+    long, lengths fall nearly everywhere, so only short stretches of it are left. Nodes that are each other's
+    parents become one last.
+    """
+    chains = _followed(_one_parent(left, F.xxhash64("parent", F.lit(deal))))
+    going = chains.where(~F.col("ended"))
+    rings = settle(going.join(_shuffled(going.select(F.col("to").alias("id")).distinct()), "id", "left_semi").select("id", F.col("low").alias("name")), "cycles")
+    # Low is long here. A chain that goes round is longer than any.
+    height = F.when(F.col("ended"), -F.col("length")).otherwise(F.lit(-(2**62)))
+    ended = chains.where("ended").select(F.col("id").alias("_ended"))
+    nodes = chains.select("id", height.alias("height"))
+    asking = settle(left.join(_shuffled(ended), F.col("id") == F.col("_ended"), "left_semi"), "steps")
+    heights = _lowest_above(nodes, asking, deal)
+    of_parent = heights.select(F.col("id").alias("parent"), F.col("height").alias("_height"))
+    level = left.join(_shuffled(heights), "id").join(_shuffled(of_parent), "parent").where("height = _height")
+    found, level = [rings.select("id")], settle(level.select("id", "parent"), "steps")
+    free(left, chains, asking)
+    if not rings.isEmpty():
+        level = _renamed(level, rings)
+
+    count = level.count()
+    while count > 0:
+        turned = level.select(F.col("parent").alias("id"), F.col("id").alias("parent"))
+        pairs = settle(level.join(_shuffled(turned), ["id", "parent"], "left_semi"), "cycles")
+        if pairs.isEmpty():
+            break
+        by_lot = F.struct(F.xxhash64("parent", F.lit(deal)), F.col("parent"))
+        lowest = pairs.groupBy("id").agg(F.min(by_lot).alias("_lowest"))
+        itself = F.struct(F.xxhash64("id", F.lit(deal)), F.col("id"))
+        names = settle(lowest.select("id", F.when(F.col("_lowest") < itself, F.col("_lowest.parent")).otherwise(F.col("id")).alias("name")), "cycles")
+        found.append(names.select("id"))
+        before, level = level, _renamed(level, names)
+        free(before, pairs)
+        before, count = count, level.count()
+        if 2 * count > before:
+            break
+    return level, found
+
+
 #: Ranks by which steps are cut at once: more of them cut ways that lie on no cycle into shorter pieces.
 RANKS = 8
 
 
-def _on_cycles(edges: Edges) -> DataFrame:
-    """Members of cycles where children may have several parents, however long the cycles are.
+def _coloured(left: DataFrame, deal: int) -> tuple[DataFrame, DataFrame]:
+    """Steps that may still lie on a cycle, and members of cycles found on the way.
 
     The nodes of a strongly connected part have the same lowest node above and, within the steps between
     such nodes, the same lowest node below. Where these two are one, its part is found; all other steps
-    between nodes that differ in either, by any of several ranks, lie on no cycle and go. Ranks are dealt
-    anew in every pass, so what is on no cycle falls apart in a number of passes that grows with the
-    logarithm.
+    between nodes that differ in either, by any of several ranks, lie on no cycle and go.
     """
-    left = _peeled(_steps(edges))
-    found = left.select("id").where(F.lit(False))
+    # A rank is a hash that no two ids share, so it stands for its node and tells nothing about the way to it.
     lows = [f"low_{i}" for i in range(RANKS)]
-    deal = 0
-
-    while not left.isEmpty():
-        # Equal hashes of the lowest nodes by all ranks stand for the nodes themselves.
-        above = _lowest_above(_ends(left).withColumn("class", F.lit(False)), left, RANKS, deal)
-        above = settle(above.select("id", F.xxhash64(*(f"{low}.id" for low in lows)).alias("colour"), F.col("low_0.id").alias("top")), "above")
-        of_parent = above.select(F.col("id").alias("parent"), F.col("colour").alias("_colour"))
-        inside = left.join(_shuffled(above.select("id", "colour")), "id").join(_shuffled(of_parent), "parent").where("colour = _colour")
-        inside = settle(inside.select("id", "parent"), "steps")
-        turned = inside.select(F.col("parent").alias("id"), F.col("id").alias("parent"))
-        below = _lowest_above(_ends(inside).withColumn("class", F.lit(False)), turned, RANKS, deal)
-        marks = below.select("id", F.xxhash64(*(f"{low}.id" for low in lows)).alias("mark"), F.col("low_0.id").alias("bottom"))
-        marked = settle(marks.join(_shuffled(above.select("id", "top")), "id"), "parts")
-        part = marked.where("top = bottom")
-        several = part.groupBy("top").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        found = settle(found.unionByName(part.join(_shuffled(several), "top", "left_semi").select("id")), "cycles")
-        other = marked.where("top <> bottom").select("id", "mark")
-        of_parent = other.select(F.col("id").alias("parent"), F.col("mark").alias("_mark"))
-        rest = inside.join(_shuffled(other), "id").join(_shuffled(of_parent), "parent")
-        before, left = left, settle(rest.where("mark = _mark").select("id", "parent"), "steps")
-        free(before, above, inside, marked)
+    ranks = [F.xxhash64("id", F.lit(deal), F.lit(i)).alias(low) for i, low in enumerate(lows)]
+    # Equal hashes of the lowest nodes by all ranks stand for the nodes themselves.
+    above = _lowest_above(_ends(left).select("id", *ranks), left, deal)
+    above = settle(above.select("id", F.xxhash64(*lows).alias("colour"), F.col("low_0").alias("top")), "above")
+    of_parent = above.select(F.col("id").alias("parent"), F.col("colour").alias("_colour"))
+    inside = left.join(_shuffled(above.select("id", "colour")), "id").join(_shuffled(of_parent), "parent").where("colour = _colour")
+    inside = settle(inside.select("id", "parent"), "steps")
+    turned = inside.select(F.col("parent").alias("id"), F.col("id").alias("parent"))
+    below = _lowest_above(_ends(inside).select("id", *ranks), turned, deal)
+    marks = below.select("id", F.xxhash64(*lows).alias("mark"), F.col("low_0").alias("bottom"))
+    marked = settle(marks.join(_shuffled(above.select("id", "top")), "id"), "parts")
+    part = marked.where("top = bottom")
+    several = part.groupBy("top").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    found = settle(part.join(_shuffled(several), "top", "left_semi").select("id"), "cycles")
+    other = marked.where("top <> bottom").select("id", "mark")
+    of_parent = other.select(F.col("id").alias("parent"), F.col("mark").alias("_mark"))
+    rest = inside.join(_shuffled(other), "id").join(_shuffled(of_parent), "parent")
+    before, left = left, settle(rest.where("mark = _mark").select("id", "parent"), "steps")
+    free(before, above, inside, marked)
+    return left, found
+
+
+def _on_cycles(edges: Edges) -> DataFrame:
+    """Members of cycles where children may have several parents, however long the cycles are.
+
+    Each pass peels, follows chains and makes one node of every cycle it meets; what does not shrink so is
+    parted by lowest nodes. Lots are drawn anew in every pass, so what is on no cycle falls apart in a number
+    of passes that grows with the logarithm.
+    """
+    left = _steps(edges)
+    parts = [left.select("id").where(F.lit(False))]
+    count, deal = left.count(), 0
+    while count > 0:
+        left = _peeled(left)
+        if left.isEmpty():
+            break
+        left, found = _contracted(left, deal)
+        parts += found
+        before, count = count, left.count()
+        if 2 * count > before:
+            left, members = _coloured(left, deal)
+            parts.append(members)
+            count = left.count()
         deal += 1
-    return found
+    return settle(reduce(DataFrame.unionByName, parts).distinct(), "cycles")
 
 
 def circular(edges: Edges, max_distance: int | None = None, root: int = ROOT) -> DataFrame:
