@@ -1,6 +1,7 @@
 """Encryption, masking, watermarks, profiles, files and fixtures."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -151,6 +152,33 @@ def test_files(spark, tmp_path):
     assert [r["length"] for r in load_files(spark, str(tmp_path), "*.txt").collect()] == [4]
 
 
+def test_files_longer_than_a_blob(spark, tmp_path, monkeypatch):
+    """Files of a length with and without divisors come in pieces, whole and in order; so do their marks."""
+    from tidemark.plans import governance
+
+    sizes = {"even.parquet": 4096, "prime.parquet": 4099, "a,b[1] {c}.parquet": 6006, "short.parquet": 90, "cut.parquet.gz": 3000}
+    written = {}
+    for number, (name, size) in enumerate(sizes.items()):
+        middle = random.Random(number).randbytes(size - 8)
+        written[name] = b"PAR1" + middle + b"1RAP"
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / name).write_bytes(written[name])
+    got = {}
+    for row in load_files(spark, str(tmp_path), recursive=True, piece=1000).orderBy("path", "position").collect():
+        assert len(row["content"]) <= 1000 or row["name"].endswith(".gz")
+        assert row["position"] == len(got.get(row["name"], b""))
+        assert row["length"] == sizes[row["name"]]
+        got[row["name"]] = got.get(row["name"], b"") + bytes(row["content"])
+    assert got == written
+    monkeypatch.setattr(governance, "PIECE", 1000, raising=False)
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000")
+    try:
+        rows = {tuple(r) for r in governance.QUERIES["files_as_rows"].run(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    assert rows == {(name, "PAR1", "1RAP", True) for name in sizes if name.endswith(".parquet")}
+
+
 ALL_TYPES = (
     T.StructType()
     .add("id", T.IntegerType()).add("small", T.ShortType()).add("text", T.StringType()).add("flag", T.BooleanType())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.durable import settle
@@ -12,7 +12,7 @@ from tidemark.functions.moments import moment
 from tidemark.operators import fixtures, profile, protection, watermark
 from tidemark.operators.compare import table_diff
 from tidemark.plans.query import Query, sql_time, time_text, times_as_text
-from tidemark.sources.files import load_files
+from tidemark.sources.files import PIECE, load_files
 from tidemark.sources.tables import TABLES, read_table, read_tables
 from tidemark.spec import ForeignKey, TableSpec
 
@@ -265,13 +265,24 @@ UNION ALL SELECT 'events', {sql_time('max(ts)')} FROM events HAVING max(ts) < TI
 
 def _files(spark: SparkSession, folder: str) -> DataFrame:
     """The table files themselves as rows: each blob is whole when its format's mark is at both ends."""
-    files = load_files(spark, folder, "*.parquet", recursive=True)
-    whole = F.octet_length("content") == F.col("length")
-    return files.select(
+    files = load_files(spark, folder, "*.parquet", recursive=True, piece=PIECE)
+    size = F.octet_length("content").cast("bigint")
+    behind = F.col("length") - F.col("position") - size
+    # A mark may lie across pieces: those that hold some of it are put together in order.
+    first = F.when(F.col("position") < 4, F.struct("position", F.substring("content", 1, 4).alias("mark")))
+    last = F.when(behind < 4, F.struct("position", F.substring("content", -4, 4).alias("mark")))
+    pieces = files.groupBy("path", "name", "length").agg(
+        F.sum(size).alias("size"), F.collect_list(first).alias("first"), F.collect_list(last).alias("last")
+    )
+
+    def joined(marks: str) -> Column:
+        return F.aggregate(F.array_sort(marks), F.lit("").cast("binary"), lambda whole, piece: F.concat(whole, piece["mark"]))
+
+    return pieces.select(
         "name",
-        F.substring("content", 1, 4).cast("string").alias("head"),
-        F.substring("content", -4, 4).cast("string").alias("tail"),
-        whole.alias("is_whole"),
+        F.substring(joined("first"), 1, 4).cast("string").alias("head"),
+        F.substring(joined("last"), -4, 4).cast("string").alias("tail"),
+        (F.col("size") == F.col("length")).alias("is_whole"),
     )
 
 
